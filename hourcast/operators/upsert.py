@@ -62,21 +62,27 @@ def merge_columns(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     For a matched key: ``update`` columns from the batch, ``preserve`` columns
     from the target.  New keys: batch values, with ``defaults`` filling preserved
     columns the batch lacks (e.g. ``created_at = now()``).  Unmatched target rows
-    pass through unchanged.
+    pass through unchanged.  Other columns the batch carries (e.g. a partition
+    column derived from the key) follow the batch like ``update`` columns.
     """
     defaults = defaults or {}
     t = target.withColumn("__hc_t", F.lit(True))
     b = batch.withColumn("__hc_b", F.lit(True))
     j = t.alias("t").join(b.alias("b"), list(keys), "full_outer")
     in_b = F.col("b.__hc_b").isNotNull()
-    out = [F.col(k) for k in keys]
-    for c in update:
-        out.append(F.when(in_b, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    for c in preserve:
-        new_val = F.col(f"b.{c}") if c in batch.columns else defaults.get(c, F.lit(None))
-        out.append(F.when(F.col("t.__hc_t").isNotNull(), F.col(f"t.{c}"))
-                   .otherwise(new_val).alias(c))
-    return j.select(*out).select(*target.columns)
+    in_t = F.col("t.__hc_t").isNotNull()
+    out = []
+    for c in target.columns:
+        if c in keys:
+            out.append(F.col(c))
+        elif c in preserve:
+            new_val = F.col(f"b.{c}") if c in batch.columns else defaults.get(c, F.lit(None))
+            out.append(F.when(in_t, F.col(f"t.{c}")).otherwise(new_val).alias(c))
+        elif c in update or c in batch.columns:
+            out.append(F.when(in_b, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+        else:
+            out.append(F.col(f"t.{c}"))
+    return j.select(*out)
 
 
 def new_keys_only(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

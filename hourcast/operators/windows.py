@@ -76,8 +76,9 @@ def with_window_columns(df: DataFrame, keys, order: str, halo: int,
               .withColumn(_HALO, F.col("__hc_shift") == F.lit(1))
               .drop("__hc_shift"))
     w = Window.partitionBy(*k, _BLK).orderBy(_IDX)
-    out = spread.select("*", *[e.alias(n) for n, e in build(w).items()])
-    return out.filter(~F.col(_HALO)).drop(_IDX, _BLK, _HALO)
+    exprs = build(w)
+    out = spread.select(*df.columns, _HALO, *[e.alias(n) for n, e in exprs.items()])
+    return out.filter(~F.col(_HALO)).drop(_HALO)
 
 
 def lag_delta(df: DataFrame, value: str, keys=("region",), order: str = "ts",

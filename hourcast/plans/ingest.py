@@ -18,8 +18,10 @@ def weather_from_documents(docs: DataFrame, check: bool = True, lenient_time: bo
         .select("time", "region", "temperature_2m")
 
 
-def weather_from_landing(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
-    return weather_from_documents(landing.read_documents(spark, path), check=check)
+def weather_from_landing(spark: SparkSession, path: str, check: bool = True,
+                         multi_line: bool = True) -> DataFrame:
+    docs = landing.read_documents(spark, path, multi_line=multi_line)
+    return weather_from_documents(docs, check=check)
 
 
 def weather_from_csv(spark: SparkSession, path: str, default_region: str = "DE",

@@ -37,15 +37,19 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                mode: str = "overwrite", sort_within: Sequence[str] = ()) -> None:
+                mode: str = "overwrite", sort_within: Sequence[str] = (),
+                only_present_partitions: bool = False) -> None:
     """Full rebuild / replace (TRUNCATE + INSERT, table materialisation).
 
+    With ``only_present_partitions`` an overwrite replaces just the partitions
+    present in ``df`` (dynamic partition overwrite), leaving the others.
     ``sort_within`` orders rows inside each file (e.g. region, ts) so parquet
     min/max statistics let later range predicates skip row groups.
     """
     if sort_within:
-        df = df.sortWithinPartitions(*sort_within)
-    w = df.write.mode(mode)
+        df = df.sortWithinPartitions(*[*partition_by, *sort_within])
+    w = df.write.mode(mode).option(
+        "partitionOverwriteMode", "dynamic" if only_present_partitions else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -86,12 +90,13 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     """
     batch = dedupe_batch(batch, keys, dedupe_order)
     if not path_exists(spark, path):
-        cols = schema.fieldNames() if schema is not None else batch.columns
+        cols = schema.fieldNames() if schema is not None else \
+            batch.columns + [c for c in preserve if c not in batch.columns]
         first = batch
         for c in preserve:
             if c not in batch.columns:
                 first = first.withColumn(c, (defaults or {}).get(c, F.lit(None)))
-        write_table(first.select(*cols), path, [partition_col])
+        write_table(first.select(*cols), path, [partition_col], sort_within=keys)
         return
     target = _touched(spark, path, batch, partition_col, schema)
     if update is None:
@@ -99,8 +104,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     else:
         merged = merge_columns(target, batch, keys, update, preserve, defaults)
     # Dynamic partition overwrite: only partitions present in `merged` are replaced.
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(partition_col).parquet(path)
+    write_table(merged, path, [partition_col], sort_within=keys, only_present_partitions=True)
 
 
 def insert_new(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],

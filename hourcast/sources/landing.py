@@ -19,9 +19,14 @@ class DocumentError(ValueError):
     """A landed document violates the structural contract."""
 
 
-def read_documents(spark: SparkSession, path: str, with_file: bool = True) -> DataFrame:
-    """Scan pretty-printed JSON documents with the declared schema (no inference)."""
-    df = spark.read.schema(LANDING_DOCUMENT).option("multiLine", True).json(path)
+def read_documents(spark: SparkSession, path: str, with_file: bool = True,
+                   multi_line: bool = True) -> DataFrame:
+    """Scan JSON documents with the declared schema (no inference).
+
+    ``multi_line=True``: one (pretty-printed) document per file, as landed by an
+    extract; ``False``: JSON Lines, one document per line (as Spark writes them).
+    """
+    df = spark.read.schema(LANDING_DOCUMENT).option("multiLine", multi_line).json(path)
     if with_file:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df
