@@ -87,17 +87,16 @@ def lag_delta(df: DataFrame, value: str, keys=("region",), order: str = "ts",
     """Previous row's value (``LAG(value, offset)``) and ``value - previous``.
 
     Either output can be suppressed by passing ``False`` as its name.  The first
-    ``offset`` rows of a series get NULL.
+    ``offset`` rows of a series get NULL.  The lag is evaluated once; the delta
+    is a projection over it.
     """
-    def build(w):
-        prev = F.lag(value, offset).over(w)
-        out = {}
-        if prev_name is not False:
-            out[prev_name or f"{value}_prev"] = prev
-        if delta_name is not False:
-            out[delta_name or f"{value}_delta"] = col(value) - prev
-        return out
-    return with_window_columns(df, keys, order, offset, build, chunk=chunk, **kw)
+    prev = prev_name or (f"{value}_prev" if prev_name is None else "__hc_prev")
+    out = with_window_columns(df, keys, order, offset,
+                              lambda w: {prev: F.lag(value, offset).over(w)},
+                              chunk=chunk, **kw)
+    if delta_name is not False:
+        out = out.withColumn(delta_name or f"{value}_delta", col(value) - F.col(prev))
+    return out.drop("__hc_prev") if prev_name is False else out
 
 
 def rolling_mean(df: DataFrame, value: str, n_rows: int = 24, keys=("region",),

@@ -163,9 +163,11 @@ def joint_cold_shock(energy: DataFrame, weather: DataFrame,
     j = hourly_pair(energy, weather, keys=("ts", *k)).drop("day")
 
     def build(w):  # both lags share one window spec -> one sort, one Window node
-        return {"temp_delta_c": F.col("temperature_2m") - F.lag("temperature_2m").over(w),
-                "load_delta_mw": F.col("load_mw") - F.lag("load_mw").over(w)}
+        return {"__hc_pt": F.lag("temperature_2m").over(w),
+                "__hc_pl": F.lag("load_mw").over(w)}
     t = with_window_columns(j, k, "ts", 1, build, chunk=chunk)
+    t = t.select("*", (F.col("temperature_2m") - F.col("__hc_pt")).alias("temp_delta_c"),
+                 (F.col("load_mw") - F.col("__hc_pl")).alias("load_delta_mw"))
     return (t.filter((F.col("temp_delta_c") <= F.lit(temp_drop))
                      & (F.col("load_delta_mw") >= F.lit(load_rise)))
             .select("ts", *k, "temperature_2m", "temp_delta_c", "load_mw", "load_delta_mw"))

@@ -46,6 +46,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     ``sort_within`` orders rows inside each file (e.g. region, ts) so parquet
     min/max statistics let later range predicates skip row groups.
     """
+    if partition_by:
+        # AQE rebalance: roughly advisory-sized output partitions per day --
+        # small days are coalesced, a hot day is split -- instead of one file
+        # per (task, day).
+        df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*[*partition_by, *sort_within])
     w = df.write.mode(mode).option(
