@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from hourcast.functions.time import utc_day
 from hourcast.operators import quality as Q
 from hourcast.plans import marts as M
+from hourcast.plans.concurrent import run_all
 from hourcast.plans.features import energy_from_weather
 from hourcast.plans.ingest import weather_from_csv, weather_from_landing
 from hourcast.plans.staging import stage_energy, stage_weather, standard_energy, standard_weather
@@ -115,10 +116,11 @@ def stage(spark: SparkSession, layout: Layout, days: DataFrame | None = None) ->
     rw = _scope(sink.read(spark, layout.raw_weather), days)
     re_ = _scope(sink.read(spark, layout.raw_energy), days)
     # Raw tables are keyed on the same (time, region), so the batches are unique.
-    sink.upsert(spark, stage_weather(rw.drop("day", "created_at")), layout.staging_weather,
-                ["ts", "region"], dedupe_order="unique")
-    sink.upsert(spark, stage_energy(re_.drop("day", "created_at")), layout.staging_energy,
-                ["ts", "region"], dedupe_order="unique")
+    # The two upserts are independent jobs and run concurrently.
+    run_all(lambda: sink.upsert(spark, stage_weather(rw.drop("day", "created_at")),
+                                layout.staging_weather, ["ts", "region"], dedupe_order="unique"),
+            lambda: sink.upsert(spark, stage_energy(re_.drop("day", "created_at")),
+                                layout.staging_energy, ["ts", "region"], dedupe_order="unique"))
 
 
 def gate_staging(spark: SparkSession, layout: Layout, expected_rows: int | None = None,
@@ -128,42 +130,48 @@ def gate_staging(spark: SparkSession, layout: Layout, expected_rows: int | None
     a whole-table property."""
     se_all = sink.read(spark, layout.staging_energy)
     sw = _scope(sink.read(spark, layout.staging_weather), days)
-    Q.gate_range(sw, "temperature_2m", *WEATHER_RANGE)
+    gates = [lambda: Q.gate_range(sw, "temperature_2m", *WEATHER_RANGE)]
     if expected_rows is not None and days is None:
         # one pass over the table answers both energy gates
-        Q.check(se_all.agg((F.count(F.lit(1)) == Q.distinct_rows(["ts", "region"]))
-                           .alias("unique"),
-                           (F.count(F.lit(1)) == F.lit(expected_rows)).alias("rowcount_ok")),
-                f"staging energy unique and {expected_rows} rows")
-        return
-    Q.gate_unique(_scope(se_all, days), ["ts", "region"])
-    if expected_rows is not None:
-        Q.gate_rowcount(se_all, expected_rows)
+        gates.append(lambda: Q.check(
+            se_all.agg((F.count(F.lit(1)) == Q.distinct_rows(["ts", "region"])).alias("unique"),
+                       (F.count(F.lit(1)) == F.lit(expected_rows)).alias("rowcount_ok")),
+            f"staging energy unique and {expected_rows} rows"))
+    else:
+        gates.append(lambda: Q.gate_unique(_scope(se_all, days), ["ts", "region"]))
+        if expected_rows is not None:
+            gates.append(lambda: Q.gate_rowcount(se_all, expected_rows))
+    run_all(*gates)
 
 
 def build_marts(spark: SparkSession, layout: Layout, days: DataFrame | None = None) -> None:
+    """Dimensions, fact and marts: five independent writes, run concurrently."""
     sw = _scope(sink.read(spark, layout.staging_weather), days)
     se = _scope(sink.read(spark, layout.staging_energy), days)
-    sink.insert_new(spark, M.dim_date(sw, se), layout.dim_date, ["day"])
-    sink.insert_new(spark, M.dim_region(se, sw), layout.dim_region, ["region"])
-    sink.upsert(spark, M.fact_energy_daily(se), layout.fact, ["day", "region"],
-                dedupe_order="unique")  # a group-by output: one row per key
     rw, re_ = sink.read(spark, layout.raw_weather), sink.read(spark, layout.raw_energy)
-    # The pooled weather mart is small (one row per day) and replaced whole.
-    sink.write_table(M.mart_weather_daily(standard_weather(rw.drop("day", "created_at"))),
-                     layout.mart_weather_daily)
-    # The day x region mart is replaced for the run's days only.
     std_w = standard_weather(_scope(rw, days).drop("day", "created_at"))
     std_e = standard_energy(_scope(re_, days).drop("day", "created_at"))
-    sink.write_table(M.mart_energy_weather_daily(std_e, std_w), layout.mart_energy_weather_daily,
-                     ["day_utc"], only_present_partitions=days is not None)
+    run_all(
+        lambda: sink.insert_new(spark, M.dim_date(sw, se), layout.dim_date, ["day"]),
+        lambda: sink.insert_new(spark, M.dim_region(se, sw), layout.dim_region, ["region"]),
+        # a group-by output: one row per key, no duplicate check needed
+        lambda: sink.upsert(spark, M.fact_energy_daily(se), layout.fact, ["day", "region"],
+                            dedupe_order="unique"),
+        # The pooled weather mart is small (one row per day) and replaced whole.
+        lambda: sink.write_table(
+            M.mart_weather_daily(standard_weather(rw.drop("day", "created_at"))),
+            layout.mart_weather_daily),
+        # The day x region mart is replaced for the run's days only.
+        lambda: sink.write_table(M.mart_energy_weather_daily(std_e, std_w),
+                                 layout.mart_energy_weather_daily, ["day_utc"],
+                                 only_present_partitions=days is not None))
 
 
 def test_marts(spark: SparkSession, layout: Layout) -> None:
-    Q.gate_tests(sink.read(spark, layout.mart_energy_weather_daily), ENERGY_WEATHER_MART_TESTS,
-                 "mart_energy_weather_daily")
-    Q.gate_tests(sink.read(spark, layout.mart_weather_daily), WEATHER_MART_TESTS,
-                 "mart_weather_daily")
+    run_all(lambda: Q.gate_tests(sink.read(spark, layout.mart_energy_weather_daily),
+                                 ENERGY_WEATHER_MART_TESTS, "mart_energy_weather_daily"),
+            lambda: Q.gate_tests(sink.read(spark, layout.mart_weather_daily), WEATHER_MART_TESTS,
+                                 "mart_weather_daily"))
 
 
 def quality_reports(spark: SparkSession, layout: Layout, expected_rows: int = 2160
