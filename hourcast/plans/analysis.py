@@ -73,7 +73,8 @@ def peak_hours(energy: DataFrame, keys=("region",)) -> DataFrame:
     """Top-1 hour of day by average load per series (ties -> earlier hour)."""
     k = _k(keys)
     prof = rollups.hour_profile(energy, "load_mw", "ts", k)
-    top = top_n_per_group(prof, k, [F.col("avg_load_mw").desc(), F.col("hour_of_day").asc()],
+    top = top_n_per_group(prof, k, [F.col("avg_load_mw").desc_nulls_first(),
+                                     F.col("hour_of_day").asc()],
                           n=1, method="row_number")
     return top.select(*k, "hour_of_day", "avg_load_mw")
 
@@ -138,7 +139,7 @@ def top_hours(energy: DataFrame, n: int = 3, keys=("region",)) -> DataFrame:
     """Hours ranked by load within each (day, series), ties kept (dense rank)."""
     k = _k(keys)
     r = top_n_per_group(energy.select("day", "ts", *k, "load_mw"), ["day", *k],
-                        [F.col("load_mw").desc()], n=n, method="dense_rank",
+                        [F.col("load_mw").desc_nulls_first()], n=n, method="dense_rank",
                         rank_name="load_rank_in_day")
     return r.withColumn("load_rank_in_day", F.col("load_rank_in_day").cast("bigint"))
 

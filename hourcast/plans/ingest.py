@@ -9,19 +9,30 @@ from hourcast.sources import csv as csv_src
 from hourcast.sources import landing
 
 
-def weather_from_documents(docs: DataFrame, check: bool = True, lenient_time: bool = False
-                           ) -> DataFrame:
-    """Documents -> (time, region, temperature_2m), structural checks first."""
+def weather_from_documents(docs: DataFrame, check: bool = True, lenient_time: bool = False,
+                           validate: bool | None = None, min_rows: int = 1,
+                           lo: float = -50, hi: float = 60) -> DataFrame:
+    """Documents -> (time, region, temperature_2m).
+
+    ``check``: structural document checks first.  ``validate`` (defaults to
+    ``check``): the pre-load gate on the flattened rows -- at least ``min_rows``,
+    time and temperature present (a JSON null temperature fails, as its empty
+    CSV cell would), temperature within [lo, hi].  Both run one small aggregate
+    action before any write.
+    """
     if check:
         landing.check_documents(docs)
-    return landing.typed_hourly(landing.flatten(docs), lenient=lenient_time) \
+    flat = landing.flatten(docs)
+    if check if validate is None else validate:
+        gate_ingest(flat, min_rows=min_rows, lo=lo, hi=hi)
+    return landing.typed_hourly(flat, lenient=lenient_time) \
         .select("time", "region", "temperature_2m")
 
 
 def weather_from_landing(spark: SparkSession, path: str, check: bool = True,
-                         multi_line: bool = True) -> DataFrame:
+                         multi_line: bool = True, **gate) -> DataFrame:
     docs = landing.read_documents(spark, path, multi_line=multi_line)
-    return weather_from_documents(docs, check=check)
+    return weather_from_documents(docs, check=check, **gate)
 
 
 def weather_from_csv(spark: SparkSession, path: str, default_region: str = "DE",

@@ -331,8 +331,9 @@ def q_demand_features(spark, d):
 
 def q_landing_roundtrip(spark, d):
     """Weather -> landed documents (one per day) -> checks -> flatten -> typed rows."""
-    docs = build_documents(_weather(spark, d))
-    out = weather_from_documents(docs, check=False)
+    # three region codes: one multi-region document per day, as landed
+    docs = build_documents(_weather(spark, d), doc_buckets=1)
+    out = weather_from_documents(docs, check=True)
     return out.select(F.col("time").cast("timestamp_ntz").alias("time"), "region",
                       "temperature_2m")
 

@@ -96,14 +96,15 @@ def typed_hourly(flat: DataFrame, lenient: bool = False) -> DataFrame:
 
 def build_documents(weather: DataFrame, regions_table: DataFrame | None = None,
                     source: str = "archive", timezone: str = "UTC",
-                    doc_buckets: int = 1) -> DataFrame:
-    """Hourly weather -> landed documents, one per (UTC day, region bucket).
-
-    Each document carries its regions for that day with their hourly values in
-    time order (the extract's shape).  Regions are hashed into ``doc_buckets``
-    documents per day, so a document holds about regions / doc_buckets x 24
-    values: raise ``doc_buckets`` with the number of series; history length never
-    enters a group.
+                    doc_buckets: int | None = None) -> DataFrame:
+    """Hourly weather -> landed documents (the extract's shape).
+
+    Each document carries regions for one UTC day with their hourly values in
+    time order.  ``doc_buckets=None`` writes one document per (day, region), so
+    a group never exceeds one series-day; ``doc_buckets=n`` hashes the regions
+    of a day into n multi-region documents (use when the region set is known to
+    be small, as for a fetch of a few regions).  History length never enters a
+    group.
     """
     w = weather.select(F.col("ts"), "region", "temperature_2m",
                        F.to_date("ts").alias("day"),
@@ -112,7 +113,8 @@ def build_documents(weather: DataFrame, regions_table: DataFrame | None = None,
                   .agg(F.array_sort(F.collect_list(F.struct("time", "temperature_2m")))
                        .alias("pts")))
     if regions_table is not None:
-        per_region = per_region.join(F.broadcast(regions_table), "region", "left")
+        from hourcast.operators.joins import maybe_broadcast
+        per_region = per_region.join(maybe_broadcast(regions_table), "region", "left")
     else:
         per_region = per_region.withColumn("latitude", F.lit(None).cast("double")) \
             .withColumn("longitude", F.lit(None).cast("double"))
@@ -128,7 +130,10 @@ def build_documents(weather: DataFrame, regions_table: DataFrame | None = None,
                     .alias("fetched_at_utc"),
                     F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
                     .alias("fetched_at_local"))
-    doc = F.pmod(F.xxhash64("region"), F.lit(doc_buckets)) if doc_buckets > 1 else F.lit(0)
+    if doc_buckets is None:
+        doc = F.xxhash64("region")
+    else:
+        doc = F.pmod(F.xxhash64("region"), F.lit(doc_buckets)) if doc_buckets > 1 else F.lit(0)
     return (per_region.withColumn("doc_bucket", doc).groupBy("day", "doc_bucket")
             .agg(F.array_sort(F.collect_list(entry)).alias("regions"))
             .select(meta.alias("_meta"), "regions", "day", "doc_bucket"))

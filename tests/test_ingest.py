@@ -45,7 +45,9 @@ def test_flatten_zips_parallel_arrays(spark, tmp_dir):
     rows = sorted(tuple(r) for r in landing.flatten(docs).collect())
     assert rows == [("DE-BY", "2024-01-01T00:00", -2.0), ("DE-NW", "2024-01-01T00:00", 1.5),
                     ("DE-NW", "2024-01-01T01:00", None)]
-    typed = weather_from_landing(spark, p)
+    with pytest.raises(GateFailed, match="Missing temperature"):
+        weather_from_landing(spark, p)                   # JSON null temperature fails the gate
+    typed = weather_from_landing(spark, p, validate=False)
     assert typed.schema["time"].dataType.simpleString() == "timestamp"
     assert typed.filter(F.col("time") == F.to_timestamp(F.lit("2024-01-01 01:00:00"))).count() == 1
     meta = landing.flatten(docs, with_meta=True).select("meta_source").distinct().collect()
@@ -70,8 +72,9 @@ def test_build_documents_roundtrip(spark, tmp_dir):
     from tests.helpers import weather_df
     w = weather_df(spark, [("2024-01-01 00:00:00", "A", 1.0), ("2024-01-01 01:00:00", "A", 2.0),
                            ("2024-01-01 00:00:00", "B", 3.0), ("2024-01-02 00:00:00", "A", 4.0)])
-    docs = landing.build_documents(w)
+    docs = landing.build_documents(w, doc_buckets=1)
     assert docs.count() == 2
+    assert landing.build_documents(w).count() == 3      # default: one per (day, region)
     out = os.path.join(tmp_dir, "landing")
     docs.select("_meta", "regions").write.json(out)
     back = weather_from_landing(spark, out, multi_line=False)
