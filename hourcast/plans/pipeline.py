@@ -202,7 +202,8 @@ def quality_reports(spark: SparkSession, layout: Layout, expected_rows: int = 21
 def run(spark: SparkSession, warehouse: str, landing: str | None = None,
         csv: str | None = None, weather: DataFrame | None = None,
         energy: DataFrame | None = None, expected_rows: int | None = None,
-        jitter: bool = True, incremental: bool = True) -> RunResult:
+        jitter: bool = True, incremental: bool = True,
+        register_tables: bool = False) -> RunResult:
     """One pipeline run.  Give exactly one weather input: ``landing`` (JSON
     documents), ``csv`` (processed CSV) or ``weather`` (a typed DataFrame with
     time, region, temperature_2m).  ``energy`` (ts, region, load_mw) is measured
@@ -210,6 +211,8 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
 
     ``incremental`` limits every stage after the raw load to the days present
     in the weather batch; ``False`` re-reads whole tables (same result).
+    ``register_tables`` exposes the tables as ``raw.*``, ``staging.*``, ``mart.*``
+    in the session catalog (see ``hourcast.plans.catalog``).
     """
     configure(spark)
     layout = Layout(warehouse)
@@ -229,4 +232,7 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
     gate_staging(spark, layout, expected_rows, days)
     build_marts(spark, layout, days)
     test_marts(spark, layout)
+    if register_tables:
+        from hourcast.plans.catalog import register
+        register(spark, layout)
     return RunResult(layout, quality_reports(spark, layout, expected_rows or 2160))

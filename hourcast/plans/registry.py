@@ -34,17 +34,20 @@ def _r(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.round(c, R6).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-_STAGED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+_STAGED: dict[tuple, tuple[SparkSession, DataFrame, DataFrame]] = {}
 
 
 def _signature(spark: SparkSession, sf_dir: str) -> tuple:
     """Identity of the events table (path, size, modification time) via Hadoop FS."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/events.parquet")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    st = fs.getContentSummary(path)
-    return (str(path), st.getLength(), st.getFileCount(),
-            fs.getFileStatus(path).getModificationTime())
+    try:
+        sc = spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/events.parquet")
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        st = fs.getContentSummary(path)
+        return (str(path), st.getLength(), st.getFileCount(),
+                fs.getFileStatus(path).getModificationTime())
+    except Exception:  # noqa: BLE001 -- no JVM access: key on the path only
+        return (sf_dir,)
 
 
 def stage_tables(spark: SparkSession, sf_dir: str, mode: str = "regions"):
@@ -56,8 +59,9 @@ def stage_tables(spark: SparkSession, sf_dir: str, mode: str = "regions"):
     the lineage and survives executor loss.  Reused for the same session, events
     table and region mode.
     """
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), mode, _signature(spark, sf_dir))
-    if key not in _STAGED:
+    key = (sf_dir.rstrip("/"), mode, _signature(spark, sf_dir))
+    hit = _STAGED.get(key)
+    if hit is None or hit[0] is not spark:
         ev = dt.events(spark, sf_dir)
         raw_e = dt.hourly_energy(ev, mode).select("ts", "region", "load_mw")
         raw_w = dt.hourly_weather(ev, mode).select(F.col("ts").alias("time"), "region",
@@ -69,8 +73,8 @@ def stage_tables(spark: SparkSession, sf_dir: str, mode: str = "regions"):
             df.sortWithinPartitions("region", "ts").write.mode("overwrite") \
                 .parquet(f"{base}/{name}")
             frames.append(spark.read.parquet(f"{base}/{name}"))
-        _STAGED[key] = (frames[0], frames[1])
-    return _STAGED[key]
+        _STAGED[key] = (spark, frames[0], frames[1])
+    return _STAGED[key][1], _STAGED[key][2]
 
 
 def pair(spark: SparkSession, sf_dir: str, mode: str = "regions"):

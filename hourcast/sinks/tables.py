@@ -25,10 +25,18 @@ from hourcast.operators.upsert import dedupe_batch, merge_columns, merge_replace
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    """Does the table directory exist (Hadoop FileSystem, any scheme)."""
+    try:
+        sc = spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # noqa: BLE001 -- no JVM access (e.g. Spark Connect)
+        from pyspark.errors import AnalysisException
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except AnalysisException:
+            return False
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -60,3 +60,20 @@ def test_stream_landing_available_now(spark, tmp_dir):
     q.awaitTermination(300)
     n2 = sink.read(spark, lay.staging_weather).count()
     assert 0 < n1 < n2 == raw_w.count()
+
+
+def test_catalog_registration_and_sql(spark, tmp_dir):
+    _, raw_w = raw_pair(spark, SF)
+    wh = os.path.join(tmp_dir, "cat")
+    first = raw_w.filter(F.col("time") < F.lit("2024-01-10").cast("timestamp_ntz"))
+    pipeline.run(spark, wh, weather=first, register_tables=True)
+    n1 = spark.sql("SELECT COUNT(*) FROM staging.energy_hourly_clean").first()[0]
+    pipeline.run(spark, wh, weather=raw_w, register_tables=True)   # new days become visible
+    r = spark.sql("""
+        SELECT COUNT(*) AS total_rows, COUNT(DISTINCT (ts, region)) AS distinct_grain
+        FROM staging.energy_hourly_clean""").first()
+    assert n1 < r.total_rows == r.distinct_grain == raw_w.count()
+    v = spark.sql("SELECT COUNT(*) FROM stg_weather_hourly WHERE temperature_c IS NOT NULL").first()
+    assert v[0] == raw_w.count()
+    f = spark.sql("SELECT SUM(n_hours) FROM mart.fact_energy_load_daily").first()[0]
+    assert f == r.total_rows
