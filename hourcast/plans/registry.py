@@ -153,6 +153,10 @@ def q_weekend_effect(spark, d):
     return A.weekend_effect(_energy(spark, d))
 
 
+def q_weekday_weekend_by_region(spark, d):
+    return _r(A.weekday_weekend_pivot(_energy(spark, d)), "weekday_avg", "weekend_avg")
+
+
 def q_hourly_join(spark, d):
     return A.hourly_join(*pair(spark, d), limit=48)
 

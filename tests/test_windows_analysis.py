@@ -101,3 +101,14 @@ def test_chunked_joint_cold_shock_equal_plain(spark):
     plain = collect_sorted(A.joint_cold_shock(e, w, load_rise=1.0))
     chunked = collect_sorted(A.joint_cold_shock(e, w, load_rise=1.0, chunk=F.to_date("ts")))
     assert plain == chunked and len(plain) > 0
+
+
+def test_demand_model_constant_temperature_peak_hour_6_every_region(spark):
+    from hourcast.plans.features import energy_from_weather
+    rows = [(f"2024-01-{d:02d} {h:02d}:00:00", r, 18.0)
+            for d in range(1, 15) for h in range(24) for r in ("DE-NW", "DE-BY", "DE-BE")]
+    w = spark.createDataFrame(rows, "t string, region string, temperature_2m double") \
+        .select(F.to_timestamp("t").alias("time"), "region", "temperature_2m")
+    e = energy_from_weather(w, time_col="time", jitter=True).withColumn("day", F.to_date("ts"))
+    got = {r.region: r.hour_of_day for r in A.peak_hour_by_region(e).collect()}
+    assert got == {"DE-NW": 6, "DE-BY": 6, "DE-BE": 6}
