@@ -39,6 +39,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
+def has_data(spark: SparkSession, path: str, schema: T.StructType | None = None) -> bool:
+    """The table exists and is readable.  A partitioned table created empty has no
+    data files, so its schema cannot be inferred: it counts as absent (the first
+    write creates it) unless a declared ``schema`` is given."""
+    if not path_exists(spark, path):
+        return False
+    if schema is not None:
+        return True
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headered CSV directory (one file per task)."""
     df.write.mode(mode).option("header", True).csv(path)
@@ -102,7 +118,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     existing row always lives in the partition its batch row targets.
     """
     batch = dedupe_batch(batch, keys, dedupe_order)
-    if not path_exists(spark, path):
+    if not has_data(spark, path, schema):
         cols = schema.fieldNames() if schema is not None else \
             batch.columns + [c for c in preserve if c not in batch.columns]
         first = batch
@@ -123,7 +139,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
 def insert_new(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
                schema: T.StructType | None = None) -> int | None:
     """Insert-if-absent by appending only the batch keys not yet in the table."""
-    if not path_exists(spark, path):
+    if not has_data(spark, path, schema):
         batch.dropDuplicates(list(keys)).write.mode("overwrite").parquet(path)
         return None
     target = read(spark, path, schema)

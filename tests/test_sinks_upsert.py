@@ -96,3 +96,14 @@ def test_write_csv_and_ensure_table(spark, tmp_dir):
     sink.write_csv(spark.createDataFrame([("R", "2024-01-01T00:00", "1.5")],
                                          "region string, time string, temperature_2m string"), c)
     assert spark.read.option("header", True).csv(c).collect()[0].temperature_2m == "1.5"
+
+
+def test_upsert_into_table_created_empty(spark, tmp_dir):
+    from hourcast.schemas import STAGING_ENERGY
+    p = os.path.join(tmp_dir, "empty")
+    sink.ensure_table(spark, p, STAGING_ENERGY, ["day"])
+    b = energy_df(spark, [("2024-01-01 00:00:00", "R", 1.0)]) \
+        .withColumn("updated_at", F.current_timestamp())
+    sink.upsert(spark, b, p, KEYS)
+    sink.upsert(spark, b.withColumn("load_mw", F.lit(2.0)), p, KEYS)
+    assert [x[2] for x in _table(spark, p)] == [2.0]

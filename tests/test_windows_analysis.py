@@ -112,3 +112,22 @@ def test_demand_model_constant_temperature_peak_hour_6_every_region(spark):
     e = energy_from_weather(w, time_col="time", jitter=True).withColumn("day", F.to_date("ts"))
     got = {r.region: r.hour_of_day for r in A.peak_hour_by_region(e).collect()}
     assert got == {"DE-NW": 6, "DE-BY": 6, "DE-BE": 6}
+
+
+def test_row_index_exact_for_hot_key(spark):
+    from hourcast.operators.windows import row_indexed
+    # one hot series with most rows, spread over many day chunks, plus small ones
+    hot = [(f"2024-01-01 00:00:00", "HOT", float(i), i) for i in range(0, 3000, 1)]
+    cold = [(f"2024-01-01 00:00:00", f"C{k}", 1.0, i) for k in range(3) for i in range(0, 50, 7)]
+    df = spark.createDataFrame(hot + cold, "t string, region string, load_mw double, h int")
+    secs = F.unix_timestamp(F.to_timestamp("t")) + F.col("h") * F.lit(3600)
+    df = df.select(F.timestamp_seconds(secs).alias("ts"), "region", "load_mw")
+    idx = row_indexed(df, ["region"], "ts", F.to_date("ts"))
+    rows = idx.select("region", "ts", "__hc_idx").collect()
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r.region, []).append((r.ts, r["__hc_idx"]))
+    for k, v in by_key.items():
+        v.sort()
+        assert [i for _, i in v] == list(range(len(v))), k
+    assert len(by_key["HOT"]) == 3000
