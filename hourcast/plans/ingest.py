@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourcast.operators.quality import gate_ingest
+from hourcast.operators.quality import GateFailed, gate_ingest
 from hourcast.sources import csv as csv_src
 from hourcast.sources import landing
 
@@ -14,18 +14,28 @@ def weather_from_documents(docs: DataFrame, check: bool = True, lenient_time: bo
                            lo: float = -50, hi: float = 60) -> DataFrame:
     """Documents -> (time, region, temperature_2m).
 
-    ``check``: structural document checks first.  ``validate`` (defaults to
-    ``check``): the pre-load gate on the flattened rows -- at least ``min_rows``,
-    time and temperature present (a JSON null temperature fails, as its empty
-    CSV cell would), temperature within [lo, hi].  Both run one small aggregate
-    action before any write.
+    ``check``: structural document checks.  ``validate`` (defaults to
+    ``check``): the pre-load gate on the rows -- at least ``min_rows``, time and
+    temperature present (a JSON null temperature fails, as its empty CSV cell
+    would), temperature within [lo, hi] (NaN fails).  Both are answered by one
+    aggregate pass over the documents before any write.
     """
-    if check:
-        landing.check_documents(docs)
-    flat = landing.flatten(docs)
-    if check if validate is None else validate:
-        gate_ingest(flat, min_rows=min_rows, lo=lo, hi=hi)
-    return landing.typed_hourly(flat, lenient=lenient_time) \
+    validate = check if validate is None else validate
+    if check or validate:
+        r = landing.document_profile(docs, lo, hi).first()
+        if check and r["problem"] is not None:
+            raise landing.DocumentError(f"{r['problem']} (region={r['problem_region']}, "
+                                        f"doc={r['problem_doc']})")
+        if validate:
+            if (r["n_rows"] or 0) < min_rows:
+                raise GateFailed(f"Too few rows: {r['n_rows'] or 0} (expected >= {min_rows})")
+            if r["blank_times"]:
+                raise GateFailed(f"Missing time value ({r['blank_times']} rows)")
+            if r["null_temps"]:
+                raise GateFailed(f"Missing temperature value ({r['null_temps']} rows)")
+            if r["bad_temps"]:
+                raise GateFailed(f"Temperature out of expected range ({r['bad_temps']} rows)")
+    return landing.typed_hourly(landing.flatten(docs), lenient=lenient_time) \
         .select("time", "region", "temperature_2m")
 
 

@@ -60,12 +60,49 @@ def document_violations(docs: DataFrame) -> DataFrame:
     return empty.unionByName(per_region)
 
 
+def document_profile(docs: DataFrame, lo: float = -50.0, hi: float = 60.0) -> DataFrame:
+    """One-row summary of structural problems and row-level content, one pass.
+
+    Works at region-entry level: the parallel arrays are inspected with array
+    functions (``size``/``filter``) instead of being exploded, so the check costs
+    one scan of the documents.  Columns: ``problem``/``problem_region``/
+    ``problem_doc`` (first structural violation or NULL), ``n_rows``,
+    ``blank_times``, ``null_temps``, ``bad_temps`` (outside [lo, hi] or NaN).
+    """
+    doc_id = F.col("source_file") if "source_file" in docs.columns else F.lit("")
+    e = docs.select(doc_id.alias("doc"), F.explode_outer("regions").alias("r"))
+    region = F.col("r.region")
+    times, temps = F.col("r.payload.hourly.time"), F.col("r.payload.hourly.temperature_2m")
+    problem = (F.when(F.col("r").isNull(), F.lit("regions missing or empty"))
+               .when(region.isNull() | (F.trim(region) == ""), F.lit("missing region"))
+               .when(times.isNull() | temps.isNull(),
+                     F.lit("missing hourly.time / hourly.temperature_2m"))
+               .when(F.size(times) != F.size(temps),
+                     F.concat(F.lit("length mismatch: time="), F.size(times).cast("string"),
+                              F.lit(" temp="), F.size(temps).cast("string"))))
+    n = lambda arr, pred: F.coalesce(F.size(F.filter(arr, pred)), F.lit(0))
+    rows = e.select(
+        problem.alias("problem"), region.alias("region"), "doc",
+        F.coalesce(F.size(times), F.lit(0)).alias("n"),
+        n(times, lambda x: x.isNull() | (F.trim(x) == "")).alias("bt"),
+        n(temps, lambda x: x.isNull()).alias("nt"),
+        n(temps, lambda x: (x < F.lit(lo)) | (x > F.lit(hi)) | F.isnan(x)).alias("bad"))
+    first = F.min_by(F.struct("problem", "region", "doc"),
+                     F.when(F.col("problem").isNotNull(), F.lit(0)))
+    return rows.agg(first.alias("p"), F.sum("n").alias("n_rows"),
+                    F.sum("bt").alias("blank_times"), F.sum("nt").alias("null_temps"),
+                    F.sum("bad").alias("bad_temps")) \
+        .select(F.col("p.problem").alias("problem"), F.col("p.region").alias("problem_region"),
+                F.col("p.doc").alias("problem_doc"), "n_rows", "blank_times", "null_temps",
+                "bad_temps")
+
+
 def check_documents(docs: DataFrame) -> None:
-    """Fail-fast form of :func:`document_violations` (reads at most one row)."""
-    first = document_violations(docs).limit(1).collect()
-    if first:
-        r = first[0]
-        raise DocumentError(f"{r['problem']} (region={r['region']}, doc={r['doc']})")
+    """Fail-fast structural check (one aggregate pass, one result row)."""
+    r = document_profile(docs).first()
+    if r is not None and r["problem"] is not None:
+        raise DocumentError(f"{r['problem']} (region={r['problem_region']}, "
+                            f"doc={r['problem_doc']})")
 
 
 def flatten(docs: DataFrame, with_meta: bool = False) -> DataFrame:
