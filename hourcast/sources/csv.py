@@ -19,20 +19,25 @@ class EmptyInputError(ValueError):
 
 def read_processed_csv(spark: SparkSession, path: str, has_region: bool | None = None
                        ) -> DataFrame:
-    """Headered all-text CSV scan.  A missing ``region`` column becomes NULL.
+    """Headered all-text CSV scan -> (region, time, temperature_2m) text columns.
 
-    ``has_region=None`` inspects the header (one small read of the first line);
-    pass it explicitly to avoid that on a cluster.
+    ``has_region=None``: columns are taken *by name* from the header (all text,
+    nothing inferred), so any column order works and a missing ``region`` column
+    becomes NULL.  ``True``/``False`` declare the layout (region,time,temperature_2m
+    or time,temperature_2m) and skip the header read; header names are still
+    validated against it.
     """
+    r = spark.read.option("header", True)
     if has_region is None:
-        header = spark.read.text(path).limit(1).collect()
-        has_region = bool(header) and "region" in [h.strip() for h in
-                                                   header[0][0].split(",")]
-    cols = (["region"] if has_region else []) + ["time", "temperature_2m"]
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-    df = (spark.read.option("header", True).option("enforceSchema", False)
-          .schema(schema).csv(path))
-    if not has_region:
+        df = r.option("inferSchema", False).csv(path)
+        missing = {"time", "temperature_2m"} - set(df.columns)
+        if missing:
+            raise ValueError(f"CSV lacks required column(s): {sorted(missing)}")
+    else:
+        cols = (["region"] if has_region else []) + ["time", "temperature_2m"]
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+        df = r.option("enforceSchema", False).schema(schema).csv(path)
+    if "region" not in df.columns:
         df = df.withColumn("region", F.lit(None).cast("string"))
     return df.select("region", "time", "temperature_2m")
 

@@ -99,6 +99,13 @@ def test_csv_without_region_uses_default(spark, tmp_dir):
     assert len(r) == 1 and r[0].region == "DE" and r[0].temperature_2m == 1.0
 
 
+def test_csv_columns_by_name_any_order(spark, tmp_dir):
+    p = _csv(os.path.join(tmp_dir, "o.csv"), "temperature_2m,time,region",
+             [("3.5", "2024-01-01T00:00", "DE-BE")])
+    r = csv_src.parse_weather_rows(csv_src.read_processed_csv(spark, p)).collect()[0]
+    assert (r.region, r.temperature_2m, str(r.time)) == ("DE-BE", 3.5, "2024-01-01 00:00:00")
+
+
 def test_csv_blank_region_trimmed_default(spark, tmp_dir):
     p = _csv(os.path.join(tmp_dir, "b.csv"), "region,time,temperature_2m",
              [("  ", "2024-01-01T00:00", "1.0"), (" DE-BY ", "2024-01-01T00:00", "2.0")])
