@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourcast.functions.time import utc_day
+from hourcast.functions.time import utc_day, within_complete_days
 from hourcast.operators import quality as Q
 from hourcast.plans import marts as M
 from hourcast.plans.concurrent import run_all
@@ -203,7 +203,7 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
         csv: str | None = None, weather: DataFrame | None = None,
         energy: DataFrame | None = None, expected_rows: int | None = None,
         jitter: bool = True, incremental: bool = True,
-        register_tables: bool = False) -> RunResult:
+        register_tables: bool = False, as_of=None, n_days: int = 30) -> RunResult:
     """One pipeline run.  Give exactly one weather input: ``landing`` (JSON
     documents), ``csv`` (processed CSV) or ``weather`` (a typed DataFrame with
     time, region, temperature_2m).  ``energy`` (ts, region, load_mw) is measured
@@ -213,6 +213,8 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
     in the weather batch; ``False`` re-reads whole tables (same result).
     ``register_tables`` exposes the tables as ``raw.*``, ``staging.*``, ``mart.*``
     in the session catalog (see ``hourcast.plans.catalog``).
+    ``as_of`` (a date) keeps only the last ``n_days`` complete UTC days before it,
+    so a partial current day is never loaded.
     """
     configure(spark)
     layout = Layout(warehouse)
@@ -222,6 +224,8 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
         weather = weather_from_landing(spark, landing)
     elif csv is not None:
         weather = weather_from_csv(spark, csv)
+    if as_of is not None:
+        weather = weather.filter(within_complete_days(utc_day("time"), as_of, n_days))
     load_weather(spark, layout, weather)
     days = None
     if incremental:

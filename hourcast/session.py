@@ -19,6 +19,19 @@ REQUIRED_CONF = {
 }
 
 
+# Sizing for large clusters: start with many shuffle partitions and let AQE
+# coalesce them to ~256 MB each (splitting skewed ones), read ~256 MB file
+# splits, and keep broadcasts to tables AQE has measured as small.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings hourcast needs on an existing session."""
     for key, value in REQUIRED_CONF.items():
@@ -28,14 +41,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(master: str | None = None, app_name: str = "hourcast",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  profile: str | None = None) -> SparkSession:
     """Create (or reuse) a session with hourcast's settings.
 
     On a cluster leave ``master`` unset so spark-submit decides; tests pass
     ``local[*]``.  ``shuffle_partitions`` is the AQE starting point; AQE coalesces
     small partitions, so size it for the largest stage, not the smallest.
+    ``profile="cluster"`` applies :data:`CLUSTER_CONF`.
     """
     builder = SparkSession.builder.appName(app_name)
+    if profile == "cluster":
+        for key, value in CLUSTER_CONF.items():
+            builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")

@@ -77,3 +77,12 @@ def test_catalog_registration_and_sql(spark, tmp_dir):
     assert v[0] == raw_w.count()
     f = spark.sql("SELECT SUM(n_hours) FROM mart.fact_energy_load_daily").first()[0]
     assert f == r.total_rows
+
+
+def test_pipeline_complete_days_window(spark, tmp_dir):
+    _, raw_w = raw_pair(spark, SF)
+    wh = os.path.join(tmp_dir, "asof")
+    pipeline.run(spark, wh, weather=raw_w, as_of="2024-01-11", n_days=5)
+    days = sorted(str(r.day) for r in sink.read(spark, pipeline.Layout(wh).staging_weather)
+                  .select("day").distinct().collect())
+    assert days == ["2024-01-06", "2024-01-07", "2024-01-08", "2024-01-09", "2024-01-10"]
