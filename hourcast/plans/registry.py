@@ -365,20 +365,20 @@ def q_csv_roundtrip(spark, d):
                        "temperature_2m")
 
 
-def q_pipeline_fact_daily(spark, d):
+def q_daily_run_fact(spark, d):
     """Two overlapping pipeline runs (incremental), then the daily fact table.
 
     Load is modelled from weather (demand model without jitter), so the result
     is checkable in SQL.
     """
-    from hourcast.plans import pipeline
+    from hourcast.plans import daily
     _, rw = raw_pair(spark, d)
     wh = _scratch(spark, "warehouse")
     first = rw.filter(F.col("time") < F.lit("2024-01-16").cast("timestamp_ntz"))
     second = rw.filter(F.col("time") >= F.lit("2024-01-14").cast("timestamp_ntz"))
-    pipeline.run(spark, wh, weather=first, jitter=False)
-    pipeline.run(spark, wh, weather=second, jitter=False)
-    fact = sink.read(spark, pipeline.Layout(wh).fact)
+    daily.run(spark, wh, weather=first, jitter=False)
+    daily.run(spark, wh, weather=second, jitter=False)
+    fact = sink.read(spark, daily.Layout(wh).fact)
     return _r(fact.select("day", "region", "avg_load_mw", "min_load_mw", "max_load_mw",
                           "n_hours"), "avg_load_mw", "min_load_mw", "max_load_mw")
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from hourcast.plans import pipeline
+from hourcast.plans import daily
 from hourcast.plans.ingest import weather_from_documents
 from hourcast.schemas import LANDING_DOCUMENT
 
@@ -37,7 +37,7 @@ def start(spark: SparkSession, landing_dir: str, warehouse: str, checkpoint: str
         if docs.isEmpty():
             return
         weather = weather_from_documents(docs, check=True)
-        pipeline.run(spark, warehouse, weather=weather, expected_rows=expected_rows)
+        daily.run(spark, warehouse, weather=weather, expected_rows=expected_rows)
 
     w = landing_stream(spark, landing_dir, max_files, multi_line).writeStream \
         .foreachBatch(run_batch).option("checkpointLocation", checkpoint)

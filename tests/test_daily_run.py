@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from hourcast.plans import pipeline
+from hourcast.plans import daily
 from hourcast.plans.registry import raw_pair
 from hourcast.sinks import tables as sink
 from tests.conftest import SF
@@ -12,17 +12,17 @@ def _rows(spark, path, *cols):
     return sorted(tuple(r) for r in sink.read(spark, path).select(*cols).collect())
 
 
-def test_pipeline_incremental_equals_full(spark, tmp_dir):
+def test_daily_run_incremental_equals_full(spark, tmp_dir):
     raw_e, raw_w = raw_pair(spark, SF)
     early = raw_w.filter(F.col("time") < F.lit("2024-01-16").cast("timestamp_ntz"))
     late = raw_w.filter(F.col("time") >= F.lit("2024-01-14").cast("timestamp_ntz")) \
         .withColumn("temperature_2m", F.col("temperature_2m") + F.lit(0.25))
     inc, full = os.path.join(tmp_dir, "inc"), os.path.join(tmp_dir, "full")
-    pipeline.run(spark, inc, weather=early)
-    res = pipeline.run(spark, inc, weather=late)
-    pipeline.run(spark, full, weather=early, incremental=False)
-    pipeline.run(spark, full, weather=late, incremental=False)
-    lay_i, lay_f = pipeline.Layout(inc), pipeline.Layout(full)
+    daily.run(spark, inc, weather=early)
+    res = daily.run(spark, inc, weather=late)
+    daily.run(spark, full, weather=early, incremental=False)
+    daily.run(spark, full, weather=late, incremental=False)
+    lay_i, lay_f = daily.Layout(inc), daily.Layout(full)
     for name, cols in [("staging_weather", ("ts", "region", "temperature_2m", "day")),
                        ("staging_energy", ("ts", "region", "load_mw", "day")),
                        ("fact", ("day", "region", "avg_load_mw", "n_hours")),
@@ -53,7 +53,7 @@ def test_stream_landing_available_now(spark, tmp_dir):
     wh, ck = os.path.join(tmp_dir, "wh"), os.path.join(tmp_dir, "ck")
     q = start(spark, landing_dir + "/*", wh, ck, multi_line=False)
     q.awaitTermination(300)
-    lay = pipeline.Layout(wh)
+    lay = daily.Layout(wh)
     n1 = sink.read(spark, lay.staging_weather).count()
     docs.filter(F.col("_meta.start_date") >= "2024-01-10").write.json(landing_dir + "/b")
     q = start(spark, landing_dir + "/*", wh, ck, multi_line=False)
@@ -66,9 +66,9 @@ def test_catalog_registration_and_sql(spark, tmp_dir):
     _, raw_w = raw_pair(spark, SF)
     wh = os.path.join(tmp_dir, "cat")
     first = raw_w.filter(F.col("time") < F.lit("2024-01-10").cast("timestamp_ntz"))
-    pipeline.run(spark, wh, weather=first, register_tables=True)
+    daily.run(spark, wh, weather=first, register_tables=True)
     n1 = spark.sql("SELECT COUNT(*) FROM staging.energy_hourly_clean").first()[0]
-    pipeline.run(spark, wh, weather=raw_w, register_tables=True)   # new days become visible
+    daily.run(spark, wh, weather=raw_w, register_tables=True)   # new days become visible
     r = spark.sql("""
         SELECT COUNT(*) AS total_rows, COUNT(DISTINCT (ts, region)) AS distinct_grain
         FROM staging.energy_hourly_clean""").first()
@@ -79,10 +79,10 @@ def test_catalog_registration_and_sql(spark, tmp_dir):
     assert f == r.total_rows
 
 
-def test_pipeline_complete_days_window(spark, tmp_dir):
+def test_daily_run_complete_days_window(spark, tmp_dir):
     _, raw_w = raw_pair(spark, SF)
     wh = os.path.join(tmp_dir, "asof")
-    pipeline.run(spark, wh, weather=raw_w, as_of="2024-01-11", n_days=5)
-    days = sorted(str(r.day) for r in sink.read(spark, pipeline.Layout(wh).staging_weather)
+    daily.run(spark, wh, weather=raw_w, as_of="2024-01-11", n_days=5)
+    days = sorted(str(r.day) for r in sink.read(spark, daily.Layout(wh).staging_weather)
                   .select("day").distinct().collect())
     assert days == ["2024-01-06", "2024-01-07", "2024-01-08", "2024-01-09", "2024-01-10"]
