@@ -80,7 +80,8 @@ def rowcount_drift(df: DataFrame, expected: int) -> DataFrame:
 
 def spike_report(df: DataFrame, value: str = "load_mw", threshold: float = 400.0,
                  top: int = 20, keys=("region",), order: str = "ts",
-                 delta_name: str = "delta_mw", chunk: Column | None = None) -> DataFrame:
+                 delta_name: str = "delta_mw", chunk: Column | str | None = "auto"
+                 ) -> DataFrame:
     """Largest |row-to-row change| >= threshold, top ``top`` by |delta|.
 
     Ties on |delta| are broken by (order, keys) so the report is deterministic.

@@ -6,6 +6,9 @@ results:
 
 * ``chunk=None`` -- one window partitioned by the series key.  Parallelism is the
   number of series; one long series is one task.
+* ``chunk="auto"`` -- checked choice: one aggregate finds the longest series
+  (key columns only, partial aggregation); if it exceeds ``max_series_rows``
+  the chunked shape is used with day chunks, else the plain one.
 * ``chunk=<column>`` -- skew-safe.  Rows get an exact per-series row index
   (local row number inside time chunks plus chunk offsets), are regrouped into
   fixed-size index blocks, and each block is given a halo copy of the rows its
@@ -25,6 +28,9 @@ from hourcast.functions._util import col
 
 _IDX, _BLK, _HALO = "__hc_idx", "__hc_block", "__hc_halo"
 
+# Longest series one window task may hold before the chunked shape is used.
+MAX_SERIES_ROWS = 2_000_000
+
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -52,15 +58,33 @@ def row_indexed(df: DataFrame, keys, order: str, chunk: Column) -> DataFrame:
             .drop("__hc_chunk", "__hc_rn", "__hc_off"))
 
 
+def longest_series(df: DataFrame, keys) -> int:
+    """Row count of the longest series (one small aggregate action)."""
+    r = df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
+    return int(r[0] or 0) if r else 0
+
+
+def resolve_chunk(df: DataFrame, keys, order: str, chunk,
+                  max_series_rows: int = MAX_SERIES_ROWS) -> Column | None:
+    """Turn ``chunk="auto"`` into None (plain) or day chunks after the size check."""
+    if isinstance(chunk, str):
+        if chunk != "auto":
+            raise ValueError(f"chunk must be None, 'auto' or a Column, not {chunk!r}")
+        return F.to_date(F.col(order)) if longest_series(df, keys) > max_series_rows else None
+    return chunk
+
+
 def with_window_columns(df: DataFrame, keys, order: str, halo: int,
                         build: Callable[[Window], dict[str, Column]],
-                        chunk: Column | None = None, block_rows: int = 100_000) -> DataFrame:
+                        chunk: Column | str | None = None, block_rows: int = 100_000,
+                        max_series_rows: int = MAX_SERIES_ROWS) -> DataFrame:
     """Evaluate row-frame window columns reaching at most ``halo`` rows back.
 
     ``build(w)`` returns {name: expression over window spec w}; ``w`` is ordered
     and partitioned for the chosen shape.
     """
     k = _keys(keys)
+    chunk = resolve_chunk(df, k, order, chunk, max_series_rows)
     if chunk is None:
         w = Window.partitionBy(*k).orderBy(order)
         return df.select("*", *[e.alias(n) for n, e in build(w).items()])

@@ -2,8 +2,11 @@
 
 Inputs: ``energy`` (ts, region, load_mw, day) and ``weather``
 (ts, region, temperature_2m, day).  ``keys`` names the series key columns
-(default the region); ``chunk`` switches the row windows to the skew-safe
-chunked shape (see ``hourcast.operators.windows``).
+(default the region).  ``chunk`` picks the row-window shape (see
+``hourcast.operators.windows``): ``"auto"`` (default) checks the longest series
+and uses the skew-safe chunked shape only when it exceeds
+``windows.MAX_SERIES_ROWS``; ``None`` forces the plain window; a Column forces
+chunks.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ def _k(keys) -> list[str]:
 
 
 def cold_shock_events(weather: DataFrame, threshold: float = COLD_SHOCK_DROP,
-                      keys=("region",), chunk: Column | None = None) -> DataFrame:
+                      keys=("region",), chunk: Column | str | None = "auto") -> DataFrame:
     """Hours whose temperature fell by at least |threshold| since the previous row."""
     k = _k(keys)
     d = lag_delta(weather.select("ts", "day", *k, "temperature_2m"), "temperature_2m",
@@ -39,7 +42,7 @@ def cold_shock_events(weather: DataFrame, threshold: float = COLD_SHOCK_DROP,
 
 
 def shock_days(weather: DataFrame, threshold: float = COLD_SHOCK_DROP, keys=("region",),
-               chunk: Column | None = None) -> DataFrame:
+               chunk: Column | str | None = "auto") -> DataFrame:
     """One row per (region, day) with a cold shock: first shock hour, worst drop."""
     k = _k(keys)
     ev = cold_shock_events(weather, threshold, k, chunk)
@@ -49,7 +52,7 @@ def shock_days(weather: DataFrame, threshold: float = COLD_SHOCK_DROP, keys=("re
 
 def next_day_load_increase(energy: DataFrame, weather: DataFrame,
                            threshold: float = COLD_SHOCK_DROP, keys=("region",),
-                           chunk: Column | None = None) -> DataFrame:
+                           chunk: Column | str | None = "auto") -> DataFrame:
     """Mean relative change of daily load from a shock day to the next day.
 
     Both joins are inner: shock days without load on that or the next day are
@@ -130,7 +133,7 @@ def hourly_join(energy: DataFrame, weather: DataFrame, limit: int | None = 48) -
 
 
 def rolling_24(energy: DataFrame, n_rows: int = 24, keys=("region",),
-               chunk: Column | None = None, scale: int | None = 6) -> DataFrame:
+               chunk: Column | str | None = "auto", scale: int | None = 6) -> DataFrame:
     """Mean load over the current and previous ``n_rows - 1`` rows."""
     k = _k(keys)
     name = "load_roll24h_mw"
@@ -139,7 +142,7 @@ def rolling_24(energy: DataFrame, n_rows: int = 24, keys=("region",),
     return r.withColumn(name, round_double(name, scale)) if scale is not None else r
 
 
-def lag_delta_load(energy: DataFrame, keys=("region",), chunk: Column | None = None
+def lag_delta_load(energy: DataFrame, keys=("region",), chunk: Column | str | None = "auto"
                    ) -> DataFrame:
     """Previous row's load and the hour-over-row change."""
     k = _k(keys)
@@ -166,7 +169,7 @@ def temp_buckets(energy: DataFrame, weather: DataFrame, keys=("region",)) -> Dat
 
 def joint_cold_shock(energy: DataFrame, weather: DataFrame,
                      temp_drop: float = JOINT_TEMP_DROP, load_rise: float = JOINT_LOAD_RISE,
-                     keys=("region",), chunk: Column | None = None) -> DataFrame:
+                     keys=("region",), chunk: Column | str | None = "auto") -> DataFrame:
     """Hours with a temperature drop and a load rise versus the previous joined row.
 
     The lags are taken after the join, so a row missing on either side changes

@@ -131,3 +131,15 @@ def test_row_index_exact_for_hot_key(spark):
         v.sort()
         assert [i for _, i in v] == list(range(len(v))), k
     assert len(by_key["HOT"]) == 3000
+
+
+def test_auto_chunk_uses_checked_series_length(spark):
+    from hourcast.operators.windows import longest_series, resolve_chunk
+    df = _random_series(spark, n_keys=3, n_hours=200, seed=11)
+    assert longest_series(df, ["region"]) == 200
+    assert resolve_chunk(df, ["region"], "ts", "auto", max_series_rows=1000) is None
+    assert resolve_chunk(df, ["region"], "ts", "auto", max_series_rows=50) is not None
+    plain = collect_sorted(lag_delta(df, "load_mw", keys=["region"], chunk=None))
+    auto = collect_sorted(lag_delta(df, "load_mw", keys=["region"], chunk="auto",
+                                    max_series_rows=50, block_rows=40))
+    assert plain == auto
