@@ -23,8 +23,10 @@ tables except the dimensions and the two replaced marts are partitioned by
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,25 +77,28 @@ class Layout:
 @dataclass
 class RunResult:
     layout: Layout
-    reports: dict[str, DataFrame] = field(default_factory=dict)
+    reports: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
-def _scope(df: DataFrame, days: DataFrame | None, day_col: str = "day") -> DataFrame:
-    """Restrict a day-partitioned table to the run's days (partition pruning)."""
+def _scope(df: DataFrame, days: list | None, day_col: str = "day") -> DataFrame:
+    """Restrict a day-partitioned table to the run's days.  A literal IN list on
+    the partition column prunes partitions when the plan is made."""
     if days is None:
         return df
-    return df.join(days.select(F.col("day").alias(day_col)), day_col, "left_semi")
+    return df.filter(F.col(day_col).isin(days))
 
 
-def load_weather(spark: SparkSession, layout: Layout, weather: DataFrame) -> None:
+def load_weather(spark: SparkSession, layout: Layout, weather: DataFrame,
+                 days: list | None = None) -> None:
     """Raw weather upsert keeping ``created_at`` from the first insert."""
     batch = weather.withColumn("day", utc_day("time"))
     sink.upsert(spark, batch, layout.raw_weather, ["time", "region"], update=["temperature_2m"],
-                preserve=["created_at"], defaults={"created_at": F.current_timestamp()})
+                preserve=["created_at"], defaults={"created_at": F.current_timestamp()},
+                partitions=days)
 
 
 def rebuild_energy(spark: SparkSession, layout: Layout, energy: DataFrame | None = None,
-                   jitter: bool = True, days: DataFrame | None = None) -> None:
+                   jitter: bool = True, days: list | None = None) -> None:
     """Rebuild raw energy (TRUNCATE + INSERT): measured, or modelled from weather.
 
     With ``days`` only those day partitions are replaced.  The modelled load is
@@ -111,20 +116,22 @@ def rebuild_energy(spark: SparkSession, layout: Layout, energy: DataFrame | None
                      only_present_partitions=days is not None)
 
 
-def stage(spark: SparkSession, layout: Layout, days: DataFrame | None = None) -> None:
+def stage(spark: SparkSession, layout: Layout, days: list | None = None) -> None:
     """Raw -> staging upserts on (ts, region) (the run's days, or everything)."""
     rw = _scope(sink.read(spark, layout.raw_weather), days)
     re_ = _scope(sink.read(spark, layout.raw_energy), days)
     # Raw tables are keyed on the same (time, region), so the batches are unique.
     # The two upserts are independent jobs and run concurrently.
     run_all(lambda: sink.upsert(spark, stage_weather(rw.drop("day", "created_at")),
-                                layout.staging_weather, ["ts", "region"], dedupe_order="unique"),
+                                layout.staging_weather, ["ts", "region"], dedupe_order="unique",
+                                partitions=days),
             lambda: sink.upsert(spark, stage_energy(re_.drop("day", "created_at")),
-                                layout.staging_energy, ["ts", "region"], dedupe_order="unique"))
+                                layout.staging_energy, ["ts", "region"], dedupe_order="unique",
+                                partitions=days))
 
 
 def gate_staging(spark: SparkSession, layout: Layout, expected_rows: int | None = None,
-                 days: DataFrame | None = None) -> None:
+                 days: list | None = None) -> None:
     """Fail-fast gates on staging.  Range and duplicates look at the run's days
     (earlier days passed the gate when they were loaded); the exact row count is
     a whole-table property."""
@@ -144,7 +151,7 @@ def gate_staging(spark: SparkSession, layout: Layout, expected_rows: int | None
     run_all(*gates)
 
 
-def build_marts(spark: SparkSession, layout: Layout, days: DataFrame | None = None) -> None:
+def build_marts(spark: SparkSession, layout: Layout, days: list | None = None) -> None:
     """Dimensions, fact and marts: five independent writes, run concurrently."""
     sw = _scope(sink.read(spark, layout.staging_weather), days)
     se = _scope(sink.read(spark, layout.staging_energy), days)
@@ -156,7 +163,7 @@ def build_marts(spark: SparkSession, layout: Layout, days: DataFrame | None = No
         lambda: sink.insert_new(spark, M.dim_region(se, sw), layout.dim_region, ["region"]),
         # a group-by output: one row per key, no duplicate check needed
         lambda: sink.upsert(spark, M.fact_energy_daily(se), layout.fact, ["day", "region"],
-                            dedupe_order="unique"),
+                            dedupe_order="unique", partitions=days),
         # The pooled weather mart is small (one row per day) and replaced whole.
         lambda: sink.write_table(
             M.mart_weather_daily(standard_weather(rw.drop("day", "created_at"))),
@@ -174,29 +181,50 @@ def test_marts(spark: SparkSession, layout: Layout) -> None:
                                  "mart_weather_daily"))
 
 
+class LazyReports(Mapping):
+    """Report name -> DataFrame, built on first access (reports are optional
+    reading; building one can run a size check, so nothing is built unasked)."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def quality_reports(spark: SparkSession, layout: Layout, expected_rows: int = 2160
-                    ) -> dict[str, DataFrame]:
-    """Validation and quality reports (never fail)."""
-    sw, se = sink.read(spark, layout.staging_weather), sink.read(spark, layout.staging_energy)
-    fact = sink.read(spark, layout.fact)
-    dims = {"day": sink.read(spark, layout.dim_date),
-            "region": sink.read(spark, layout.dim_region)}
-    return {
-        "fact_grain": Q.grain_report(fact, ["day", "region"], total="fact_rows"),
-        "missing_dim_keys": Q.missing_dim_report(fact, dims),
-        "n_hours_reconciliation": Q.reconcile_counts(fact, se),
-        "value_order": Q.value_order_report(fact),
-        "fact_nulls": Q.null_report(fact, ["day", "region", "avg_load_mw", "min_load_mw",
-                                           "max_load_mw", "n_hours", "updated_at"]),
-        "energy_profile": Q.table_profile(se, ["ts", "region"],
-                                          ["ts", "region", "load_mw", "day"],
-                                          {"load_mw": LOAD_RANGE}),
-        "weather_profile": Q.table_profile(sw, ["ts", "region"],
-                                           ["ts", "region", "temperature_2m", "day"],
-                                           {"temperature_2m": WEATHER_RANGE}),
-        "load_spikes": Q.spike_report(se, "load_mw", SPIKE_THRESHOLD, 20),
-        "rowcount_drift": Q.rowcount_drift(se, expected_rows),
-    }
+                    ) -> LazyReports:
+    """Validation and quality reports (never fail), built lazily by name."""
+    sw = lambda: sink.read(spark, layout.staging_weather)
+    se = lambda: sink.read(spark, layout.staging_energy)
+    fact = lambda: sink.read(spark, layout.fact)
+    dims = lambda: {"day": sink.read(spark, layout.dim_date),
+                    "region": sink.read(spark, layout.dim_region)}
+    return LazyReports({
+        "fact_grain": lambda: Q.grain_report(fact(), ["day", "region"], total="fact_rows"),
+        "missing_dim_keys": lambda: Q.missing_dim_report(fact(), dims()),
+        "n_hours_reconciliation": lambda: Q.reconcile_counts(fact(), se()),
+        "value_order": lambda: Q.value_order_report(fact()),
+        "fact_nulls": lambda: Q.null_report(fact(), ["day", "region", "avg_load_mw",
+                                                     "min_load_mw", "max_load_mw", "n_hours",
+                                                     "updated_at"]),
+        "energy_profile": lambda: Q.table_profile(se(), ["ts", "region"],
+                                                  ["ts", "region", "load_mw", "day"],
+                                                  {"load_mw": LOAD_RANGE}),
+        "weather_profile": lambda: Q.table_profile(sw(), ["ts", "region"],
+                                                   ["ts", "region", "temperature_2m", "day"],
+                                                   {"temperature_2m": WEATHER_RANGE}),
+        "load_spikes": lambda: Q.spike_report(se(), "load_mw", SPIKE_THRESHOLD, 20),
+        "rowcount_drift": lambda: Q.rowcount_drift(se(), expected_rows),
+    })
 
 
 def run(spark: SparkSession, warehouse: str, landing: str | None = None,
@@ -226,11 +254,18 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
         weather = weather_from_csv(spark, csv)
     if as_of is not None:
         weather = weather.filter(within_complete_days(utc_day("time"), as_of, n_days))
-    load_weather(spark, layout, weather)
-    days = None
-    if incremental:
-        # The batch's days: one row per day, the scope of every later stage.
-        days = weather.select(utc_day("time").alias("day")).distinct()
+    # The typed batch is read several times (day list, duplicate check, upsert):
+    # keep it for the run instead of re-parsing the landed files each time.
+    weather = weather.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        days = None
+        if incremental:
+            # The batch's calendar days (bounded by the calendar, not by rows):
+            # the scope of every later stage.
+            days = sorted(r[0] for r in weather.select(utc_day("time")).distinct().collect())
+        load_weather(spark, layout, weather, days)
+    finally:
+        weather.unpersist()
     rebuild_energy(spark, layout, energy, jitter=jitter, days=days)
     stage(spark, layout, days)
     gate_staging(spark, layout, expected_rows, days)

@@ -98,17 +98,34 @@ def read(spark: SparkSession, path: str, schema: T.StructType | None = None) ->
     return r.parquet(path)
 
 
-def _touched(spark: SparkSession, path: str, batch: DataFrame, partition_col: str,
-             schema: T.StructType | None) -> DataFrame:
-    days = batch.select(partition_col).distinct()
-    return read(spark, path, schema).join(days, partition_col, "left_semi")
+def try_read(spark: SparkSession, path: str, schema: T.StructType | None = None
+             ) -> DataFrame | None:
+    """The table, or None when it does not exist or has no readable data yet
+    (one listing: the read itself)."""
+    if not path_exists(spark, path):
+        return None
+    from pyspark.errors import AnalysisException
+    try:
+        return read(spark, path, schema)
+    except AnalysisException:
+        return None
+
+
+def _touched(table: DataFrame, batch: DataFrame, partition_col: str,
+             partitions: list | None) -> DataFrame:
+    """The table's partitions the batch writes to: a literal IN list when the
+    caller knows them (pruned at planning), else a semi join on the batch's
+    distinct partition values (dynamic partition pruning)."""
+    if partitions is not None:
+        return table.filter(F.col(partition_col).isin(partitions))
+    return table.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
            partition_col: str = "day", update: Sequence[str] | None = None,
            preserve: Sequence[str] = (), defaults: dict[str, Column] | None = None,
            dedupe_order: Sequence | None = None,
-           schema: T.StructType | None = None) -> None:
+           schema: T.StructType | None = None, partitions: list | None = None) -> None:
     """Insert new keys and update existing ones in the touched partitions.
 
     ``update=None`` replaces whole rows (DO UPDATE of every column); otherwise
@@ -116,9 +133,11 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     value.  Duplicate keys in the batch fail unless ``dedupe_order`` is given
     (last-wins).  ``partition_col`` must be a function of the key, so an
     existing row always lives in the partition its batch row targets.
+    ``partitions`` may list the batch's partition values when the caller knows them.
     """
     batch = dedupe_batch(batch, keys, dedupe_order)
-    if not has_data(spark, path, schema):
+    table = try_read(spark, path, schema)
+    if table is None:
         cols = schema.fieldNames() if schema is not None else \
             batch.columns + [c for c in preserve if c not in batch.columns]
         first = batch
@@ -127,7 +146,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
                 first = first.withColumn(c, (defaults or {}).get(c, F.lit(None)))
         write_table(first.select(*cols), path, [partition_col], sort_within=keys)
         return
-    target = _touched(spark, path, batch, partition_col, schema)
+    target = _touched(table, batch, partition_col, partitions)
     if update is None:
         merged = merge_replace(target, batch, keys)
     else:
@@ -139,10 +158,10 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
 def insert_new(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
                schema: T.StructType | None = None) -> int | None:
     """Insert-if-absent by appending only the batch keys not yet in the table."""
-    if not has_data(spark, path, schema):
+    target = try_read(spark, path, schema)
+    if target is None:
         batch.dropDuplicates(list(keys)).write.mode("overwrite").parquet(path)
         return None
-    target = read(spark, path, schema)
     new_keys_only(target, batch, keys).select(*target.columns) \
         .write.mode("append").parquet(path)
     return None
