@@ -37,7 +37,7 @@ def start(spark: SparkSession, landing_dir: str, warehouse: str, checkpoint: str
         if docs.isEmpty():
             return
         weather = weather_from_documents(docs, check=True)
-        daily.run(spark, warehouse, weather=weather, expected_rows=expected_rows)
+        daily.run(docs.sparkSession, warehouse, weather=weather, expected_rows=expected_rows)
 
     w = landing_stream(spark, landing_dir, max_files, multi_line).writeStream \
         .foreachBatch(run_batch).option("checkpointLocation", checkpoint)
