@@ -25,21 +25,27 @@ def as_date(ts) -> Column:
     return col(ts).cast("date")
 
 
-def trunc_day(ts, keep_ntz: bool = True) -> Column:
+def trunc_day(ts, ntz: bool = False) -> Column:
     """``date_trunc('day', ts)`` as a timestamp (not a date).
 
-    Spark returns a zoned TIMESTAMP even for TIMESTAMP_NTZ input; with
-    ``keep_ntz`` the result is cast back to TIMESTAMP_NTZ so the type of the
-    input survives.
+    Spark returns a zoned TIMESTAMP even for TIMESTAMP_NTZ input; pass
+    ``ntz=True`` for NTZ input so the result is cast back and the input's type
+    survives (see :func:`is_ntz`).
     """
     out = F.date_trunc("day", col(ts))
-    return out.cast("timestamp_ntz") if keep_ntz else out
+    return out.cast("timestamp_ntz") if ntz else out
 
 
-def trunc_hour(ts, keep_ntz: bool = True) -> Column:
-    """``date_trunc('hour', ts)``, NTZ-preserving like :func:`trunc_day`."""
+def trunc_hour(ts, ntz: bool = False) -> Column:
+    """``date_trunc('hour', ts)``, type-preserving like :func:`trunc_day`."""
     out = F.date_trunc("hour", col(ts))
-    return out.cast("timestamp_ntz") if keep_ntz else out
+    return out.cast("timestamp_ntz") if ntz else out
+
+
+def is_ntz(df, column: str) -> bool:
+    """Is ``df[column]`` a TIMESTAMP_NTZ column."""
+    from pyspark.sql.types import TimestampNTZType
+    return isinstance(df.schema[column].dataType, TimestampNTZType)
 
 
 def hour_of_day(ts) -> Column:

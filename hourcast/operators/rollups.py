@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.functions._util import col
-from hourcast.functions.time import hour_of_day, trunc_day
+from hourcast.functions.time import hour_of_day, is_ntz, trunc_day
 
 
 def stats(value: str, prefix: str = "", suffix: str = "", count_name: str | None = None,
@@ -36,8 +36,9 @@ def daily_rollup(hourly: DataFrame, value: str = "load_mw", day: str = "day",
 
 def pooled_daily(hourly: DataFrame, ts: str = "observed_at_utc", value: str = "temperature_c",
                  name: str = "temp_c", count_name: str = "hourly_obs_count") -> DataFrame:
-    """All series pooled per day; ``day_utc`` is a truncated TIMESTAMP, not a DATE."""
-    return (hourly.groupBy(trunc_day(ts).alias("day_utc"))
+    """All series pooled per day; ``day_utc`` is a truncated timestamp of the
+    input's timestamp type, not a DATE."""
+    return (hourly.groupBy(trunc_day(ts, ntz=is_ntz(hourly, ts)).alias("day_utc"))
             .agg(*stats(value, name, count_name=count_name)))
 
 

@@ -46,7 +46,7 @@ def _hourly(ev: DataFrame, types, region_mode: str) -> DataFrame:
     # Project first so the parquet scan reads only the needed columns and the
     # event_type predicate is pushed into the scan.
     return (ev.filter(F.col("event_type").isin(list(types)))
-            .select(trunc_hour("ts").alias("ts"),
+            .select(trunc_hour("ts", ntz=True).alias("ts"),      # events.ts is NTZ
                     region_of(F.col("user_id"), region_mode).alias("region"),
                     utc_day("ts").alias("day"),
                     "event_id", "value"))

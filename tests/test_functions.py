@@ -26,10 +26,14 @@ def test_utc_day_edge(spark):
                                      ("2024-01-02", 0, "2024-01-02 00:00:00")]
 
 
-def test_trunc_day_keeps_ntz(spark):
-    df = spark.createDataFrame([(ts("2024-01-01 05:30:00"),)], "ts timestamp_ntz")
-    assert df.select(trunc_day("ts").alias("d")).schema["d"].dataType.simpleString() \
-        == "timestamp_ntz"
+def test_trunc_day_keeps_input_type(spark):
+    from hourcast.operators.rollups import pooled_daily
+    for typ in ("timestamp_ntz", "timestamp"):
+        df = spark.createDataFrame([(ts("2024-01-01 05:30:00"), 1.0)],
+                                   f"observed_at_utc {typ}, temperature_c double")
+        out = pooled_daily(df)
+        assert out.schema["day_utc"].dataType.simpleString() == typ
+        assert str(out.first().day_utc) == "2024-01-01 00:00:00"
 
 
 def test_bucket_first_match_and_null(spark):
