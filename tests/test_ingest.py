@@ -141,3 +141,42 @@ def test_complete_days_window(spark):
         .selectExpr("to_date(d) AS day")
     got = [str(r.day) for r in complete_days(df, "2024-01-31", 30).orderBy("day").collect()]
     assert got == ["2024-01-01", "2024-01-02", "2024-01-30"]
+
+
+def test_document_violations_lists_every_problem(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "many"), [
+        _doc([]),
+        _doc([_region("A", ["t1", "t2"], [1.0]), _region("", ["t"], [1.0]),
+              _region("B", ["t"], [2.0])])])
+    got = sorted((r.region or "", r.problem)
+                 for r in landing.document_violations(landing.read_documents(spark, p)).collect())
+    assert got == [("", "missing region"), ("", "regions missing or empty"),
+                   ("A", "length mismatch: time=2 temp=1")]
+
+
+def test_documents_carry_region_coordinates(spark):
+    from hourcast.sources.tables import regions_table
+    from tests.helpers import weather_df
+    w = weather_df(spark, [("2024-01-01 00:00:00", "DE-BY", 1.0)])
+    docs = landing.build_documents(w, regions_table=regions_table(spark))
+    r = docs.select(F.explode("regions").alias("r")).select("r.region", "r.latitude").first()
+    assert r.region == "DE-BY" and r.latitude == 48.1351
+
+
+def test_maybe_broadcast_checks_size(spark):
+    from hourcast.operators.joins import maybe_broadcast, small_enough
+    small, big = spark.range(10), spark.range(1000)
+    assert small_enough(small, 10) and not small_enough(big, 10)
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(maybe_broadcast(small, 10)).lower()
+    assert "broadcast" not in plan(maybe_broadcast(big, 10)).lower()
+
+
+def test_read_table_by_catalog_name(spark, tmp_dir):
+    from hourcast.sources.tables import read_table
+    p = os.path.join(tmp_dir, "named")
+    spark.range(3).write.parquet(p)
+    spark.sql("CREATE DATABASE IF NOT EXISTS hc_test")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS hc_test.named USING parquet LOCATION '{p}'")
+    assert read_table(spark, "hc_test.named").count() == 3
+    assert read_table(spark, p).count() == 3
