@@ -62,18 +62,27 @@ def stage_tables(spark: SparkSession, sf_dir: str, mode: str = "regions"):
     key = (sf_dir.rstrip("/"), mode, _signature(spark, sf_dir))
     hit = _STAGED.get(key)
     if hit is None or hit[0] is not spark:
+        from pyspark import StorageLevel
+
+        from hourcast.plans.concurrent import run_all
         ev = dt.events(spark, sf_dir)
-        raw_e = dt.hourly_energy(ev, mode).select("ts", "region", "load_mw")
-        raw_w = dt.hourly_weather(ev, mode).select(F.col("ts").alias("time"), "region",
-                                                    "temperature_2m")
+        energy, weather, agg = dt.hourly_both(ev, mode)      # one scan of events
+        raw_e = energy.select("ts", "region", "load_mw")
+        raw_w = weather.select(F.col("ts").alias("time"), "region", "temperature_2m")
         base = f"{checkpoint_dir(spark).rstrip('/')}/hourcast-staging-{mode}-{uuid.uuid4().hex}"
-        frames = []
-        for name, df in (("energy", stage_energy(raw_e, audit=False)),
-                         ("weather", stage_weather(raw_w, audit=False))):
-            df.sortWithinPartitions("region", "ts").write.mode("overwrite") \
-                .parquet(f"{base}/{name}")
-            frames.append(spark.read.parquet(f"{base}/{name}"))
-        _STAGED[key] = (spark, frames[0], frames[1])
+        outputs = (("energy", stage_energy(raw_e, audit=False)),
+                   ("weather", stage_weather(raw_w, audit=False)))
+        # The shared aggregate (hours x series rows) is kept while both tables
+        # are written concurrently from it.
+        agg.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            agg.count()          # materialise once: the only scan of events
+            run_all(*[lambda n=n, df=df: df.sortWithinPartitions("region", "ts").write
+                      .mode("overwrite").parquet(f"{base}/{n}") for n, df in outputs])
+        finally:
+            agg.unpersist()
+        _STAGED[key] = (spark, spark.read.parquet(f"{base}/energy"),
+                        spark.read.parquet(f"{base}/weather"))
     return _STAGED[key][1], _STAGED[key][2]
 
 

@@ -71,6 +71,41 @@ def hourly_weather(ev: DataFrame, region_mode: str = "regions") -> DataFrame:
     return h.groupBy("ts", "region", "day").agg(temp.alias("temperature_2m"))
 
 
+def hourly_both(ev: DataFrame, region_mode: str = "regions"
+                ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Energy and weather series from ONE scan and ONE aggregation of events.
+
+    Conditional sums per (hour, region) carry both measures; a cell belongs to a
+    series iff it has at least one event of that series' types.  Same values as
+    :func:`hourly_energy` / :func:`hourly_weather`, half the event reads.
+    Returns (energy, weather, shared aggregate); persist the aggregate when both
+    series are written.
+    """
+    types = sorted(set(ENERGY_EVENT_TYPES) | set(WEATHER_EVENT_TYPES))
+    et = F.col("__hc_type")
+    h = (ev.filter(F.col("event_type").isin(types))
+         .select(trunc_hour("ts", ntz=True).alias("ts"),
+                 region_of(F.col("user_id"), region_mode).alias("region"),
+                 utc_day("ts").alias("day"), "event_id", "value",
+                 F.col("event_type").alias("__hc_type")))
+    is_e, is_w = et.isin(list(ENERGY_EVENT_TYPES)), et.isin(list(WEATHER_EVENT_TYPES))
+    cents = F.round(F.col("value") * F.lit(100)).cast("bigint")
+    agg = h.groupBy("ts", "region", "day").agg(
+        F.count_if(is_e).alias("n_e"), F.sum(F.when(is_e, cents)).alias("cents"),
+        F.count_if(is_w).alias("n_w"), F.sum(F.when(is_w, F.col("event_id"))).alias("ids"))
+    energy = (agg.filter(F.col("n_e") > 0)
+              .select("ts", "region", "day",
+                      (F.col("cents").cast("double") / F.lit(100.0)).alias("load_mw")))
+    weather = agg.filter(F.col("n_w") > 0)
+    if region_mode == "regions":
+        weather = weather.filter(~((F.col("region") == F.lit(WEATHER_GAP_REGION))
+                                   & (F.col("day") >= F.to_date(F.lit(WEATHER_GAP_FROM)))))
+    temp = (F.pmod(F.col("ids").cast("bigint"), F.lit(400)).cast("double") / F.lit(10.0)
+            - F.lit(8.0))
+    weather = weather.select("ts", "region", "day", temp.alias("temperature_2m"))
+    return energy, weather, agg
+
+
 def raw_energy(spark: SparkSession, sf_dir: str, region_mode: str = "regions") -> DataFrame:
     """``raw.energy_load_hourly`` shape without audit column: (ts, region, load_mw)."""
     return hourly_energy(events(spark, sf_dir), region_mode).select("ts", "region", "load_mw")
