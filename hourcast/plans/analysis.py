@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from hourcast.functions.expressions import bucket, day_type
 from hourcast.functions.numeric import relative_change, round_double, safe_divide
-from hourcast.functions.time import hour_of_day, iso_weekday  # noqa: F401
 from hourcast.operators import rollups
 from hourcast.operators.joins import hourly_pair, shifted_join
 from hourcast.operators.windows import (lag_delta, rolling_mean, top_n_per_group,
