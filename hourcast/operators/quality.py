@@ -71,6 +71,11 @@ def range_report(df: DataFrame, c: str, lo: float, hi: float, name: str) -> Data
     return df.agg(count_where(out_of_range(c, lo, hi)).alias(name))
 
 
+def expected_hourly_rows(n_days: int, n_series: int, per_day: int = 24) -> int:
+    """Rows a complete hourly table should hold: days x 24 x series."""
+    return n_days * per_day * n_series
+
+
 def rowcount_drift(df: DataFrame, expected: int) -> DataFrame:
     """Actual rows, the expected count and their difference."""
     n = F.count(F.lit(1))

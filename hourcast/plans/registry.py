@@ -154,6 +154,21 @@ def q_peak_hour_by_region(spark, d):
     return A.peak_hour_by_region(_energy(spark, d))
 
 
+def q_peak_hour_by_region_numeric(spark, d):
+    """Peak hour with the average rounded as ``ROUND(x::numeric, 6)`` (decimal,
+    half away from zero), returned as double."""
+    from hourcast.functions.numeric import round_numeric
+    p = A.peak_hours(_energy(spark, d))
+    return p.select("region", "hour_of_day",
+                    round_numeric("avg_load_mw", 6).cast("double").alias("avg_load_mw"))
+
+
+def q_complete_days_energy(spark, d):
+    """Energy rows of the last 7 complete days before 2024-01-31."""
+    from hourcast.sources.tables import complete_days
+    return complete_days(_energy(spark, d), "2024-01-31", 7)
+
+
 def q_peak_hour_mode(spark, d):
     return A.peak_hour_mode(_energy(spark, d))
 
@@ -263,7 +278,7 @@ def q_null_report_fact(spark, d):
 
 
 def q_rowcount_drift(spark, d):
-    return Q.rowcount_drift(_energy(spark, d), 2160)
+    return Q.rowcount_drift(_energy(spark, d), Q.expected_hourly_rows(30, 3))   # 2160
 
 
 def q_orphan_keys(spark, d):
