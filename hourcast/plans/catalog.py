@@ -23,7 +23,7 @@ TABLES = {
     "mart.dim_date": ("dim_date", False),
     "mart.dim_region": ("dim_region", False),
     "mart.fact_energy_load_daily": ("fact", True),
-    "mart.mart_weather_daily": ("mart_weather_daily", False),
+    "mart.mart_weather_daily": ("mart_weather_daily", True),
     "mart.mart_energy_weather_daily": ("mart_energy_weather_daily", True),
 }
 

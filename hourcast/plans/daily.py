@@ -13,12 +13,14 @@ Stage order (each stage reads what the previous one wrote):
 5. gates    weather range, energy duplicates, optional exact row count --
             *before* anything downstream is written
 6. marts    insert-if-absent dimensions, upsert the daily fact, replace the
-            pooled weather mart and the energy x weather mart
+            run's day partitions of the pooled weather mart and of the energy x
+            weather mart
 7. tests    model tests on the marts (fail-fast), then the quality reports
 
-Paths live under ``warehouse``; on a cluster that is shared storage.  All
-tables except the dimensions and the two replaced marts are partitioned by
-``day``, so a daily run rewrites one day per table.
+Paths live under ``warehouse``; on a cluster that is shared storage.  Every
+table except the two (small, append-only) dimensions is partitioned by its day
+column (``day`` or ``day_utc``), so a daily run reads and rewrites one day per
+table and never re-reads the history.
 """
 
 from __future__ import annotations
@@ -152,23 +154,26 @@ def gate_staging(spark: SparkSession, layout: Layout, expected_rows: int | None
 
 
 def build_marts(spark: SparkSession, layout: Layout, days: list | None = None) -> None:
-    """Dimensions, fact and marts: five independent writes, run concurrently."""
+    """Dimensions, fact and marts: five independent writes, run concurrently.
+
+    Every output is limited to the run's days: dimensions append only new keys,
+    the fact is upserted per day, and both marts replace just their day
+    partitions (the pooled weather mart is partitioned by its ``day_utc``
+    timestamp), so no step re-reads the whole history.
+    """
     sw = _scope(sink.read(spark, layout.staging_weather), days)
     se = _scope(sink.read(spark, layout.staging_energy), days)
-    rw, re_ = sink.read(spark, layout.raw_weather), sink.read(spark, layout.raw_energy)
-    std_w = standard_weather(_scope(rw, days).drop("day", "created_at"))
-    std_e = standard_energy(_scope(re_, days).drop("day", "created_at"))
+    rw = _scope(sink.read(spark, layout.raw_weather), days).drop("day", "created_at")
+    re_ = _scope(sink.read(spark, layout.raw_energy), days).drop("day", "created_at")
+    std_w, std_e = standard_weather(rw), standard_energy(re_)
     run_all(
         lambda: sink.insert_new(spark, M.dim_date(sw, se), layout.dim_date, ["day"]),
         lambda: sink.insert_new(spark, M.dim_region(se, sw), layout.dim_region, ["region"]),
         # a group-by output: one row per key, no duplicate check needed
         lambda: sink.upsert(spark, M.fact_energy_daily(se), layout.fact, ["day", "region"],
                             dedupe_order="unique", partitions=days),
-        # The pooled weather mart is small (one row per day) and replaced whole.
-        lambda: sink.write_table(
-            M.mart_weather_daily(standard_weather(rw.drop("day", "created_at"))),
-            layout.mart_weather_daily),
-        # The day x region mart is replaced for the run's days only.
+        lambda: sink.write_table(M.mart_weather_daily(std_w), layout.mart_weather_daily,
+                                 ["day_utc"], only_present_partitions=days is not None),
         lambda: sink.write_table(M.mart_energy_weather_daily(std_e, std_w),
                                  layout.mart_energy_weather_daily, ["day_utc"],
                                  only_present_partitions=days is not None))

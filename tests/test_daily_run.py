@@ -28,6 +28,8 @@ def test_daily_run_incremental_equals_full(spark, tmp_dir):
                        ("fact", ("day", "region", "avg_load_mw", "n_hours")),
                        ("mart_energy_weather_daily", ("day_utc", "region", "avg_load_mw",
                                                       "avg_temp_c")),
+                       ("mart_weather_daily", ("day_utc", "avg_temp_c", "min_temp_c",
+                                               "max_temp_c", "hourly_obs_count")),
                        ("dim_date", ("day",)), ("dim_region", ("region",))]:
         assert _rows(spark, getattr(lay_i, name), *cols) == \
             _rows(spark, getattr(lay_f, name), *cols), name
