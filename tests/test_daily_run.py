@@ -88,3 +88,30 @@ def test_daily_run_complete_days_window(spark, tmp_dir):
     days = sorted(str(r.day) for r in sink.read(spark, daily.Layout(wh).staging_weather)
                   .select("day").distinct().collect())
     assert days == ["2024-01-06", "2024-01-07", "2024-01-08", "2024-01-09", "2024-01-10"]
+
+
+def test_gate_failure_stops_before_marts(spark, tmp_dir):
+    from hourcast.operators.quality import GateFailed
+    _, raw_w = raw_pair(spark, SF)
+    hot = raw_w.withColumn("temperature_2m",        # inside the ingest bounds [-50, 60],
+                           F.when(F.hour("time") == 12, F.lit(50.0))   # outside [-40, 45]
+                           .otherwise(F.col("temperature_2m")))
+    wh = os.path.join(tmp_dir, "gated")
+    import pytest
+    with pytest.raises(GateFailed, match="temperature_2m within"):
+        daily.run(spark, wh, weather=hot)
+    lay = daily.Layout(wh)
+    assert sink.path_exists(spark, lay.staging_weather)        # staging was loaded
+    for t in ("fact", "dim_date", "mart_weather_daily", "mart_energy_weather_daily"):
+        assert not sink.path_exists(spark, getattr(lay, t)), t
+
+
+def test_duplicate_batch_keys_fail_before_any_write(spark, tmp_dir):
+    from hourcast.operators.upsert import DuplicateKeyError
+    _, raw_w = raw_pair(spark, SF)
+    dup = raw_w.unionByName(raw_w.limit(1))
+    wh = os.path.join(tmp_dir, "dups")
+    import pytest
+    with pytest.raises(DuplicateKeyError):
+        daily.run(spark, wh, weather=dup)
+    assert not sink.path_exists(spark, daily.Layout(wh).raw_weather)
