@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,14 +28,15 @@ def duplicate_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dedupe_batch(batch: DataFrame, keys: Sequence[str],
-                 order: Sequence[Column] | None = None) -> DataFrame:
+                 order: Sequence[Column] | str | None = None) -> DataFrame:
     """Enforce one row per key in a batch.
 
     ``order=None`` (default): fail if any key repeats -- a single statement may
     not touch the same row twice.  Otherwise keep the last row by ``order``
-    (last-wins); the window is partitioned by the key, so a hot key only costs
-    its own duplicates.  ``order="unique"`` skips the check for batches unique by
-    construction (a group-by output, or a table already keyed the same way).
+    (last-wins) with ``max_by`` per key: an aggregate, so each map task first
+    reduces its own duplicates and a key repeated millions of times never
+    gathers in one task.  ``order="unique"`` skips the check for batches unique
+    by construction (a group-by output, or a table already keyed the same way).
     """
     if isinstance(order, str) and order == "unique":
         return batch
@@ -44,10 +45,12 @@ def dedupe_batch(batch: DataFrame, keys: Sequence[str],
         if dup:
             raise DuplicateKeyError(f"duplicate key in batch: {dup[0].asDict()}")
         return batch
-    w = Window.partitionBy(*keys).orderBy(*[o.desc() if isinstance(o, Column) else
-                                            F.col(o).desc() for o in order])
-    return batch.withColumn("__hc_rn", F.row_number().over(w)) \
-        .filter(F.col("__hc_rn") == 1).drop("__hc_rn")
+    rank = F.struct(*[o if isinstance(o, Column) else F.col(o) for o in order])
+    values = [c for c in batch.columns if c not in keys]
+    last = F.max_by(F.struct(*[F.col(c) for c in values]), rank).alias("__hc_last")
+    return (batch.groupBy(*keys).agg(last)
+            .select(*keys, *[F.col(f"__hc_last.{c}").alias(c) for c in values])
+            .select(*batch.columns))
 
 
 def merge_replace(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -107,3 +107,14 @@ def test_upsert_into_table_created_empty(spark, tmp_dir):
     sink.upsert(spark, b, p, KEYS)
     sink.upsert(spark, b.withColumn("load_mw", F.lit(2.0)), p, KEYS)
     assert [x[2] for x in _table(spark, p)] == [2.0]
+
+
+def test_last_wins_with_a_hot_key(spark):
+    # one key repeated thousands of times (a replayed feed) among unique ones
+    hot = spark.range(5000).select(F.lit("hot").alias("key"), F.col("id").alias("seq"),
+                                   (F.col("id") * 2.0).alias("v"))
+    cold = spark.range(100).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"),
+                                   F.lit(0).cast("bigint").alias("seq"), F.lit(1.0).alias("v"))
+    out = dedupe_batch(hot.unionByName(cold).repartition(8), ["key"], order=["seq"])
+    assert out.count() == 101
+    assert out.filter("key = 'hot'").first().v == 9998.0
