@@ -107,7 +107,7 @@ def with_window_columns(df: DataFrame, keys, order: str, halo: int,
 
 def lag_delta(df: DataFrame, value: str, keys=("region",), order: str = "ts",
               prev_name: str | None = None, delta_name: str | None = None,
-              offset: int = 1, chunk: Column | None = None, **kw) -> DataFrame:
+              offset: int = 1, chunk: Column | str | None = None, **kw) -> DataFrame:
     """Previous row's value (``LAG(value, offset)``) and ``value - previous``.
 
     Either output can be suppressed by passing ``False`` as its name.  The first
@@ -125,7 +125,7 @@ def lag_delta(df: DataFrame, value: str, keys=("region",), order: str = "ts",
 
 def rolling_mean(df: DataFrame, value: str, n_rows: int = 24, keys=("region",),
                  order: str = "ts", name: str | None = None,
-                 chunk: Column | None = None, **kw) -> DataFrame:
+                 chunk: Column | str | None = None, **kw) -> DataFrame:
     """Mean of the current and ``n_rows - 1`` preceding rows (partial at start)."""
     def build(w):
         return {name or f"{value}_roll{n_rows}":

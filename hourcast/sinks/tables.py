@@ -1,9 +1,10 @@
 """Table writes with upsert semantics on partitioned parquet directories.
 
 Layout: one directory per table, Hive-partitioned by ``day``.  An upsert reads
-only the partitions its batch touches (the semi join on the partition column
-enables dynamic partition pruning), merges them with the batch and writes them
-back with dynamic partition overwrite -- untouched days are never rewritten, so
+only the partitions its batch touches (a literal IN list on the partition column
+when the caller knows the days, else a semi join that enables dynamic partition
+pruning), merges them with the batch and writes them back with dynamic
+partition overwrite -- untouched days are never rewritten, so
 a daily batch costs one day, not the table.  Append-only inserts
 (insert-if-absent) never rewrite anything.  Task and executor failures are
 absorbed by the file commit protocol: old files stay readable until the job
@@ -156,12 +157,11 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
 
 
 def insert_new(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
-               schema: T.StructType | None = None) -> int | None:
+               schema: T.StructType | None = None) -> None:
     """Insert-if-absent by appending only the batch keys not yet in the table."""
     target = try_read(spark, path, schema)
     if target is None:
         batch.dropDuplicates(list(keys)).write.mode("overwrite").parquet(path)
-        return None
+        return
     new_keys_only(target, batch, keys).select(*target.columns) \
         .write.mode("append").parquet(path)
-    return None
