@@ -12,14 +12,20 @@ from hourcast.functions._util import col
 from hourcast.functions.time import hour_of_day, iso_weekday
 
 
+def strip_ws(c) -> Column:
+    """Remove leading and trailing whitespace of any kind (spaces, tabs, line
+    breaks, Unicode spaces) -- ``F.trim`` removes only the space character."""
+    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+
+
 def is_blank(c) -> Column:
     """NULL, empty or whitespace-only text."""
-    return F.coalesce(F.trim(col(c)) == F.lit(""), F.lit(True))
+    return F.coalesce(strip_ws(c) == F.lit(""), F.lit(True))
 
 
 def default_fill(c, default: str) -> Column:
-    """Blank or missing text -> ``default``; the kept value is trimmed."""
-    return F.trim(F.coalesce(F.nullif(F.trim(col(c)), F.lit("")), F.lit(default)))
+    """Blank or missing text -> ``default``; the kept value is stripped."""
+    return F.coalesce(F.nullif(strip_ws(c), F.lit("")), F.lit(default))
 
 
 # ISO weekdays that count as weekend (Saturday, Sunday).

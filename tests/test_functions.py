@@ -45,9 +45,10 @@ def test_bucket_first_match_and_null(spark):
 
 
 def test_default_fill_trims(spark):
-    df = spark.createDataFrame([(None,), ("",), ("   ",), (" DE-BY ",)], "r string")
+    df = spark.createDataFrame([(None,), ("",), ("   ",), (" DE-BY ",), ("\t\n",),
+                                ("\tDE-NW\n",)], "r string")
     assert [r[0] for r in df.select(default_fill("r", "DE")).collect()] == \
-        ["DE", "DE", "DE", "DE-BY"]
+        ["DE", "DE", "DE", "DE-BY", "DE", "DE-NW"]
 
 
 def test_safe_divide_zero(spark):
