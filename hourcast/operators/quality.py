@@ -217,8 +217,9 @@ def gate_ingest(df: DataFrame, min_rows: int = 200, lo: float = -50, hi: float =
     numeric value within [lo, hi].  One aggregate pass.
     """
     v = col(value_col)
-    blank_time = col(time_col).isNull() | (F.trim(col(time_col)) == "")
-    blank_val = v.isNull() | (F.trim(v.cast("string")) == "")
+    # "missing" is NULL or the empty string, as in the validator being mirrored
+    blank_time = col(time_col).isNull() | (col(time_col) == "")
+    blank_val = v.isNull() | (v.cast("string") == "")
     num = v.cast("string").try_cast("double")
     r = df.agg(F.count(F.lit(1)).alias("n"), count_where(blank_time).alias("no_time"),
                count_where(blank_val).alias("no_value"),

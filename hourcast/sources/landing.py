@@ -49,7 +49,7 @@ def document_violations(docs: DataFrame) -> DataFrame:
     e = d.select("doc", F.explode("regions").alias("r"))
     region = F.col("r.region")
     times, temps = F.col("r.payload.hourly.time"), F.col("r.payload.hourly.temperature_2m")
-    problem = (F.when(region.isNull() | (F.trim(region) == ""), F.lit("missing region"))
+    problem = (F.when(region.isNull() | (region == ""), F.lit("missing region"))
                .when(times.isNull() | temps.isNull(),
                      F.lit("missing hourly.time / hourly.temperature_2m"))
                .when(F.size(times) != F.size(temps),
@@ -74,7 +74,7 @@ def document_profile(docs: DataFrame, lo: float = -50.0, hi: float = 60.0) -> Da
     region = F.col("r.region")
     times, temps = F.col("r.payload.hourly.time"), F.col("r.payload.hourly.temperature_2m")
     problem = (F.when(F.col("r").isNull(), F.lit("regions missing or empty"))
-               .when(region.isNull() | (F.trim(region) == ""), F.lit("missing region"))
+               .when(region.isNull() | (region == ""), F.lit("missing region"))
                .when(times.isNull() | temps.isNull(),
                      F.lit("missing hourly.time / hourly.temperature_2m"))
                .when(F.size(times) != F.size(temps),
@@ -84,7 +84,7 @@ def document_profile(docs: DataFrame, lo: float = -50.0, hi: float = 60.0) -> Da
     rows = e.select(
         problem.alias("problem"), region.alias("region"), "doc",
         F.coalesce(F.size(times), F.lit(0)).alias("n"),
-        n(times, lambda x: x.isNull() | (F.trim(x) == "")).alias("bt"),
+        n(times, lambda x: x.isNull() | (x == "")).alias("bt"),
         n(temps, lambda x: x.isNull()).alias("nt"),
         n(temps, lambda x: (x < F.lit(lo)) | (x > F.lit(hi)) | F.isnan(x)).alias("bad"))
     first = F.min_by(F.struct("problem", "region", "doc"),
