@@ -143,3 +143,10 @@ def test_auto_chunk_uses_checked_series_length(spark):
     auto = collect_sorted(lag_delta(df, "load_mw", keys=["region"], chunk="auto",
                                     max_series_rows=50, block_rows=40))
     assert plain == auto
+
+
+def test_desc_rank_puts_nulls_first_like_postgres(spark):
+    e = energy_df(spark, [("2024-01-01 01:00:00", "R", 5.0), ("2024-01-01 02:00:00", "R", None),
+                          ("2024-01-01 03:00:00", "R", 7.0)])
+    r = collect_sorted(A.top_hours(e, 1), "ts")
+    assert [(x[3], x[4]) for x in r] == [(None, 1)]
