@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from hourcast.functions.time import utc_day, within_complete_days
 from hourcast.operators import quality as Q
+from hourcast.operators.upsert import DuplicateKeyError
 from hourcast.plans import marts as M
 from hourcast.plans.concurrent import run_all
 from hourcast.plans.features import energy_from_weather
@@ -90,13 +91,27 @@ def _scope(df: DataFrame, days: list | None, day_col: str = "day") -> DataFrame:
     return df.filter(F.col(day_col).isin(days))
 
 
+def batch_profile(weather: DataFrame) -> tuple[list, int, dict | None]:
+    """One aggregate pass over a weather batch: its calendar days, the largest
+    multiplicity of a (time, region) key and one key with that multiplicity.
+    The day list is bounded by the calendar, not by the rows."""
+    per_key = weather.groupBy("time", "region").agg(F.count(F.lit(1)).alias("n"),
+                                                    F.first(utc_day("time")).alias("day"))
+    r = per_key.agg(F.collect_set("day").alias("days"), F.max("n").alias("max_n"),
+                    F.max_by(F.struct("time", "region"), F.col("n")).alias("worst")).first()
+    if r is None or r["max_n"] is None:
+        return [], 0, None
+    return sorted(r["days"]), int(r["max_n"]), r["worst"].asDict()
+
+
 def load_weather(spark: SparkSession, layout: Layout, weather: DataFrame,
-                 days: list | None = None) -> None:
-    """Raw weather upsert keeping ``created_at`` from the first insert."""
+                 days: list | None = None, checked_unique: bool = False) -> None:
+    """Raw weather upsert keeping ``created_at`` from the first insert.
+    ``checked_unique``: the caller already verified one row per key."""
     batch = weather.withColumn("day", utc_day("time"))
     sink.upsert(spark, batch, layout.raw_weather, ["time", "region"], update=["temperature_2m"],
                 preserve=["created_at"], defaults={"created_at": F.current_timestamp()},
-                partitions=days)
+                partitions=days, dedupe_order="unique" if checked_unique else None)
 
 
 def rebuild_energy(spark: SparkSession, layout: Layout, energy: DataFrame | None = None,
@@ -263,12 +278,13 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
     # keep it for the run instead of re-parsing the landed files each time.
     weather = weather.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        days = None
-        if incremental:
-            # The batch's calendar days (bounded by the calendar, not by rows):
-            # the scope of every later stage.
-            days = sorted(r[0] for r in weather.select(utc_day("time")).distinct().collect())
-        load_weather(spark, layout, weather, days)
+        # One pass answers both: the batch's calendar days (the scope of every
+        # later stage) and whether a (time, region) key repeats.
+        batch_days, max_n, worst = batch_profile(weather)
+        if max_n > 1:
+            raise DuplicateKeyError(f"duplicate key in batch ({max_n} rows): {worst}")
+        days = batch_days if incremental else None
+        load_weather(spark, layout, weather, days, checked_unique=True)
     finally:
         weather.unpersist()
     rebuild_energy(spark, layout, energy, jitter=jitter, days=days)
