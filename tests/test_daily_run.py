@@ -115,3 +115,20 @@ def test_duplicate_batch_keys_fail_before_any_write(spark, tmp_dir):
     with pytest.raises(DuplicateKeyError):
         daily.run(spark, wh, weather=dup)
     assert not sink.path_exists(spark, daily.Layout(wh).raw_weather)
+
+
+def test_command_line_run(spark, tmp_dir, capsys):
+    from hourcast.__main__ import main
+    from hourcast.sources.landing import build_documents
+    _, raw_w = raw_pair(spark, SF)
+    landing_dir = os.path.join(tmp_dir, "landing")
+    build_documents(raw_w.withColumnRenamed("time", "ts"), doc_buckets=1) \
+        .select("_meta", "regions").write.json(landing_dir)
+    wh = os.path.join(tmp_dir, "cli")
+    assert main(["--warehouse", wh, "--landing", landing_dir, "--json-lines"]) == 0
+    import json
+    out = [json.loads(line) for line in capsys.readouterr().out.splitlines()
+           if line.startswith("{")]
+    reports = {o["report"]: o for o in out}
+    assert reports["missing_dim_keys"]["missing_dim_keys"] == 0
+    assert reports["weather_profile"]["total_rows"] == raw_w.count()
