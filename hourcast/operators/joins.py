@@ -28,9 +28,17 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
 
 def hourly_pair(energy: DataFrame, weather: DataFrame, keys: Sequence[str] = ("ts", "region"),
                 how: str = "inner") -> DataFrame:
-    """Energy x weather on (ts, region): ts, region, load_mw, temperature_2m, day."""
-    w = weather.select(*keys, "temperature_2m")
-    return energy.join(w, list(keys), how).select(*keys, "load_mw", "temperature_2m", "day")
+    """Energy x weather on (ts, region): ts, region, load_mw, temperature_2m, day.
+
+    When both sides carry ``day`` (a function of ``ts``) it joins the keys too:
+    same result, but a day predicate on either side is propagated to the other
+    by the optimizer, so both scans prune the same partitions.
+    """
+    k = list(keys)
+    if "day" not in k and "day" in energy.columns and "day" in weather.columns:
+        k.append("day")
+    w = weather.select(*k, "temperature_2m")
+    return energy.join(w, k, how).select(*keys, "load_mw", "temperature_2m", "day")
 
 
 def shifted_join(left: DataFrame, right: DataFrame, left_day: str, right_day: str,

@@ -38,3 +38,17 @@ def test_limit_operators(spark, name, node):
 def test_predicates_reach_the_scan(spark, name):
     plan = _plan(spark, name)
     assert "PushedFilters: [" in plan and "PushedFilters: []" not in plan.split("Scan")[1][:2000]
+
+
+def test_day_filter_reaches_both_sides_of_the_hourly_join(spark):
+    from pyspark.sql import functions as F
+
+    from hourcast.operators.joins import hourly_pair
+    from hourcast.plans.registry import pair
+    e, w = pair(spark, SF)
+    j = hourly_pair(e.filter(F.col("day") == F.to_date(F.lit("2024-01-05"))), w)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        j.explain("formatted")
+    pushed = [ln for ln in buf.getvalue().splitlines() if "PushedFilters" in ln]
+    assert len(pushed) == 2 and all("EqualTo(day,2024-01-05)" in ln for ln in pushed)
