@@ -276,7 +276,9 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
         weather = weather.filter(within_complete_days(utc_day("time"), as_of, n_days))
     # The typed batch is read several times (day list, duplicate check, upsert):
     # keep it for the run instead of re-parsing the landed files each time.
-    weather = weather.persist(StorageLevel.MEMORY_AND_DISK)
+    owned_cache = not weather.is_cached       # never drop a cache the caller made
+    if owned_cache:
+        weather = weather.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # One pass answers both: the batch's calendar days (the scope of every
         # later stage) and whether a (time, region) key repeats.
@@ -286,7 +288,8 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
         days = batch_days if incremental else None
         load_weather(spark, layout, weather, days, checked_unique=True)
     finally:
-        weather.unpersist()
+        if owned_cache:
+            weather.unpersist()
     rebuild_energy(spark, layout, energy, jitter=jitter, days=days)
     stage(spark, layout, days)
     gate_staging(spark, layout, expected_rows, days)

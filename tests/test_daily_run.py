@@ -132,3 +132,12 @@ def test_command_line_run(spark, tmp_dir, capsys):
     reports = {o["report"]: o for o in out}
     assert reports["missing_dim_keys"]["missing_dim_keys"] == 0
     assert reports["weather_profile"]["total_rows"] == raw_w.count()
+
+
+def test_run_keeps_a_callers_cache(spark, tmp_dir):
+    _, raw_w = raw_pair(spark, SF)
+    mine = raw_w.filter(F.col("time") < F.lit("2024-01-03").cast("timestamp_ntz")).cache()
+    mine.count()
+    daily.run(spark, os.path.join(tmp_dir, "cache"), weather=mine)
+    assert mine.is_cached
+    mine.unpersist()
