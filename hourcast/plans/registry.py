@@ -1,10 +1,13 @@
 """Registered queries over the shared test tables, with DuckDB oracle SQL.
 
-Each query takes ``(spark, sf_dir)``, derives the hourly energy and weather
-series from the whole ``events`` table (see ``hourcast.sources.driver_tables``)
-and runs one composite query or report.  Doubles that come out of
-non-associative aggregation (averages over doubles, trigonometry) are rounded
-to 6 places on both sides so engines with different summation order agree.
+Each query takes ``(spark, sf_dir)`` and runs one composite query or report
+over the staging pair: hourly energy and weather series that Spark derives from
+the whole ``events`` table in one scan (``hourcast.sources.driver_tables``) and
+writes once per session to the shared checkpoint folder (:func:`stage_tables`),
+just as the analysis reads materialised staging tables.  Doubles that come out
+of non-associative aggregation (averages over doubles, trigonometry) are
+rounded to 6 places on both sides so engines with different summation order
+agree.
 """
 
 from __future__ import annotations
@@ -106,11 +109,8 @@ def _weather(spark, sf_dir, mode="regions"):
     return pair(spark, sf_dir, mode)[1]
 
 
-def _fact(spark, sf_dir, mode="regions", dirty=False):
-    e, w = pair(spark, sf_dir, mode)
-    if dirty:
-        e, w = dt.dirty(e, w)
-    return M.fact_energy_daily(e, audit=True)
+def _fact(spark, sf_dir, mode="regions"):
+    return M.fact_energy_daily(pair(spark, sf_dir, mode)[0], audit=True)
 
 
 def _dirty(spark, sf_dir):
