@@ -58,10 +58,27 @@ def row_indexed(df: DataFrame, keys, order: str, chunk: Column) -> DataFrame:
             .drop("__hc_chunk", "__hc_rn", "__hc_off"))
 
 
+_LONGEST: dict[tuple, int] = {}
+
+
 def longest_series(df: DataFrame, keys) -> int:
-    """Row count of the longest series (one small aggregate action)."""
-    r = df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return int(r[0] or 0) if r else 0
+    """Row count of the longest series (one small aggregate action).
+
+    Remembered per (plan, exact input files, keys): files are immutable and a
+    rewritten table has new file names, so a remembered answer never goes stale.
+    """
+    k = _keys(keys)
+    try:
+        memo = (df.semanticHash(), tuple(sorted(df.inputFiles())), tuple(k))
+    except Exception:  # noqa: BLE001 -- no plan identity available: always measure
+        memo = None
+    if memo is not None and memo in _LONGEST:
+        return _LONGEST[memo]
+    r = df.groupBy(*k).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
+    n = int(r[0] or 0) if r else 0
+    if memo is not None:
+        _LONGEST[memo] = n
+    return n
 
 
 def resolve_chunk(df: DataFrame, keys, order: str, chunk,

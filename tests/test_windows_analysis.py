@@ -150,3 +150,16 @@ def test_desc_rank_puts_nulls_first_like_postgres(spark):
                           ("2024-01-01 03:00:00", "R", 7.0)])
     r = collect_sorted(A.top_hours(e, 1), "ts")
     assert [(x[3], x[4]) for x in r] == [(None, 1)]
+
+
+def test_longest_series_memo_follows_the_files(spark, tmp_dir):
+    import os
+
+    from hourcast.operators.windows import longest_series
+    p = os.path.join(tmp_dir, "series")
+    spark.createDataFrame([("A", 1), ("A", 2), ("B", 1)], "region string, v int") \
+        .write.parquet(p)
+    assert longest_series(spark.read.parquet(p), ["region"]) == 2
+    spark.createDataFrame([("A", i) for i in range(5)], "region string, v int") \
+        .write.mode("overwrite").parquet(p)
+    assert longest_series(spark.read.parquet(p), ["region"]) == 5     # new files: re-measured
