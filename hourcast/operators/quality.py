@@ -126,11 +126,7 @@ def missing_dim_report(fact: DataFrame, dims: dict[str, DataFrame],
 
 
 # -------------------------------------------------- column/model tests (failures)
-def not_null_failures(df: DataFrame, c: str) -> Column:
-    return count_where(col(c).isNull())
-
-
-def test_failures(df: DataFrame, tests: Sequence[tuple]) -> DataFrame:
+def model_test_failures(df: DataFrame, tests: Sequence[tuple]) -> DataFrame:
     """Evaluate declarative model tests; one row per test with its failure count.
 
     Test tuples: ("not_null", col), ("unique", col),
@@ -160,8 +156,9 @@ def test_failures(df: DataFrame, tests: Sequence[tuple]) -> DataFrame:
     frames = []
     if row_level:
         wide = df.agg(*[e.alias(f"__t{i}") for i, (_, e) in enumerate(row_level)])
-        pairs = ", ".join(f"'{n}', __t{i}" for i, (n, _) in enumerate(row_level))
-        frames.append(wide.selectExpr(f"stack({len(row_level)}, {pairs}) AS (test, failures)"))
+        rows = F.array(*[F.struct(F.lit(n).alias("test"), F.col(f"__t{i}").alias("failures"))
+                         for i, (n, _) in enumerate(row_level)])
+        frames.append(wide.select(F.inline(rows)))
     frames.extend(grouped)
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -205,7 +202,7 @@ def gate_rowcount(df: DataFrame, expected: int) -> None:
 
 def gate_tests(df: DataFrame, tests: Sequence[tuple], what: str = "model tests") -> None:
     """Fail when any declarative test has failures (one small collect)."""
-    failing = test_failures(df, tests).filter(F.col("failures") > 0).collect()
+    failing = model_test_failures(df, tests).filter(F.col("failures") > 0).collect()
     if failing:
         raise GateFailed(f"{what}: " + ", ".join(f"{r['test']}={r['failures']}"
                                                  for r in failing))

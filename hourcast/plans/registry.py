@@ -307,12 +307,12 @@ def q_value_order(spark, d):
 def q_model_tests_energy_weather(spark, d):
     re_, rw = raw_pair(spark, d)
     mart = M.mart_energy_weather_daily(standard_energy(re_), standard_weather(rw))
-    return Q.test_failures(mart, ENERGY_WEATHER_MART_TESTS)
+    return Q.model_test_failures(mart, ENERGY_WEATHER_MART_TESTS)
 
 
 def q_model_tests_weather_daily(spark, d):
     _, rw = raw_pair(spark, d)
-    return Q.test_failures(M.mart_weather_daily(standard_weather(rw)), WEATHER_MART_TESTS)
+    return Q.model_test_failures(M.mart_weather_daily(standard_weather(rw)), WEATHER_MART_TESTS)
 
 
 def _upsert_inputs(spark, d):

@@ -58,7 +58,7 @@ def test_model_tests_and_gate(spark):
     tests = [("not_null", "day_utc"), ("not_null", "avg_load_mw"),
              ("unique_combination", ["day_utc", "region"]), ("unique", "day_utc"),
              ("expression_is_true", "avg_load_mw > 0")]
-    got = {r.test: r.failures for r in Q.test_failures(df, tests).collect()}
+    got = {r.test: r.failures for r in Q.model_test_failures(df, tests).collect()}
     assert got == {"not_null:day_utc": 1, "not_null:avg_load_mw": 1,
                    "unique_combination:day_utc,region": 1, "unique:day_utc": 1,
                    "expression_is_true:avg_load_mw > 0": 1}  # NULL passes the expression
