@@ -43,6 +43,9 @@ def row_indexed(df: DataFrame, keys, order: str, chunk: Column) -> DataFrame:
     2. offsets = running sum of chunk counts per series    -- one row per chunk
     3. index = offset + row_number - 1
     Requires ``chunk`` to be monotone in ``order`` (e.g. the day of ``ts``).
+    The counts read only the key and chunk columns of the input with partial
+    aggregation; an expensive input (e.g. a join) is evaluated by both
+    branches, so materialise it first when it is large.
     """
     k = _keys(keys)
     c = df.withColumn("__hc_chunk", chunk)
