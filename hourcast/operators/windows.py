@@ -44,8 +44,9 @@ def row_indexed(df: DataFrame, keys, order: str, chunk: Column) -> DataFrame:
     3. index = offset + row_number - 1
     Requires ``chunk`` to be monotone in ``order`` (e.g. the day of ``ts``).
     The counts read only the key and chunk columns of the input with partial
-    aggregation; an expensive input (e.g. a join) is evaluated by both
-    branches, so materialise it first when it is large.
+    aggregation; an expensive input (e.g. a join) would be evaluated by both
+    branches -- pass ``materialize=True`` to :func:`with_window_columns` to cut
+    it with a reliable checkpoint first.
     """
     k = _keys(keys)
     c = df.withColumn("__hc_chunk", chunk)
@@ -97,17 +98,25 @@ def resolve_chunk(df: DataFrame, keys, order: str, chunk,
 def with_window_columns(df: DataFrame, keys, order: str, halo: int,
                         build: Callable[[Window], dict[str, Column]],
                         chunk: Column | str | None = None, block_rows: int = 100_000,
-                        max_series_rows: int = MAX_SERIES_ROWS) -> DataFrame:
+                        max_series_rows: int = MAX_SERIES_ROWS,
+                        materialize: bool = False) -> DataFrame:
     """Evaluate row-frame window columns reaching at most ``halo`` rows back.
 
     ``build(w)`` returns {name: expression over window spec w}; ``w`` is ordered
-    and partitioned for the chosen shape.
+    and partitioned for the chosen shape.  ``materialize``: when the chunked
+    shape is used, first write the input once with ``DataFrame.checkpoint()``
+    (the session's shared checkpoint folder), so an expensive input is not
+    computed twice.
     """
     k = _keys(keys)
     chunk = resolve_chunk(df, k, order, chunk, max_series_rows)
     if chunk is None:
         w = Window.partitionBy(*k).orderBy(order)
         return df.select("*", *[e.alias(n) for n, e in build(w).items()])
+    if materialize:
+        from hourcast.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)          # the cluster's folder; set only if unset
+        df = df.checkpoint(eager=True)
     block = max(int(block_rows), halo + 1)
     idx = row_indexed(df, k, order, chunk)
     blk = F.floor(F.col(_IDX) / F.lit(block))

@@ -180,7 +180,8 @@ def joint_cold_shock(energy: DataFrame, weather: DataFrame,
     def build(w):  # both lags share one window spec -> one sort, one Window node
         return {"__hc_pt": F.lag("temperature_2m").over(w),
                 "__hc_pl": F.lag("load_mw").over(w)}
-    t = with_window_columns(j, k, "ts", 1, build, chunk=chunk)
+    # the join feeds both branches of the chunked shape: cut it once if chunked
+    t = with_window_columns(j, k, "ts", 1, build, chunk=chunk, materialize=True)
     t = t.select("*", (F.col("temperature_2m") - F.col("__hc_pt")).alias("temp_delta_c"),
                  (F.col("load_mw") - F.col("__hc_pl")).alias("load_delta_mw"))
     return (t.filter((F.col("temp_delta_c") <= F.lit(temp_drop))
