@@ -19,17 +19,31 @@ REQUIRED_CONF = {
 }
 
 
-# Sizing for large clusters: start with many shuffle partitions and let AQE
-# coalesce them to ~256 MB each (splitting skewed ones), read ~256 MB file
-# splits, and keep broadcasts to tables AQE has measured as small.
-CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "4000",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-}
+# Sizing for large clusters: start with enough shuffle partitions for the
+# largest shuffle (~256 MB each) and let AQE coalesce the rest -- it can merge
+# small partitions but only splits oversized ones in skewed joins.  Read
+# ~256 MB file splits; keep runtime broadcasts to tables AQE measured as small.
+TARGET_PARTITION_BYTES = 256 * 1024 ** 2
+
+
+def cluster_conf(largest_shuffle_bytes: int = 5 * 1024 ** 4) -> dict[str, str]:
+    """Sizing settings for a large cluster.
+
+    The default assumes a ~5 TB largest shuffle (e.g. a full-history hourly join
+    at 100 TB of events) -> ~20k initial partitions of ~256 MB.
+    """
+    parts = max(2000, -(-largest_shuffle_bytes // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    }
+
+
+CLUSTER_CONF = cluster_conf()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -42,17 +56,20 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(master: str | None = None, app_name: str = "hourcast",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None,
-                  profile: str | None = None) -> SparkSession:
+                  profile: str | None = None,
+                  largest_shuffle_bytes: int | None = None) -> SparkSession:
     """Create (or reuse) a session with hourcast's settings.
 
     On a cluster leave ``master`` unset so spark-submit decides; tests pass
     ``local[*]``.  ``shuffle_partitions`` is the AQE starting point; AQE coalesces
     small partitions, so size it for the largest stage, not the smallest.
-    ``profile="cluster"`` applies :data:`CLUSTER_CONF`.
+    ``profile="cluster"`` applies :func:`cluster_conf` (sized for
+    ``largest_shuffle_bytes`` when given).
     """
     builder = SparkSession.builder.appName(app_name)
     if profile == "cluster":
-        for key, value in CLUSTER_CONF.items():
+        conf = cluster_conf(largest_shuffle_bytes) if largest_shuffle_bytes else CLUSTER_CONF
+        for key, value in conf.items():
             builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
