@@ -88,3 +88,9 @@ def test_demand_constant_temperature_peaks_at_hour_6(spark):
     out = df.select(hour_of_day("ts").alias("h"), cols["demand_mw"].alias("d")).collect()
     best = max(out, key=lambda r: r.d)
     assert best.h == 6 and math.isclose(best.d, 1300.0)
+
+
+def test_cluster_conf_sizes_partitions_from_the_largest_shuffle():
+    from hourcast.session import cluster_conf
+    assert cluster_conf(5 * 1024 ** 4)["spark.sql.shuffle.partitions"] == "20480"
+    assert cluster_conf(10 * 1024 ** 2)["spark.sql.shuffle.partitions"] == "2000"   # floor
