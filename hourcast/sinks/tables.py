@@ -16,6 +16,7 @@ unrelated plan; the upsert helpers always read and write in one job.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -122,6 +123,27 @@ def _touched(table: DataFrame, batch: DataFrame, partition_col: str,
     return table.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
 
 
+_PLAIN_VALUE = re.compile(r"[\w.\-]+")
+
+
+def _touched_dirs(spark: SparkSession, path: str, partition_col: str, partitions: list
+                  ) -> list[str] | None:
+    """Existing partition directories for the given values, or None when a value
+    would need path escaping (then the caller filters instead)."""
+    if not all(_PLAIN_VALUE.fullmatch(str(v)) for v in partitions):
+        return None
+    dirs = [f"{path.rstrip('/')}/{partition_col}={v}" for v in partitions]
+    return [d for d in dirs if path_exists(spark, d)]
+
+
+def _with_defaults(batch: DataFrame, preserve: Sequence[str],
+                   defaults: dict[str, Column] | None) -> DataFrame:
+    for c in preserve:
+        if c not in batch.columns:
+            batch = batch.withColumn(c, (defaults or {}).get(c, F.lit(None)))
+    return batch
+
+
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
            partition_col: str = "day", update: Sequence[str] | None = None,
            preserve: Sequence[str] = (), defaults: dict[str, Column] | None = None,
@@ -137,17 +159,31 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     ``partitions`` may list the batch's partition values when the caller knows them.
     """
     batch = dedupe_batch(batch, keys, dedupe_order)
+    if partitions is not None and schema is None and path_exists(spark, path):
+        # Known days: list and read only those partition directories -- never
+        # the whole history.  No existing directory: insert-only, nothing to read.
+        dirs = _touched_dirs(spark, path, partition_col, partitions)
+        if dirs is not None:
+            if not dirs:
+                write_table(_with_defaults(batch, preserve, defaults), path, [partition_col],
+                            sort_within=keys, only_present_partitions=True)
+                return
+            target = spark.read.option("basePath", path).parquet(*dirs)
+            _merge_write(target, batch, path, keys, partition_col, update, preserve, defaults)
+            return
     table = try_read(spark, path, schema)
     if table is None:
         cols = schema.fieldNames() if schema is not None else \
             batch.columns + [c for c in preserve if c not in batch.columns]
-        first = batch
-        for c in preserve:
-            if c not in batch.columns:
-                first = first.withColumn(c, (defaults or {}).get(c, F.lit(None)))
-        write_table(first.select(*cols), path, [partition_col], sort_within=keys)
+        write_table(_with_defaults(batch, preserve, defaults).select(*cols), path,
+                    [partition_col], sort_within=keys)
         return
     target = _touched(table, batch, partition_col, partitions)
+    _merge_write(target, batch, path, keys, partition_col, update, preserve, defaults)
+
+
+def _merge_write(target: DataFrame, batch: DataFrame, path: str, keys: Sequence[str],
+                 partition_col: str, update, preserve, defaults) -> None:
     if update is None:
         merged = merge_replace(target, batch, keys)
     else:

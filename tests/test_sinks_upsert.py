@@ -118,3 +118,19 @@ def test_last_wins_with_a_hot_key(spark):
     out = dedupe_batch(hot.unionByName(cold).repartition(8), ["key"], order=["seq"])
     assert out.count() == 101
     assert out.filter("key = 'hot'").first().v == 9998.0
+
+
+def test_upsert_with_known_days_reads_only_those(spark, tmp_dir):
+    import datetime as dt
+    path = os.path.join(tmp_dir, "known")
+    first = energy_df(spark, [("2024-01-01 00:00:00", "R", 1.0), ("2024-01-02 00:00:00", "R", 2.0)])
+    sink.upsert(spark, first, path, KEYS, partitions=[dt.date(2024, 1, 1), dt.date(2024, 1, 2)])
+    before = sorted(os.listdir(os.path.join(path, "day=2024-01-01")))
+    # only new days: insert-only, nothing read
+    new = energy_df(spark, [("2024-01-03 00:00:00", "R", 3.0)])
+    sink.upsert(spark, new, path, KEYS, partitions=[dt.date(2024, 1, 3)])
+    # an existing day and a new one
+    mixed = energy_df(spark, [("2024-01-02 00:00:00", "R", 20.0), ("2024-01-04 00:00:00", "R", 4.0)])
+    sink.upsert(spark, mixed, path, KEYS, partitions=[dt.date(2024, 1, 2), dt.date(2024, 1, 4)])
+    assert [x[2] for x in _table(spark, path)] == [1.0, 20.0, 3.0, 4.0]
+    assert sorted(os.listdir(os.path.join(path, "day=2024-01-01"))) == before
