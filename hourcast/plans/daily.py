@@ -84,13 +84,21 @@ class RunResult:
 
 
 def _scope(df: DataFrame, days: list | None, day_col: str = "day") -> DataFrame:
-    """Restrict a day-partitioned table to the run's days.  A literal IN list on
-    the partition column prunes partitions when the plan is made."""
+    """Restrict a frame to the run's days (a literal IN list; on a partitioned
+    read it prunes partitions when the plan is made)."""
     if days is None:
         return df
     return df.filter(F.col(day_col).isin(days))
 
 
+def _read(spark: SparkSession, path: str, days: list | None) -> DataFrame:
+    """A day-partitioned table, or just the run's days -- then only those
+    partition directories are listed and read, never the whole history."""
+    if days is None:
+        return sink.read(spark, path)
+    return sink.read_partitions(spark, path, "day", days)
+
+
 def batch_profile(weather: DataFrame) -> tuple[list, int, dict | None]:
     """One aggregate pass over a weather batch: its calendar days, the largest
     multiplicity of a (time, region) key and one key with that multiplicity.
@@ -123,7 +131,7 @@ def rebuild_energy(spark: SparkSession, layout: Layout, energy: DataFrame | None
     rebuilding only the touched days gives the same table as a full rebuild.
     """
     if energy is None:
-        raw_w = _scope(sink.read(spark, layout.raw_weather), days)
+        raw_w = _read(spark, layout.raw_weather, days)
         energy = energy_from_weather(raw_w.drop("day", "created_at"), time_col="time",
                                      jitter=jitter, scale=None)
     out = energy.select("ts", "region", "load_mw", F.current_timestamp().alias("created_at"),
@@ -135,8 +143,8 @@ def rebuild_energy(spark: SparkSession, layout: Layout, energy: DataFrame | None
 
 def stage(spark: SparkSession, layout: Layout, days: list | None = None) -> None:
     """Raw -> staging upserts on (ts, region) (the run's days, or everything)."""
-    rw = _scope(sink.read(spark, layout.raw_weather), days)
-    re_ = _scope(sink.read(spark, layout.raw_energy), days)
+    rw = _read(spark, layout.raw_weather, days)
+    re_ = _read(spark, layout.raw_energy, days)
     # Raw tables are keyed on the same (time, region), so the batches are unique.
     # The two upserts are independent jobs and run concurrently.
     run_all(lambda: sink.upsert(spark, stage_weather(rw.drop("day", "created_at")),
@@ -152,19 +160,21 @@ def gate_staging(spark: SparkSession, layout: Layout, expected_rows: int | None
     """Fail-fast gates on staging.  Range and duplicates look at the run's days
     (earlier days passed the gate when they were loaded); the exact row count is
     a whole-table property."""
-    se_all = sink.read(spark, layout.staging_energy)
-    sw = _scope(sink.read(spark, layout.staging_weather), days)
+    sw = _read(spark, layout.staging_weather, days)
     gates = [lambda: Q.gate_range(sw, "temperature_2m", *WEATHER_RANGE)]
     if expected_rows is not None and days is None:
+        se_all = sink.read(spark, layout.staging_energy)
         # one pass over the table answers both energy gates
         gates.append(lambda: Q.check(
             se_all.agg((F.count(F.lit(1)) == Q.distinct_rows(["ts", "region"])).alias("unique"),
                        (F.count(F.lit(1)) == F.lit(expected_rows)).alias("rowcount_ok")),
             f"staging energy unique and {expected_rows} rows"))
     else:
-        gates.append(lambda: Q.gate_unique(_scope(se_all, days), ["ts", "region"]))
-        if expected_rows is not None:
-            gates.append(lambda: Q.gate_rowcount(se_all, expected_rows))
+        se = _read(spark, layout.staging_energy, days)
+        gates.append(lambda: Q.gate_unique(se, ["ts", "region"]))
+        if expected_rows is not None:   # a whole-table property
+            gates.append(lambda: Q.gate_rowcount(sink.read(spark, layout.staging_energy),
+                                                 expected_rows))
     run_all(*gates)
 
 
@@ -176,10 +186,10 @@ def build_marts(spark: SparkSession, layout: Layout, days: list | None = None) -
     partitions (the pooled weather mart is partitioned by its ``day_utc``
     timestamp), so no step re-reads the whole history.
     """
-    sw = _scope(sink.read(spark, layout.staging_weather), days)
-    se = _scope(sink.read(spark, layout.staging_energy), days)
-    rw = _scope(sink.read(spark, layout.raw_weather), days).drop("day", "created_at")
-    re_ = _scope(sink.read(spark, layout.raw_energy), days).drop("day", "created_at")
+    sw = _read(spark, layout.staging_weather, days)
+    se = _read(spark, layout.staging_energy, days)
+    rw = _read(spark, layout.raw_weather, days).drop("day", "created_at")
+    re_ = _read(spark, layout.raw_energy, days).drop("day", "created_at")
     std_w, std_e = standard_weather(rw), standard_energy(re_)
     run_all(
         lambda: sink.insert_new(spark, M.dim_date(sw, se), layout.dim_date, ["day"]),

@@ -136,6 +136,22 @@ def _touched_dirs(spark: SparkSession, path: str, partition_col: str, partitions
     return [d for d in dirs if path_exists(spark, d)]
 
 
+def read_partitions(spark: SparkSession, path: str, partition_col: str, values: list,
+                    schema: T.StructType | None = None) -> DataFrame:
+    """Rows of the given partition values, listing only their directories.
+
+    Falls back to reading the table with an IN filter when no such directory
+    exists yet or a value would need path escaping.
+    """
+    dirs = _touched_dirs(spark, path, partition_col, values) if values else None
+    if dirs:
+        r = spark.read.option("basePath", path)
+        if schema is not None:
+            r = r.schema(schema)
+        return r.parquet(*dirs)
+    return read(spark, path, schema).filter(F.col(partition_col).isin(values))
+
+
 def _with_defaults(batch: DataFrame, preserve: Sequence[str],
                    defaults: dict[str, Column] | None) -> DataFrame:
     for c in preserve:
