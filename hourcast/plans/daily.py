@@ -282,6 +282,7 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
         weather = weather_from_landing(spark, landing)
     elif csv is not None:
         weather = weather_from_csv(spark, csv)
+    weather = weather.select("time", "region", "temperature_2m")   # the raw table's shape
     if as_of is not None:
         weather = weather.filter(within_complete_days(utc_day("time"), as_of, n_days))
     # The typed batch is read several times (day list, duplicate check, upsert):
