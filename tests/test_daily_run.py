@@ -141,3 +141,23 @@ def test_run_keeps_a_callers_cache(spark, tmp_dir):
     daily.run(spark, os.path.join(tmp_dir, "cache"), weather=mine)
     assert mine.is_cached
     mine.unpersist()
+
+
+def test_stream_fails_on_a_malformed_document_before_writing(spark, tmp_dir):
+    import json
+
+    import pytest
+
+    from hourcast.streaming.landing_stream import start
+    landing_dir = os.path.join(tmp_dir, "bad_landing")
+    os.makedirs(landing_dir)
+    doc = {"_meta": {"source": "s"}, "regions": [
+        {"region": "R", "payload": {"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"],
+                                               "temperature_2m": [1.0]}}}]}
+    with open(os.path.join(landing_dir, "d.json"), "w") as f:
+        json.dump(doc, f, indent=2)
+    wh, ck = os.path.join(tmp_dir, "wh_bad"), os.path.join(tmp_dir, "ck_bad")
+    q = start(spark, landing_dir, wh, ck)
+    with pytest.raises(Exception, match="length mismatch"):
+        q.awaitTermination(300)
+    assert not sink.path_exists(spark, daily.Layout(wh).raw_weather)
