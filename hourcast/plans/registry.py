@@ -430,6 +430,13 @@ def q_energy_profile_dirty(spark, d):
                            {"load_mw": (0, 5000)})
 
 
+def q_weather_profile_dirty(spark, d):
+    """All weather checks fused into one aggregate pass (planted -100 degC rows)."""
+    return Q.table_profile(_dirty(spark, d)[1], ENERGY_KEYS,
+                           ["ts", "region", "temperature_2m", "day"],
+                           {"temperature_2m": (-40, 45)})
+
+
 # scale shape: one series per user
 def q_lag_delta_by_user(spark, d):
     return A.lag_delta_load(_energy(spark, d, "users"))
