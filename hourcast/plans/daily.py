@@ -38,7 +38,8 @@ from hourcast.operators.upsert import DuplicateKeyError
 from hourcast.plans import marts as M
 from hourcast.plans.concurrent import run_all
 from hourcast.plans.features import energy_from_weather
-from hourcast.plans.ingest import weather_from_csv, weather_from_landing
+from hourcast.plans.ingest import weather_from_landing, weather_from_text
+from hourcast.sources.csv import read_processed_csv
 from hourcast.plans.staging import stage_energy, stage_weather, standard_energy, standard_weather
 from hourcast.session import configure
 from hourcast.sinks import tables as sink
@@ -278,19 +279,23 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
     layout = Layout(warehouse)
     if sum(x is not None for x in (landing, csv, weather)) != 1:
         raise ValueError("give exactly one of landing=, csv=, weather=")
-    if landing is not None:
-        weather = weather_from_landing(spark, landing)
-    elif csv is not None:
-        weather = weather_from_csv(spark, csv)
-    weather = weather.select("time", "region", "temperature_2m")   # the raw table's shape
-    if as_of is not None:
-        weather = weather.filter(within_complete_days(utc_day("time"), as_of, n_days))
-    # The typed batch is read several times (day list, duplicate check, upsert):
-    # keep it for the run instead of re-parsing the landed files each time.
-    owned_cache = not weather.is_cached       # never drop a cache the caller made
-    if owned_cache:
-        weather = weather.persist(StorageLevel.MEMORY_AND_DISK)
+    held: list[DataFrame] = []                 # caches this run owns; released below
     try:
+        if landing is not None:
+            weather = weather_from_landing(spark, landing)
+        elif csv is not None:
+            # gate and parse both read the text: read the files once
+            text = read_processed_csv(spark, csv).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(text)
+            weather = weather_from_text(text)
+        weather = weather.select("time", "region", "temperature_2m")   # the raw table's shape
+        if as_of is not None:
+            weather = weather.filter(within_complete_days(utc_day("time"), as_of, n_days))
+        # The typed batch is read several times (day list, duplicate check,
+        # upsert): keep it for the run instead of re-parsing the landed files.
+        if not weather.is_cached:              # never drop a cache the caller made
+            weather = weather.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(weather)
         # One pass answers both: the batch's calendar days (the scope of every
         # later stage) and whether a (time, region) key repeats.
         batch_days, max_n, worst = batch_profile(weather)
@@ -299,8 +304,8 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
         days = batch_days if incremental else None
         load_weather(spark, layout, weather, days, checked_unique=True)
     finally:
-        if owned_cache:
-            weather.unpersist()
+        for df in held:
+            df.unpersist()
     rebuild_energy(spark, layout, energy, jitter=jitter, days=days)
     stage(spark, layout, days)
     gate_staging(spark, layout, expected_rows, days)

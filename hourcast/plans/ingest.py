@@ -45,13 +45,19 @@ def weather_from_landing(spark: SparkSession, path: str, check: bool = True,
     return weather_from_documents(docs, check=check, **gate)
 
 
-def weather_from_csv(spark: SparkSession, path: str, default_region: str = "DE",
-                     validate: bool = True, min_rows: int = 200, lo: float = -50,
-                     hi: float = 60) -> DataFrame:
-    """Processed CSV -> typed rows.  ``validate`` runs the strict pre-load gate
-    (row count, presence, range) on the text; the parse itself is lenient about
-    incomplete rows (dropped) and blank regions (default)."""
-    text = csv_src.read_processed_csv(spark, path)
+def weather_from_text(text: DataFrame, default_region: str = "DE", validate: bool = True,
+                      min_rows: int = 200, lo: float = -50, hi: float = 60) -> DataFrame:
+    """Processed-CSV text rows -> typed rows.  ``validate`` runs the strict
+    pre-load gate (row count, presence, range) on the text; the parse itself is
+    lenient about incomplete rows (dropped) and blank regions (default)."""
     if validate:
         gate_ingest(text, min_rows=min_rows, lo=lo, hi=hi)
     return csv_src.require_rows(csv_src.parse_weather_rows(text, default_region))
+
+
+def weather_from_csv(spark: SparkSession, path: str, default_region: str = "DE",
+                     validate: bool = True, min_rows: int = 200, lo: float = -50,
+                     hi: float = 60) -> DataFrame:
+    """Processed CSV -> typed rows (see :func:`weather_from_text`)."""
+    return weather_from_text(csv_src.read_processed_csv(spark, path), default_region,
+                             validate, min_rows, lo, hi)

@@ -161,3 +161,15 @@ def test_stream_fails_on_a_malformed_document_before_writing(spark, tmp_dir):
     with pytest.raises(Exception, match="length mismatch"):
         q.awaitTermination(300)
     assert not sink.path_exists(spark, daily.Layout(wh).raw_weather)
+
+
+def test_run_from_processed_csv(spark, tmp_dir):
+    _, raw_w = raw_pair(spark, SF)
+    text = raw_w.select("region", F.date_format("time", "yyyy-MM-dd'T'HH:mm").alias("time"),
+                        F.col("temperature_2m").cast("string").alias("temperature_2m"))
+    csv_dir = os.path.join(tmp_dir, "processed_csv")
+    sink.write_csv(text, csv_dir)
+    wh = os.path.join(tmp_dir, "from_csv")
+    daily.run(spark, wh, csv=csv_dir)
+    got = sink.read(spark, daily.Layout(wh).staging_weather)
+    assert got.count() == raw_w.count()
