@@ -24,7 +24,7 @@ from hourcast.plans import analysis as A
 from hourcast.plans import marts as M
 from hourcast.plans.features import demand_features
 from hourcast.plans.ingest import weather_from_documents
-from hourcast.plans.staging import stage_energy, stage_weather, standard_energy, standard_weather
+from hourcast.plans.staging import standard_energy, standard_weather
 from hourcast.session import checkpoint_dir
 from hourcast.sinks import tables as sink
 from hourcast.sources import driver_tables as dt
@@ -56,36 +56,25 @@ def _signature(spark: SparkSession, sf_dir: str) -> tuple:
 def stage_tables(spark: SparkSession, sf_dir: str, mode: str = "regions"):
     """Staging pair (energy, weather) derived from ``events`` and written once.
 
-    The hourly series are aggregated from the whole events table and written as
-    parquet tables under the shared ``spark.checkpoint.dir`` -- the staging layer
-    the analytical queries read, as in the pipeline.  Writing (not caching) cuts
-    the lineage and survives executor loss.  Reused for the same session, events
-    table and region mode.
+    The hourly series are aggregated from the whole events table in one pass and
+    written as one parquet table under the shared ``spark.checkpoint.dir``; the
+    energy and weather staging tables the analytical queries read are
+    projections of it (``day`` is stored, so day predicates reach the scan).
+    Writing (not caching) cuts the lineage and survives executor loss.  Reused
+    for the same session, events table and region mode.
     """
     key = (sf_dir.rstrip("/"), mode, _signature(spark, sf_dir))
     hit = _STAGED.get(key)
     if hit is None or hit[0] is not spark:
-        from pyspark import StorageLevel
-
-        from hourcast.plans.concurrent import run_all
         ev = dt.events(spark, sf_dir)
-        energy, weather, agg = dt.hourly_both(ev, mode)      # one scan of events
-        raw_e = energy.select("ts", "region", "load_mw")
-        raw_w = weather.select(F.col("ts").alias("time"), "region", "temperature_2m")
-        base = f"{checkpoint_dir(spark).rstrip('/')}/hourcast-staging-{mode}-{uuid.uuid4().hex}"
-        outputs = (("energy", stage_energy(raw_e, audit=False)),
-                   ("weather", stage_weather(raw_w, audit=False)))
-        # The shared aggregate (hours x series rows) is kept while both tables
-        # are written concurrently from it.
-        agg.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            agg.count()          # materialise once: the only scan of events
-            run_all(*[lambda n=n, df=df: df.sortWithinPartitions("region", "ts").write
-                      .mode("overwrite").parquet(f"{base}/{n}") for n, df in outputs])
-        finally:
-            agg.unpersist()
-        _STAGED[key] = (spark, spark.read.parquet(f"{base}/energy"),
-                        spark.read.parquet(f"{base}/weather"))
+        _, _, agg = dt.hourly_both(ev, mode)      # one scan and one aggregation of events
+        path = (f"{checkpoint_dir(spark).rstrip('/')}/hourcast-hourly-{mode}-"
+                f"{uuid.uuid4().hex}")
+        # One written table holds both measures per (hour, region) cell; the
+        # energy and weather staging tables are projections of it on read.
+        agg.sortWithinPartitions("region", "ts").write.mode("overwrite").parquet(path)
+        energy, weather = dt.split_hourly(spark.read.parquet(path), mode)
+        _STAGED[key] = (spark, energy, weather)
     return _STAGED[key][1], _STAGED[key][2]
 
 

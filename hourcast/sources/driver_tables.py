@@ -93,17 +93,24 @@ def hourly_both(ev: DataFrame, region_mode: str = "regions"
     agg = h.groupBy("ts", "region", "day").agg(
         F.count_if(is_e).alias("n_e"), F.sum(F.when(is_e, cents)).alias("cents"),
         F.count_if(is_w).alias("n_w"), F.sum(F.when(is_w, F.col("event_id"))).alias("ids"))
+    energy, weather = split_hourly(agg, region_mode)
+    return energy, weather, agg
+
+
+def split_hourly(agg: DataFrame, region_mode: str = "regions") -> tuple[DataFrame, DataFrame]:
+    """(energy, weather) staging shapes from the shared hourly aggregate
+    (ts, region, day, n_e, cents, n_w, ids) -- e.g. after it was written once."""
     energy = (agg.filter(F.col("n_e") > 0)
-              .select("ts", "region", "day",
-                      (F.col("cents").cast("double") / F.lit(100.0)).alias("load_mw")))
+              .select("ts", "region",
+                      (F.col("cents").cast("double") / F.lit(100.0)).alias("load_mw"), "day"))
     weather = agg.filter(F.col("n_w") > 0)
     if region_mode == "regions":
         weather = weather.filter(~((F.col("region") == F.lit(WEATHER_GAP_REGION))
                                    & (F.col("day") >= F.to_date(F.lit(WEATHER_GAP_FROM)))))
     temp = (F.pmod(F.col("ids").cast("bigint"), F.lit(400)).cast("double") / F.lit(10.0)
             - F.lit(8.0))
-    weather = weather.select("ts", "region", "day", temp.alias("temperature_2m"))
-    return energy, weather, agg
+    weather = weather.select("ts", "region", temp.alias("temperature_2m"), "day")
+    return energy, weather
 
 
 def raw_energy(spark: SparkSession, sf_dir: str, region_mode: str = "regions") -> DataFrame:
