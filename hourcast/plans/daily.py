@@ -6,10 +6,11 @@ Stage order (each stage reads what the previous one wrote):
             (structural document checks / pre-load gate first)
 2. raw      upsert ``raw/weather_hourly`` on (time, region): temperature updated,
             ``created_at`` keeps its first-insert value
-3. energy   rebuild ``raw/energy_load_hourly`` from weather with the demand model
-            (only when no measured load is supplied)
+3. energy   rebuild ``raw/energy_load_hourly`` (measured load, or the demand model
+            over raw weather) and
 4. staging  upsert ``staging/weather_hourly_clean`` and ``staging/energy_hourly_clean``
-            on (ts, region), touched days only
+            on (ts, region), touched days only -- steps 3 and 4 run as one
+            concurrent wave
 5. gates    weather range, energy duplicates, optional exact row count --
             *before* anything downstream is written
 6. marts    insert-if-absent dimensions, upsert the daily fact, replace the
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from hourcast.functions.time import utc_day, within_complete_days
 from hourcast.operators import quality as Q
-from hourcast.operators.upsert import DuplicateKeyError
+from hourcast.operators.upsert import DuplicateKeyError, dedupe_batch
 from hourcast.plans import marts as M
 from hourcast.plans.concurrent import run_all
 from hourcast.plans.features import energy_from_weather
@@ -156,6 +157,37 @@ def stage(spark: SparkSession, layout: Layout, days: list | None = None) -> None
                                 partitions=days))
 
 
+def rebuild_and_stage(spark: SparkSession, layout: Layout, energy: DataFrame | None = None,
+                      jitter: bool = True, days: list | None = None) -> None:
+    """:func:`rebuild_energy` and :func:`stage` as one concurrent wave.
+
+    Raw energy and staging energy come from the same load frame (measured, or
+    modelled from raw weather with keyed jitter -- deterministic, so computing
+    it for both writes gives identical rows); staging weather reads raw weather.
+    Same tables as running the two steps in order, one job wave fewer.
+    """
+    rw = _read(spark, layout.raw_weather, days)
+    measured = energy is not None
+    if not measured:
+        energy = energy_from_weather(rw.drop("day", "created_at"), time_col="time",
+                                     jitter=jitter, scale=None)
+    load = _scope(energy.select("ts", "region", "load_mw", utc_day("ts").alias("day")), days)
+    if measured:   # modelled load inherits the raw weather key; measured load is checked
+        load = dedupe_batch(load, ["ts", "region"])
+    raw_out = load.select("ts", "region", "load_mw",
+                          F.current_timestamp().alias("created_at"), "day")
+    run_all(
+        lambda: sink.write_table(raw_out, layout.raw_energy, ["day"],
+                                 sort_within=["region", "ts"],
+                                 only_present_partitions=days is not None),
+        # raw tables are keyed on the same (time, region): the batches are unique
+        lambda: sink.upsert(spark, stage_weather(rw.drop("day", "created_at")),
+                            layout.staging_weather, ["ts", "region"], dedupe_order="unique",
+                            partitions=days),
+        lambda: sink.upsert(spark, stage_energy(load.drop("day")), layout.staging_energy,
+                            ["ts", "region"], dedupe_order="unique", partitions=days))
+
+
 def gate_staging(spark: SparkSession, layout: Layout, expected_rows: int | None = None,
                  days: list | None = None) -> None:
     """Fail-fast gates on staging.  Range and duplicates look at the run's days
@@ -306,8 +338,7 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
     finally:
         for df in held:
             df.unpersist()
-    rebuild_energy(spark, layout, energy, jitter=jitter, days=days)
-    stage(spark, layout, days)
+    rebuild_and_stage(spark, layout, energy, jitter=jitter, days=days)
     gate_staging(spark, layout, expected_rows, days)
     build_marts(spark, layout, days)
     test_marts(spark, layout)

@@ -6,6 +6,7 @@ from hourcast.plans import daily
 from hourcast.plans.registry import raw_pair
 from hourcast.sinks import tables as sink
 from tests.conftest import SF
+from tests.helpers import collect_sorted
 
 
 def _rows(spark, path, *cols):
@@ -173,3 +174,18 @@ def test_run_from_processed_csv(spark, tmp_dir):
     daily.run(spark, wh, csv=csv_dir)
     got = sink.read(spark, daily.Layout(wh).staging_weather)
     assert got.count() == raw_w.count()
+
+
+def test_measured_energy_is_used_and_checked(spark, tmp_dir):
+    import pytest
+
+    from hourcast.operators.upsert import DuplicateKeyError
+    raw_e, raw_w = raw_pair(spark, SF)
+    wh = os.path.join(tmp_dir, "measured")
+    daily.run(spark, wh, weather=raw_w, energy=raw_e)
+    got = collect_sorted(sink.read(spark, daily.Layout(wh).staging_energy)
+                         .select("ts", "region", "load_mw"))
+    assert got == collect_sorted(raw_e)     # the batch covers every day of the measured load
+    with pytest.raises(DuplicateKeyError):
+        daily.run(spark, os.path.join(tmp_dir, "measured_dup"), weather=raw_w,
+                  energy=raw_e.unionByName(raw_e.limit(1)))
