@@ -189,3 +189,23 @@ def test_measured_energy_is_used_and_checked(spark, tmp_dir):
     with pytest.raises(DuplicateKeyError):
         daily.run(spark, os.path.join(tmp_dir, "measured_dup"), weather=raw_w,
                   energy=raw_e.unionByName(raw_e.limit(1)))
+
+
+def test_rebuild_and_stage_equals_the_two_steps(spark, tmp_dir):
+    _, raw_w = raw_pair(spark, SF)
+    days = sorted(r[0] for r in raw_w.select(F.to_date("time")).distinct().collect())[:5]
+    batch = raw_w.filter(F.to_date("time").isin(days))
+    outs = []
+    for name, fused in (("two_steps", False), ("one_wave", True)):
+        lay = daily.Layout(os.path.join(tmp_dir, name))
+        daily.load_weather(spark, lay, batch, days)
+        if fused:
+            daily.rebuild_and_stage(spark, lay, days=days)
+        else:
+            daily.rebuild_energy(spark, lay, days=days)
+            daily.stage(spark, lay, days)
+        outs.append([_rows(spark, getattr(lay, t), *cols) for t, cols in
+                     (("raw_energy", ("ts", "region", "load_mw", "day")),
+                      ("staging_energy", ("ts", "region", "load_mw", "day")),
+                      ("staging_weather", ("ts", "region", "temperature_2m", "day")))])
+    assert outs[0] == outs[1] and len(outs[0][1]) > 0
