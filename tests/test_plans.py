@@ -52,3 +52,13 @@ def test_day_filter_reaches_both_sides_of_the_hourly_join(spark):
         j.explain("formatted")
     pushed = [ln for ln in buf.getvalue().splitlines() if "PushedFilters" in ln]
     assert len(pushed) == 2 and all("EqualTo(day,2024-01-05)" in ln for ln in pushed)
+
+
+@pytest.mark.parametrize("name", ["fact_daily", "lag_delta", "temp_buckets", "grain_energy",
+                                  "weekend_effect", "top3_hours"])
+def test_executed_plan_runs_in_whole_stage_codegen(spark, name):
+    import re
+    df = E.queries()[name](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert len(set(re.findall(r"\*\((\d+)\)", plan))) >= 1, plan
