@@ -10,7 +10,7 @@ Method: count-min prefilter, then exact grouping of what it leaves.
    The tasks' sparse sketches are merged per slice of the cell range.
 2. The merged sketch ("cell seen at least twice", one bit per cell, of a fixed
    size) goes to all tasks.  Only windows whose anchor is estimated repeated in
-   every sketch row are grouped, by a 128-bit hash of their words.  The estimate
+   every sketch row are grouped, by a 96-bit hash of their words.  The estimate
    never undercounts, so no repeated window is lost; a full sketch only lets more
    windows through to the exact step.
 
@@ -42,6 +42,8 @@ SLICE_BITS = 20
 MIN_WIDTH_BITS, MAX_WIDTH_BITS = 20, 29
 #: Windows held by a task before it settles local repeats and passes them on.
 FLUSH_WINDOWS = 1_000_000
+#: Count of a run of windows that its task has found repeated.
+SETTLED = -1
 
 _ROW, _CRC = "__row_id", "__row_crc"
 
@@ -158,7 +160,7 @@ def _candidates(window: int, bits: int, shared):
             again = np.repeat(n > 1, n)
             # one row per distinct window, to be counted over all tasks
             yield _batch(h1[first], h2[first], row[first], null[first], crc[first],
-                         pos[first], pos[first] + 1, n, np.zeros(len(first), bool))
+                         pos[first], pos[first] + 1, n)
             if again.any():
                 # runs of windows known to repeat: settled, one row per run
                 row, null, crc, pos = row[again], null[again], crc[again], pos[again]
@@ -170,8 +172,8 @@ def _candidates(window: int, bits: int, shared):
                 b = np.concatenate([a[1:], [len(pos)]]) - 1
                 fill = W.mix(row[a].astype(W.U64) * W.U64(31) + crc[a].astype(W.U64) * W.U64(17)
                              + pos[a].astype(W.U64))
-                yield _batch(fill, ~fill, row[a], null[a], crc[a], pos[a], pos[b] + 1,
-                             np.full(len(a), 2), np.ones(len(a), bool))
+                yield _batch(fill, fill >> W.U64(32), row[a], null[a], crc[a], pos[a], pos[b] + 1,
+                             np.full(len(a), SETTLED))
 
         size = 0
         for batch in batches:
@@ -192,7 +194,7 @@ def _candidates(window: int, bits: int, shared):
                 null = ids.is_null().to_numpy(zero_copy_only=False)[doc]
                 crc = part.column(part.schema.get_field_index(_CRC)).to_numpy(zero_copy_only=False)[doc]
                 held.append((W.run_hashes(found.hash, window)[at],
-                             W.run_hashes(found.hash, window, W.WORDS_2)[at],
+                             W.run_hashes(found.hash, window, W.WORDS_2)[at] >> W.U64(32),
                              row, null, crc, (at - found.words.bounds[doc]).astype(np.int64)))
                 size += len(at)
                 if size > FLUSH_WINDOWS:
@@ -201,20 +203,20 @@ def _candidates(window: int, bits: int, shared):
         if held:
             yield from flush()
 
-    def _batch(h1, h2, row, null, crc, first, last, n, settled):
+    def _batch(h1, h2, row, null, crc, first, last, n):
         return pa.RecordBatch.from_pydict({
-            "h1": pa.array(h1.view(np.int64)), "h2": pa.array(h2.view(np.int64)),
+            "h1": pa.array(h1.view(np.int64)), "h2": pa.array(h2.astype(np.uint32).view(np.int32)),
             _ROW: pa.array(row, pa.int64(), mask=null), _CRC: pa.array(crc, pa.int64()),
-            "first": pa.array(first.astype(np.int32)), "last": pa.array(last.astype(np.int32)),
-            "n": pa.array(n.astype(np.int64)), "settled": pa.array(settled)})
+            "span": pa.array(first << 32 | last), "n": pa.array(n.astype(np.int32))})
     return run
 
 
-_CANDIDATES = (f"h1 long, h2 long, {_ROW} long, {_CRC} long, first int, last int, n long, settled boolean")
+_CANDIDATES = f"h1 long, h2 int, {_ROW} long, {_CRC} long, span long, n int"
 
 
 def repeated_windows(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
-    """Runs ``[first, last)`` of window starts that occur more than once, per row key.
+    """Runs of window starts that occur more than once, per row key: ``span`` is
+    ``first << 32 | last`` (the last one exclusive).
 
     ``docs`` has the columns ``__row_id``, ``__row_crc`` and ``text``.
     """
@@ -222,36 +224,36 @@ def repeated_windows(spark: SparkSession, docs: DataFrame, window: int = WINDOW_
     shared = spark.sparkContext.broadcast(repeated_sketch(docs, "text", window, bits))
     found = docs.mapInArrow(_candidates(window, bits, shared), _CANDIDATES)
     everywhere = Window.partitionBy("h1", "h2")
-    total = F.when(F.col("settled"), F.col("n")).otherwise(F.sum("n").over(everywhere))
+    settled = F.col("n") == SETTLED
+    total = F.when(settled, F.lit(2)).otherwise(F.sum("n").over(everywhere))
     return (found.withColumn("total", total)
-            .filter((F.col("total") > 1) & (F.col("settled") | (F.col("n") == 1)))
-            .select(_ROW, _CRC, "first", "last"))
+            .filter((F.col("total") > 1) & (settled | (F.col("n") == 1)))
+            .select(_ROW, _CRC, "span"))
 
 
-def _cut(names: list[str], window: int):
+def _cut(names: list[str], text: str, window: int):
     """Remove the covered words of each text; adds n_words, n_removed, kept_text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.slices(batch, "__text"):
+            for part in W.slices(batch, text):
                 field = part.schema.get_field_index
-                words = W.Words(part.column(field("__text")))
+                words = W.Words(part.column(field(text)))
                 n = len(words.starts)
                 gone = np.zeros(n + 1, np.int64)
-                firsts, lasts = part.column(field("__first")), part.column(field("__last"))
-                for values, sign, extra in ((firsts, 1, 0), (lasts, -1, window - 1)):
-                    at = values.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                    doc = np.repeat(np.arange(len(values)),
-                                    np.nan_to_num(values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
-                    np.add.at(gone, words.bounds[:-1][doc] + at + extra, sign)
+                spans = part.column(field("__spans"))
+                span = spans.flatten().to_numpy(zero_copy_only=False)
+                doc = np.repeat(np.arange(len(spans)), spans.value_lengths().to_numpy(zero_copy_only=False))
+                np.add.at(gone, words.bounds[:-1][doc] + (span >> 32), 1)
+                np.add.at(gone, words.bounds[:-1][doc] + (span & 0xFFFFFFFF) + window - 1, -1)
                 gone = np.cumsum(gone[:-1]) > 0 if n else np.zeros(0, bool)
                 kept = ~gone
                 removed = np.concatenate([[0], np.cumsum(gone)])
                 removed = removed[words.bounds[1:]] - removed[words.bounds[:-1]]
-                text, off = join_words(words, kept)
+                out, off = join_words(words, kept)
                 columns = [part.column(field(x)) for x in names]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(words.counts.astype(np.int64)), pa.array(removed.astype(np.int64)),
-                     W.strings(text, off)], [*names, "n_words", "n_removed", "kept_text"])
+                     W.strings(out, off)], [*names, "n_words", "n_removed", "kept_text"])
     return run
 
 
@@ -288,17 +290,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", key
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
     marks = (repeated_windows(spark, keyed, window)
              .groupBy(_ROW, _CRC)
-             .agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("runs"))
-             .select(F.col(_ROW).alias("__r"), F.col(_CRC).alias("__c"), "runs"))
+             .agg(F.collect_set("span").alias("spans"))
+             .select(F.col(_ROW).alias("__r"), F.col(_CRC).alias("__c"), "spans"))
     names = base.columns
     wide = base.withColumns({_ROW: F.col(key).cast("long"),
-                             "__text": F.coalesce(F.col(text), F.lit("")),
                              _CRC: F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))})
     joined = wide.join(marks, F.col(_ROW).eqNullSafe(F.col("__r")) & (F.col(_CRC) == F.col("__c")), "left")
-    empty = F.array().cast("array<int>")
-    ready = joined.select(*names, "__text",
-                          F.coalesce(F.col("runs.first"), empty).alias("__first"),
-                          F.coalesce(F.col("runs.last"), empty).alias("__last"))
+    ready = joined.select(*names, F.coalesce("spans", F.array().cast("array<long>")).alias("__spans"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return ready.mapInArrow(_cut(names, window),
+    return ready.mapInArrow(_cut(names, text, window),
                             f"{schema}, n_words long, n_removed long, kept_text string")
