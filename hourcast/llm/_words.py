@@ -112,21 +112,26 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """64-bit hash of every word (``lower``: of its A-Z lower-cased form)."""
-        table = LOWER_VALUES if lower else BYTE_VALUES
-        out = np.empty(len(self.starts), U64)
-        i = 0
-        while i < len(out):
-            stop = int(np.searchsorted(self.ends, self.starts[i] + 2 * SLICE_BYTES, side="right"))
-            stop = max(stop, i + 1)
-            a, b = self.starts[i], self.ends[stop - 1]
-            up, down = BYTES.upto(b - a)
-            sums = np.empty(b - a + 1, U64)
-            sums[0] = 0
-            np.cumsum(table[self.data[a:b]] * up[:b - a], out=sums[1:])
-            s, e = self.starts[i:stop] - a, self.ends[i:stop] - a
-            out[i:stop] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(U64))
-            i = stop
-        return out
+        return span_hashes(self.data, self.starts, self.ends, LOWER_VALUES if lower else BYTE_VALUES)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                values: np.ndarray = BYTE_VALUES) -> np.ndarray:
+    """64-bit hash of every byte span; spans are in ascending order."""
+    out = np.empty(len(starts), U64)
+    i = 0
+    while i < len(out):
+        stop = int(np.searchsorted(ends, starts[i] + 2 * SLICE_BYTES, side="right"))
+        stop = max(stop, i + 1)
+        a, b = starts[i], ends[stop - 1]
+        up, down = BYTES.upto(b - a)
+        sums = np.empty(b - a + 1, U64)
+        sums[0] = 0
+        np.cumsum(values[data[a:b]] * up[:b - a], out=sums[1:])
+        s, e = starts[i:stop] - a, ends[i:stop] - a
+        out[i:stop] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(U64))
+        i = stop
+    return out
 
 
 def run_hashes(words: np.ndarray, k: int, powers: Powers = WORDS) -> np.ndarray:

@@ -37,8 +37,8 @@ WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 #: Letters that make a contraction after an apostrophe.
 SHORT, LONG = "stmd", ("re", "ve", "ll")
 
-#: Distinct pieces kept per worker; beyond it the cache starts anew.
-CACHE_PIECES = 700_000
+#: Distinct pieces kept per worker, about 60 bytes each; beyond it the cache starts anew.
+CACHE_PIECES = 3_000_000
 #: Pieces longer than this many bytes are merged anew each time.
 CACHE_BYTES = 64
 
@@ -232,22 +232,63 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class PieceCache:
-    """Ids of distinct pieces, bounded; looks up whole arrays of slices."""
+    """Ids of distinct pieces, bounded; looks up whole arrays of slices.
+
+    An open-addressing hash table in numpy arrays maps a piece's 64-bit hash to its
+    slot; a lookup probes all pieces of a slice of texts at once.
+    """
 
     def __init__(self, encode_misses):
-        self.encode_misses, self.slots = encode_misses, {}
+        self.encode_misses = encode_misses
         self._clear()
 
     def _clear(self):
-        self.slots.clear()
         self.ids = np.zeros(1 << 16, np.int32)
         self.begin = np.zeros(1 << 16, np.int64)
         self.n_slots = self.n_ids = 0
-
-    def _add(self, pieces: list[bytes]) -> None:
-        if not pieces:
-            return
-        found = list(self.encode_misses(pieces))
+        self._table(1 << 17)
+
+    def _table(self, size: int) -> None:
+        self.keys, self.slots = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Slot of every hash, or -1."""
+        mask = W.U64(len(self.keys) - 1)
+        at = h & mask
+        out = np.full(len(h), -1, np.int64)
+        todo = np.arange(len(h))
+        while len(todo):
+            key = self.keys[at[todo]]
+            hit = key == h[todo]
+            out[todo[hit]] = self.slots[at[todo[hit]]]
+            todo = todo[~hit & (key != 0)]
+            at[todo] = (at[todo] + W.U64(1)) & mask
+        return out
+
+    def _insert(self, h: np.ndarray, slots: np.ndarray) -> None:
+        """Enter distinct hashes that are not in the table yet."""
+        if 2 * (self.n_slots + len(h)) > len(self.keys):
+            used = self.keys != 0
+            old, old_slots, size = self.keys[used], self.slots[used], len(self.keys)
+            while 2 * (self.n_slots + len(h)) > size:
+                size *= 2
+            self._table(size)
+            self._insert_all(old, old_slots)
+        self._insert_all(h, slots)
+
+    def _insert_all(self, h: np.ndarray, slots: np.ndarray) -> None:
+        mask = W.U64(len(self.keys) - 1)
+        at = h & mask
+        while len(h):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = h[free]                    # of several for one cell the last stays
+            placed = self.keys[at] == h
+            self.slots[at[placed]] = slots[placed]
+            h, slots, at = h[~placed], slots[~placed], (at[~placed] + W.U64(1)) & mask
+
+    def _add(self, pieces: list[bytes]) -> np.ndarray:
+        """Slots of new pieces."""
+        found = list(self.encode_misses(pieces)) if pieces else []
         n = np.fromiter(map(len, found), np.int64, len(found))
         total = int(n.sum())
         while self.n_ids + total > len(self.ids):
@@ -257,31 +298,35 @@ class PieceCache:
         self.ids[self.n_ids:self.n_ids + total] = np.fromiter(
             itertools.chain.from_iterable(found), np.int64, total)
         self.begin[self.n_slots + 1:self.n_slots + len(found) + 1] = self.n_ids + np.cumsum(n)
-        self.slots.update(zip(pieces, range(self.n_slots, self.n_slots + len(found))))
+        slots = np.arange(self.n_slots, self.n_slots + len(found))
         self.n_slots += len(found)
         self.n_ids += total
+        return slots
 
     def lookup(self, raw: bytes, starts: np.ndarray, ends: np.ndarray):
         """(ids of all slices one after the other, number of ids of each slice)."""
         if self.n_slots > CACHE_PIECES:
             self._clear()
-        keys = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-        get = self.slots.get
-        slot = [get(k, -1) for k in keys]
-        missing = {k: None for k, s in zip(keys, slot) if s < 0} if -1 in slot else {}
-        long = [k for k in missing if len(k) > CACHE_BYTES]
-        kept_slots, kept_ids = self.n_slots, self.n_ids
-        if missing:
-            self._add([k for k in missing if len(k) <= CACHE_BYTES])
-            kept_slots, kept_ids = self.n_slots, self.n_ids
-            self._add(long)
-            slot = list(map(self.slots.__getitem__, keys))
-        slot = np.array(slot, np.int64)
+        h = W.span_hashes(np.frombuffer(raw, np.uint8), starts, ends)
+        h[h == 0] = 1                                        # 0 marks a free cell
+        slot = self._find(h)
+        missing = np.flatnonzero(slot < 0)
+        kept = self.n_slots, self.n_ids
+        if len(missing):
+            new, first, which = np.unique(h[missing], return_index=True, return_inverse=True)
+            first = missing[first]
+            short = ends[first] - starts[first] <= CACHE_BYTES
+            mine = np.empty(len(new), np.int64)
+            for kind in (short, ~short):
+                mine[kind] = self._add([raw[a:b] for a, b in zip(starts[first[kind]].tolist(),
+                                                                 ends[first[kind]].tolist())])
+                if kind is short:
+                    kept = self.n_slots, self.n_ids
+            self._insert(new[short], mine[short])
+            slot[missing] = mine[which]
         n = self.begin[slot + 1] - self.begin[slot]
         ids = self.ids[gather(self.begin[slot], n)]
-        for k in long:
-            del self.slots[k]
-        self.n_slots, self.n_ids = kept_slots, kept_ids
+        self.n_slots, self.n_ids = kept                      # long pieces are not kept
         return ids, n
 
 
