@@ -15,7 +15,7 @@ messages of a conversation in turn order as
 
 Inside roles and texts every ``<`` + n backslashes + ``|`` gets one more
 backslash, so neither control string can occur there, and :func:`unescape` takes
-it away again; a line feed in a role is written ``<\\n|`` with a letter n.
+it away again; a line feed in a role is written ``<|n|>``.
 
 Messages are first rendered in chunks of ``CHUNK_TURNS`` turns, and only the
 chunks' strings meet in their conversation, so sorting, folding and rendering of a
@@ -52,19 +52,18 @@ def unescape(text: Column) -> Column:
 
 
 def escape_role(role: Column) -> Column:
-    # <\n| cannot come from escape(): there only backslashes stand between < and |
-    return F.replace(escape(role), F.lit("\n"), F.lit("<\\n|"))
+    # <| cannot come from escape(), which puts a backslash into it
+    return F.replace(escape(role), F.lit("\n"), F.lit("<|n|>"))
 
 
 def unescape_role(role: Column) -> Column:
-    return unescape(F.replace(role, F.lit("<\\n|"), F.lit("\n")))
+    return unescape(F.replace(role, F.lit("<|n|>"), F.lit("\n")))
 
 
 def message_events(rows: DataFrame) -> DataFrame:
     """A table of finished messages (conv_id, turn, role, text) as events.
 
-    Rows of one conversation with the same turn stay separate messages: they differ
-    in ``part``, which counts rows equal in every column.
+    Rows of one conversation with the same turn stay separate messages.
     """
     text = F.coalesce("text", F.lit(""))
     role = F.coalesce("role", F.lit(""))
@@ -79,7 +78,7 @@ def fold(events: DataFrame) -> DataFrame:
     rendering of chunks use that partitioning.
     """
     e = events.select(
-        "conv_id", "turn", F.floor(F.coalesce("turn", F.lit(0)) / CHUNK_TURNS).alias("chunk"), "seq",
+        "conv_id", "turn", F.floor(F.col("turn") / CHUNK_TURNS).alias("chunk"), "seq",
         F.col("kind").isin(*RESETS).alias("resets"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = (e.repartition("conv_id", "chunk")

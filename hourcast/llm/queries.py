@@ -140,7 +140,7 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum(24 + length(role) + length(text)
                         + len(regexp_extract_all(text, '<\\\\*\\|'))
                         + len(regexp_extract_all(role, '<\\\\*\\|'))
-                        + 3 * (length(role) - length(replace(role, chr(10), '')))) AS BIGINT) AS formatted_chars
+                        + 4 * (length(role) - length(replace(role, chr(10), '')))) AS BIGINT) AS formatted_chars
         FROM rows_ GROUP BY conv_id""",
     "op2_topk_search": """
         WITH v AS (

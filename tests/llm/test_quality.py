@@ -1,0 +1,59 @@
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from hourcast.llm import quality as Q
+from hourcast.llm.queries import op6_quality
+
+MEDIUM = "/root/testdata/sf0.1"
+
+
+def test_flat_trees_equal_a_recursive_walk():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(2000, 5)).astype(np.float32)
+    y = ((x[:, 0] > 0.3) ^ (x[:, 1] < -0.2)).astype(float)
+    trees = Q.fit_trees(x, y)
+
+    def walk(node, row):
+        if trees.feature[node] < 0:
+            return trees.value[node]
+        return walk(trees.left[node] + (row[trees.feature[node]] > trees.threshold[node]), row)
+
+    raw = [trees.base + sum(walk(r, row) for r in trees.roots) for row in x[:50]]
+    assert np.allclose(trees.scores(x[:50]), 1 / (1 + np.exp(-np.array(raw))))
+    assert ((trees.scores(x) > 0.5) == y).mean() > 0.97
+
+
+def test_statistics_of_a_text_do_not_depend_on_its_neighbours():
+    texts = ["One two two\nTHREE!! 4a ***\n\nOne two two", None, "", " \n ", "x", "\n\nx\n", "é ü\tÄ" * 50, "a b a b a b"]
+    together = Q.statistics(pa.array(texts))
+    alone = np.vstack([Q.statistics(pa.array([t], pa.string())) for t in texts])
+    assert together.shape == (len(texts), len(Q.NAMES)) and np.isfinite(together).all()
+    assert np.allclose(together, alone)
+    row = dict(zip(Q.NAMES, together[0]))
+    assert row["repeated_lines"] == np.float32(1 / 3) and row["same_as_last"] == np.float32(2 / 9)
+    assert np.allclose(np.exp(row["log_words"]) - 1, 9) and row["commonest"] == np.float32(4 / 9)
+
+
+def test_held_out_accuracy(spark):
+    got = op6_quality(spark, MEDIUM)
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    rows = got.filter("held_out").join(labels, "doc_id").select("score", "predicted", "quality").toPandas()
+    good, bad = (rows[rows.quality == q].score.to_numpy() for q in (1, 0))
+    auc = np.mean([(good > b).mean() + (good == b).mean() / 2 for b in bad])
+    assert auc > 0.97
+    assert (rows[rows.quality == 1].predicted == 1).mean() > 0.97
+    assert (rows[rows.quality == 0].predicted == 0).mean() > 0.7
+
+
+def test_nulls_repeats_no_labels_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a text"), (1, "a text"), (None, None), (2, ""), (3, "z" * 100_000)],
+                                 "doc_id long, text string").withColumn("score", F.lit("clash"))
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None), (3, 1)], "doc_id long, quality int")
+    trees = Q.fit(spark, docs, labels, F.lit(True))
+    rows = Q.score(spark, docs, trees).collect()
+    assert len(rows) == 5 and all(0 <= r["score"] <= 1 for r in rows)
+    none = labels.filter("false")
+    assert Q.fit(spark, docs, none, F.lit(True)) is None
+    assert {r["score"] for r in Q.score(spark, docs, None).collect()} == {1.0}
+    assert Q.score(spark, docs.filter("false"), trees).count() == 0
