@@ -24,6 +24,12 @@ LOWER_VALUES = BYTE_VALUES.copy()
 LOWER_VALUES[ord("A"):ord("Z") + 1] = BYTE_VALUES[ord("a"):ord("z") + 1]
 
 
+def bounded_batches(spark) -> None:
+    """Bound what a Python worker is handed at once, by rows and by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 class Powers:
     """Powers of an odd multiplier modulo 2**64 and of its inverse, grown on demand."""
 

@@ -38,7 +38,7 @@ WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 SHORT, LONG = "stmd", ("re", "ve", "ll")
 
 #: Distinct pieces kept per worker, about 60 bytes each; beyond it the cache starts anew.
-CACHE_PIECES = 3_000_000
+CACHE_PIECES = 1_200_000
 #: Pieces longer than this many bytes are merged anew each time.
 CACHE_BYTES = 64
 
@@ -371,6 +371,7 @@ def encode(spark: SparkSession, docs: DataFrame, ranks_path: str, text: str = "t
 
     The vocabulary file is read where this is called and sent to the tasks.
     """
+    W.bounded_batches(spark)
     base = docs.drop("ids")
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in base.schema.fields)
@@ -414,6 +415,7 @@ def _decode(names: list[str], shared):
 
 def decode(spark: SparkSession, encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``encoded`` with its columns and ``decoded``, the bytes that ``ids`` stand for."""
+    W.bounded_batches(spark)
     base = encoded.drop("decoded")
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in base.schema.fields)

@@ -164,6 +164,7 @@ def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame, text
                     key: str = "doc_id", item_key: str = "item_id", item_text: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, text_crc, item_id, n_shingles, n_shared of every contained item, per text."""
+    W.bounded_batches(spark)
     shingles = item_shingles(items, item_key, item_text)
     lengths = sorted(r[0] for r in shingles.select("k").distinct().collect())     # 1 to 5
     shared = spark.sparkContext.broadcast(item_filter(shingles))

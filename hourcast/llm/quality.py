@@ -210,6 +210,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn_from: Col
         key: str = "doc_id", label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Trees | None:
     """Trees learned from labelled rows that meet ``learn_from``, a condition on the
     column ``doc_id``; at most ``sample_rows`` of them.  None without any."""
+    W.bounded_batches(spark)
     known = (labels.select(F.col(key).cast("long").alias("doc_id"), F.col(label).cast("double").alias("y"))
              .filter(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & learn_from)
              .groupBy("doc_id").agg(F.min("y").alias("y")))
@@ -238,6 +239,7 @@ def _score(names: list[str], shared):
 
 def score(spark: SparkSession, docs: DataFrame, trees: Trees | None, text: str = "text") -> DataFrame:
     """``docs`` with its columns and ``score``, 0 to 1, higher for better texts."""
+    W.bounded_batches(spark)
     base = docs.drop("score")
     shared = spark.sparkContext.broadcast(trees)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in base.schema.fields)

@@ -323,6 +323,7 @@ def components(spark: SparkSession, edges: DataFrame, folder: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", key: str = "doc_id",
                     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
+    W.bounded_batches(spark)
     folder = f"{checkpoint_dir(spark).rstrip('/')}/simhash-{uuid.uuid4().hex}"
     (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
      .mapInArrow(_fingerprints(shingle_words), "doc_id long, fp long")

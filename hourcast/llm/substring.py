@@ -283,6 +283,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", key
                    window: int = WINDOW_WORDS) -> DataFrame:
     """All rows and columns of ``docs`` with ``n_words``, ``n_removed`` and ``kept_text``
     (the words outside repeated windows, joined by one space)."""
+    W.bounded_batches(spark)
     added = {"n_words", "n_removed", "kept_text"}
     base = docs.drop(*added)
     keyed = base.select(F.col(key).cast("long").alias(_ROW),

@@ -221,6 +221,7 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, tokenizer_json: str
     chunks that never share a piece, each distinct chunk once per worker.
     """
     import json
+    W.bounded_batches(spark)
     with open(tokenizer_json, encoding="utf-8") as f:
         content = f.read()
     spec = json.loads(content)
