@@ -2,8 +2,7 @@
 
 Join strategy is left to AQE: small dimension tables become broadcast hash
 joins at run time from their measured size, large ones sort-merge on the keys.
-Explicit ``broadcast`` is used only for tables whose size is bounded by
-construction (the region reference table) or checked by :func:`small_enough`.
+No join is hinted.
 """
 
 from __future__ import annotations
@@ -13,19 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def small_enough(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only after its size is checked; else leave it to AQE."""
-    return F.broadcast(df) if small_enough(df, max_rows) else df
-
-
 def hourly_pair(energy: DataFrame, weather: DataFrame, keys: Sequence[str] = ("ts", "region"),
                 how: str = "inner") -> DataFrame:
     """Energy x weather on (ts, region): ts, region, load_mw, temperature_2m, day.

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.functions._util import col
-from hourcast.operators.windows import lag_delta
+from hourcast.operators.windows import CALENDAR, lag_delta
 
 
 class GateFailed(AssertionError):
@@ -76,17 +76,20 @@ def expected_hourly_rows(n_days: int, n_series: int, per_day: int = 24) -> int:
     return n_days * per_day * n_series
 
 
-def rowcount_drift(df: DataFrame, expected: int) -> DataFrame:
-    """Actual rows, the expected count and their difference."""
+def rowcount_drift(df: DataFrame, expected: int | None = None, day: str = "day",
+                   series: Sequence[str] = ("region",), per_day: int = 24) -> DataFrame:
+    """Actual rows, the expected count and their difference.  Without ``expected`` a
+    complete table is expected: its days x ``per_day`` x its series."""
     n = F.count(F.lit(1))
-    return df.agg(n.alias("actual_rows"), F.lit(expected).alias("expected_rows"),
-                  (n - F.lit(expected)).alias("diff"))
+    want = F.lit(expected).cast("bigint") if expected is not None else \
+        F.count_distinct(F.col(day)) * F.lit(per_day) * distinct_rows(series)
+    return (df.agg(n.alias("actual_rows"), want.alias("expected_rows"))
+            .withColumn("diff", F.col("actual_rows") - F.col("expected_rows")))
 
 
 def spike_report(df: DataFrame, value: str = "load_mw", threshold: float = 400.0,
                  top: int = 20, keys=("region",), order: str = "ts",
-                 delta_name: str = "delta_mw", chunk: Column | str | None = "auto"
-                 ) -> DataFrame:
+                 delta_name: str = "delta_mw", chunk=CALENDAR) -> DataFrame:
     """Largest |row-to-row change| >= threshold, top ``top`` by |delta|.
 
     Ties on |delta| are broken by (order, keys) so the report is deterministic.
@@ -131,35 +134,49 @@ def model_test_failures(df: DataFrame, tests: Sequence[tuple]) -> DataFrame:
 
     Test tuples: ("not_null", col), ("unique", col),
     ("unique_combination", [cols]), ("expression_is_true", sql_expr).
-    Row-level tests fuse into one aggregate pass; each uniqueness test is one
-    group-by (NULL values are ignored by ``unique`` as in the usual test macro;
-    an expression evaluating to NULL passes).
+    All row-level tests and the first uniqueness test share one pass: rows are
+    grouped by the unique key with the failures of each row-level test summed per
+    group, and one final aggregate adds these up and counts the repeated keys.  A
+    uniqueness test on another key is a group-by of its own.  NULL values are
+    ignored by ``unique``; an expression evaluating to NULL passes.
     """
-    row_level, grouped = [], []
+    row_level, keys = {}, {}
     for i, t in enumerate(tests):
         kind, arg = t[0], t[1]
-        name = t[2] if len(t) > 2 else f"{kind}:{arg if isinstance(arg, str) else ','.join(arg)}"
         if kind == "not_null":
-            row_level.append((name, count_where(col(arg).isNull())))
+            row_level[i] = count_where(col(arg).isNull())
         elif kind == "expression_is_true":
-            row_level.append((name, count_where(~F.expr(arg))))
-        elif kind == "unique":
-            g = (df.filter(col(arg).isNotNull()).groupBy(arg).count()
-                 .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures")))
-            grouped.append(g.select(F.lit(name).alias("test"), "failures"))
-        elif kind == "unique_combination":
-            g = (df.groupBy(*arg).count().filter(F.col("count") > 1)
-                 .agg(F.count(F.lit(1)).alias("failures")))
-            grouped.append(g.select(F.lit(name).alias("test"), "failures"))
+            row_level[i] = count_where(~F.expr(arg))
+        elif kind in ("unique", "unique_combination"):
+            keys[i] = [arg] if kind == "unique" else list(arg)
         else:
             raise ValueError(f"unknown test kind {kind!r}")
-    frames = []
-    if row_level:
-        wide = df.agg(*[e.alias(f"__t{i}") for i, (_, e) in enumerate(row_level)])
-        rows = F.array(*[F.struct(F.lit(n).alias("test"), F.col(f"__t{i}").alias("failures"))
-                         for i, (n, _) in enumerate(row_level)])
-        frames.append(wide.select(F.inline(rows)))
-    frames.extend(grouped)
+    name = [t[2] if len(t) > 2 else f"{t[0]}:{t[1] if isinstance(t[1], str) else ','.join(t[1])}"
+            for t in tests]
+
+    def repeated(i: int) -> Column:
+        more = F.col("__n") > 1
+        return F.count_if(more & F.col(keys[i][0]).isNotNull() if tests[i][0] == "unique" else more)
+
+    def rows(wide: DataFrame, which: Sequence[int]) -> DataFrame:
+        return wide.select(F.inline(F.array(*[
+            F.struct(F.lit(name[i]).alias("test"),
+                     F.coalesce(F.col(f"__t{i}"), F.lit(0)).cast("bigint").alias("failures"))
+            for i in which])))
+
+    frames, rest = [], list(keys)
+    sums = [e.alias(f"__t{i}") for i, e in row_level.items()]
+    if rest:
+        first = rest.pop(0)
+        per_key = df.groupBy(*keys[first]).agg(F.count(F.lit(1)).alias("__n"), *sums)
+        wide = per_key.agg(repeated(first).alias(f"__t{first}"),
+                           *[F.sum(f"__t{i}").alias(f"__t{i}") for i in row_level])
+        frames.append(rows(wide, sorted([first, *row_level])))
+    elif sums:
+        frames.append(rows(df.agg(*sums), list(row_level)))
+    for i in rest:
+        per_key = df.groupBy(*keys[i]).agg(F.count(F.lit(1)).alias("__n"))
+        frames.append(rows(per_key.agg(repeated(i).alias(f"__t{i}")), [i]))
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -185,19 +202,39 @@ def check(row_df: DataFrame, what: str) -> None:
         raise GateFailed(f"{what}: failed ({', '.join(bad)}) -> {rows[0].asDict()}")
 
 
+def range_check(df: DataFrame, c: str = "temperature_2m", lo: float = -40, hi: float = 45
+                ) -> DataFrame:
+    """One row: does every value of ``c`` lie within [lo, hi]."""
+    return df.agg((count_where(out_of_range(c, lo, hi)) == 0).alias("in_range"))
+
+
+def unique_check(df: DataFrame, keys: Sequence[str] = ("ts", "region")) -> DataFrame:
+    """One row: is every key there once."""
+    return df.agg((F.count(F.lit(1)) == distinct_rows(keys)).alias("unique"))
+
+
+def rowcount_check(df: DataFrame, expected: int) -> DataFrame:
+    """One row: are there exactly ``expected`` rows."""
+    return df.agg((F.count(F.lit(1)) == F.lit(expected)).alias("rowcount_ok"))
+
+
 def gate_range(df: DataFrame, c: str = "temperature_2m", lo: float = -40, hi: float = 45) -> None:
-    check(df.agg((count_where(out_of_range(c, lo, hi)) == 0).alias("in_range")),
-          f"{c} within [{lo}, {hi}]")
+    check(range_check(df, c, lo, hi), f"{c} within [{lo}, {hi}]")
 
 
 def gate_unique(df: DataFrame, keys: Sequence[str] = ("ts", "region")) -> None:
-    check(df.agg((F.count(F.lit(1)) == distinct_rows(keys)).alias("unique")),
-          f"unique {tuple(keys)}")
+    check(unique_check(df, keys), f"unique {tuple(keys)}")
 
 
 def gate_rowcount(df: DataFrame, expected: int) -> None:
-    check(df.agg((F.count(F.lit(1)) == F.lit(expected)).alias("rowcount_ok")),
-          f"row count == {expected}")
+    check(rowcount_check(df, expected), f"row count == {expected}")
+
+
+def gate_references(fact: DataFrame, dims: dict[str, DataFrame], what: str = "fact") -> None:
+    """Foreign keys: every key of ``fact`` is in its dimension."""
+    missing = missing_dim_report(fact, dims).first()[0]
+    if missing:
+        raise GateFailed(f"{what}: {missing} rows without a dimension row")
 
 
 def gate_tests(df: DataFrame, tests: Sequence[tuple], what: str = "model tests") -> None:
@@ -208,27 +245,43 @@ def gate_tests(df: DataFrame, tests: Sequence[tuple], what: str = "model tests")
                                                  for r in failing))
 
 
-def gate_ingest(df: DataFrame, min_rows: int = 200, lo: float = -50, hi: float = 60,
-                time_col: str = "time", value_col: str = "temperature_2m") -> None:
-    """Pre-load gate on processed text rows: enough rows, time and value present,
-    numeric value within [lo, hi].  One aggregate pass.
-    """
+INGEST_LO, INGEST_HI, INGEST_MIN_ROWS = -50.0, 60.0, 200
+
+
+def ingest_profile(df: DataFrame, lo: float = INGEST_LO, hi: float = INGEST_HI,
+                   time_col: str = "time", value_col: str = "temperature_2m") -> DataFrame:
+    """One row of counts over processed text rows: ``n_rows``, ``no_time``,
+    ``no_value``, ``not_numeric`` and ``outside`` [lo, hi] (NaN is outside)."""
     v = col(value_col)
-    # "missing" is NULL or the empty string, as in the validator being mirrored
+    # "missing" is NULL or the empty string
     blank_time = col(time_col).isNull() | (col(time_col) == "")
     blank_val = v.isNull() | (v.cast("string") == "")
     num = v.cast("string").try_cast("double")
-    r = df.agg(F.count(F.lit(1)).alias("n"), count_where(blank_time).alias("no_time"),
-               count_where(blank_val).alias("no_value"),
-               count_where(~blank_val & num.isNull()).alias("not_numeric"),
-               count_where(out_of_range(num, lo, hi)).alias("out_of_range")).first()
-    if r["n"] < min_rows:
-        raise GateFailed(f"Too few rows: {r['n']} (expected >= {min_rows})")
-    if r["no_time"]:
-        raise GateFailed(f"Missing time value ({r['no_time']} rows)")
-    if r["no_value"]:
-        raise GateFailed(f"Missing temperature value ({r['no_value']} rows)")
-    if r["not_numeric"]:
-        raise GateFailed(f"Non-numeric temperature ({r['not_numeric']} rows)")
-    if r["out_of_range"]:
-        raise GateFailed(f"Temperature out of expected range ({r['out_of_range']} rows)")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), count_where(blank_time).alias("no_time"),
+                  count_where(blank_val).alias("no_value"),
+                  count_where(~blank_val & num.isNull()).alias("not_numeric"),
+                  count_where(out_of_range(num, lo, hi)).alias("outside"))
+
+
+def raise_ingest(r, min_rows: int = INGEST_MIN_ROWS, lo: float = INGEST_LO,
+                 hi: float = INGEST_HI) -> None:
+    """Raise for the first fault in a row of :func:`ingest_profile`'s counts."""
+    n = r["n_rows"] or 0
+    faults = [
+        (n < min_rows, f"only {n} weather rows, at least {min_rows} are required"),
+        (r["no_time"], f"{r['no_time']} weather rows have no time"),
+        (r["no_value"], f"{r['no_value']} weather rows have no temperature"),
+        (r["not_numeric"], f"{r['not_numeric']} temperatures are not numbers"),
+        (r["outside"], f"{r['outside']} temperatures are outside [{lo:g}, {hi:g}]")]
+    for bad, text in faults:
+        if bad:
+            raise GateFailed(text)
+
+
+def gate_ingest(df: DataFrame, min_rows: int = INGEST_MIN_ROWS, lo: float = INGEST_LO,
+                hi: float = INGEST_HI, time_col: str = "time",
+                value_col: str = "temperature_2m") -> None:
+    """Pre-load gate on processed text rows: enough rows, time and value present,
+    numeric value within [lo, hi].  One aggregate pass.
+    """
+    raise_ingest(ingest_profile(df, lo, hi, time_col, value_col).first(), min_rows, lo, hi)

@@ -22,6 +22,33 @@ class DuplicateKeyError(ValueError):
     """The same key occurs more than once in one upsert batch."""
 
 
+DUPLICATE = "duplicate key in batch"
+
+
+def is_duplicate_error(error: BaseException) -> bool:
+    """Did a job fail on :func:`asserted_unique`."""
+    return isinstance(error, DuplicateKeyError) or f"{DUPLICATE}:" in str(error)
+
+
+def asserted_unique(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The batch, failing when it is evaluated if a key repeats.
+
+    The count per key is part of the plan that uses the rows, so the batch is not
+    evaluated twice; the rows leave it partitioned by key, as a keyed merge needs.
+    """
+    values = [c for c in batch.columns if c not in keys]
+    one = batch.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__hc_n"),
+        F.min_by(F.struct(*[F.col(c) for c in values]) if values else F.lit(1),
+                 F.lit(0)).alias("__hc_v"))
+    first = keys[0]
+    named = F.concat(F.lit(f"{DUPLICATE}: "), F.to_json(F.struct(*[F.col(k) for k in keys])))
+    checked = F.when(F.col("__hc_n") == 1, F.col(first)).otherwise(
+        F.raise_error(named).cast(batch.schema[first].dataType))
+    return one.select(checked.alias(first), *[F.col(k) for k in keys[1:]],
+                      *[F.col(f"__hc_v.{c}").alias(c) for c in values]).select(*batch.columns)
+
+
 def duplicate_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys occurring more than once, with their multiplicity."""
     return batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
@@ -43,7 +70,7 @@ def dedupe_batch(batch: DataFrame, keys: Sequence[str],
     if order is None:
         dup = duplicate_keys(batch, keys).limit(1).collect()
         if dup:
-            raise DuplicateKeyError(f"duplicate key in batch: {dup[0].asDict()}")
+            raise DuplicateKeyError(f"{DUPLICATE}: {dup[0].asDict()}")
         return batch
     rank = F.struct(*[o if isinstance(o, Column) else F.col(o) for o in order])
     values = [c for c in batch.columns if c not in keys]

@@ -1,25 +1,26 @@
 """Row-based window operators over keyed series.
 
 ``LAG`` is the previous *row* and the rolling mean covers the previous N *rows*
-(a gap in the series is not filled).  Two execution shapes give identical
-results:
-
-* ``chunk=None`` -- one window partitioned by the series key.  Parallelism is the
-  number of series; one long series is one task.
-* ``chunk="auto"`` -- checked choice: one aggregate finds the longest series
-  (key columns only, partial aggregation); if it exceeds ``max_series_rows``
-  the chunked shape is used with day chunks, else the plain one.
-* ``chunk=<column>`` -- skew-safe.  Rows get an exact per-series row index
-  (local row number inside time chunks plus chunk offsets), are regrouped into
-  fixed-size index blocks, and each block is given a halo copy of the rows its
-  frame reaches into from the previous block.  Every block is an independent
-  window partition, so a series holding a third of all rows is spread over
-  ``rows / block_rows`` tasks.
+(a gap in the series is not filled).  Rows follow each other by time, NULL times
+first; a NULL key is a series of its own, and no row is ever left out.
+
+One shape serves series of every length (``chunk="calendar"``, the default).  Rows
+get an exact row index per series -- their row number inside a calendar hour plus
+the counts of the hours and days before it -- are regrouped into fixed-size index
+blocks, and each block is given a halo copy of the rows its frame reaches into
+from the previous block.  Every block is an independent window partition, so a
+series holding a third of all rows is spread over ``rows / block_rows`` tasks, and
+no window partition holds more than a block, an hour, or a row per hour or day.
+
+A caller who knows that all series are short can ask for ``chunk=None``, one plain
+window partitioned by the series key; a Column or a list of Columns, coarse to
+fine and monotone in the order, replaces the calendar.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,88 +29,75 @@ from hourcast.functions._util import col
 
 _IDX, _BLK, _HALO = "__hc_idx", "__hc_block", "__hc_halo"
 
-# Longest series one window task may hold before the chunked shape is used.
-MAX_SERIES_ROWS = 2_000_000
+CALENDAR = "calendar"
 
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def row_indexed(df: DataFrame, keys, order: str, chunk: Column) -> DataFrame:
-    """Add a 0-based row index per series, computed without a per-series sort.
-
-    1. row_number and row count inside (keys, chunk)      -- parallel over chunks
-    2. offsets = running sum of chunk counts per series    -- one row per chunk
-    3. index = offset + row_number - 1
-    Requires ``chunk`` to be monotone in ``order`` (e.g. the day of ``ts``).
-    The counts read only the key and chunk columns of the input with partial
-    aggregation; an expensive input (e.g. a join) would be evaluated by both
-    branches -- pass ``materialize=True`` to :func:`with_window_columns` to cut
-    it with a reliable checkpoint first.
-    """
-    k = _keys(keys)
-    c = df.withColumn("__hc_chunk", chunk)
-    local_w = Window.partitionBy(*k, "__hc_chunk").orderBy(order)
-    c = c.withColumn("__hc_rn", F.row_number().over(local_w))
-    counts = c.groupBy(*k, "__hc_chunk").agg(F.count(F.lit(1)).alias("__hc_n"))
-    off_w = (Window.partitionBy(*k).orderBy("__hc_chunk")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*k, "__hc_chunk",
-                            F.coalesce(F.sum("__hc_n").over(off_w), F.lit(0)).alias("__hc_off"))
-    return (c.join(offsets, [*k, "__hc_chunk"])
-            .withColumn(_IDX, F.col("__hc_off") + F.col("__hc_rn") - F.lit(1))
-            .drop("__hc_chunk", "__hc_rn", "__hc_off"))
+def chunk_levels(order: str, chunk) -> list[Column]:
+    """Chunk expressions from coarse to fine."""
+    if isinstance(chunk, str):
+        if chunk != CALENDAR:
+            raise ValueError(f"chunk must be None, {CALENDAR!r} or Columns, not {chunk!r}")
+        return [F.to_date(F.col(order)), F.hour(F.col(order))]
+    return [chunk] if isinstance(chunk, Column) else list(chunk)
 
 
-_LONGEST: dict[tuple, int] = {}
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys where NULL equals NULL; the key columns appear once."""
+    renamed = right.select(*[F.col(k).alias(f"__hc_r{i}") for i, k in enumerate(keys)],
+                           *[c for c in right.columns if c not in keys])
+    on = reduce(lambda a, b: a & b,
+                [F.col(k).eqNullSafe(F.col(f"__hc_r{i}")) for i, k in enumerate(keys)])
+    return left.join(renamed, on).drop(*[f"__hc_r{i}" for i in range(len(keys))])
 
 
-def longest_series(df: DataFrame, keys) -> int:
-    """Row count of the longest series (one small aggregate action).
+def row_indexed(df: DataFrame, keys, order: str, chunk=CALENDAR) -> DataFrame:
+    """Add a 0-based row index per series, computed without a per-series sort.
 
-    Remembered per (plan, exact input files, keys): files are immutable and a
-    rewritten table has new file names, so a remembered answer never goes stale.
+    1. row_number inside (keys, chunk levels)                -- parallel over chunks
+    2. running sums of the chunk counts, level by level      -- one row per chunk
+    3. index = sums before the chunk + row_number - 1
+    The counts read only the key and order columns, with partial aggregation.
     """
     k = _keys(keys)
-    try:
-        memo = (df.semanticHash(), tuple(sorted(df.inputFiles())), tuple(k))
-    except Exception:  # noqa: BLE001 -- no plan identity available: always measure
-        memo = None
-    if memo is not None and memo in _LONGEST:
-        return _LONGEST[memo]
-    r = df.groupBy(*k).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    n = int(r[0] or 0) if r else 0
-    if memo is not None:
-        _LONGEST[memo] = n
-    return n
-
-
-def resolve_chunk(df: DataFrame, keys, order: str, chunk,
-                  max_series_rows: int = MAX_SERIES_ROWS) -> Column | None:
-    """Turn ``chunk="auto"`` into None (plain) or day chunks after the size check."""
-    if isinstance(chunk, str):
-        if chunk != "auto":
-            raise ValueError(f"chunk must be None, 'auto' or a Column, not {chunk!r}")
-        return F.to_date(F.col(order)) if longest_series(df, keys) > max_series_rows else None
-    return chunk
+    levels = chunk_levels(order, chunk)
+    parts = [f"__hc_c{i}" for i in range(len(levels))]
+    c = df.withColumns(dict(zip(parts, levels)))
+    c = c.withColumn("__hc_rn", F.row_number().over(Window.partitionBy(*k, *parts).orderBy(order)))
+    counts = (df.select(*k, *[e.alias(p) for p, e in zip(parts, levels)])
+              .groupBy(*k, *parts).agg(F.count(F.lit(1)).alias("__hc_n")))
+    offsets = counts
+    for i in reversed(range(len(parts))):
+        to = parts[:i + 1]
+        level = counts if i == len(parts) - 1 else \
+            counts.groupBy(*k, *to).agg(F.sum("__hc_n").alias("__hc_n"))
+        before = (Window.partitionBy(*k, *parts[:i]).orderBy(parts[i])
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        level = level.select(*k, *to, F.coalesce(F.sum("__hc_n").over(before), F.lit(0))
+                             .alias(f"__hc_o{i}"))
+        offsets = level if i == len(parts) - 1 else null_safe_join(offsets, level, [*k, *to])
+    first = reduce(lambda a, b: a + b, [F.col(f"__hc_o{i}") for i in range(len(parts))])
+    offsets = offsets.select(*k, *parts, first.alias("__hc_off"))
+    return (null_safe_join(c, offsets, [*k, *parts])
+            .withColumn(_IDX, F.col("__hc_off") + F.col("__hc_rn") - F.lit(1))
+            .drop(*parts, "__hc_rn", "__hc_off"))
 
 
 def with_window_columns(df: DataFrame, keys, order: str, halo: int,
                         build: Callable[[Window], dict[str, Column]],
-                        chunk: Column | str | None = None, block_rows: int = 100_000,
-                        max_series_rows: int = MAX_SERIES_ROWS,
+                        chunk=CALENDAR, block_rows: int = 100_000,
                         materialize: bool = False) -> DataFrame:
     """Evaluate row-frame window columns reaching at most ``halo`` rows back.
 
     ``build(w)`` returns {name: expression over window spec w}; ``w`` is ordered
-    and partitioned for the chosen shape.  ``materialize``: when the chunked
-    shape is used, first write the input once with ``DataFrame.checkpoint()``
-    (the session's shared checkpoint folder), so an expensive input is not
-    computed twice.
+    and partitioned for the chosen shape.  ``materialize``: first write the input
+    once with ``DataFrame.checkpoint()`` (the session's shared checkpoint folder),
+    so an expensive input is not computed by both the count and the row branch.
     """
     k = _keys(keys)
-    chunk = resolve_chunk(df, k, order, chunk, max_series_rows)
     if chunk is None:
         w = Window.partitionBy(*k).orderBy(order)
         return df.select("*", *[e.alias(n) for n, e in build(w).items()])
@@ -136,7 +124,7 @@ def with_window_columns(df: DataFrame, keys, order: str, halo: int,
 
 def lag_delta(df: DataFrame, value: str, keys=("region",), order: str = "ts",
               prev_name: str | None = None, delta_name: str | None = None,
-              offset: int = 1, chunk: Column | str | None = None, **kw) -> DataFrame:
+              offset: int = 1, chunk=CALENDAR, **kw) -> DataFrame:
     """Previous row's value (``LAG(value, offset)``) and ``value - previous``.
 
     Either output can be suppressed by passing ``False`` as its name.  The first
@@ -154,7 +142,7 @@ def lag_delta(df: DataFrame, value: str, keys=("region",), order: str = "ts",
 
 def rolling_mean(df: DataFrame, value: str, n_rows: int = 24, keys=("region",),
                  order: str = "ts", name: str | None = None,
-                 chunk: Column | str | None = None, **kw) -> DataFrame:
+                 chunk=CALENDAR, **kw) -> DataFrame:
     """Mean of the current and ``n_rows - 1`` preceding rows (partial at start)."""
     def build(w):
         return {name or f"{value}_roll{n_rows}":

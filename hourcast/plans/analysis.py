@@ -3,22 +3,22 @@
 Inputs: ``energy`` (ts, region, load_mw, day) and ``weather``
 (ts, region, temperature_2m, day).  ``keys`` names the series key columns
 (default the region).  ``chunk`` picks the row-window shape (see
-``hourcast.operators.windows``): ``"auto"`` (default) checks the longest series
-and uses the skew-safe chunked shape only when it exceeds
-``windows.MAX_SERIES_ROWS``; ``None`` forces the plain window; a Column forces
-chunks.
+``hourcast.operators.windows``): by default the skew-safe shape that serves every
+size; ``None`` is the plain window.
+
+Results are unordered; :func:`in_order` sorts one the way its report is read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.functions.expressions import bucket, day_type
 from hourcast.functions.numeric import relative_change, round_double, safe_divide
 from hourcast.operators import rollups
 from hourcast.operators.joins import hourly_pair, shifted_join
-from hourcast.operators.windows import (lag_delta, rolling_mean, top_n_per_group,
+from hourcast.operators.windows import (CALENDAR, lag_delta, rolling_mean, top_n_per_group,
                                         with_window_columns)
 
 COLD_SHOCK_DROP = -5.0
@@ -26,12 +26,41 @@ JOINT_TEMP_DROP = -3.0
 JOINT_LOAD_RISE = 5.0
 
 
+# Row order of each report: column, or (column, "desc").
+ORDERS = {
+    "cold_shock_events": ("region", "ts"),
+    "peak_hour_by_region": ("region",),
+    "peak_hour_mode": (("n_regions", "desc"), "hour_of_day"),
+    "rolling_24": ("ts", "region"),
+    "lag_delta": ("ts", "region"),
+    "top3_hours": (("day", "desc"), "region", "load_rank_in_day", "ts"),
+    "temp_buckets": ("region", "temp_bucket"),
+    "joint_cold_shock": ("ts", "region"),
+    "n_hours_reconciliation": (("day", "desc"), "region"),
+}
+
+
+def order_of(name: str) -> list:
+    """Sort expressions of a report, NULLs last ascending and first descending."""
+    return [F.col(c[0]).desc_nulls_first() if isinstance(c, tuple) else F.col(c).asc_nulls_last()
+            for c in ORDERS[name]]
+
+
+def in_order(name: str, df: DataFrame, numbered: bool = False) -> DataFrame:
+    """``df`` sorted as the report ``name``.  ``numbered`` adds ``row_no`` (from 1);
+    that window needs all rows in one partition, so it is for finished reports only."""
+    if numbered:
+        from pyspark.sql import Window
+        return df.withColumn("row_no", F.row_number().over(Window.orderBy(*order_of(name))))
+    return df.orderBy(*order_of(name))
+
+
 def _k(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
 def cold_shock_events(weather: DataFrame, threshold: float = COLD_SHOCK_DROP,
-                      keys=("region",), chunk: Column | str | None = "auto") -> DataFrame:
+                      keys=("region",), chunk=CALENDAR) -> DataFrame:
     """Hours whose temperature fell by at least |threshold| since the previous row."""
     k = _k(keys)
     d = lag_delta(weather.select("ts", "day", *k, "temperature_2m"), "temperature_2m",
@@ -41,17 +70,16 @@ def cold_shock_events(weather: DataFrame, threshold: float = COLD_SHOCK_DROP,
 
 
 def shock_days(weather: DataFrame, threshold: float = COLD_SHOCK_DROP, keys=("region",),
-               chunk: Column | str | None = "auto") -> DataFrame:
-    """One row per (region, day) with a cold shock: first shock hour, worst drop."""
+               chunk=CALENDAR) -> DataFrame:
+    """One row per (region, day) with a cold shock."""
     k = _k(keys)
     ev = cold_shock_events(weather, threshold, k, chunk)
-    return ev.groupBy(*k, F.col("day").alias("shock_day")).agg(
-        F.min("ts").alias("first_shock_ts"), F.min("temp_drop").alias("worst_drop"))
+    return ev.select(*k, F.col("day").alias("shock_day")).distinct()
 
 
 def next_day_load_increase(energy: DataFrame, weather: DataFrame,
                            threshold: float = COLD_SHOCK_DROP, keys=("region",),
-                           chunk: Column | str | None = "auto") -> DataFrame:
+                           chunk=CALENDAR) -> DataFrame:
     """Mean relative change of daily load from a shock day to the next day.
 
     Both joins are inner: shock days without load on that or the next day are
@@ -132,7 +160,7 @@ def hourly_join(energy: DataFrame, weather: DataFrame, limit: int | None = 48) -
 
 
 def rolling_24(energy: DataFrame, n_rows: int = 24, keys=("region",),
-               chunk: Column | str | None = "auto", scale: int | None = 6) -> DataFrame:
+               chunk=CALENDAR, scale: int | None = 6) -> DataFrame:
     """Mean load over the current and previous ``n_rows - 1`` rows."""
     k = _k(keys)
     name = "load_roll24h_mw"
@@ -141,7 +169,7 @@ def rolling_24(energy: DataFrame, n_rows: int = 24, keys=("region",),
     return r.withColumn(name, round_double(name, scale)) if scale is not None else r
 
 
-def lag_delta_load(energy: DataFrame, keys=("region",), chunk: Column | str | None = "auto"
+def lag_delta_load(energy: DataFrame, keys=("region",), chunk=CALENDAR
                    ) -> DataFrame:
     """Previous row's load and the hour-over-row change."""
     k = _k(keys)
@@ -168,7 +196,7 @@ def temp_buckets(energy: DataFrame, weather: DataFrame, keys=("region",)) -> Dat
 
 def joint_cold_shock(energy: DataFrame, weather: DataFrame,
                      temp_drop: float = JOINT_TEMP_DROP, load_rise: float = JOINT_LOAD_RISE,
-                     keys=("region",), chunk: Column | str | None = "auto") -> DataFrame:
+                     keys=("region",), chunk=CALENDAR) -> DataFrame:
     """Hours with a temperature drop and a load rise versus the previous joined row.
 
     The lags are taken after the join, so a row missing on either side changes
@@ -180,7 +208,7 @@ def joint_cold_shock(energy: DataFrame, weather: DataFrame,
     def build(w):  # both lags share one window spec -> one sort, one Window node
         return {"__hc_pt": F.lag("temperature_2m").over(w),
                 "__hc_pl": F.lag("load_mw").over(w)}
-    # the join feeds both branches of the chunked shape: cut it once if chunked
+    # the join feeds the count and the row branch: it is written once
     t = with_window_columns(j, k, "ts", 1, build, chunk=chunk, materialize=True)
     t = t.select("*", (F.col("temperature_2m") - F.col("__hc_pt")).alias("temp_delta_c"),
                  (F.col("load_mw") - F.col("__hc_pl")).alias("load_delta_mw"))

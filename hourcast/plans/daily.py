@@ -3,39 +3,41 @@
 Stage order (each stage reads what the previous one wrote):
 
 1. ingest   landed JSON documents (or processed CSV) -> typed hourly weather
-            (structural document checks / pre-load gate first)
+            (structural document checks / pre-load gate first); the batch is written
+            once to a folder of the warehouse and read from there
 2. raw      upsert ``raw/weather_hourly`` on (time, region): temperature updated,
             ``created_at`` keeps its first-insert value
-3. energy   rebuild ``raw/energy_load_hourly`` (measured load, or the demand model
-            over raw weather) and
+3. energy   measured load: upsert ``raw/energy_load_hourly`` on (ts, region); modelled
+            load: rebuild its touched days by the demand model over raw weather
 4. staging  upsert ``staging/weather_hourly_clean`` and ``staging/energy_hourly_clean``
-            on (ts, region), touched days only -- steps 3 and 4 run as one
-            concurrent wave
-5. gates    weather range, energy duplicates, optional exact row count --
-            *before* anything downstream is written
-6. marts    insert-if-absent dimensions, upsert the daily fact, replace the
-            run's day partitions of the pooled weather mart and of the energy x
-            weather mart
-7. tests    model tests on the marts (fail-fast), then the quality reports
-
-Paths live under ``warehouse``; on a cluster that is shared storage.  Every
-table except the two (small, append-only) dimensions is partitioned by its day
-column (``day`` or ``day_utc``), so a daily run reads and rewrites one day per
-table and never re-reads the history.
+            on (ts, region), touched days only, from the raw tables
+5. gates    weather range, energy duplicates, row count -- *before* anything
+            downstream is written
+6. marts    insert-if-absent dimensions, foreign-key gate, then the daily fact and the
+            days of the pooled weather mart and of the energy x weather mart
+7. tests    model tests on these days of the marts (fail-fast), then quality reports
+
+A run works on its days -- those of the weather batch and of the measured load --
+and on *pending* days: days that are staged but not yet in the marts, because a
+gate stopped an earlier run.  So a failed day keeps failing runs until it is
+repaired, and is then taken up.  Every table is versioned (``hourcast.sinks.tables``)
+and partitioned by its day column, dimensions apart, and which days exist is known
+from manifests: a run reads its days and the dimensions only.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourcast import schemas
 from hourcast.functions.time import utc_day, within_complete_days
 from hourcast.operators import quality as Q
-from hourcast.operators.upsert import DuplicateKeyError, dedupe_batch
+from hourcast.operators.upsert import DuplicateKeyError
 from hourcast.plans import marts as M
 from hourcast.plans.concurrent import run_all
 from hourcast.plans.features import energy_from_weather
@@ -85,139 +87,123 @@ class RunResult:
     reports: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
-def _scope(df: DataFrame, days: list | None, day_col: str = "day") -> DataFrame:
-    """Restrict a frame to the run's days (a literal IN list; on a partitioned
-    read it prunes partitions when the plan is made)."""
-    if days is None:
-        return df
-    return df.filter(F.col(day_col).isin(days))
-
-
 def _read(spark: SparkSession, path: str, days: list | None) -> DataFrame:
-    """A day-partitioned table, or just the run's days -- then only those
-    partition directories are listed and read, never the whole history."""
+    """A day-partitioned table, or just some days of it."""
     if days is None:
         return sink.read(spark, path)
-    return sink.read_partitions(spark, path, "day", days)
+    return sink.read_partitions(spark, path, days)
 
 
-def batch_profile(weather: DataFrame) -> tuple[list, int, dict | None]:
-    """One aggregate pass over a weather batch: its calendar days, the largest
+def batch_profile(batch: DataFrame, time_col: str = "time") -> tuple[list, int, dict | None]:
+    """One aggregate pass over a batch: its calendar days, the largest
     multiplicity of a (time, region) key and one key with that multiplicity.
     The day list is bounded by the calendar, not by the rows."""
-    per_key = weather.groupBy("time", "region").agg(F.count(F.lit(1)).alias("n"),
-                                                    F.first(utc_day("time")).alias("day"))
+    per_key = batch.groupBy(time_col, "region").agg(F.count(F.lit(1)).alias("n"),
+                                                    F.first(utc_day(time_col)).alias("day"))
     r = per_key.agg(F.collect_set("day").alias("days"), F.max("n").alias("max_n"),
-                    F.max_by(F.struct("time", "region"), F.col("n")).alias("worst")).first()
+                    F.max_by(F.struct(time_col, "region"), F.col("n")).alias("worst")).first()
     if r is None or r["max_n"] is None:
         return [], 0, None
     return sorted(r["days"]), int(r["max_n"]), r["worst"].asDict()
 
 
+def checked_days(batch: DataFrame, what: str, time_col: str = "time") -> list:
+    """The days of a batch; raises if a key repeats."""
+    days, most, worst = batch_profile(batch, time_col)
+    if most > 1:
+        raise DuplicateKeyError(f"duplicate key in {what} batch ({most} rows): {worst}")
+    return days
+
+
+def pending_days(spark: SparkSession, layout: Layout) -> list[str]:
+    """Days that are staged but not in the marts, from the tables' manifests."""
+    day = lambda values: {v[:10] for v in values}  # noqa: E731  a timestamp begins with its day
+    of = lambda name: day(sink.partition_values(spark, getattr(layout, name)))
+    return sorted((of("staging_weather") - of("mart_weather_daily"))
+                  | (of("staging_energy") - of("fact")))
+
+
 def load_weather(spark: SparkSession, layout: Layout, weather: DataFrame,
-                 days: list | None = None, checked_unique: bool = False) -> None:
-    """Raw weather upsert keeping ``created_at`` from the first insert.
-    ``checked_unique``: the caller already verified one row per key."""
+                 days: list | None = None) -> None:
+    """Raw weather upsert keeping ``created_at`` from the first insert."""
     batch = weather.withColumn("day", utc_day("time"))
     sink.upsert(spark, batch, layout.raw_weather, ["time", "region"], update=["temperature_2m"],
                 preserve=["created_at"], defaults={"created_at": F.current_timestamp()},
-                partitions=days, dedupe_order="unique" if checked_unique else None)
+                partitions=days, schema=schemas.with_day(schemas.RAW_WEATHER))
+
 
+def load_energy(spark: SparkSession, layout: Layout, energy: DataFrame, days: list | None = None
+                ) -> None:
+    """Raw upsert of measured load, keeping ``created_at`` from the first insert."""
+    batch = energy.select("ts", "region", "load_mw", utc_day("ts").alias("day"))
+    sink.upsert(spark, batch, layout.raw_energy, ["ts", "region"], update=["load_mw"],
+                preserve=["created_at"], defaults={"created_at": F.current_timestamp()},
+                partitions=days, schema=schemas.with_day(schemas.RAW_ENERGY))
 
-def rebuild_energy(spark: SparkSession, layout: Layout, energy: DataFrame | None = None,
-                   jitter: bool = True, days: list | None = None) -> None:
-    """Rebuild raw energy (TRUNCATE + INSERT): measured, or modelled from weather.
 
-    With ``days`` only those day partitions are replaced.  The modelled load is
-    a pure function of the weather row (keyed jitter, not a random stream), so
-    rebuilding only the touched days gives the same table as a full rebuild.
-    """
-    if energy is None:
-        raw_w = _read(spark, layout.raw_weather, days)
-        energy = energy_from_weather(raw_w.drop("day", "created_at"), time_col="time",
-                                     jitter=jitter, scale=None)
-    out = energy.select("ts", "region", "load_mw", F.current_timestamp().alias("created_at"),
-                        utc_day("ts").alias("day"))
-    out = _scope(out, days)
-    sink.write_table(out, layout.raw_energy, ["day"], sort_within=["region", "ts"],
-                     only_present_partitions=days is not None)
-
-
-def stage(spark: SparkSession, layout: Layout, days: list | None = None) -> None:
-    """Raw -> staging upserts on (ts, region) (the run's days, or everything)."""
-    rw = _read(spark, layout.raw_weather, days)
-    re_ = _read(spark, layout.raw_energy, days)
-    # Raw tables are keyed on the same (time, region), so the batches are unique.
-    # The two upserts are independent jobs and run concurrently.
-    run_all(lambda: sink.upsert(spark, stage_weather(rw.drop("day", "created_at")),
-                                layout.staging_weather, ["ts", "region"], dedupe_order="unique",
-                                partitions=days),
-            lambda: sink.upsert(spark, stage_energy(re_.drop("day", "created_at")),
-                                layout.staging_energy, ["ts", "region"], dedupe_order="unique",
-                                partitions=days))
-
-
-def rebuild_and_stage(spark: SparkSession, layout: Layout, energy: DataFrame | None = None,
-                      jitter: bool = True, days: list | None = None) -> None:
-    """:func:`rebuild_energy` and :func:`stage` as one concurrent wave.
-
-    Raw energy and staging energy come from the same load frame (measured, or
-    modelled from raw weather with keyed jitter -- deterministic, so computing
-    it for both writes gives identical rows); staging weather reads raw weather.
-    Same tables as running the two steps in order, one job wave fewer.
+def model_energy(spark: SparkSession, layout: Layout, jitter: bool = True,
+                 days: list | None = None) -> None:
+    """Rebuild raw energy (TRUNCATE + INSERT) from raw weather by the demand model.
+
+    With ``days`` only those day partitions are replaced.  The load is a pure
+    function of the weather row (keyed jitter, not a random stream), so rebuilding
+    only the touched days gives the same table as a full rebuild.
     """
-    rw = _read(spark, layout.raw_weather, days)
-    measured = energy is not None
-    if not measured:
-        energy = energy_from_weather(rw.drop("day", "created_at"), time_col="time",
-                                     jitter=jitter, scale=None)
-    load = _scope(energy.select("ts", "region", "load_mw", utc_day("ts").alias("day")), days)
-    if measured:   # modelled load inherits the raw weather key; measured load is checked
-        load = dedupe_batch(load, ["ts", "region"])
-    raw_out = load.select("ts", "region", "load_mw",
-                          F.current_timestamp().alias("created_at"), "day")
-    run_all(
-        lambda: sink.write_table(raw_out, layout.raw_energy, ["day"],
-                                 sort_within=["region", "ts"],
-                                 only_present_partitions=days is not None),
-        # raw tables are keyed on the same (time, region): the batches are unique
-        lambda: sink.upsert(spark, stage_weather(rw.drop("day", "created_at")),
-                            layout.staging_weather, ["ts", "region"], dedupe_order="unique",
-                            partitions=days),
-        lambda: sink.upsert(spark, stage_energy(load.drop("day")), layout.staging_energy,
-                            ["ts", "region"], dedupe_order="unique", partitions=days))
+    raw_w = _read(spark, layout.raw_weather, days)
+    load = energy_from_weather(raw_w.drop("day", "created_at"), time_col="time",
+                               jitter=jitter, scale=None)
+    out = load.select("ts", "region", "load_mw", F.current_timestamp().alias("created_at"),
+                      utc_day("ts").alias("day"))
+    sink.write_table(out, layout.raw_energy, "day", sort_within=["region", "ts"],
+                     only_present_partitions=days is not None,
+                     schema=schemas.with_day(schemas.RAW_ENERGY))
+
+
+def stage(spark: SparkSession, layout: Layout, weather_days: list | None = None,
+          energy_days: list | None = None) -> None:
+    """Raw -> staging upserts on (ts, region) of the given days, or of everything; two
+    independent jobs, submitted together.  Days without a raw table yet are skipped."""
+    def one(raw: str, make, target: str, days, schema) -> Callable[[], None]:
+        rows = _read(spark, raw, days).drop("day", "created_at")
+        return lambda: sink.upsert(spark, make(rows), target, ["ts", "region"],
+                                   dedupe_order="unique", partitions=days, schema=schema)
+
+    jobs = []
+    if weather_days is None or weather_days:
+        jobs.append(one(layout.raw_weather, stage_weather, layout.staging_weather, weather_days,
+                        schemas.STAGING_WEATHER))
+    if (energy_days is None or energy_days) and sink.table_exists(spark, layout.raw_energy):
+        jobs.append(one(layout.raw_energy, stage_energy, layout.staging_energy, energy_days,
+                        schemas.STAGING_ENERGY))
+    run_all(*jobs)
 
 
 def gate_staging(spark: SparkSession, layout: Layout, expected_rows: int | None = None,
-                 days: list | None = None) -> None:
-    """Fail-fast gates on staging.  Range and duplicates look at the run's days
-    (earlier days passed the gate when they were loaded); the exact row count is
-    a whole-table property."""
+                 days: list | None = None, modelled: list | None = None) -> None:
+    """Fail-fast gates on staging: range and duplicates on the given days.
+
+    Row count: ``expected_rows`` is for the whole staging energy table.  Without it
+    the days whose load was ``modelled`` in this run must hold one energy row per
+    weather row.
+    """
     sw = _read(spark, layout.staging_weather, days)
-    gates = [lambda: Q.gate_range(sw, "temperature_2m", *WEATHER_RANGE)]
-    if expected_rows is not None and days is None:
-        se_all = sink.read(spark, layout.staging_energy)
-        # one pass over the table answers both energy gates
-        gates.append(lambda: Q.check(
-            se_all.agg((F.count(F.lit(1)) == Q.distinct_rows(["ts", "region"])).alias("unique"),
-                       (F.count(F.lit(1)) == F.lit(expected_rows)).alias("rowcount_ok")),
-            f"staging energy unique and {expected_rows} rows"))
-    else:
-        se = _read(spark, layout.staging_energy, days)
-        gates.append(lambda: Q.gate_unique(se, ["ts", "region"]))
-        if expected_rows is not None:   # a whole-table property
-            gates.append(lambda: Q.gate_rowcount(sink.read(spark, layout.staging_energy),
-                                                 expected_rows))
+    se = _read(spark, layout.staging_energy, days)
+    gates = [lambda: Q.gate_range(sw, "temperature_2m", *WEATHER_RANGE),
+             lambda: Q.gate_unique(se, ["ts", "region"])]
+    if expected_rows is not None:
+        gates.append(lambda: Q.gate_rowcount(sink.read(spark, layout.staging_energy),
+                                             expected_rows))
+    elif modelled:
+        gates.append(lambda: Q.gate_rowcount(_read(spark, layout.staging_energy, modelled),
+                                             _read(spark, layout.staging_weather, modelled).count()))
     run_all(*gates)
 
 
 def build_marts(spark: SparkSession, layout: Layout, days: list | None = None) -> None:
-    """Dimensions, fact and marts: five independent writes, run concurrently.
+    """Dimensions first, then the foreign-key gate, then fact and marts together.
 
-    Every output is limited to the run's days: dimensions append only new keys,
-    the fact is upserted per day, and both marts replace just their day
-    partitions (the pooled weather mart is partitioned by its ``day_utc``
-    timestamp), so no step re-reads the whole history.
+    Every output is limited to the given days: dimensions get only new keys, the
+    fact is upserted per day, and both marts replace just their day partitions.
     """
     sw = _read(spark, layout.staging_weather, days)
     se = _read(spark, layout.staging_energy, days)
@@ -225,22 +211,32 @@ def build_marts(spark: SparkSession, layout: Layout, days: list | None = None) -
     re_ = _read(spark, layout.raw_energy, days).drop("day", "created_at")
     std_w, std_e = standard_weather(rw), standard_energy(re_)
     run_all(
-        lambda: sink.insert_new(spark, M.dim_date(sw, se), layout.dim_date, ["day"]),
-        lambda: sink.insert_new(spark, M.dim_region(se, sw), layout.dim_region, ["region"]),
+        lambda: sink.insert_new(spark, M.dim_date(sw, se), layout.dim_date, ["day"],
+                                schemas.DIM_DATE),
+        lambda: sink.insert_new(spark, M.dim_region(se, sw), layout.dim_region, ["region"],
+                                schemas.DIM_REGION))
+    fact = M.fact_energy_daily(se)
+    Q.gate_references(fact.select("day", "region"), dimensions(spark, layout))
+    run_all(
         # a group-by output: one row per key, no duplicate check needed
-        lambda: sink.upsert(spark, M.fact_energy_daily(se), layout.fact, ["day", "region"],
-                            dedupe_order="unique", partitions=days),
+        lambda: sink.upsert(spark, fact, layout.fact, ["day", "region"], dedupe_order="unique",
+                            partitions=days, schema=schemas.FACT_ENERGY_DAILY),
         lambda: sink.write_table(M.mart_weather_daily(std_w), layout.mart_weather_daily,
-                                 ["day_utc"], only_present_partitions=days is not None),
+                                 "day_utc", only_present_partitions=days is not None),
         lambda: sink.write_table(M.mart_energy_weather_daily(std_e, std_w),
-                                 layout.mart_energy_weather_daily, ["day_utc"],
+                                 layout.mart_energy_weather_daily, "day_utc",
                                  only_present_partitions=days is not None))
 
 
-def test_marts(spark: SparkSession, layout: Layout) -> None:
-    run_all(lambda: Q.gate_tests(sink.read(spark, layout.mart_energy_weather_daily),
+def dimensions(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    return {"day": sink.read(spark, layout.dim_date), "region": sink.read(spark, layout.dim_region)}
+
+
+def test_marts(spark: SparkSession, layout: Layout, days: list | None = None) -> None:
+    """Model tests on the given days of both marts."""
+    run_all(lambda: Q.gate_tests(_read(spark, layout.mart_energy_weather_daily, days),
                                  ENERGY_WEATHER_MART_TESTS, "mart_energy_weather_daily"),
-            lambda: Q.gate_tests(sink.read(spark, layout.mart_weather_daily), WEATHER_MART_TESTS,
+            lambda: Q.gate_tests(_read(spark, layout.mart_weather_daily, days), WEATHER_MART_TESTS,
                                  "mart_weather_daily"))
 
 
@@ -263,14 +259,14 @@ class LazyReports(Mapping):
         return len(self._builders)
 
 
-def quality_reports(spark: SparkSession, layout: Layout, expected_rows: int = 2160
+def quality_reports(spark: SparkSession, layout: Layout, expected_rows: int | None = None
                     ) -> LazyReports:
-    """Validation and quality reports (never fail), built lazily by name."""
+    """Validation and quality reports (never fail), built lazily by name.  Without
+    ``expected_rows`` the drift report expects days x 24 x series of the table."""
     sw = lambda: sink.read(spark, layout.staging_weather)
     se = lambda: sink.read(spark, layout.staging_energy)
     fact = lambda: sink.read(spark, layout.fact)
-    dims = lambda: {"day": sink.read(spark, layout.dim_date),
-                    "region": sink.read(spark, layout.dim_region)}
+    dims = lambda: dimensions(spark, layout)
     return LazyReports({
         "fact_grain": lambda: Q.grain_report(fact(), ["day", "region"], total="fact_rows"),
         "missing_dim_keys": lambda: Q.missing_dim_report(fact(), dims()),
@@ -300,8 +296,9 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
     time, region, temperature_2m).  ``energy`` (ts, region, load_mw) is measured
     load; without it raw energy is rebuilt from weather by the demand model.
 
-    ``incremental`` limits every stage after the raw load to the days present
-    in the weather batch; ``False`` re-reads whole tables (same result).
+    ``incremental`` limits every stage after the raw load to the run's days (those of
+    the weather batch and of ``energy``) and to pending days; ``False`` re-reads whole
+    tables (same result).
     ``register_tables`` exposes the tables as ``raw.*``, ``staging.*``, ``mart.*``
     in the session catalog (see ``hourcast.plans.catalog``).
     ``as_of`` (a date) keeps only the last ``n_days`` complete UTC days before it,
@@ -311,38 +308,45 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
     layout = Layout(warehouse)
     if sum(x is not None for x in (landing, csv, weather)) != 1:
         raise ValueError("give exactly one of landing=, csv=, weather=")
-    held: list[DataFrame] = []                 # caches this run owns; released below
+    folder = f"{layout.warehouse.rstrip('/')}/batches/{uuid.uuid4().hex}"
     try:
         if landing is not None:
             weather = weather_from_landing(spark, landing)
         elif csv is not None:
-            # gate and parse both read the text: read the files once
-            text = read_processed_csv(spark, csv).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(text)
-            weather = weather_from_text(text)
+            weather = weather_from_text(read_processed_csv(spark, csv))
         weather = weather.select("time", "region", "temperature_2m")   # the raw table's shape
         if as_of is not None:
             weather = weather.filter(within_complete_days(utc_day("time"), as_of, n_days))
-        # The typed batch is read several times (day list, duplicate check,
-        # upsert): keep it for the run instead of re-parsing the landed files.
-        if not weather.is_cached:              # never drop a cache the caller made
-            weather = weather.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(weather)
-        # One pass answers both: the batch's calendar days (the scope of every
-        # later stage) and whether a (time, region) key repeats.
-        batch_days, max_n, worst = batch_profile(weather)
-        if max_n > 1:
-            raise DuplicateKeyError(f"duplicate key in batch ({max_n} rows): {worst}")
-        days = batch_days if incremental else None
-        load_weather(spark, layout, weather, days, checked_unique=True)
+        # Batches are read several times (days and duplicates, then the upsert): they are
+        # written once, so parsing or joins behind them run once.
+        weather = _written(spark, weather, f"{folder}/weather")
+        weather_days = checked_days(weather, "weather")
+        energy_days = weather_days
+        if energy is not None:
+            energy = _written(spark, energy.select("ts", "region", "load_mw"), f"{folder}/energy")
+            energy_days = checked_days(energy, "energy", "ts")
+        load_weather(spark, layout, weather, weather_days)
+        if energy is not None:
+            load_energy(spark, layout, energy, energy_days)
+        else:
+            model_energy(spark, layout, jitter, weather_days if incremental else None)
     finally:
-        for df in held:
-            df.unpersist()
-    rebuild_and_stage(spark, layout, energy, jitter=jitter, days=days)
-    gate_staging(spark, layout, expected_rows, days)
+        sink.delete_path(spark, folder)
+    stage(spark, layout, weather_days if incremental else None, energy_days if incremental else None)
+    days = None
+    if incremental:
+        days = sorted({str(d) for d in [*weather_days, *energy_days]}
+                      | set(pending_days(spark, layout)))
+    modelled = [str(d) for d in weather_days] if energy is None else None
+    gate_staging(spark, layout, expected_rows, days, modelled)
     build_marts(spark, layout, days)
-    test_marts(spark, layout)
+    test_marts(spark, layout, days)
     if register_tables:
         from hourcast.plans.catalog import register
         register(spark, layout)
-    return RunResult(layout, quality_reports(spark, layout, expected_rows or 2160))
+    return RunResult(layout, quality_reports(spark, layout, expected_rows))
+
+
+def _written(spark: SparkSession, batch: DataFrame, folder: str) -> DataFrame:
+    batch.write.parquet(folder)
+    return spark.read.parquet(folder)

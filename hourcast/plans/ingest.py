@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourcast.operators.quality import GateFailed, gate_ingest
+from hourcast.operators.quality import gate_ingest, raise_ingest
+from hourcast.operators.upsert import dedupe_batch
 from hourcast.sources import csv as csv_src
 from hourcast.sources import landing
 
 
 def weather_from_documents(docs: DataFrame, check: bool = True, lenient_time: bool = False,
                            validate: bool | None = None, min_rows: int = 1,
-                           lo: float = -50, hi: float = 60) -> DataFrame:
+                           lo: float = -50, hi: float = 60, latest: bool = False) -> DataFrame:
     """Documents -> (time, region, temperature_2m).
 
+    ``latest``: of several documents with the same (time, region) the one fetched
+    last counts (``_meta.fetched_at_utc``; equal times: the higher temperature).
+
     ``check``: structural document checks.  ``validate`` (defaults to
     ``check``): the pre-load gate on the rows -- at least ``min_rows``, time and
     temperature present (a JSON null temperature fails, as its empty CSV cell
@@ -23,20 +28,15 @@ def weather_from_documents(docs: DataFrame, check: bool = True, lenient_time: bo
     validate = check if validate is None else validate
     if check or validate:
         r = landing.document_profile(docs, lo, hi).first()
-        if check and r["problem"] is not None:
-            raise landing.DocumentError(f"{r['problem']} (region={r['problem_region']}, "
-                                        f"doc={r['problem_doc']})")
+        if check:
+            landing.raise_document(r)
         if validate:
-            if (r["n_rows"] or 0) < min_rows:
-                raise GateFailed(f"Too few rows: {r['n_rows'] or 0} (expected >= {min_rows})")
-            if r["blank_times"]:
-                raise GateFailed(f"Missing time value ({r['blank_times']} rows)")
-            if r["null_temps"]:
-                raise GateFailed(f"Missing temperature value ({r['null_temps']} rows)")
-            if r["bad_temps"]:
-                raise GateFailed(f"Temperature out of expected range ({r['bad_temps']} rows)")
-    return landing.typed_hourly(landing.flatten(docs), lenient=lenient_time) \
-        .select("time", "region", "temperature_2m")
+            raise_ingest(r, min_rows, lo, hi)
+    rows = landing.typed_hourly(landing.flatten(docs, with_meta=latest), lenient=lenient_time)
+    if latest:
+        fetched = F.try_to_timestamp(F.col("meta_fetched_at_utc"))
+        rows = dedupe_batch(rows, ["time", "region"], order=[fetched, "temperature_2m"])
+    return rows.select("time", "region", "temperature_2m")
 
 
 def weather_from_landing(spark: SparkSession, path: str, check: bool = True,

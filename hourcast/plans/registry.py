@@ -24,11 +24,13 @@ from hourcast.plans import analysis as A
 from hourcast.plans import marts as M
 from hourcast.plans.features import demand_features
 from hourcast.plans.ingest import weather_from_documents
-from hourcast.plans.staging import standard_energy, standard_weather
+from hourcast.plans.staging import (stage_energy, stage_weather, standard_energy,
+                                    standard_weather)
 from hourcast.session import checkpoint_dir
 from hourcast.sinks import tables as sink
 from hourcast.sources import driver_tables as dt
-from hourcast.sources.landing import build_documents
+from hourcast.sources.landing import (build_documents, document_violations, flatten,
+                                       read_documents)
 
 R6 = 6
 
@@ -73,7 +75,9 @@ def stage_tables(spark: SparkSession, sf_dir: str, mode: str = "regions"):
         # One written table holds both measures per (hour, region) cell; the
         # energy and weather staging tables are projections of it on read.
         agg.sortWithinPartitions("region", "ts").write.mode("overwrite").parquet(path)
-        energy, weather = dt.split_hourly(spark.read.parquet(path), mode)
+        energy, weather = dt.split_hourly(spark.read.parquet(path))
+        for old in [k for k, v in _STAGED.items() if v[0] is not spark]:
+            del _STAGED[old]                      # frames of a stopped session
         _STAGED[key] = (spark, energy, weather)
     return _STAGED[key][1], _STAGED[key][2]
 
@@ -123,11 +127,13 @@ ENERGY_WEATHER_MART_TESTS = [
 
 # ------------------------------------------------------------------ queries
 def q_staging_energy(spark, d):
-    return _energy(spark, d)
+    """Raw energy through the staging step."""
+    return stage_energy(raw_pair(spark, d)[0], audit=False)
 
 
 def q_staging_weather(spark, d):
-    return _weather(spark, d)
+    """Raw weather through the staging step."""
+    return stage_weather(raw_pair(spark, d)[1], audit=False)
 
 
 def q_cold_shock_events(spark, d):
@@ -267,7 +273,7 @@ def q_null_report_fact(spark, d):
 
 
 def q_rowcount_drift(spark, d):
-    return Q.rowcount_drift(_energy(spark, d), Q.expected_hourly_rows(30, 3))   # 2160
+    return Q.rowcount_drift(_energy(spark, d))
 
 
 def q_orphan_keys(spark, d):
@@ -351,14 +357,59 @@ def q_demand_features(spark, d):
 
 
 def q_landing_roundtrip(spark, d):
-    """Weather -> landed documents (one per day) -> checks -> flatten -> typed rows."""
-    # three region codes: one multi-region document per day, as landed
-    docs = build_documents(_weather(spark, d), doc_buckets=1)
-    out = weather_from_documents(docs, check=True)
+    """Weather -> landed JSON files (a document per day and region) -> scan -> checks ->
+    flatten -> typed rows."""
+    out = weather_from_documents(_landed(spark, d), check=True)
     return out.select(F.col("time").cast("timestamp_ntz").alias("time"), "region",
                       "temperature_2m")
 
 
+def _landed(spark, d, spoil=None) -> DataFrame:
+    """Documents written to the shared folder as JSON lines and read back from it."""
+    docs = build_documents(_weather(spark, d)).select("_meta", "regions")
+    path = _scratch(spark, "landing")
+    (spoil(docs) if spoil else docs).write.json(path)
+    return read_documents(spark, path, multi_line=False)
+
+
+def q_landing_envelope(spark, d):
+    """Provenance of every landed row: the six envelope fields next to its counts."""
+    flat = flatten(_landed(spark, d), with_meta=True)
+    return (flat.groupBy("region", "meta_source", "meta_timezone", "meta_start_date", "meta_end_date")
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_if(F.col("meta_fetched_at_utc").isNotNull()).alias("n_fetched_utc"),
+                 F.count_if(F.col("meta_fetched_at_local").isNotNull()).alias("n_fetched_local")))
+
+
+def _spoiled(docs: DataFrame) -> DataFrame:
+    """Documents of four days with one structural fault each."""
+    on = lambda day: F.col("_meta.start_date") == day
+    entry = lambda **new: F.transform("regions", lambda r: _with(r, **new))
+    hourly = lambda time, temps: F.struct(F.struct(
+        time.alias("time"), temps.alias("temperature_2m")).alias("hourly"))
+    old = F.col("regions")[0]["payload"]["hourly"]
+    return docs.withColumn(
+        "regions",
+        F.when(on("2024-01-03"), F.filter("regions", lambda r: F.lit(False)))
+        .when(on("2024-01-04"), entry(region=F.lit(None).cast("string")))
+        .when(on("2024-01-05"), entry(payload=hourly(F.lit(None).cast("array<string>"),
+                                                     old["temperature_2m"])))
+        .when(on("2024-01-06"), entry(payload=hourly(
+            F.slice(old["time"], 1, 1), F.concat(old["temperature_2m"], F.array(F.lit(1.0))))))
+        .otherwise(F.col("regions")))
+
+
+def _with(entry, **new):
+    return F.struct(*[new.get(c, entry[c]).alias(c) for c in ("region", "latitude", "longitude", "payload")])
+
+
+def q_landing_violations(spark, d):
+    """Structural violations over landed files of which four days are spoiled."""
+    found = document_violations(_landed(spark, d, _spoiled))
+    kind = F.regexp_replace("problem", r"\d+", "n")
+    return found.groupBy(kind.alias("problem")).agg(F.count(F.lit(1)).alias("n_documents"))
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/hourcast-{name}-{uuid.uuid4().hex}"
 
@@ -396,6 +447,210 @@ def q_daily_run_fact(spark, d):
                           "n_hours"), "avg_load_mw", "min_load_mw", "max_load_mw")
 
 
+def _fact_of(spark, wh: str) -> DataFrame:
+    fact = sink.read(spark, _layout(wh).fact)
+    return _r(fact.select("day", "region", "avg_load_mw", "min_load_mw", "max_load_mw",
+                          "n_hours"), "avg_load_mw", "min_load_mw", "max_load_mw")
+
+
+def _layout(wh: str):
+    from hourcast.plans import daily
+    return daily.Layout(wh)
+
+
+def _before(df: DataFrame, column: str, when: str) -> DataFrame:
+    return df.filter(F.col(column) < F.lit(when).cast("timestamp_ntz"))
+
+
+def q_daily_run_measured(spark, d):
+    """Weather of one day with measured load of two days: both days reach the fact."""
+    from hourcast.plans import daily
+    raw_e, raw_w = raw_pair(spark, d)
+    wh = _scratch(spark, "measured")
+    daily.run(spark, wh, weather=_before(raw_w, "time", "2024-01-02"),
+              energy=_before(raw_e, "ts", "2024-01-03"))
+    return _fact_of(spark, wh)
+
+
+def q_daily_run_half_day(spark, d):
+    """Measured load in two halves of a day, the second with a correction of one hour."""
+    from hourcast.plans import daily
+    raw_e, raw_w = raw_pair(spark, d)
+    wh = _scratch(spark, "halves")
+    day_w, day_e = _before(raw_w, "time", "2024-01-02"), _before(raw_e, "ts", "2024-01-02")
+    daily.run(spark, wh, weather=day_w, energy=day_e.filter(F.hour("ts") < 12))
+    later = day_e.filter(F.hour("ts") >= 11).withColumn("load_mw", F.col("load_mw") + F.lit(100.0))
+    daily.run(spark, wh, weather=day_w, energy=later)
+    return _fact_of(spark, wh)
+
+
+def q_daily_run_repaired(spark, d):
+    """A day that fails the range gate blocks the next run, and is taken up once repaired."""
+    from hourcast.plans import daily
+    _, raw_w = raw_pair(spark, d)
+    wh = _scratch(spark, "repaired")
+    first = _before(raw_w, "time", "2024-01-02")
+    second = _before(raw_w, "time", "2024-01-03").filter(
+        F.col("time") >= F.lit("2024-01-02").cast("timestamp_ntz"))
+    failed = 0
+    for batch in (first.withColumn("temperature_2m", F.lit(50.0)), second):
+        try:
+            daily.run(spark, wh, weather=batch, jitter=False)
+        except Q.GateFailed:
+            failed += 1
+    daily.run(spark, wh, weather=first, jitter=False)
+    return _fact_of(spark, wh).withColumn("failed_runs", F.lit(failed))
+
+
+def q_daily_run_dim_region(spark, d):
+    """Regions inserted by two runs, the second with one more region."""
+    from hourcast.plans import daily
+    _, raw_w = raw_pair(spark, d)
+    wh = _scratch(spark, "regions")
+    day = _before(raw_w, "time", "2024-01-03")
+    daily.run(spark, wh, weather=day.filter(F.col("region") != "DE-BE"), jitter=False)
+    daily.run(spark, wh, weather=day, jitter=False)
+    return sink.read(spark, _layout(wh).dim_region)
+
+
+def q_daily_run_mart(spark, d):
+    """The written weather mart of two overlapping runs."""
+    from hourcast.plans import daily
+    _, raw_w = raw_pair(spark, d)
+    wh = _scratch(spark, "mart")
+    daily.run(spark, wh, weather=_before(raw_w, "time", "2024-01-04"), jitter=False)
+    daily.run(spark, wh, weather=raw_w.filter(
+        F.col("time") >= F.lit("2024-01-03").cast("timestamp_ntz")), jitter=False)
+    return _r(sink.read(spark, _layout(wh).mart_weather_daily), "avg_temp_c")
+
+
+def q_csv_mixed(spark, d):
+    """One folder of CSV files with three layouts, blank regions and incomplete rows."""
+    from hourcast.sources import csv as csv_src
+    _, rw = raw_pair(spark, d)
+    text = rw.select("region", F.date_format("time", "yyyy-MM-dd'T'HH:mm").alias("time"),
+                     F.col("temperature_2m").cast("string").alias("temperature_2m"),
+                     F.hour("time").alias("h"))
+    path = _scratch(spark, "csv-mixed")
+    blank = F.when(F.col("region") == "DE-BY", F.lit("  ")).otherwise(F.col("region")).alias("region")
+    time = F.when(F.col("h") == 9, F.lit("")).otherwise(F.col("time")).alias("time")
+    temp = F.when(F.col("h") == 17, F.lit("")).otherwise(F.col("temperature_2m")).alias("temperature_2m")
+    for name, part in (("a", text.filter("h < 8").select(blank, "time", "temperature_2m")),
+                       ("b", text.filter("h >= 8 AND h < 16").select("temperature_2m", time, "region")),
+                       ("c", text.filter("h >= 16 AND region = 'DE-NW'").select("time", temp))):
+        sink.write_csv(part, f"{path}/{name}")
+    rows = csv_src.parse_weather_rows(csv_src.read_processed_csv(spark, f"{path}/*"))
+    return rows.select(F.col("time").cast("timestamp_ntz").alias("time"), "region", "temperature_2m")
+
+
+# gates as their one-row results, on clean and on dirtied inputs
+def q_gate_range(spark, d):
+    return Q.range_check(_weather(spark, d), "temperature_2m", -40, 45)
+
+
+def q_gate_range_dirty(spark, d):
+    return Q.range_check(_dirty(spark, d)[1], "temperature_2m", -40, 45)
+
+
+def q_gate_unique(spark, d):
+    return Q.unique_check(_energy(spark, d), ENERGY_KEYS)
+
+
+def q_gate_unique_dirty(spark, d):
+    return Q.unique_check(_dirty(spark, d)[0], ENERGY_KEYS)
+
+
+def q_gate_rowcount(spark, d):
+    return Q.rowcount_check(_energy(spark, d), 2160)
+
+
+def q_gate_rowcount_dirty(spark, d):
+    return Q.rowcount_check(_dirty(spark, d)[0], 2160)
+
+
+def _ingest_text(weather: DataFrame) -> DataFrame:
+    return weather.select(F.col("ts").cast("string").alias("time"),
+                          F.col("temperature_2m").cast("string").alias("temperature_2m"))
+
+
+def q_gate_ingest(spark, d):
+    return Q.ingest_profile(_ingest_text(_weather(spark, d)))
+
+
+def q_gate_ingest_dirty(spark, d):
+    """No time at hour 1, no value at 2, no number at 4; -100 degC (outside) at hour 3."""
+    h = F.hour("time")
+    text = _ingest_text(_dirty(spark, d)[1])
+    return Q.ingest_profile(text.select(
+        F.when(h != 1, F.col("time")).alias("time"),
+        F.when(h == 2, F.lit("")).when(h == 4, F.lit("n/a"))
+        .otherwise(F.col("temperature_2m")).alias("temperature_2m")))
+
+
+def q_model_tests_dirty(spark, d):
+    """Model tests over a mart with a repeated day, NULL loads and negative loads."""
+    e, _ = _dirty(spark, d)
+    mart = e.select(F.col("day").alias("day_utc"), "region", "ts",
+                    F.when(F.hour("ts") == 5, -F.col("load_mw")).otherwise(F.col("load_mw"))
+                    .alias("avg_load_mw"))
+    return Q.model_test_failures(mart, [
+        ("not_null", "day_utc", "not_null:day_utc"), ("not_null", "avg_load_mw", "not_null:avg_load_mw"),
+        ("unique_combination", ["ts", "region"], "unique_combination:ts,region"),
+        ("unique", "ts", "unique:ts"),
+        ("expression_is_true", "avg_load_mw > 0", "expression_is_true:avg_load_mw > 0")])
+
+
+def q_n_hours_mismatches(spark, d):
+    """Fact rows whose hour count differs from a recount over the dirtied hours."""
+    fact = M.fact_energy_daily(_energy(spark, d))
+    return Q.reconcile_counts(fact, _dirty(spark, d)[0], mismatches_only=True)
+
+
+def q_demand_jitter(spark, d):
+    """The modelled load's noise: within bounds, and the same after a reshuffle."""
+    w = _weather(spark, d)
+    model = lambda x: demand_features(x, scale=None, jitter=True)
+    plain = demand_features(w, scale=None).select("ts", "region", F.col("demand_mw").alias("base"))
+    again = model(w.repartition(7, "temperature_2m")).select("ts", "region", F.col("demand_mw").alias("again"))
+    both = model(w).join(again, ["ts", "region"]).join(plain, ["ts", "region"])
+    noise = F.abs(F.col("demand_mw") - F.col("base"))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.count_if(F.col("demand_mw") != F.col("again")).alias("n_unstable"),
+                    F.count_if(noise > 50).alias("n_outside"))
+
+
+# series with a NULL key and a NULL time, in both window shapes
+def q_lag_delta_nulls(spark, d):
+    return A.lag_delta_load(dt.with_null_keys(_energy(spark, d)))
+
+
+def q_lag_delta_nulls_plain(spark, d):
+    return A.lag_delta_load(dt.with_null_keys(_energy(spark, d)), chunk=None)
+
+
+def q_rolling_24_nulls(spark, d):
+    return _r(A.rolling_24(dt.with_null_keys(_energy(spark, d)), scale=None), "load_roll24h_mw")
+
+
+def q_rolling_24_nulls_plain(spark, d):
+    return _r(A.rolling_24(dt.with_null_keys(_energy(spark, d)), scale=None, chunk=None),
+              "load_roll24h_mw")
+
+
+# reports in their row order, numbered
+def _numbered(name: str):
+    def q(spark, d):
+        out = globals()[f"q_{name}"](spark, d)
+        return A.in_order(name, out, numbered=True)
+    q.__name__ = f"q_{name}_ordered"
+    q.__doc__ = f"The report {name} in its row order."
+    return q
+
+
+for _name in A.ORDERS:
+    globals()[f"q_{_name}_ordered"] = _numbered(_name)
+
+
 # dirtied inputs: the reports must find what was planted
 def q_grain_energy_dirty(spark, d):
     return Q.grain_report(_dirty(spark, d)[0], ENERGY_KEYS)
@@ -410,7 +665,7 @@ def q_temp_range_report_dirty(spark, d):
 
 
 def q_rowcount_drift_dirty(spark, d):
-    return Q.rowcount_drift(_dirty(spark, d)[0], 2160)
+    return Q.rowcount_drift(_dirty(spark, d)[0])
 
 
 def q_energy_profile_dirty(spark, d):
@@ -439,6 +694,13 @@ def q_top3_hours_by_user(spark, d):
     return A.top_hours(_energy(spark, d, "users"), 3)
 
 
+def q_mart_energy_weather_daily_by_user(spark, d):
+    """Most users have days with load and without weather: the join's NULL side."""
+    re_, rw = raw_pair(spark, d, "users")
+    return _r(M.mart_energy_weather_daily(standard_energy(re_), standard_weather(rw)),
+              "avg_load_mw", "avg_temp_c")
+
+
 def q_fact_daily_by_user(spark, d):
     return _r(M.fact_energy_daily(_energy(spark, d, "users"), audit=False), "avg_load_mw")
 

@@ -41,6 +41,13 @@ FACT_ENERGY_DAILY = _struct(("day", DT, False), ("region", S, False),
                             ("max_load_mw", D, False), ("n_hours", I, False),
                             ("updated_at", TS, False))
 
+
+
+def with_day(schema: T.StructType) -> T.StructType:
+    """A raw table's declared columns and the day it is partitioned by."""
+    return T.StructType([*schema.fields, T.StructField("day", DT, False)])
+
+
 # Primary keys (enforced by quality checks, not by storage).
 KEYS = {
     "raw_weather": ("time", "region"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -87,30 +87,17 @@ def build_session(master: str | None = None, app_name: str = "hourcast",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (or a directory already set on
-    the context).  Only when neither exists -- local tests -- a scratch folder is
-    created and registered.
+    The cluster's ``spark.checkpoint.dir``, or a directory already set on the
+    context.  Where neither is set a temporary folder serves a local session, and a
+    cluster session raises: a folder of one machine would lose data there.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 -- e.g. Spark Connect: no driver-side context
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
-        return sc.getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and sc is not None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if sc is None:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        configured = tempfile.mkdtemp(prefix="hourcast-ckpt-")
-    if sc is None:
-        return configured
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for a written intermediate table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{abs(hash((name, id(spark)))) % 10**8}"
+    sc = spark.sparkContext
+    folder = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="hourcast-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder

@@ -1,155 +1,240 @@
-"""Table writes with upsert semantics on partitioned parquet directories.
-
-Layout: one directory per table, Hive-partitioned by ``day``.  An upsert reads
-only the partitions its batch touches (a literal IN list on the partition column
-when the caller knows the days, else a semi join that enables dynamic partition
-pruning), merges them with the batch and writes them back with dynamic
-partition overwrite -- untouched days are never rewritten, so
-a daily batch costs one day, not the table.  Append-only inserts
-(insert-if-absent) never rewrite anything.  Task and executor failures are
-absorbed by the file commit protocol: old files stay readable until the job
-commits.
-
-A table must not be overwritten from a read of *the same partitions* through an
-unrelated plan; the upsert helpers always read and write in one job.
+"""Versioned tables of parquet files.
+
+Layout of a table directory::
+
+    data/v=<write>/[<column>=<value>/]part-*.parquet   the files of one write, never changed
+    versions/<number>                                  manifests; the highest number is current
+
+A write puts its files below a new ``v=`` directory and then publishes a manifest
+-- the list of live directories and the schema -- by renaming a finished file to
+the next number.  A reader takes the files of the current manifest, so it sees the
+table before or after a write, never between, and a write that dies leaves the
+table as it was.  An upsert reads and rewrites the partitions its batch touches;
+the manifest carries the others over.  Which partitions exist is known from the
+manifest, without calls per partition.
+
+One writer per table at a time.  :func:`vacuum` removes the files of writes that no
+kept version needs.
 """
 
 from __future__ import annotations
 
-import re
+import json
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourcast.operators.upsert import dedupe_batch, merge_columns, merge_replace, new_keys_only
+from hourcast.operators.upsert import (DuplicateKeyError, asserted_unique, dedupe_batch,
+                                       is_duplicate_error, merge_columns, merge_replace,
+                                       new_keys_only)
+
+
+# ------------------------------------------------------------------ file system
+def _fs(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Does the table directory exist (Hadoop FileSystem, any scheme)."""
-    try:
-        sc = spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
-    except Exception:  # noqa: BLE001 -- no JVM access (e.g. Spark Connect)
-        from pyspark.errors import AnalysisException
-        try:
-            spark.read.parquet(path).schema
-            return True
-        except AnalysisException:
-            return False
-
-
-def has_data(spark: SparkSession, path: str, schema: T.StructType | None = None) -> bool:
-    """The table exists and is readable.  A partitioned table created empty has no
-    data files, so its schema cannot be inferred: it counts as absent (the first
-    write creates it) unless a declared ``schema`` is given."""
-    if not path_exists(spark, path):
-        return False
-    if schema is not None:
-        return True
-    from pyspark.errors import AnalysisException
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+    """Does the path exist (Hadoop FileSystem, any scheme)."""
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Headered CSV directory (one file per task)."""
-    df.write.mode(mode).option("header", True).csv(path)
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a directory with all it holds, if it exists."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                mode: str = "overwrite", sort_within: Sequence[str] = (),
-                only_present_partitions: bool = False) -> None:
-    """Full rebuild / replace (TRUNCATE + INSERT, table materialisation).
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
-    With ``only_present_partitions`` an overwrite replaces just the partitions
-    present in ``df`` (dynamic partition overwrite), leaving the others.
-    ``sort_within`` orders rows inside each file (e.g. region, ts) so parquet
-    min/max statistics let later range predicates skip row groups.
-    """
-    if partition_by:
-        # AQE rebalance: roughly advisory-sized output partitions per day --
-        # small days are coalesced, a hot day is split -- instead of one file
-        # per (task, day).
-        df = df.hint("rebalance", *partition_by)
-    if sort_within:
-        df = df.sortWithinPartitions(*[*partition_by, *sort_within])
-    w = df.write.mode(mode).option(
-        "partitionOverwriteMode", "dynamic" if only_present_partitions else "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
 
+# ------------------------------------------------------------------ manifests
+class Manifest:
+    """The live directories of a table version (relative to ``data``) and its schema."""
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
-                 partition_by: Sequence[str] = ()) -> None:
-    """Create an empty table with the declared schema if it does not exist."""
-    if not path_exists(spark, path):
-        write_table(spark.createDataFrame([], schema), path, partition_by, mode="overwrite")
+    def __init__(self, number: int, column: str | None, dirs: Sequence[str], schema: T.StructType):
+        self.number, self.column, self.dirs, self.schema = number, column, list(dirs), schema
 
+    def value_of(self, directory: str) -> str:
+        """Partition value, as text, of one directory."""
+        return unquote(directory.rpartition("/")[2].partition("=")[2])
+
+    def values(self) -> set[str]:
+        return {self.value_of(d) for d in self.dirs} if self.column else set()
 
-def read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
 
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    return [int(n) for n in _names(spark, f"{path.rstrip('/')}/versions") if n.isdigit()]
 
-def try_read(spark: SparkSession, path: str, schema: T.StructType | None = None
-             ) -> DataFrame | None:
-    """The table, or None when it does not exist or has no readable data yet
-    (one listing: the read itself)."""
-    if not path_exists(spark, path):
+
+def manifest(spark: SparkSession, path: str, number: int | None = None) -> Manifest | None:
+    """The current manifest of a table, or None if nothing was published yet."""
+    numbers = _numbers(spark, path)
+    if not numbers:
         return None
-    from pyspark.errors import AnalysisException
+    number = max(numbers) if number is None else number
+    fs, p = _fs(spark, f"{path.rstrip('/')}/versions/{number:012d}")
+    stream = fs.open(p)
     try:
-        return read(spark, path, schema)
-    except AnalysisException:
-        return None
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    m = json.loads(text)
+    return Manifest(number, m["column"], m["dirs"], T.StructType.fromJson(m["schema"]))
+
+
+def publish(spark: SparkSession, path: str, column: str | None, dirs: Sequence[str],
+            schema: T.StructType) -> None:
+    """Switch the table to a new version: the one step that readers notice."""
+    base = f"{path.rstrip('/')}/versions"
+    number = max(_numbers(spark, path), default=0) + 1
+    text = json.dumps({"column": column, "dirs": sorted(dirs), "schema": json.loads(schema.json())})
+    fs, draft = _fs(spark, f"{base}/.draft-{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    target = _fs(spark, f"{base}/{number:012d}")[1]
+    if fs.exists(target) or not fs.rename(draft, target):
+        raise RuntimeError(f"another writer published version {number} of {path}")
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Drop all but the last ``keep`` versions and the write directories none of these
+    needs; returns the directories removed."""
+    numbers = sorted(_numbers(spark, path))
+    base = path.rstrip("/")
+    live = {d.partition("/")[0] for n in numbers[-keep:] for d in manifest(spark, path, n).dirs}
+    gone = [d for d in _names(spark, f"{base}/data") if d.startswith("v=") and d not in live]
+    for n in numbers[:-keep]:
+        delete_path(spark, f"{base}/versions/{n:012d}")
+    for d in gone:
+        delete_path(spark, f"{base}/data/{d}")
+    return gone
+
+
+# ------------------------------------------------------------------ reading
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Was a version of the table ever published."""
+    return bool(_numbers(spark, path))
+
+
+def read_manifest(spark: SparkSession, path: str, m: Manifest, values=None) -> DataFrame:
+    """Rows of a table version; ``values`` limits it to these partitions."""
+    dirs = m.dirs
+    if values is not None:
+        wanted = {str(v) for v in values}
+        # a timestamp partition counts as the day it begins
+        dirs = [d for d in dirs if m.value_of(d) in wanted or m.value_of(d)[:10] in wanted]
+    if not dirs:
+        return spark.createDataFrame([], m.schema)
+    base = f"{path.rstrip('/')}/data"
+    return (spark.read.schema(m.schema).option("basePath", base)
+            .parquet(*[f"{base}/{d}" for d in dirs]).select(*m.schema.fieldNames()))
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table; a plain parquet directory is read as it is."""
+    m = manifest(spark, path)
+    return spark.read.parquet(path) if m is None else read_manifest(spark, path, m)
+
+
+def try_read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None when no version was published yet."""
+    m = manifest(spark, path)
+    return None if m is None else read_manifest(spark, path, m)
+
+
+def read_partitions(spark: SparkSession, path: str, values: Sequence) -> DataFrame:
+    """Rows of the given partition values; only their directories are read."""
+    m = manifest(spark, path)
+    if m is None or m.column is None:
+        raise ValueError(f"{path} is not a partitioned table")
+    return read_manifest(spark, path, m, values)
+
+
+def partition_values(spark: SparkSession, path: str) -> set[str]:
+    """Partition values of a table, from its manifest (empty if there is none)."""
+    m = manifest(spark, path)
+    return m.values() if m is not None else set()
+
+
+# ------------------------------------------------------------------ writing
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Headered CSV directory (one file per task)."""
+    df.write.mode(mode).option("header", True).csv(path)
 
 
-def _touched(table: DataFrame, batch: DataFrame, partition_col: str,
-             partitions: list | None) -> DataFrame:
-    """The table's partitions the batch writes to: a literal IN list when the
-    caller knows them (pruned at planning), else a semi join on the batch's
-    distinct partition values (dynamic partition pruning)."""
-    if partitions is not None:
-        return table.filter(F.col(partition_col).isin(partitions))
-    return table.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of a declared schema, cast to its types; a NULL in a column declared
+    NOT NULL fails the write.  Both kinds of timestamp pass as they are."""
+    out = []
+    for f in schema.fields:
+        stamps = isinstance(f.dataType, T.TimestampType) and isinstance(
+            df.schema[f.name].dataType, (T.TimestampType, T.TimestampNTZType))
+        c = F.col(f.name) if stamps else F.col(f.name).cast(f.dataType)
+        if not f.nullable:
+            failed = F.raise_error(F.lit(f"NULL in column {f.name}, which is NOT NULL"))
+            c = F.when(F.col(f.name).isNull(), failed.cast(
+                df.schema[f.name].dataType if stamps else f.dataType)).otherwise(c)
+        out.append(c.alias(f.name))
+    return df.select(*out)
 
 
-_PLAIN_VALUE = re.compile(r"[\w.\-]+")
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def _touched_dirs(spark: SparkSession, path: str, partition_col: str, partitions: list
-                  ) -> list[str] | None:
-    """Existing partition directories for the given values, or None when a value
-    would need path escaping (then the caller filters instead)."""
-    if not all(_PLAIN_VALUE.fullmatch(str(v)) for v in partitions):
-        return None
-    dirs = [f"{path.rstrip('/')}/{partition_col}={v}" for v in partitions]
-    return [d for d in dirs if path_exists(spark, d)]
+def write_table(df: DataFrame, path: str, partition_by: str | None = None,
+                sort_within: Sequence[str] = (), only_present_partitions: bool = False,
+                schema: T.StructType | None = None) -> None:
+    """Write a new version (TRUNCATE + INSERT, table materialisation).
 
+    With ``only_present_partitions`` the new version replaces just the partitions
+    present in ``df`` and keeps the others.  ``sort_within`` orders rows inside each
+    file, so parquet statistics let later range predicates skip row groups.
+    ``schema`` is the declared schema (see :func:`conform`).
+    """
+    spark = df.sparkSession
+    if schema is not None:
+        df = conform(df, schema)
+    before = manifest(spark, path) if only_present_partitions else None
+    # number first: names sort by age
+    version = f"v={len(_names(spark, f'{path.rstrip(chr(47))}/data')):06d}-{uuid.uuid4().hex}"
+    folder = f"{path.rstrip('/')}/data/{version}"
+    out_schema = _nullable(df.schema)
+    if partition_by:
+        # AQE rebalance: roughly advisory-sized output partitions per day --
+        # small days are coalesced, a hot day is split -- instead of one file
+        # per (task, day).
+        df = df.hint("rebalance", partition_by)
+    if sort_within:
+        df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *sort_within)
+    w = df.write
+    (w.partitionBy(partition_by) if partition_by else w).parquet(folder)
+    if not partition_by:
+        publish(spark, path, None, [version], out_schema)
+        return
+    new = [n for n in _names(spark, folder) if n.startswith(f"{partition_by}=")]
+    kept = [d for d in (before.dirs if before else []) if d.rpartition("/")[2] not in set(new)]
+    publish(spark, path, partition_by, [*kept, *(f"{version}/{n}" for n in new)], out_schema)
 
-def read_partitions(spark: SparkSession, path: str, partition_col: str, values: list,
-                    schema: T.StructType | None = None) -> DataFrame:
-    """Rows of the given partition values, listing only their directories.
 
-    Falls back to reading the table with an IN filter when no such directory
-    exists yet or a value would need path escaping.
-    """
-    dirs = _touched_dirs(spark, path, partition_col, values) if values else None
-    if dirs:
-        r = spark.read.option("basePath", path)
-        if schema is not None:
-            r = r.schema(schema)
-        return r.parquet(*dirs)
-    return read(spark, path, schema).filter(F.col(partition_col).isin(values))
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
+                 partition_by: str | None = None) -> None:
+    """Publish an empty table with the declared schema if there is none."""
+    if not table_exists(spark, path):
+        publish(spark, path, partition_by, [], _nullable(schema))
 
 
 def _with_defaults(batch: DataFrame, preserve: Sequence[str],
@@ -169,51 +254,48 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
 
     ``update=None`` replaces whole rows (DO UPDATE of every column); otherwise
     only ``update`` columns change and ``preserve`` columns keep their first
-    value.  Duplicate keys in the batch fail unless ``dedupe_order`` is given
-    (last-wins).  ``partition_col`` must be a function of the key, so an
-    existing row always lives in the partition its batch row targets.
-    ``partitions`` may list the batch's partition values when the caller knows them.
+    value.  Duplicate keys in the batch fail the write, before anything is
+    published, unless ``dedupe_order`` is given (last-wins).  ``partition_col`` must
+    be a function of the key, so an existing row always lives in the partition its
+    batch row targets.  ``partitions`` may list the batch's partition values when
+    the caller knows them.
     """
-    batch = dedupe_batch(batch, keys, dedupe_order)
-    if partitions is not None and schema is None and path_exists(spark, path):
-        # Known days: list and read only those partition directories -- never
-        # the whole history.  No existing directory: insert-only, nothing to read.
-        dirs = _touched_dirs(spark, path, partition_col, partitions)
-        if dirs is not None:
-            if not dirs:
-                write_table(_with_defaults(batch, preserve, defaults), path, [partition_col],
-                            sort_within=keys, only_present_partitions=True)
-                return
-            target = spark.read.option("basePath", path).parquet(*dirs)
-            _merge_write(target, batch, path, keys, partition_col, update, preserve, defaults)
-            return
-    table = try_read(spark, path, schema)
-    if table is None:
-        cols = schema.fieldNames() if schema is not None else \
-            batch.columns + [c for c in preserve if c not in batch.columns]
-        write_table(_with_defaults(batch, preserve, defaults).select(*cols), path,
-                    [partition_col], sort_within=keys)
-        return
-    target = _touched(table, batch, partition_col, partitions)
-    _merge_write(target, batch, path, keys, partition_col, update, preserve, defaults)
-
-
-def _merge_write(target: DataFrame, batch: DataFrame, path: str, keys: Sequence[str],
-                 partition_col: str, update, preserve, defaults) -> None:
-    if update is None:
-        merged = merge_replace(target, batch, keys)
+    batch = asserted_unique(batch, keys) if dedupe_order is None else \
+        dedupe_batch(batch, keys, dedupe_order)
+    m = manifest(spark, path)
+    if m is None or not m.dirs:
+        merged = _with_defaults(batch, preserve, defaults)
+        if m is not None:
+            merged = merged.select(*m.schema.fieldNames())
     else:
-        merged = merge_columns(target, batch, keys, update, preserve, defaults)
-    # Dynamic partition overwrite: only partitions present in `merged` are replaced.
-    write_table(merged, path, [partition_col], sort_within=keys, only_present_partitions=True)
+        if partitions is not None:
+            target = read_manifest(spark, path, m, partitions)
+        else:
+            # the batch's partition values prune the target at run time
+            target = read_manifest(spark, path, m).join(
+                batch.select(partition_col).distinct(), partition_col, "left_semi")
+        if update is None:
+            merged = merge_replace(target.select(*m.schema.fieldNames()), batch, keys)
+        else:
+            merged = merge_columns(target.select(*m.schema.fieldNames()), batch, keys, update,
+                                   preserve, defaults)
+    try:
+        write_table(merged, path, partition_col, sort_within=keys, only_present_partitions=True,
+                    schema=schema)
+    except Exception as e:
+        if is_duplicate_error(e):
+            raise DuplicateKeyError(f"duplicate key in batch for {path}") from e
+        raise
 
 
 def insert_new(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
                schema: T.StructType | None = None) -> None:
-    """Insert-if-absent by appending only the batch keys not yet in the table."""
-    target = try_read(spark, path, schema)
+    """Insert-if-absent: a new version with the batch keys not yet in the table.
+    For dimensions, whose rows are few; nothing is written if no key is new."""
+    target = try_read(spark, path)
     if target is None:
-        batch.dropDuplicates(list(keys)).write.mode("overwrite").parquet(path)
+        write_table(batch.dropDuplicates(list(keys)), path, schema=schema)
         return
-    new_keys_only(target, batch, keys).select(*target.columns) \
-        .write.mode("append").parquet(path)
+    new = new_keys_only(target, batch, keys).select(*target.columns)
+    if not new.isEmpty():
+        write_table(target.unionByName(new), path, schema=schema)

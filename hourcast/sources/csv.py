@@ -17,29 +17,58 @@ class EmptyInputError(ValueError):
     """No usable rows in the input."""
 
 
+#: Columns a file may have; further ones are not read.
+MAX_COLUMNS = 16
+NEEDED = ("time", "temperature_2m")
+
+
+def _by_name(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all files, each taken by the names in its own file's header."""
+    names = [f"__c{i}" for i in range(MAX_COLUMNS)]
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+    lines = (spark.read.schema(schema).csv(path)
+             .select(F.array(*names).alias("cells"), F.col("_metadata.file_path").alias("file")))
+    trimmed = F.transform("cells", lambda x: F.trim(x))
+    is_header = F.lit(True)
+    for c in NEEDED:
+        is_header = is_header & F.coalesce(F.array_contains(trimmed, c), F.lit(False))
+    lines = lines.withColumn("is_header", is_header)
+    headers = (lines.filter("is_header").groupBy("file")
+               .agg(F.min(F.struct(trimmed.alias("names"))).alias("h"))
+               .select(F.col("file").alias("of_file"), F.col("h.names").alias("names")))
+    rows = lines.filter("NOT is_header").join(headers, F.col("file") == F.col("of_file"), "left")
+
+    def value(name: str):
+        at = F.array_position("names", name).cast("int")
+        return F.when(at > 0, F.try_element_at("cells", F.when(at > 0, at)))
+
+    misfit = F.raise_error(F.concat(F.lit("no header with time and temperature_2m in "), F.col("file")))
+    return rows.select(
+        value("region").alias("region"),
+        F.when(F.col("names").isNull(), misfit.cast("string")).otherwise(value("time")).alias("time"),
+        value("temperature_2m").alias("temperature_2m"))
+
+
 def read_processed_csv(spark: SparkSession, path: str, has_region: bool | None = None
                        ) -> DataFrame:
     """Headered all-text CSV scan -> (region, time, temperature_2m) text columns.
 
-    ``has_region=None``: columns are taken *by name* from the header (all text,
-    nothing inferred), so any column order works and a missing ``region`` column
-    becomes NULL.  ``True``/``False`` declare the layout (region,time,temperature_2m
-    or time,temperature_2m) and skip the header read; header names are still
-    validated against it.
+    ``has_region=None``: every file's columns are taken *by name* from its own
+    header, so files of one folder may differ in column order and in having a
+    ``region`` (NULL without); reading a row of a file whose header lacks ``time``
+    or ``temperature_2m`` raises.  ``True``/``False`` declare one layout for all
+    files (region,time,temperature_2m or time,temperature_2m), which needs one scan
+    less; a file with another header raises.
     """
-    r = spark.read.option("header", True)
     if has_region is None:
-        df = r.option("inferSchema", False).csv(path)
-        missing = {"time", "temperature_2m"} - set(df.columns)
-        if missing:
-            raise ValueError(f"CSV lacks required column(s): {sorted(missing)}")
-    else:
-        cols = (["region"] if has_region else []) + ["time", "temperature_2m"]
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-        df = r.option("enforceSchema", False).schema(schema).csv(path)
-    if "region" not in df.columns:
+        return _by_name(spark, path)
+    cols = (["region"] if has_region else []) + list(NEEDED)
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+    df = (spark.read.option("header", True).option("enforceSchema", False)
+          .schema(schema).csv(path))
+    if not has_region:
         df = df.withColumn("region", F.lit(None).cast("string"))
-    return df.select("region", "time", "temperature_2m")
+    return df.select("region", *NEEDED)
 
 
 def parse_weather_rows(df: DataFrame, default_region: str = DEFAULT_REGION,

@@ -19,12 +19,9 @@ from hourcast.functions.time import trunc_hour, utc_day
 
 # Region codes in user_id % 3 order (0, 1, 2).
 REGION_CODES = ("DE-NW", "DE-BY", "DE-BE")
-# Event types feeding each series, and the weather cut-off that
-# leaves some (day, region) cells without weather.
+# Event types feeding each series.
 ENERGY_EVENT_TYPES = ("purchase", "error", "signup")
 WEATHER_EVENT_TYPES = ("view", "click", "signup")
-WEATHER_GAP_REGION = "DE-BE"
-WEATHER_GAP_FROM = "2024-01-26"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,9 +60,6 @@ def hourly_energy(ev: DataFrame, region_mode: str = "regions") -> DataFrame:
 def hourly_weather(ev: DataFrame, region_mode: str = "regions") -> DataFrame:
     """(ts, region, day, temperature_2m) in [-8.0, 31.9] degC."""
     h = _hourly(ev, WEATHER_EVENT_TYPES, region_mode)
-    if region_mode == "regions":
-        h = h.filter(~((F.col("region") == F.lit(WEATHER_GAP_REGION))
-                       & (F.col("day") >= F.to_date(F.lit(WEATHER_GAP_FROM)))))
     temp = (F.pmod(F.sum("event_id").cast("bigint"), F.lit(400)).cast("double")
             / F.lit(10.0) - F.lit(8.0))
     return h.groupBy("ts", "region", "day").agg(temp.alias("temperature_2m"))
@@ -93,37 +87,23 @@ def hourly_both(ev: DataFrame, region_mode: str = "regions"
     agg = h.groupBy("ts", "region", "day").agg(
         F.count_if(is_e).alias("n_e"), F.sum(F.when(is_e, cents)).alias("cents"),
         F.count_if(is_w).alias("n_w"), F.sum(F.when(is_w, F.col("event_id"))).alias("ids"))
-    energy, weather = split_hourly(agg, region_mode)
+    energy, weather = split_hourly(agg)
     return energy, weather, agg
 
 
-def split_hourly(agg: DataFrame, region_mode: str = "regions") -> tuple[DataFrame, DataFrame]:
+def split_hourly(agg: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(energy, weather) staging shapes from the shared hourly aggregate
     (ts, region, day, n_e, cents, n_w, ids) -- e.g. after it was written once."""
     energy = (agg.filter(F.col("n_e") > 0)
               .select("ts", "region",
                       (F.col("cents").cast("double") / F.lit(100.0)).alias("load_mw"), "day"))
     weather = agg.filter(F.col("n_w") > 0)
-    if region_mode == "regions":
-        weather = weather.filter(~((F.col("region") == F.lit(WEATHER_GAP_REGION))
-                                   & (F.col("day") >= F.to_date(F.lit(WEATHER_GAP_FROM)))))
     temp = (F.pmod(F.col("ids").cast("bigint"), F.lit(400)).cast("double") / F.lit(10.0)
             - F.lit(8.0))
     weather = weather.select("ts", "region", temp.alias("temperature_2m"), "day")
     return energy, weather
 
 
-def raw_energy(spark: SparkSession, sf_dir: str, region_mode: str = "regions") -> DataFrame:
-    """``raw.energy_load_hourly`` shape without audit column: (ts, region, load_mw)."""
-    return hourly_energy(events(spark, sf_dir), region_mode).select("ts", "region", "load_mw")
-
-
-def raw_weather(spark: SparkSession, sf_dir: str, region_mode: str = "regions") -> DataFrame:
-    """``raw.weather_hourly`` shape without audit column: (time, region, temperature_2m)."""
-    return (hourly_weather(events(spark, sf_dir), region_mode)
-            .select(F.col("ts").alias("time"), "region", "temperature_2m"))
-
-
 def dirty(energy: DataFrame, weather: DataFrame, duplicate_day: str = "2024-01-15"):
     """A deliberately dirtied copy of the staging pair, derived by Spark.
 
@@ -137,3 +117,12 @@ def dirty(energy: DataFrame, weather: DataFrame, duplicate_day: str = "2024-01-1
     w = weather.withColumn("temperature_2m", F.when(hour == 3, F.lit(-100.0))
                            .otherwise(F.col("temperature_2m")))
     return e, w
+
+
+def with_null_keys(energy: DataFrame, day: str = "2024-01-10", hour: int = 5,
+                   region: str = "DE-BE") -> DataFrame:
+    """A copy with one series of NULL key and one NULL time per series."""
+    lost = (F.col("day") == F.to_date(F.lit(day))) & (F.hour("ts") == hour)
+    return energy.select(F.when(~lost, F.col("ts")).alias("ts"),
+                         F.when(F.col("region") != F.lit(region), F.col("region")).alias("region"),
+                         "load_mw")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.functions.time import parse_timestamp
-from hourcast.schemas import LANDING_DOCUMENT
+from hourcast.schemas import LANDING_DOCUMENT, META
 
 
 class DocumentError(ValueError):
@@ -32,32 +32,33 @@ def read_documents(spark: SparkSession, path: str, with_file: bool = True,
     return df
 
 
-def document_violations(docs: DataFrame) -> DataFrame:
-    """One row per structural violation: (doc, region, problem).
+def _entries(docs: DataFrame) -> DataFrame:
+    """One row per region entry (one with NULL ``r`` for a document without any)
+    with ``problem``, its first structural fault or NULL.
 
-    Checks, in the order a reader would hit them: ``regions`` missing or empty;
-    an entry without ``region``; a missing ``time`` or ``temperature_2m`` array;
-    arrays of unequal length.  ``arrays_zip`` pads silently, so the length check
-    must run before flattening.
+    Checked in this order: no ``regions``; an entry without ``region``; a missing
+    array; arrays of unequal length.  ``arrays_zip`` pads silently, so lengths are
+    compared before anything is flattened.
     """
-    doc_id = F.coalesce(F.col("source_file"), F.lit("")) if "source_file" in docs.columns \
+    doc = F.coalesce(F.col("source_file"), F.lit("")) if "source_file" in docs.columns \
         else F.lit("")
-    d = docs.select(doc_id.alias("doc"), "regions")
-    empty = (d.filter(F.col("regions").isNull() | (F.size("regions") == 0))
-             .select("doc", F.lit(None).cast("string").alias("region"),
-                     F.lit("regions missing or empty").alias("problem")))
-    e = d.select("doc", F.explode("regions").alias("r"))
+    e = docs.select(doc.alias("doc"), F.explode_outer("regions").alias("r"))
     region = F.col("r.region")
     times, temps = F.col("r.payload.hourly.time"), F.col("r.payload.hourly.temperature_2m")
-    problem = (F.when(region.isNull() | (region == ""), F.lit("missing region"))
-               .when(times.isNull() | temps.isNull(),
-                     F.lit("missing hourly.time / hourly.temperature_2m"))
+    problem = (F.when(F.col("r").isNull(), F.lit("document without regions"))
+               .when(region.isNull() | (region == ""), F.lit("entry without region"))
+               .when(times.isNull() | temps.isNull(), F.lit("entry without hourly arrays"))
                .when(F.size(times) != F.size(temps),
-                     F.concat(F.lit("length mismatch: time="), F.size(times).cast("string"),
-                              F.lit(" temp="), F.size(temps).cast("string"))))
-    per_region = (e.select("doc", region.alias("region"), problem.alias("problem"))
-                  .filter(F.col("problem").isNotNull()))
-    return empty.unionByName(per_region)
+                     F.format_string("%d times for %d temperatures",
+                                     F.size(times), F.size(temps))))
+    return e.select("doc", region.alias("region"), problem.alias("problem"),
+                    times.alias("times"), temps.alias("temps"))
+
+
+def document_violations(docs: DataFrame) -> DataFrame:
+    """One row per structural violation: (doc, region, problem)."""
+    return (_entries(docs).filter(F.col("problem").isNotNull())
+            .select("doc", "region", "problem"))
 
 
 def document_profile(docs: DataFrame, lo: float = -50.0, hi: float = 60.0) -> DataFrame:
@@ -66,43 +67,30 @@ def document_profile(docs: DataFrame, lo: float = -50.0, hi: float = 60.0) -> Da
     Works at region-entry level: the parallel arrays are inspected with array
     functions (``size``/``filter``) instead of being exploded, so the check costs
     one scan of the documents.  Columns: ``problem``/``problem_region``/
-    ``problem_doc`` (first structural violation or NULL), ``n_rows``,
-    ``blank_times``, ``null_temps``, ``bad_temps`` (outside [lo, hi] or NaN).
+    ``problem_doc`` (one structural violation or NULL) and the counts of
+    :func:`hourcast.operators.quality.ingest_profile`.
     """
-    doc_id = F.col("source_file") if "source_file" in docs.columns else F.lit("")
-    e = docs.select(doc_id.alias("doc"), F.explode_outer("regions").alias("r"))
-    region = F.col("r.region")
-    times, temps = F.col("r.payload.hourly.time"), F.col("r.payload.hourly.temperature_2m")
-    problem = (F.when(F.col("r").isNull(), F.lit("regions missing or empty"))
-               .when(region.isNull() | (region == ""), F.lit("missing region"))
-               .when(times.isNull() | temps.isNull(),
-                     F.lit("missing hourly.time / hourly.temperature_2m"))
-               .when(F.size(times) != F.size(temps),
-                     F.concat(F.lit("length mismatch: time="), F.size(times).cast("string"),
-                              F.lit(" temp="), F.size(temps).cast("string"))))
     n = lambda arr, pred: F.coalesce(F.size(F.filter(arr, pred)), F.lit(0))
-    rows = e.select(
-        problem.alias("problem"), region.alias("region"), "doc",
-        F.coalesce(F.size(times), F.lit(0)).alias("n"),
-        n(times, lambda x: x.isNull() | (x == "")).alias("bt"),
-        n(temps, lambda x: x.isNull()).alias("nt"),
-        n(temps, lambda x: (x < F.lit(lo)) | (x > F.lit(hi)) | F.isnan(x)).alias("bad"))
+    rows = _entries(docs).select(
+        "problem", "region", "doc", F.coalesce(F.size("times"), F.lit(0)).alias("n"),
+        n("times", lambda x: x.isNull() | (x == "")).alias("bt"),
+        n("temps", lambda x: x.isNull()).alias("nt"),
+        n("temps", lambda x: (x < F.lit(lo)) | (x > F.lit(hi)) | F.isnan(x)).alias("bad"))
     first = F.min_by(F.struct("problem", "region", "doc"),
-                     F.when(F.col("problem").isNotNull(), F.lit(0)))
-    return rows.agg(first.alias("p"), F.sum("n").alias("n_rows"),
-                    F.sum("bt").alias("blank_times"), F.sum("nt").alias("null_temps"),
-                    F.sum("bad").alias("bad_temps")) \
+                     F.when(F.col("problem").isNotNull(), F.struct("doc", "region")))
+    return rows.agg(first.alias("p"), F.sum("n").alias("n_rows"), F.sum("bt").alias("no_time"),
+                    F.sum("nt").alias("no_value"), F.lit(0).cast("bigint").alias("not_numeric"),
+                    F.sum("bad").alias("outside")) \
         .select(F.col("p.problem").alias("problem"), F.col("p.region").alias("problem_region"),
-                F.col("p.doc").alias("problem_doc"), "n_rows", "blank_times", "null_temps",
-                "bad_temps")
+                F.col("p.doc").alias("problem_doc"), "n_rows", "no_time", "no_value",
+                "not_numeric", "outside")
 
 
-def check_documents(docs: DataFrame) -> None:
-    """Fail-fast structural check (one aggregate pass, one result row)."""
-    r = document_profile(docs).first()
+def raise_document(r) -> None:
+    """Raise for a structural violation in a row of :func:`document_profile`."""
     if r is not None and r["problem"] is not None:
-        raise DocumentError(f"{r['problem']} (region={r['problem_region']}, "
-                            f"doc={r['problem_doc']})")
+        raise DocumentError(f"{r['problem']} (region {r['problem_region']}, "
+                            f"file {r['problem_doc'] or 'unknown'})")
 
 
 def flatten(docs: DataFrame, with_meta: bool = False) -> DataFrame:
@@ -121,8 +109,7 @@ def flatten(docs: DataFrame, with_meta: bool = False) -> DataFrame:
     if with_meta:
         out = out.select("region", "time", "temperature_2m",
                          *[F.col(f"_meta.{f}").alias(f"meta_{f}")
-                           for f in ("source", "timezone", "start_date", "end_date",
-                                     "fetched_at_utc")])
+                           for f in META.fieldNames()])
     return out
 
 
@@ -150,8 +137,7 @@ def build_documents(weather: DataFrame, regions_table: DataFrame | None = None,
                   .agg(F.array_sort(F.collect_list(F.struct("time", "temperature_2m")))
                        .alias("pts")))
     if regions_table is not None:
-        from hourcast.operators.joins import maybe_broadcast
-        per_region = per_region.join(maybe_broadcast(regions_table), "region", "left")
+        per_region = per_region.join(regions_table, "region", "left")
     else:
         per_region = per_region.withColumn("latitude", F.lit(None).cast("double")) \
             .withColumn("longitude", F.lit(None).cast("double"))

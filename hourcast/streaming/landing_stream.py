@@ -6,7 +6,8 @@ durable bookkeeping of which landed documents were already processed.  The
 file source records processed files in the checkpoint, ``foreachBatch`` runs
 the batch pipeline on just the new documents, and because every write is a
 keyed upsert, a micro-batch replayed after a failure produces the same tables
-(idempotent sink).  ``availableNow`` processes whatever has landed, then stops
+(idempotent sink).  Several documents for the same hours in one micro-batch are a
+correction: the one fetched last counts.  ``availableNow`` processes whatever has landed, then stops
 -- the scheduled-daily-run shape.
 """
 
@@ -36,7 +37,7 @@ def start(spark: SparkSession, landing_dir: str, warehouse: str, checkpoint: str
     def run_batch(docs: DataFrame, epoch_id: int) -> None:
         if docs.isEmpty():
             return
-        weather = weather_from_documents(docs, check=True)
+        weather = weather_from_documents(docs, check=True, latest=True)
         daily.run(docs.sparkSession, warehouse, weather=weather, expected_rows=expected_rows)
 
     w = landing_stream(spark, landing_dir, max_files, multi_line).writeStream \

@@ -144,6 +144,22 @@ def test_run_keeps_a_callers_cache(spark, tmp_dir):
     mine.unpersist()
 
 
+def test_stream_takes_a_correction_in_the_same_batch(spark, tmp_dir):
+    import json
+
+    from hourcast.streaming.landing_stream import start
+    landing_dir = os.path.join(tmp_dir, "corrections")
+    os.makedirs(landing_dir)
+    for name, fetched, temp in (("a", "2024-01-02T00:00:00+00:00", 1.0), ("b", "2024-01-03T00:00:00+00:00", 2.0)):
+        doc = {"_meta": {"source": "s", "fetched_at_utc": fetched}, "regions": [
+            {"region": "R", "payload": {"hourly": {"time": ["2024-01-01T00:00"], "temperature_2m": [temp]}}}]}
+        with open(os.path.join(landing_dir, f"{name}.json"), "w") as f:
+            json.dump(doc, f)
+    wh = os.path.join(tmp_dir, "wh_corr")
+    start(spark, landing_dir, wh, os.path.join(tmp_dir, "ck_corr")).awaitTermination(300)
+    assert [r.temperature_2m for r in sink.read(spark, daily.Layout(wh).staging_weather).collect()] == [2.0]
+
+
 def test_stream_fails_on_a_malformed_document_before_writing(spark, tmp_dir):
     import json
 
@@ -159,7 +175,7 @@ def test_stream_fails_on_a_malformed_document_before_writing(spark, tmp_dir):
         json.dump(doc, f, indent=2)
     wh, ck = os.path.join(tmp_dir, "wh_bad"), os.path.join(tmp_dir, "ck_bad")
     q = start(spark, landing_dir, wh, ck)
-    with pytest.raises(Exception, match="length mismatch"):
+    with pytest.raises(Exception, match="2 times for 1 temperatures"):
         q.awaitTermination(300)
     assert not sink.path_exists(spark, daily.Layout(wh).raw_weather)
 
@@ -191,21 +207,77 @@ def test_measured_energy_is_used_and_checked(spark, tmp_dir):
                   energy=raw_e.unionByName(raw_e.limit(1)))
 
 
-def test_rebuild_and_stage_equals_the_two_steps(spark, tmp_dir):
+def _days(df, col, first, last):
+    at = F.col(col)
+    return df.filter((at >= F.lit(first).cast("timestamp_ntz")) & (at < F.lit(last).cast("timestamp_ntz")))
+
+
+def test_a_failed_day_blocks_later_runs_until_repaired(spark, tmp_dir):
+    import pytest
+
+    from hourcast.operators.quality import GateFailed
+    _, raw_w = raw_pair(spark, SF)
+    one, two = _days(raw_w, "time", "2024-01-01", "2024-01-02"), _days(raw_w, "time", "2024-01-02", "2024-01-03")
+    bad = one.withColumn("temperature_2m", F.lit(50.0))
+    wh = os.path.join(tmp_dir, "pending")
+    lay = daily.Layout(wh)
+    for batch in (bad, two):
+        with pytest.raises(GateFailed, match="temperature_2m within"):
+            daily.run(spark, wh, weather=batch)
+    assert daily.pending_days(spark, lay) == ["2024-01-01", "2024-01-02"]
+    daily.run(spark, wh, weather=one)
+    assert daily.pending_days(spark, lay) == []
+    days = sorted(str(r.day) for r in sink.read(spark, lay.fact).select("day").distinct().collect())
+    assert days == ["2024-01-01", "2024-01-02"]
+    assert sorted(str(r.day) for r in sink.read(spark, lay.dim_date).collect()) == days
+
+
+def test_measured_load_outside_the_weather_days_is_kept(spark, tmp_dir):
+    raw_e, raw_w = raw_pair(spark, SF)
+    w, e = _days(raw_w, "time", "2024-01-01", "2024-01-02"), _days(raw_e, "ts", "2024-01-01", "2024-01-03")
+    got = []
+    for name, incremental in (("inc", True), ("full", False)):
+        wh = os.path.join(tmp_dir, f"two_days_{name}")
+        daily.run(spark, wh, weather=w, energy=e, incremental=incremental)
+        got.append(_rows(spark, daily.Layout(wh).fact, "day", "region", "avg_load_mw", "n_hours"))
+    assert got[0] == got[1] and len({r[0] for r in got[0]}) == 2
+
+
+def test_measured_half_days_add_up_and_the_marts_agree(spark, tmp_dir):
+    raw_e, raw_w = raw_pair(spark, SF)
+    w, e = _days(raw_w, "time", "2024-01-01", "2024-01-02"), _days(raw_e, "ts", "2024-01-01", "2024-01-02")
+    wh = os.path.join(tmp_dir, "halves")
+    lay = daily.Layout(wh)
+    daily.run(spark, wh, weather=w, energy=e.filter(F.hour("ts") < 12))
+    daily.run(spark, wh, weather=w, energy=e.filter(F.hour("ts") >= 12).withColumn("load_mw", F.lit(300.0)))
+    assert sink.read(spark, lay.raw_energy).count() == sink.read(spark, lay.staging_energy).count() == e.count()
+    assert _rows(spark, lay.fact, "day", "region", "avg_load_mw") == \
+        _rows(spark, lay.mart_energy_weather_daily, "day_utc", "region", "avg_load_mw")
+
+
+def test_a_failed_dimension_write_leaves_no_fact(spark, tmp_dir, monkeypatch):
+    import pytest
     _, raw_w = raw_pair(spark, SF)
-    days = sorted(r[0] for r in raw_w.select(F.to_date("time")).distinct().collect())[:5]
-    batch = raw_w.filter(F.to_date("time").isin(days))
-    outs = []
-    for name, fused in (("two_steps", False), ("one_wave", True)):
-        lay = daily.Layout(os.path.join(tmp_dir, name))
-        daily.load_weather(spark, lay, batch, days)
-        if fused:
-            daily.rebuild_and_stage(spark, lay, days=days)
-        else:
-            daily.rebuild_energy(spark, lay, days=days)
-            daily.stage(spark, lay, days)
-        outs.append([_rows(spark, getattr(lay, t), *cols) for t, cols in
-                     (("raw_energy", ("ts", "region", "load_mw", "day")),
-                      ("staging_energy", ("ts", "region", "load_mw", "day")),
-                      ("staging_weather", ("ts", "region", "temperature_2m", "day")))])
-    assert outs[0] == outs[1] and len(outs[0][1]) > 0
+    wh = os.path.join(tmp_dir, "no_dim")
+    lay = daily.Layout(wh)
+    real = sink.insert_new
+
+    def fails(spark_, batch, path, *a, **k):
+        if path == lay.dim_region:
+            raise OSError("disk full")
+        return real(spark_, batch, path, *a, **k)
+
+    monkeypatch.setattr(daily.sink, "insert_new", fails)
+    with pytest.raises(OSError):
+        daily.run(spark, wh, weather=_days(raw_w, "time", "2024-01-01", "2024-01-02"))
+    assert not sink.table_exists(spark, lay.fact)
+
+
+def test_the_foreign_key_gate_stops_orphans(spark, tmp_dir):
+    import pytest
+
+    from hourcast.operators import quality as Q
+    fact = spark.createDataFrame([("a",), ("b",)], "region string")
+    Q.gate_references(fact, {"region": fact})
+    with pytest.raises(Q.GateFailed, match="1 rows without"):
+        Q.gate_references(fact, {"region": fact.filter("region = 'a'")})

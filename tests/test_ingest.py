@@ -41,31 +41,31 @@ def test_flatten_zips_parallel_arrays(spark, tmp_dir):
         _doc([_region("DE-NW", ["2024-01-01T00:00", "2024-01-01T01:00"], [1.5, None]),
               _region("DE-BY", ["2024-01-01T00:00"], [-2.0])])])
     docs = landing.read_documents(spark, p)
-    landing.check_documents(docs)
+    landing.raise_document(landing.document_profile(docs).first())
     rows = sorted(tuple(r) for r in landing.flatten(docs).collect())
     assert rows == [("DE-BY", "2024-01-01T00:00", -2.0), ("DE-NW", "2024-01-01T00:00", 1.5),
                     ("DE-NW", "2024-01-01T01:00", None)]
-    with pytest.raises(GateFailed, match="Missing temperature"):
+    with pytest.raises(GateFailed, match="have no temperature"):
         weather_from_landing(spark, p)                   # JSON null temperature fails the gate
     typed = weather_from_landing(spark, p, validate=False)
     assert typed.schema["time"].dataType.simpleString() == "timestamp"
     assert typed.filter(F.col("time") == F.to_timestamp(F.lit("2024-01-01 01:00:00"))).count() == 1
-    meta = landing.flatten(docs, with_meta=True).select("meta_source").distinct().collect()
-    assert meta[0][0] == "archive"
+    meta = landing.flatten(docs, with_meta=True).select("meta_source", "meta_fetched_at_local").distinct().collect()
+    assert tuple(meta[0]) == ("archive", "2024-01-02T00:00:00+00:00")
 
 
 @pytest.mark.parametrize("doc,problem", [
-    (_doc([]), "regions missing or empty"),
-    ({"_meta": None}, "regions missing or empty"),
-    (_doc([_region(None, ["t"], [1.0])]), "missing region"),
-    (_doc([_region("R", None, [1.0])]), "missing hourly"),
-    (_doc([_region("R", ["a", "b"], [1.0])]), "length mismatch: time=2 temp=1"),
+    (_doc([]), "document without regions"),
+    ({"_meta": None}, "document without regions"),
+    (_doc([_region(None, ["t"], [1.0])]), "entry without region"),
+    (_doc([_region("R", None, [1.0])]), "entry without hourly arrays"),
+    (_doc([_region("R", ["a", "b"], [1.0])]), "2 times for 1 temperatures"),
 ])
 def test_document_checks(spark, tmp_dir, doc, problem):
     p = _write(os.path.join(tmp_dir, "bad"), [doc])
     docs = landing.read_documents(spark, p)
     with pytest.raises(landing.DocumentError, match=problem):
-        landing.check_documents(docs)
+        landing.raise_document(landing.document_profile(docs).first())
 
 
 def test_build_documents_roundtrip(spark, tmp_dir):
@@ -118,10 +118,10 @@ def test_ingest_gate(spark, tmp_dir):
     ok = _csv(os.path.join(tmp_dir, "ok.csv"), "region,time,temperature_2m", rows)
     assert weather_from_csv(spark, ok).count() == 250
     few = _csv(os.path.join(tmp_dir, "few.csv"), "region,time,temperature_2m", rows[:10])
-    with pytest.raises(GateFailed, match="Too few rows"):
+    with pytest.raises(GateFailed, match="only 10 weather rows"):
         weather_from_csv(spark, few)
-    for bad, msg in [("", "Missing temperature"), ("abc", "Non-numeric"), ("61", "out of expected"),
-                     ("NaN", "out of expected")]:
+    for bad, msg in [("", "have no temperature"), ("abc", "are not numbers"), ("61", "are outside"),
+                     ("NaN", "are outside")]:
         p = _csv(os.path.join(tmp_dir, f"bad{msg[:3]}.csv"), "region,time,temperature_2m",
                  rows + [("R", "2024-02-01T00:00", bad)])
         with pytest.raises(GateFailed, match=msg):
@@ -150,8 +150,8 @@ def test_document_violations_lists_every_problem(spark, tmp_dir):
               _region("B", ["t"], [2.0])])])
     got = sorted((r.region or "", r.problem)
                  for r in landing.document_violations(landing.read_documents(spark, p)).collect())
-    assert got == [("", "missing region"), ("", "regions missing or empty"),
-                   ("A", "length mismatch: time=2 temp=1")]
+    assert got == [("", "document without regions"), ("", "entry without region"),
+                   ("A", "2 times for 1 temperatures")]
 
 
 def test_documents_carry_region_coordinates(spark):
@@ -163,13 +163,32 @@ def test_documents_carry_region_coordinates(spark):
     assert r.region == "DE-BY" and r.latitude == 48.1351
 
 
-def test_maybe_broadcast_checks_size(spark):
-    from hourcast.operators.joins import maybe_broadcast, small_enough
-    small, big = spark.range(10), spark.range(1000)
-    assert small_enough(small, 10) and not small_enough(big, 10)
-    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(maybe_broadcast(small, 10)).lower()
-    assert "broadcast" not in plan(maybe_broadcast(big, 10)).lower()
+def test_csv_files_of_one_folder_are_read_by_their_own_headers(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "mixed")
+    os.makedirs(folder)
+    _csv(os.path.join(folder, "a.csv"), "region,time,temperature_2m", [("DE-BY", "2024-01-01T00:00", "1.0")])
+    _csv(os.path.join(folder, "b.csv"), "time,region,temperature_2m", [("2024-01-01T01:00", "DE-NW", "2.0")])
+    _csv(os.path.join(folder, "c.csv"), "temperature_2m,other,time", [("3.0", "x", "2024-01-01T02:00")])
+    rows = csv_src.parse_weather_rows(csv_src.read_processed_csv(spark, folder)).orderBy("time").collect()
+    assert [(r.region, r.time.hour, r.temperature_2m) for r in rows] == [
+        ("DE-BY", 0, 1.0), ("DE-NW", 1, 2.0), ("DE", 2, 3.0)]
+
+
+def test_csv_with_a_misfit_header_raises(spark, tmp_dir):
+    p = _csv(os.path.join(tmp_dir, "misfit.csv"), "region,when,temperature_2m", [("R", "2024-01-01T00:00", "1")])
+    with pytest.raises(Exception, match="no header with time"):
+        csv_src.read_processed_csv(spark, p).collect()
+    with pytest.raises(Exception):
+        csv_src.read_processed_csv(spark, p, has_region=True).collect()
+
+
+def test_a_later_document_corrects_an_earlier_one(spark, tmp_dir):
+    from hourcast.plans.ingest import weather_from_documents
+    first, second = (_doc([_region("R", ["2024-01-01T00:00"], [t])]) for t in (1.0, 2.0))
+    second["_meta"] = dict(second["_meta"], fetched_at_utc="2024-01-03T00:00:00+00:00")
+    p = _write(os.path.join(tmp_dir, "corrected"), [second, first])
+    got = weather_from_documents(landing.read_documents(spark, p), latest=True).collect()
+    assert [r.temperature_2m for r in got] == [2.0]
 
 
 def test_read_table_by_catalog_name(spark, tmp_dir):

@@ -7,6 +7,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from hourcast.plans.registry import QUERIES
 from tests.conftest import SF
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
@@ -20,7 +21,7 @@ def _plan(spark, name):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_plans(spark, name):
     plan = _plan(spark, name)
     assert not any(n in plan for n in PYTHON_NODES), name

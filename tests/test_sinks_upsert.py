@@ -45,18 +45,22 @@ def _table(spark, path):
     return collect_sorted(sink.read(spark, path).select("ts", "region", "load_mw"), "ts", "region")
 
 
+def _dir_of(spark, path, day):
+    m = sink.manifest(spark, path)
+    return [d for d in m.dirs if m.value_of(d) == day]
+
+
 def test_table_upsert_touches_only_batch_days_and_is_idempotent(spark, tmp_dir):
     path = os.path.join(tmp_dir, "energy")
     first = energy_df(spark, [("2024-01-01 00:00:00", "R", 1.0), ("2024-01-02 00:00:00", "R", 2.0),
                               ("2024-01-03 00:00:00", "R", 3.0)])
     sink.upsert(spark, first, path, KEYS)
-    day1 = os.path.join(path, "day=2024-01-01")
-    before = sorted(os.listdir(day1))
+    before = _dir_of(spark, path, "2024-01-01")
     batch = energy_df(spark, [("2024-01-02 00:00:00", "R", 20.0), ("2024-01-02 01:00:00", "R", 21.0)])
     sink.upsert(spark, batch, path, KEYS)
     once = _table(spark, path)
     assert [x[2] for x in once] == [1.0, 20.0, 21.0, 3.0]
-    assert sorted(os.listdir(day1)) == before          # untouched partition not rewritten
+    assert _dir_of(spark, path, "2024-01-01") == before          # untouched partition not rewritten
     sink.upsert(spark, batch, path, KEYS)               # re-applied batch
     assert _table(spark, path) == once
 
@@ -90,8 +94,8 @@ def test_insert_new_appends_only_absent(spark, tmp_dir):
 def test_write_csv_and_ensure_table(spark, tmp_dir):
     from hourcast.schemas import STAGING_ENERGY
     p = os.path.join(tmp_dir, "t")
-    sink.ensure_table(spark, p, STAGING_ENERGY, ["day"])
-    assert sink.read(spark, p, STAGING_ENERGY).count() == 0
+    sink.ensure_table(spark, p, STAGING_ENERGY, "day")
+    assert sink.read(spark, p).count() == 0 and sink.read(spark, p).columns == STAGING_ENERGY.fieldNames()
     c = os.path.join(tmp_dir, "csv")
     sink.write_csv(spark.createDataFrame([("R", "2024-01-01T00:00", "1.5")],
                                          "region string, time string, temperature_2m string"), c)
@@ -101,7 +105,7 @@ def test_write_csv_and_ensure_table(spark, tmp_dir):
 def test_upsert_into_table_created_empty(spark, tmp_dir):
     from hourcast.schemas import STAGING_ENERGY
     p = os.path.join(tmp_dir, "empty")
-    sink.ensure_table(spark, p, STAGING_ENERGY, ["day"])
+    sink.ensure_table(spark, p, STAGING_ENERGY, "day")
     b = energy_df(spark, [("2024-01-01 00:00:00", "R", 1.0)]) \
         .withColumn("updated_at", F.current_timestamp())
     sink.upsert(spark, b, p, KEYS)
@@ -125,7 +129,7 @@ def test_upsert_with_known_days_reads_only_those(spark, tmp_dir):
     path = os.path.join(tmp_dir, "known")
     first = energy_df(spark, [("2024-01-01 00:00:00", "R", 1.0), ("2024-01-02 00:00:00", "R", 2.0)])
     sink.upsert(spark, first, path, KEYS, partitions=[dt.date(2024, 1, 1), dt.date(2024, 1, 2)])
-    before = sorted(os.listdir(os.path.join(path, "day=2024-01-01")))
+    before = _dir_of(spark, path, "2024-01-01")
     # only new days: insert-only, nothing read
     new = energy_df(spark, [("2024-01-03 00:00:00", "R", 3.0)])
     sink.upsert(spark, new, path, KEYS, partitions=[dt.date(2024, 1, 3)])
@@ -133,4 +137,61 @@ def test_upsert_with_known_days_reads_only_those(spark, tmp_dir):
     mixed = energy_df(spark, [("2024-01-02 00:00:00", "R", 20.0), ("2024-01-04 00:00:00", "R", 4.0)])
     sink.upsert(spark, mixed, path, KEYS, partitions=[dt.date(2024, 1, 2), dt.date(2024, 1, 4)])
     assert [x[2] for x in _table(spark, path)] == [1.0, 20.0, 3.0, 4.0]
-    assert sorted(os.listdir(os.path.join(path, "day=2024-01-01"))) == before
+    assert _dir_of(spark, path, "2024-01-01") == before
+
+
+def test_a_killed_write_leaves_the_table_before_or_after_never_between(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "killed")
+    first = energy_df(spark, [("2024-01-01 00:00:00", "R", 1.0), ("2024-01-02 00:00:00", "R", 2.0)])
+    batch = energy_df(spark, [("2024-01-02 00:00:00", "R", 20.0), ("2024-01-03 00:00:00", "R", 30.0)])
+    sink.upsert(spark, first, path, KEYS)
+    real = sink.publish
+
+    def before_switch(*a):
+        raise KeyboardInterrupt
+
+    def after_switch(*a):
+        real(*a)
+        raise KeyboardInterrupt
+
+    for kill, values in ((before_switch, [1.0, 2.0]), (after_switch, [1.0, 20.0, 30.0])):
+        monkeypatch.setattr(sink, "publish", kill)
+        with pytest.raises(KeyboardInterrupt):
+            sink.upsert(spark, batch, path, KEYS)
+        monkeypatch.setattr(sink, "publish", real)
+        assert [x[2] for x in _table(spark, path)] == values
+    # the next write works, and vacuum removes what the dead ones left
+    sink.upsert(spark, batch, path, KEYS)
+    assert len(sink.vacuum(spark, path, keep=1)) >= 1
+    assert [x[2] for x in _table(spark, path)] == [1.0, 20.0, 30.0]
+
+
+def test_a_reader_keeps_its_version_during_a_write(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "versions")
+    sink.upsert(spark, energy_df(spark, [("2024-01-01 00:00:00", "R", 1.0)]), path, KEYS)
+    reader = sink.read(spark, path)
+    sink.upsert(spark, energy_df(spark, [("2024-01-01 00:00:00", "R", 9.0)]), path, KEYS)
+    assert [r.load_mw for r in reader.collect()] == [1.0]
+    assert [x[2] for x in _table(spark, path)] == [9.0]
+
+
+def test_duplicate_keys_fail_the_upsert_and_publish_nothing(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "dups")
+    twice = energy_df(spark, [("2024-01-01 00:00:00", "R", 1.0), ("2024-01-01 00:00:00", "R", 2.0)])
+    with pytest.raises(DuplicateKeyError):
+        sink.upsert(spark, twice, path, KEYS)
+    assert not sink.table_exists(spark, path)
+
+
+def test_declared_schema_is_applied_and_not_null_checked(spark, tmp_dir):
+    from hourcast.schemas import FACT_ENERGY_DAILY
+    path = os.path.join(tmp_dir, "declared")
+    row = spark.sql("""SELECT DATE '2024-01-01' AS day, 'R' AS region, 1 AS avg_load_mw, 1 AS min_load_mw,
+                       1 AS max_load_mw, 24L AS n_hours, current_timestamp() AS updated_at""")
+    sink.upsert(spark, row, path, ["day", "region"], schema=FACT_ENERGY_DAILY)
+    got = sink.read(spark, path)
+    assert dict(got.dtypes)["avg_load_mw"] == "double" and dict(got.dtypes)["n_hours"] == "int"
+    with pytest.raises(Exception, match="NULL in column avg_load_mw"):
+        sink.upsert(spark, row.withColumn("avg_load_mw", F.lit(None).cast("double")), path,
+                    ["day", "region"], schema=FACT_ENERGY_DAILY)
+    assert sink.read(spark, path).count() == 1

@@ -78,19 +78,22 @@ def _random_series(spark, n_keys=4, n_hours=300, seed=7):
     return df.select(F.timestamp_seconds(secs).alias("ts"), "region", "load_mw")
 
 
-def test_chunked_windows_equal_plain(spark):
+def test_default_windows_equal_plain(spark):
     df = _random_series(spark)
-    chunk = F.to_date("ts")
-    for block_rows in (24, 25, 57, 1000):
-        plain = collect_sorted(lag_delta(df, "load_mw", keys=["region"]))
-        chunked = collect_sorted(lag_delta(df, "load_mw", keys=["region"], chunk=chunk,
-                                           block_rows=block_rows))
-        assert plain == chunked
-        p = collect_sorted(rolling_mean(df, "load_mw", 24, keys=["region"]))
-        c = collect_sorted(rolling_mean(df, "load_mw", 24, keys=["region"], chunk=chunk,
-                                        block_rows=block_rows))
-        assert [x[:3] for x in p] == [x[:3] for x in c]
-        assert all(abs(a[3] - b[3]) < 1e-9 for a, b in zip(p, c))
+    # NULL keys and one NULL time per series are rows like any other
+    lost = F.col("region").isin("K0", "K1") & (F.col("ts") == F.lit("2024-01-01 01:00:00").cast("timestamp"))
+    df = df.select(F.when(~lost, F.col("ts")).alias("ts"),
+                   F.when(F.col("region") != "K2", F.col("region")).alias("region"), "load_mw")
+    for chunk in ("calendar", F.to_date("ts")):
+        for block_rows in (24, 57, 1000):
+            plain = lag_delta(df, "load_mw", keys=["region"], chunk=None).collect()
+            blocks = lag_delta(df, "load_mw", keys=["region"], chunk=chunk,
+                               block_rows=block_rows).collect()
+            assert sorted(map(str, plain)) == sorted(map(str, blocks)) and len(plain) == 1200
+    rounded = lambda f: f.withColumn("load_mw_roll24", F.round("load_mw_roll24", 6))
+    p = rounded(rolling_mean(df, "load_mw", 24, keys=["region"], chunk=None)).collect()
+    c = rounded(rolling_mean(df, "load_mw", 24, keys=["region"], block_rows=57)).collect()
+    assert sorted(map(str, p)) == sorted(map(str, c))
 
 
 def test_chunked_joint_cold_shock_equal_plain(spark):
@@ -98,8 +101,8 @@ def test_chunked_joint_cold_shock_equal_plain(spark):
     e = df.withColumn("day", F.to_date("ts"))
     w = df.select("ts", "region", (F.pmod(F.col("load_mw") * 7, F.lit(1000.0)) / 40 - 5).alias("temperature_2m"),
                   F.to_date("ts").alias("day"))
-    plain = collect_sorted(A.joint_cold_shock(e, w, load_rise=1.0))
-    chunked = collect_sorted(A.joint_cold_shock(e, w, load_rise=1.0, chunk=F.to_date("ts")))
+    plain = collect_sorted(A.joint_cold_shock(e, w, load_rise=1.0, chunk=None))
+    chunked = collect_sorted(A.joint_cold_shock(e, w, load_rise=1.0))
     assert plain == chunked and len(plain) > 0
 
 
@@ -133,16 +136,20 @@ def test_row_index_exact_for_hot_key(spark):
     assert len(by_key["HOT"]) == 3000
 
 
-def test_auto_chunk_uses_checked_series_length(spark):
-    from hourcast.operators.windows import longest_series, resolve_chunk
-    df = _random_series(spark, n_keys=3, n_hours=200, seed=11)
-    assert longest_series(df, ["region"]) == 200
-    assert resolve_chunk(df, ["region"], "ts", "auto", max_series_rows=1000) is None
-    assert resolve_chunk(df, ["region"], "ts", "auto", max_series_rows=50) is not None
-    plain = collect_sorted(lag_delta(df, "load_mw", keys=["region"], chunk=None))
-    auto = collect_sorted(lag_delta(df, "load_mw", keys=["region"], chunk="auto",
-                                    max_series_rows=50, block_rows=40))
-    assert plain == auto
+def test_a_series_dense_within_one_hour(spark):
+    # every row of the hot series lies in one hour: blocks still split it
+    hot = spark.range(5000).select(
+        F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 1000).alias("ts"),
+        F.lit("HOT").alias("region"), (F.col("id") * 1.0).alias("load_mw"))
+    got = lag_delta(hot, "load_mw", keys=["region"], block_rows=100)
+    assert got.filter("load_mw_delta = 1.0").count() == 4999
+
+
+def test_reports_come_in_their_order(spark):
+    rows = [(f"2024-01-0{d} 0{h}:00:00", r, float(h)) for d in (1, 2) for h in (1, 2) for r in "BA"]
+    top = A.in_order("top3_hours", A.top_hours(energy_df(spark, rows), 1)).collect()
+    assert [(str(x.day), x.region) for x in top] == [
+        ("2024-01-02", "A"), ("2024-01-02", "B"), ("2024-01-01", "A"), ("2024-01-01", "B")]
 
 
 def test_desc_rank_puts_nulls_first_like_postgres(spark):
@@ -150,16 +157,3 @@ def test_desc_rank_puts_nulls_first_like_postgres(spark):
                           ("2024-01-01 03:00:00", "R", 7.0)])
     r = collect_sorted(A.top_hours(e, 1), "ts")
     assert [(x[3], x[4]) for x in r] == [(None, 1)]
-
-
-def test_longest_series_memo_follows_the_files(spark, tmp_dir):
-    import os
-
-    from hourcast.operators.windows import longest_series
-    p = os.path.join(tmp_dir, "series")
-    spark.createDataFrame([("A", 1), ("A", 2), ("B", 1)], "region string, v int") \
-        .write.parquet(p)
-    assert longest_series(spark.read.parquet(p), ["region"]) == 2
-    spark.createDataFrame([("A", i) for i in range(5)], "region string, v int") \
-        .write.mode("overwrite").parquet(p)
-    assert longest_series(spark.read.parquet(p), ["region"]) == 5     # new files: re-measured
