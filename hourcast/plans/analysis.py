@@ -51,7 +51,7 @@ def in_order(name: str, df: DataFrame, numbered: bool = False) -> DataFrame:
     that window needs all rows in one partition, so it is for finished reports only."""
     if numbered:
         from pyspark.sql import Window
-        return df.withColumn("row_no", F.row_number().over(Window.orderBy(*order_of(name))))
+        return df.withColumn("row_no", F.row_number().over(Window.orderBy(*order_of(name))).cast("bigint"))
     return df.orderBy(*order_of(name))
 
 
