@@ -13,7 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Bytes hashed at a time, unless one span is longer.
+SPAN_BYTES = 1 << 19
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -26,8 +28,8 @@ LOWER_VALUES[ord("A"):ord("Z") + 1] = BYTE_VALUES[ord("a"):ord("z") + 1]
 
 def bounded_batches(spark) -> None:
     """Bound what a Python worker is handed at once, by rows and by bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 class Powers:
@@ -127,7 +129,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     out = np.empty(len(starts), U64)
     i = 0
     while i < len(out):
-        stop = int(np.searchsorted(ends, starts[i] + 2 * SLICE_BYTES, side="right"))
+        stop = int(np.searchsorted(ends, starts[i] + SPAN_BYTES, side="right"))
         stop = max(stop, i + 1)
         a, b = starts[i], ends[stop - 1]
         up, down = BYTES.upto(b - a)

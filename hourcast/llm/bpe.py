@@ -38,7 +38,7 @@ WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 SHORT, LONG = "stmd", ("re", "ve", "ll")
 
 #: Distinct pieces kept per worker, about 60 bytes each; beyond it the cache starts anew.
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 900_000
 #: Pieces longer than this many bytes are merged anew each time.
 CACHE_BYTES = 64
 
@@ -394,7 +394,7 @@ def _decode(names: list[str], shared):
             lists = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             ids = column.flatten().to_numpy(zero_copy_only=False)
             bounds = np.concatenate([[0], np.cumsum(lists)])
-            begin_doc, step = 0, 1 << 20
+            begin_doc, step = 0, 1 << 18
             while begin_doc < len(lists):
                 stop = int(np.searchsorted(bounds, bounds[begin_doc] + step, side="right")) - 1
                 stop = min(len(lists), max(stop, begin_doc + 1))

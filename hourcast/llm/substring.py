@@ -41,7 +41,7 @@ ANCHOR_WORDS = 16
 SLICE_BITS = 20
 MIN_WIDTH_BITS, MAX_WIDTH_BITS = 20, 29
 #: Windows held by a task before it settles local repeats and passes them on.
-FLUSH_WINDOWS = 1_000_000
+FLUSH_WINDOWS = 500_000
 #: Count of a run of windows that its task has found repeated.
 SETTLED = -1
 
@@ -150,29 +150,28 @@ def _candidates(window: int, bits: int, shared):
         held: list[tuple] = []
 
         def flush():
-            h1, h2, row, null, crc, pos = (np.concatenate(x) for x in zip(*held))
+            h1, h2, row, crc, pos = (np.concatenate(x) for x in zip(*held))
             held.clear()
             order = np.lexsort((h2, h1))
-            h1, h2, row, null, crc, pos = (x[order] for x in (h1, h2, row, null, crc, pos))
+            h1, h2, row, crc, pos = (x[order] for x in (h1, h2, row, crc, pos))
             new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
             first = np.flatnonzero(new)
             n = np.diff(np.concatenate([first, [len(h1)]]))
             again = np.repeat(n > 1, n)
             # one row per distinct window, to be counted over all tasks
-            yield _batch(h1[first], h2[first], row[first], null[first], crc[first],
-                         pos[first], pos[first] + 1, n)
+            yield _batch(h1[first], h2[first], row[first], crc[first], pos[first], pos[first] + 1, n)
             if again.any():
                 # runs of windows known to repeat: settled, one row per run
-                row, null, crc, pos = row[again], null[again], crc[again], pos[again]
-                order = np.lexsort((pos, crc, row, null))
-                row, null, crc, pos = (x[order] for x in (row, null, crc, pos))
-                same = (row[1:] == row[:-1]) & (crc[1:] == crc[:-1]) & (null[1:] == null[:-1])
+                row, crc, pos = row[again], crc[again], pos[again]
+                order = np.lexsort((pos, crc, row))
+                row, crc, pos = (x[order] for x in (row, crc, pos))
+                same = (row[1:] == row[:-1]) & (crc[1:] == crc[:-1])
                 fresh = np.concatenate([[True], ~(same & (pos[1:] - pos[:-1] <= 1))])
                 a = np.flatnonzero(fresh)
                 b = np.concatenate([a[1:], [len(pos)]]) - 1
                 fill = W.mix(row[a].astype(W.U64) * W.U64(31) + crc[a].astype(W.U64) * W.U64(17)
                              + pos[a].astype(W.U64))
-                yield _batch(fill, fill >> W.U64(32), row[a], null[a], crc[a], pos[a], pos[b] + 1,
+                yield _batch(fill, fill >> W.U64(32), row[a], crc[a], pos[a], pos[b] + 1,
                              np.full(len(a), SETTLED))
 
         size = 0
@@ -189,13 +188,11 @@ def _candidates(window: int, bits: int, shared):
                 if not len(at):
                     continue
                 doc = np.searchsorted(found.words.bounds, at, side="right") - 1
-                ids = part.column(part.schema.get_field_index(_ROW))
-                row = ids.fill_null(0).to_numpy(zero_copy_only=False)[doc]
-                null = ids.is_null().to_numpy(zero_copy_only=False)[doc]
+                row = part.column(part.schema.get_field_index(_ROW)).to_numpy(zero_copy_only=False)[doc]
                 crc = part.column(part.schema.get_field_index(_CRC)).to_numpy(zero_copy_only=False)[doc]
                 held.append((W.run_hashes(found.hash, window)[at],
                              W.run_hashes(found.hash, window, W.WORDS_2)[at] >> W.U64(32),
-                             row, null, crc, (at - found.words.bounds[doc]).astype(np.int64)))
+                             row, crc, (at - found.words.bounds[doc]).astype(np.int64)))
                 size += len(at)
                 if size > FLUSH_WINDOWS:
                     yield from flush()
@@ -203,10 +200,10 @@ def _candidates(window: int, bits: int, shared):
         if held:
             yield from flush()
 
-    def _batch(h1, h2, row, null, crc, first, last, n):
+    def _batch(h1, h2, row, crc, first, last, n):
         return pa.RecordBatch.from_pydict({
             "h1": pa.array(h1.view(np.int64)), "h2": pa.array(h2.astype(np.uint32).view(np.int32)),
-            _ROW: pa.array(row, pa.int64(), mask=null), _CRC: pa.array(crc, pa.int64()),
+            _ROW: pa.array(row, pa.int64()), _CRC: pa.array(crc, pa.int64()),
             "span": pa.array(first << 32 | last), "n": pa.array(n.astype(np.int32))})
     return run
 
@@ -286,17 +283,16 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", key
     W.bounded_batches(spark)
     added = {"n_words", "n_removed", "kept_text"}
     base = docs.drop(*added)
-    keyed = base.select(F.col(key).cast("long").alias(_ROW),
-                        F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias(_CRC),
+    # a row's key, never null: its id (0 for null) and its text's crc32, beyond 32 bits for null
+    id_ = F.col(key).cast("long")
+    crc = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    row_key = {_ROW: F.coalesce(id_, F.lit(0)), _CRC: crc + F.when(id_.isNull(), F.lit(1 << 32)).otherwise(F.lit(0))}
+    keyed = base.select(*[c.alias(n) for n, c in row_key.items()],
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
-    marks = (repeated_windows(spark, keyed, window)
-             .groupBy(_ROW, _CRC)
-             .agg(F.collect_set("span").alias("spans"))
-             .select(F.col(_ROW).alias("__r"), F.col(_CRC).alias("__c"), "spans"))
+    marks = repeated_windows(spark, keyed, window).groupBy(_ROW, _CRC).agg(
+        F.collect_set("span").alias("spans"))
     names = base.columns
-    wide = base.withColumns({_ROW: F.col(key).cast("long"),
-                             _CRC: F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))})
-    joined = wide.join(marks, F.col(_ROW).eqNullSafe(F.col("__r")) & (F.col(_CRC) == F.col("__c")), "left")
+    joined = base.withColumns(row_key).join(marks, [_ROW, _CRC], "left")
     ready = joined.select(*names, F.coalesce("spans", F.array().cast("array<long>")).alias("__spans"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     return ready.mapInArrow(_cut(names, text, window),

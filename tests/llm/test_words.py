@@ -34,7 +34,7 @@ def test_hashes_of_a_sliced_column_and_of_spans_longer_than_a_slice(monkeypatch)
     column = pa.array(["x y", "some words here", None, "x some y"])
     all_ = W.Words(column).hashes()
     assert (W.Words(column.slice(1)).hashes() == all_[2:]).all()
-    monkeypatch.setattr(W, "SLICE_BYTES", 2)
+    monkeypatch.setattr(W, "SPAN_BYTES", 2)
     assert (W.Words(column).hashes() == all_).all()
 
 
