@@ -45,7 +45,6 @@ def min_cost_flow(supply: list[int], demand: list[int], cost: list[list[float]])
     left, open_ = list(supply), list(demand)
     flow: dict[tuple[int, int], int] = {}
     # nodes: sources 0..n-1, targets n..n+m-1; potentials keep reduced costs >= 0
-
     potential = [0.0] * n + [min((cost[i][j] for i in range(n)), default=0.0) for j in range(m)]
     while any(left):
         dist = [math.inf] * (n + m)
