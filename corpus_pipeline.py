@@ -28,14 +28,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, that of the smallest id; of rows with
-    that id one stays.  Documents without an id stay only where no id is linked to them."""
-    found = simhash.near_duplicates(spark, docs)
-    # rows that stand for their component: ids equal to the component's
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(stay["__keep"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each SimHash component, that of the smallest id; documents
+    without an id come last."""
+    return simhash.keep_one(spark, docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

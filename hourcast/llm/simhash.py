@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm import _words as W
@@ -76,8 +76,8 @@ def _fingerprints(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t, k) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))],
-                                             ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp.view(np.int64))],
+                                             ["doc_id", "row_hash", "fp"])
     return run
 
 
@@ -320,23 +320,51 @@ def components(spark: SparkSession, edges: DataFrame, folder: str) -> DataFrame:
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", key: str = "doc_id",
-                    shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
+def _row_hash(text: str, key: str) -> Column:
+    """Hash of a text, another one where the row has no id."""
+    return F.xxhash64(F.col(key).isNull(), F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def _grouped(spark: SparkSession, docs: DataFrame, first: Column, text: str, key: str,
+             shingle_words: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, row_hash, fp), and per distinct ``fp`` the smallest ``first`` of
+    all rows in its component."""
     W.bounded_batches(spark)
     folder = f"{checkpoint_dir(spark).rstrip('/')}/simhash-{uuid.uuid4().hex}"
-    (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-     .mapInArrow(_fingerprints(shingle_words), "doc_id long, fp long")
+    (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                 _row_hash(text, key).alias("row_hash"))
+     .mapInArrow(_fingerprints(shingle_words), "doc_id long, row_hash long, fp long")
      .write.parquet(f"{folder}/fingerprints"))
     rows = spark.read.parquet(f"{folder}/fingerprints")
-    least = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    least.write.parquet(f"{folder}/distinct")
+    rows.groupBy("fp").agg(F.min(first).alias("first")).write.parquet(f"{folder}/distinct")
     distinct = spark.read.parquet(f"{folder}/distinct")
     roots = components(spark, links(distinct, max_bits), f"{folder}/components")
-    linked = distinct.join(roots, distinct.fp == roots.node).select("fp", "root", "first_id")
-    smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = linked.join(smallest, "root").select("fp", "component_id")
-    by_fp = distinct.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    linked = distinct.join(roots, distinct.fp == roots.node).select("fp", "root", "first")
+    smallest = linked.groupBy("root").agg(F.min("first").alias("least"))
+    linked = linked.join(smallest, "root").select("fp", "least")
+    return rows, distinct.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("first"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", key: str = "doc_id",
+                    shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
+    rows, by_fp = _grouped(spark, docs, F.col("doc_id"), text, key, shingle_words, max_bits)
     return rows.join(by_fp, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first").alias("component_id"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, text: str = "text", key: str = "doc_id",
+             shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of every component of ``docs``, with all columns.
+
+    It is that of the smallest id (rows without an id come last), of rows with that id
+    the one whose text has the smallest hash, and one of rows with equal id and text.
+    Equal rows are reduced per task before the texts are shuffled, once.
+    """
+    id_ = F.coalesce(F.col(key).cast("long"), F.lit(0))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("__id"),
+                     F.col("row_hash").alias("__hash"))
+    _, by_fp = _grouped(spark, docs, first, text, key, shingle_words, max_bits)
+    stay = by_fp.select("first.__id", "first.__hash").distinct()
+    return (docs.withColumns({"__id": id_, "__hash": _row_hash(text, key)}).dropDuplicates(["__id", "__hash"])
+            .join(stay, ["__id", "__hash"], "left_semi").select(*docs.columns))

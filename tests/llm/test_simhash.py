@@ -116,8 +116,23 @@ def test_chain_of_links_reaches_its_end(spark):
     assert set(got) == set(path) and set(got.values()) == {0}
 
 
+def test_keep_one_row_of_each_component(spark):
+    """Rows of one id, or of none, in different components all have their own keeper."""
+    rnd = random.Random(6)
+    text = lambda: " ".join(f"w{rnd.randint(0, 900)}" for _ in range(50))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(5, a), (5, b), (5, c), (3, c), (7, c), (None, c), (None, d), (None, e), (None, e),
+            (0, d), (9, a), (4, None), (6, ""), (None, None), (8, "alone"), (8, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS fp", "2 AS first")
+    out = S.keep_one(spark, df)
+    assert out.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(5, a), (5, b), (3, c), (0, d), (None, e), (4, None), (8, "alone")], key=str)
+
+
 def test_empty(spark):
     assert run(spark, []) == []
+    assert S.keep_one(spark, spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
 def test_query_against_brute_force(spark):
