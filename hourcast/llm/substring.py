@@ -283,10 +283,12 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", key
     W.bounded_batches(spark)
     added = {"n_words", "n_removed", "kept_text"}
     base = docs.drop(*added)
-    # a row's key, never null: its id (0 for null) and its text's crc32, beyond 32 bits for null
-    id_ = F.col(key).cast("long")
-    crc = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    row_key = {_ROW: F.coalesce(id_, F.lit(0)), _CRC: crc + F.when(id_.isNull(), F.lit(1 << 32)).otherwise(F.lit(0))}
+    # a row's key, never null: its id and its text's crc32; without an id 0 and a 62-bit
+    # hash of the text, which no crc32 equals
+    id_, whole = F.col(key).cast("long"), F.coalesce(F.col(text), F.lit(""))
+    row_key = {_ROW: F.coalesce(id_, F.lit(0)),
+               _CRC: F.when(id_.isNull(), F.xxhash64(whole).bitwiseOR(F.lit(1 << 62)))
+               .otherwise(F.crc32(whole.cast("binary")))}
     keyed = base.select(*[c.alias(n) for n, c in row_key.items()],
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
     marks = repeated_windows(spark, keyed, window).groupBy(_ROW, _CRC).agg(

@@ -60,6 +60,13 @@ def test_repeated_rows_only(spark):
     assert run(spark, rows, 35) == brute(rows, 35)
 
 
+def test_rows_without_an_id_are_told_apart_by_text(spark):
+    rnd = random.Random(12)
+    rows = [(None, " ".join(f"w{rnd.randint(0, 30)}" for _ in range(rnd.randint(0, 40)))) for _ in range(80)]
+    rows += [(0, rows[0][1]), (None, None), (None, rows[1][1])]
+    assert run(spark, rows, 3) == brute(rows, 3)
+
+
 def test_empty(spark):
     assert run(spark, [], 35) == []
 
