@@ -234,7 +234,8 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, tokenizer_json: str
     shared = spark.sparkContext.broadcast(content)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-     .repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
+     # rows that share an id, or have none, are dealt by their texts
+     .repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
      .sortWithinPartitions(F.col("doc_id").asc_nulls_first())
      .withColumn("file_no", F.spark_partition_id())
      .mapInArrow(_segments(shared, end_id, whole), SEGMENT)

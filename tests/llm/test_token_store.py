@@ -60,6 +60,17 @@ def test_repeated_rows(spark, library):
     assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == expected(library, docs)
 
 
+def test_a_shared_id_is_dealt_over_files(spark, library):
+    docs = [(None, f"text number {i}") for i in range(300)] + [(1, f"more {i}") for i in range(300)] + [(2, "end")]
+    got, folder = stored(spark, spark.createDataFrame(docs, "doc_id long, text string"))
+    rows = sorted(map(tuple, got.collect()), key=lambda r: r[1])
+    assert [r[0] for r in rows] == [None] * 300 + [1] * 300 + [2]
+    assert [r[1] for r in rows] == [sum(r[2] for r in rows[:i]) for i in range(len(rows))]
+    assert sorted(r[2:] for r in rows) == sorted(r[2:] for r in expected(library, docs))
+    files = spark.read.parquet(folder)
+    assert files.filter("exists(doc_ids, x -> x is null)").select("file_no").distinct().count() > 1
+
+
 def test_empty(spark):
     got, _ = stored(spark, spark.createDataFrame([], "doc_id long, text string"))
     assert got.count() == 0
