@@ -157,7 +157,7 @@ def measured(docs: DataFrame, old_shard: Column, text: str = "text", key: str =
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long")
     out = docs.withColumn("__size", size).withColumn("__old", old_shard.cast("int"))
     return (out.withColumn("__class", F.floor(F.log2("__size")).cast("int"))
-            .withColumn("__sub", F.pmod(F.xxhash64(F.col(key), "__size"), F.lit(sub_blocks)).cast("int")))
+            .withColumn("__sub", F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(sub_blocks)).cast("int")))
 
 
 def plan(spark: SparkSession, sized: DataFrame, old_shards: int, new_shards: int,
