@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm import _words as W
@@ -153,32 +153,36 @@ def _hits(lengths: list[int], shared):
                     take = pa.array(docs, pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [part.column(part.schema.get_field_index("doc_id")).take(take),
-                         part.column(part.schema.get_field_index("text_crc")).take(take),
+                         part.column(part.schema.get_field_index("text_hash")).take(take),
                          pa.array(rows["k"], pa.int32()), pa.array(rows["h"], pa.int64()),
                          pa.array(rows["shingle"], pa.string()), pa.array(rows["in_sketch"], pa.bool_())],
-                        ["doc_id", "text_crc", "k", "h", "shingle", "in_sketch"])
+                        ["doc_id", "text_hash", "k", "h", "shingle", "in_sketch"])
     return run
 
 
+def _text_hash(text) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame, text: str = "text",
                     key: str = "doc_id", item_key: str = "item_id", item_text: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_crc, item_id, n_shingles, n_shared of every contained item, per text."""
+    """doc_id, text_hash, item_id, n_shingles, n_shared of every contained item, per text."""
     W.bounded_batches(spark)
     shingles = item_shingles(items, item_key, item_text)
     lengths = sorted(r[0] for r in shingles.select("k").distinct().collect())     # 1 to 5
     shared = spark.sparkContext.broadcast(item_filter(shingles))
     hits = docs.select(
         F.col(key).cast("long").alias("doc_id"),
-        F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc"),
+        _text_hash(text).alias("text_hash"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
-    ).mapInArrow(_hits(lengths, shared), "doc_id long, text_crc long, k int, h long, shingle string, "
+    ).mapInArrow(_hits(lengths, shared), "doc_id long, text_hash long, k int, h long, shingle string, "
                  "in_sketch boolean")
     size = shingles.groupBy(F.col("item_id").alias("i")).agg(F.count(F.lit(1)).alias("n_shingles"))
     wanted = (shingles.join(size, F.col("item_id").eqNullSafe(F.col("i")))
               .select("item_id", "n_shingles", "k", "h", "shingle"))
     met = hits.join(wanted, ["k", "h", "shingle"])
-    return (met.groupBy("doc_id", "text_crc", "item_id", "n_shingles")
+    return (met.groupBy("doc_id", "text_hash", "item_id", "n_shingles")
             .agg(F.countDistinct("h").alias("n_shared"), F.max("in_sketch").alias("candidate"))
             .filter(F.col("candidate") | (F.col("n_shingles") <= EXACT_SHINGLES))
             .filter(F.col("n_shared") >= F.col("n_shingles") * threshold)
@@ -197,6 +201,6 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, te
                       key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose text contains no item."""
     bad = (contained_items(spark, docs, items, text, key).select(
-        F.col("doc_id").alias("__d"), F.col("text_crc").alias("__c")).distinct())
-    crc = F.crc32(F.coalesce(docs[text], F.lit("")).cast("binary"))
-    return docs.join(bad, docs[key].cast("long").eqNullSafe(bad["__d"]) & (crc == bad["__c"]), "left_anti")
+        F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h")).distinct())
+    same = docs[key].cast("long").eqNullSafe(bad["__d"]) & (_text_hash(docs[text]) == bad["__h"])
+    return docs.join(bad, same, "left_anti")
