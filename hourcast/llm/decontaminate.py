@@ -23,10 +23,13 @@ Method:
 An item of one to four words is a single shingle of all its words, looked for as such
 a run of words; an item without words is in no document.
 
-Defined results: null or empty texts contain nothing; equal items are separate
-items; equal rows give one row per (document id, item id), and rows that share an id
-but not a text give the highest containment; null ids are ordinary values; empty
-tables give an empty table.
+Documents and items are told apart by id and text hash until the end.
+
+Defined results: null or empty texts contain nothing; equal texts under different ids
+are separate items, and equal rows count once; one row per (document id, item id):
+documents or items that share an id but not a text give the highest containment, of
+equal ones that with the most shingles; null ids are ordinary values; empty tables
+give an empty table.
 """
 
 from __future__ import annotations
@@ -62,9 +65,9 @@ def _text(raw: bytes, words: W.Words, first: int, k: int) -> str:
 
 def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        words = W.Words(batch.column(1))
+        words = W.Words(batch.column(2))
         hashes, raw = words.hashes(lower=True), words.data.tobytes()
-        item, size, h, text = [], [], [], []
+        item, n_shingles, size, h, text = [], [], [], [], []
         for d, n in enumerate(words.counts):
             k = min(SHINGLE_WORDS, int(n))
             if not k:
@@ -75,16 +78,21 @@ def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             text += seen.keys()
             h += seen.values()
             item += [d] * len(seen)
+            n_shingles += [len(seen)] * len(seen)
             size += [k] * len(seen)
+        take = pa.array(item, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(item, pa.int64())), pa.array(size, pa.int32()),
-             pa.array(h, pa.int64()), pa.array(text, pa.string())], ["item_id", "k", "h", "shingle"])
+            [batch.column(0).take(take), batch.column(1).take(take), pa.array(n_shingles, pa.int64()),
+             pa.array(size, pa.int32()), pa.array(h, pa.int64()), pa.array(text, pa.string())],
+            ["item_id", "item_hash", "n_shingles", "k", "h", "shingle"])
 
 
 def item_shingles(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """Distinct shingles (item_id, k, h, shingle) of every item."""
-    return items.select(F.col(key).cast("long").alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("t")
-                        ).mapInArrow(_item_shingles, "item_id long, k int, h long, shingle string")
+    """Distinct shingles (item_id, item_hash, n_shingles, k, h, shingle) of every distinct item."""
+    return (items.select(F.col(key).cast("long").alias("item_id"), _text_hash(F.col(text)).alias("item_hash"),
+                         F.coalesce(F.col(text), F.lit("")).alias("t")).distinct()
+            .mapInArrow(_item_shingles, "item_id long, item_hash long, n_shingles long, k int, h long, "
+                        "shingle string"))
 
 
 def _positions(h: np.ndarray) -> list[np.ndarray]:
@@ -167,7 +175,7 @@ def _text_hash(text) -> Column:
 def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame, text: str = "text",
                     key: str = "doc_id", item_key: str = "item_id", item_text: str = "text",
                     threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_hash, item_id, n_shingles, n_shared of every contained item, per text."""
+    """doc_id, text_hash, item_id, item_hash, n_shingles, n_shared of every contained item, per text."""
     W.bounded_batches(spark)
     shingles = item_shingles(items, item_key, item_text)
     lengths = sorted(r[0] for r in shingles.select("k").distinct().collect())     # 1 to 5
@@ -178,11 +186,8 @@ def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame, text
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     ).mapInArrow(_hits(lengths, shared), "doc_id long, text_hash long, k int, h long, shingle string, "
                  "in_sketch boolean")
-    size = shingles.groupBy(F.col("item_id").alias("i")).agg(F.count(F.lit(1)).alias("n_shingles"))
-    wanted = (shingles.join(size, F.col("item_id").eqNullSafe(F.col("i")))
-              .select("item_id", "n_shingles", "k", "h", "shingle"))
-    met = hits.join(wanted, ["k", "h", "shingle"])
-    return (met.groupBy("doc_id", "text_hash", "item_id", "n_shingles")
+    met = hits.join(shingles, ["k", "h", "shingle"])
+    return (met.groupBy("doc_id", "text_hash", "item_id", "item_hash", "n_shingles")
             .agg(F.countDistinct("h").alias("n_shared"), F.max("in_sketch").alias("candidate"))
             .filter(F.col("candidate") | (F.col("n_shingles") <= EXACT_SHINGLES))
             .filter(F.col("n_shared") >= F.col("n_shingles") * threshold)
@@ -193,8 +198,9 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, **name
     """One row per document id and contained item: doc_id, item_id, n_shingles,
     n_shared, containment."""
     found = contained_items(spark, docs, items, **names)
-    return (found.groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_shared").alias("n_shared"))
-            .withColumn("containment", F.col("n_shared") / F.col("n_shingles")))
+    best = F.max(F.struct((F.col("n_shared") / F.col("n_shingles")).alias("containment"), "n_shingles", "n_shared"))
+    return (found.groupBy("doc_id", "item_id").agg(best.alias("best"))
+            .select("doc_id", "item_id", "best.n_shingles", "best.n_shared", "best.containment"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, text: str = "text",

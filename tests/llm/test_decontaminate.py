@@ -71,3 +71,17 @@ def test_drop_contaminated_keeps_clean_rows(spark):
     kept = [tuple(r) for r in D.drop_contaminated(spark, df, spark.createDataFrame(items, "item_id long, text string")).collect()]
     key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
     assert sorted(kept, key=key) == sorted((r for r in docs if r not in bad), key=key)
+
+
+def test_repeated_items_and_items_that_share_an_id(spark):
+    a, b = "one two three four five six seven", "red green blue black white grey pink brown"
+    docs = [(1, f"x {a} y"), (2, f"x {b} y"), (3, f"{a} z {b}"), (4, "x one two three y"), (None, a)]
+    found = {1: 3, None: 3, 2: 4, 3: 4}             # shingles of the item found; of two whole ones the larger
+    repeated = [(7, a), (7, a), (7, a)]
+    assert run(spark, docs, repeated) == {(d, 7, 3, 3) for d in (1, 3, None)}
+    for shared in ([(None, a), (None, b)], [(7, a), (7, b)], [(7, a), (7, a), (7, b)]):
+        assert run(spark, docs, shared) == {(d, shared[0][0], n, n) for d, n in found.items()}
+    for items in (repeated, [(None, a), (None, b)]):
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        kept = D.drop_contaminated(spark, df, spark.createDataFrame(items, "item_id long, text string"))
+        assert [r["doc_id"] for r in kept.orderBy("doc_id").collect()] == ([2, 4] if items == repeated else [4])
