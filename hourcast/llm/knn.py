@@ -22,8 +22,10 @@ over ``PARTS`` parts, so one crowded cell is spread over many tasks.
 Scores are exact while |score| < 2**53.  Defined results: a vector that is null or
 holds null or non-finite components takes no part; a shorter vector counts as
 padded with zeros; ties go to the smaller id; rows with equal ids are separate
-candidates, and a query leaves out only rows of its own id; fewer than k
-candidates give fewer rows; a null id takes no part; empty input, empty output.
+candidates, and a query leaves out only rows of its own id; every query row is a query
+of its own, so rows that share a query id, with equal vectors or not, give k rows each
+under that id, ranked from 1; fewer than k candidates give fewer rows; a null id takes
+no part; empty input, empty output.
 """
 
 from __future__ import annotations
@@ -83,13 +85,14 @@ def _nearest(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _chunks(shared, dim: int, k: int):
     """Vectors to packed chunks: of all vectors (is_query false) by cell, and of queries
-    by cell in blocks.  A chunk holds ids and components of one cell."""
+    by cell in blocks.  A chunk holds ids and components of one cell, and a block also the
+    row numbers, which tell queries of one id apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots, witness_ids, witnesses = shared.value
-        names = ["is_query", "cell", "radius", "bound", "n", "ids", "vectors"]
-        types = [pa.bool_(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.binary(), pa.binary()]
+        names = ["is_query", "cell", "radius", "bound", "n", "ids", "vectors", "row_numbers"]
+        types = [pa.bool_(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), *[pa.binary()] * 3]
 
-        def rows(ids, x, cell, dist, bound, is_query, size):
+        def rows(ids, x, cell, dist, bound, is_query, size, numbers=None):
             out = []
             for c in np.unique(cell):
                 mine = np.flatnonzero(cell == c)
@@ -97,10 +100,11 @@ def _chunks(shared, dim: int, k: int):
                 for i in range(0, len(mine), size):
                     m = mine[i:i + size]
                     out.append((is_query, int(c), float(dist[m].max()), float(bound[m].min()), len(m),
-                                ids[m].tobytes(), x[m].tobytes()))
+                                ids[m].tobytes(), x[m].tobytes(),
+                                numbers[m].tobytes() if is_query else None))
             return out
 
-        def flush(ids, x):
+        def flush(ids, x, query, numbers):
             cell, dist = _nearest(x, pivots)
             none = np.zeros(len(ids))
             out = rows(ids, x, cell, dist, none, False, CHUNK)
@@ -110,37 +114,37 @@ def _chunks(shared, dim: int, k: int):
                 score[ids[q][:, None] == witness_ids[None, :]] = -np.inf
                 bound = (np.sort(score, axis=1)[:, -k] if score.shape[1] >= k
                          else np.full(len(q), -np.inf))
-                out += rows(ids[q], x[q], cell[q], dist[q], bound, True, BLOCK)
+                out += rows(ids[q], x[q], cell[q], dist[q], bound, True, BLOCK, numbers[q])
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(v), t) for v, t in zip(zip(*out), types)], names)
 
         held, n = [], 0
         for batch in batches:
             held.append((batch.column(0).to_numpy(), _matrix(batch.column(1), dim),
-                         batch.column(2).to_numpy(zero_copy_only=False)))
+                         batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy()))
             n += batch.num_rows
             if n >= 8 * CHUNK:
-                ids, x, query = (np.concatenate(c) for c in zip(*held))
+                columns = [np.concatenate(c) for c in zip(*held)]
                 held, n = [], 0
-                yield flush(ids, x)
+                yield flush(*columns)
         if n:
-            ids, x, query = (np.concatenate(c) for c in zip(*held))
-            yield flush(ids, x)
+            yield flush(*(np.concatenate(c) for c in zip(*held)))
     return run
 
 
-_CHUNK = "is_query boolean, cell int, radius double, bound double, n int, ids binary, vectors binary"
+_CHUNK = ("is_query boolean, cell int, radius double, bound double, n int, ids binary, vectors binary, "
+          "row_numbers binary")
 
 
 def _solve(dim: int, k: int):
     """Join rows (query block, chunk) to candidates, k per query, block and run of rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, qids, q, best = None, None, None, None
+        block, qids, numbers, q, best = None, None, None, None, None
 
         def result():
             row, ids, score = best
             return pa.RecordBatch.from_pydict({
-                "query_id": pa.array(qids[row]), "vec_id": pa.array(ids),
+                "row_number": pa.array(numbers[row]), "query_id": pa.array(qids[row]), "vec_id": pa.array(ids),
                 "score": pa.array(score.astype(np.int64))})
 
         for batch in batches:
@@ -152,6 +156,7 @@ def _solve(dim: int, k: int):
                         yield result()
                     block = name
                     qids = np.frombuffer(get["query_ids"][i].as_py(), np.int64)
+                    numbers = np.frombuffer(get["row_numbers"][i].as_py(), np.int64)
                     q = np.frombuffer(get["queries"][i].as_py()).reshape(-1, dim)
                     best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
                     least = np.full(len(qids), -np.inf)
@@ -196,13 +201,15 @@ def top_k(spark: SparkSession, table: DataFrame, is_query: Column, k: int, key:
     pivots = _bounded(valid, PIVOTS, dim, 1)[1]
     witness_ids, witnesses = _bounded(valid, WITNESSES, dim, 2)
     shared = spark.sparkContext.broadcast((pivots, witness_ids, witnesses))
-    (valid.select("id", "v", is_query.alias("q")).mapInArrow(_chunks(shared, dim, k), _CHUNK)
+    # the row numbers are fixed by writing the chunks
+    (valid.select("id", "v", is_query.alias("q"), F.monotonically_increasing_id().alias("row_number"))
+     .mapInArrow(_chunks(shared, dim, k), _CHUNK)
      .write.parquet(f"{folder}/chunks"))
     chunks = spark.read.parquet(f"{folder}/chunks")
 
     blocks = chunks.filter("is_query").select(
         "cell", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), "radius", "bound",
-        F.concat_ws("-", "cell", F.sha2("ids", 256)).alias("block"))
+        "row_numbers", F.concat_ws("-", "cell", F.sha2("row_numbers", 256)).alias("block"))
     # at most PIVOTS rows: the summary of every query group
     groups = {r["cell"]: (r["radius"], r["bound"]) for r in blocks.groupBy("cell").agg(
         F.max("radius").alias("radius"), F.min("bound").alias("bound")).collect()}
@@ -220,11 +227,11 @@ def top_k(spark: SparkSession, table: DataFrame, is_query: Column, k: int, key:
             .filter(F.col("base") + F.col("slope") * F.col("radius")
                     + 1e-6 * (F.abs("base") + F.col("slope") * F.col("radius") + 1) >= F.col("least"))
             .select("g", F.pmod(F.xxhash64("ids"), F.lit(PARTS)).cast("int").alias("part"), "ids", "vectors"))
-    dealt = blocks.select(F.col("cell").alias("g"), "block", "query_ids", "queries",
+    dealt = blocks.select(F.col("cell").alias("g"), "block", "query_ids", "queries", "row_numbers",
                           F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
     met = (dealt.join(sent, ["g", "part"])
-           .select("block", "query_ids", "queries", "ids", "vectors"))
-    found = met.mapInArrow(_solve(dim, k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+           .select("block", "query_ids", "queries", "row_numbers", "ids", "vectors"))
+    found = met.mapInArrow(_solve(dim, k), "row_number long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("row_number").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -47,3 +47,14 @@ def test_empty(spark):
     assert run(spark, []) == set()
     assert run(spark, [(5, None, "x")]) == set()
     assert run(spark, [(5, [1.0], "x")]) == set()
+
+
+def test_every_row_of_a_repeated_query_id_has_its_own_result(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK", 1)          # blocks of equal ids
+    others = [(i, [i / 8, 1 - i / 8]) for i in range(1, 40) if i % 5]
+    for twice in ([0.5, 0.5], [-0.5, 0.25]):      # equal vectors, and different ones
+        pair = [(5, [0.5, 0.5]), (5, twice)]
+        df = spark.createDataFrame(others + pair, "vec_id long, embedding array<float>")
+        got = knn.top_k(spark, df, F.col("id") % 5 == 0, 4, component=lambda x: F.floor(x * 64)).collect()
+        want = [r for row in pair for r in brute(others + [row], 4, lambda i: i == 5)]
+        assert sorted(tuple(r) for r in got) == sorted(want)
