@@ -513,6 +513,65 @@ def q_daily_run_dim_region(spark, d):
     return sink.read(spark, _layout(wh).dim_region)
 
 
+# the same scenarios over every day of the series: one day or region is set apart, and
+# all others are loaded too
+def _on(df: DataFrame, column: str, day: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of one day, and all others."""
+    same = F.col(column).cast("date") == F.lit(day).cast("date")
+    return df.filter(same), df.filter(~same)
+
+
+def q_daily_run_measured_whole(spark, d):
+    """Measured load of all days with weather of all days but one: every day reaches the fact."""
+    from hourcast.plans import daily
+    raw_e, raw_w = raw_pair(spark, d)
+    wh = _scratch(spark, "measured-whole")
+    daily.run(spark, wh, weather=_on(raw_w, "time", "2024-01-02")[1], energy=raw_e)
+    return _fact_of(spark, wh)
+
+
+def q_daily_run_half_day_whole(spark, d):
+    """After all other days, one day's load in two halves, the second with a correction of one hour."""
+    from hourcast.plans import daily
+    raw_e, raw_w = raw_pair(spark, d)
+    wh = _scratch(spark, "halves-whole")
+    (day_e, other_e), (day_w, other_w) = _on(raw_e, "ts", "2024-01-01"), _on(raw_w, "time", "2024-01-01")
+    daily.run(spark, wh, weather=other_w, energy=other_e)
+    daily.run(spark, wh, weather=day_w, energy=day_e.filter(F.hour("ts") < 12))
+    later = day_e.filter(F.hour("ts") >= 11).withColumn("load_mw", F.col("load_mw") + F.lit(100.0))
+    daily.run(spark, wh, weather=day_w, energy=later)
+    return _fact_of(spark, wh)
+
+
+def q_daily_run_repaired_whole(spark, d):
+    """One spoiled day stops the batch of all days but one and the run after it; its repair
+    takes up every day."""
+    from hourcast.plans import daily
+    _, raw_w = raw_pair(spark, d)
+    wh = _scratch(spark, "repaired-whole")
+    second, batch = _on(raw_w, "time", "2024-01-02")
+    first, others = _on(batch, "time", "2024-01-01")
+    spoiled = others.unionByName(first.withColumn("temperature_2m", F.lit(50.0)))
+    failed = 0
+    for part in (spoiled, second):
+        try:
+            daily.run(spark, wh, weather=part, jitter=False)
+        except Q.GateFailed:
+            failed += 1
+    daily.run(spark, wh, weather=first, jitter=False)
+    return _fact_of(spark, wh).withColumn("failed_runs", F.lit(failed))
+
+
+def q_daily_run_dim_region_whole(spark, d):
+    """Regions inserted by two runs over all days, the second with one more region."""
+    from hourcast.plans import daily
+    _, raw_w = raw_pair(spark, d)
+    wh = _scratch(spark, "regions-whole")
+    daily.run(spark, wh, weather=raw_w.filter(F.col("region") != "DE-BE"), jitter=False)
+    daily.run(spark, wh, weather=raw_w, jitter=False)
+    return sink.read(spark, _layout(wh).dim_region)
+
+
 def q_daily_run_mart(spark, d):
     """The written weather mart of two overlapping runs."""
     from hourcast.plans import daily
@@ -524,8 +583,8 @@ def q_daily_run_mart(spark, d):
     return _r(sink.read(spark, _layout(wh).mart_weather_daily), "avg_temp_c")
 
 
-def q_csv_mixed(spark, d):
-    """One folder of CSV files with three layouts, blank regions and incomplete rows."""
+def _csv_mixed(spark, d, third: str):
+    """CSV files of three layouts; ``third`` picks the rows of the one without region."""
     from hourcast.sources import csv as csv_src
     _, rw = raw_pair(spark, d)
     text = rw.select("region", F.date_format("time", "yyyy-MM-dd'T'HH:mm").alias("time"),
@@ -537,12 +596,22 @@ def q_csv_mixed(spark, d):
     temp = F.when(F.col("h") == 17, F.lit("")).otherwise(F.col("temperature_2m")).alias("temperature_2m")
     for name, part in (("a", text.filter("h < 8").select(blank, "time", "temperature_2m")),
                        ("b", text.filter("h >= 8 AND h < 16").select("temperature_2m", time, "region")),
-                       ("c", text.filter("h >= 16 AND region = 'DE-NW'").select("time", temp))):
+                       ("c", text.filter(third).select("time", temp))):
         sink.write_csv(part, f"{path}/{name}")
     rows = csv_src.parse_weather_rows(csv_src.read_processed_csv(spark, f"{path}/*"))
     return rows.select(F.col("time").cast("timestamp_ntz").alias("time"), "region", "temperature_2m")
 
 
+def q_csv_mixed(spark, d):
+    """One folder of CSV files with three layouts, blank regions and incomplete rows."""
+    return _csv_mixed(spark, d, "h >= 16 AND region = 'DE-NW'")
+
+
+def q_csv_mixed_whole(spark, d):
+    """The same three layouts with the rows of every region in each."""
+    return _csv_mixed(spark, d, "h >= 16")
+
+
 # gates as their one-row results, on clean and on dirtied inputs
 def q_gate_range(spark, d):
     return Q.range_check(_weather(spark, d), "temperature_2m", -40, 45)
