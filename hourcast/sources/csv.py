@@ -17,14 +17,21 @@ class EmptyInputError(ValueError):
     """No usable rows in the input."""
 
 
-#: Columns a file may have; further ones are not read.
-MAX_COLUMNS = 16
 NEEDED = ("time", "temperature_2m")
 
 
+def _width(spark: SparkSession, path: str) -> int:
+    """Columns of the widest line that may be a header, commas within quotes counted too."""
+    line = F.col("value")
+    named = [line.contains(c) for c in NEEDED]
+    widest = (spark.read.text(path).filter(named[0] & named[1])
+              .agg(F.max(F.length(line) - F.length(F.replace(line, F.lit(","), F.lit(""))))).first()[0])
+    return (widest or 0) + 1
+
+
 def _by_name(spark: SparkSession, path: str) -> DataFrame:
     """Rows of all files, each taken by the names in its own file's header."""
-    names = [f"__c{i}" for i in range(MAX_COLUMNS)]
+    names = [f"__c{i}" for i in range(_width(spark, path))]
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
     lines = (spark.read.schema(schema).csv(path)
              .select(F.array(*names).alias("cells"), F.col("_metadata.file_path").alias("file")))
