@@ -248,19 +248,24 @@ def gate_tests(df: DataFrame, tests: Sequence[tuple], what: str = "model tests")
 INGEST_LO, INGEST_HI, INGEST_MIN_ROWS = -50.0, 60.0, 200
 
 
-def ingest_profile(df: DataFrame, lo: float = INGEST_LO, hi: float = INGEST_HI,
-                   time_col: str = "time", value_col: str = "temperature_2m") -> DataFrame:
-    """One row of counts over processed text rows: ``n_rows``, ``no_time``,
-    ``no_value``, ``not_numeric`` and ``outside`` [lo, hi] (NaN is outside)."""
+def ingest_metrics(lo: float = INGEST_LO, hi: float = INGEST_HI, time_col: str = "time",
+                   value_col: str = "temperature_2m") -> dict[str, Column]:
+    """The counts of :func:`ingest_profile` as aggregates by name."""
     v = col(value_col)
     # "missing" is NULL or the empty string
     blank_time = col(time_col).isNull() | (col(time_col) == "")
     blank_val = v.isNull() | (v.cast("string") == "")
     num = v.cast("string").try_cast("double")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), count_where(blank_time).alias("no_time"),
-                  count_where(blank_val).alias("no_value"),
-                  count_where(~blank_val & num.isNull()).alias("not_numeric"),
-                  count_where(out_of_range(num, lo, hi)).alias("outside"))
+    return {"n_rows": F.count(F.lit(1)), "no_time": count_where(blank_time), "no_value": count_where(blank_val),
+            "not_numeric": count_where(~blank_val & num.isNull()),
+            "outside": count_where(out_of_range(num, lo, hi))}
+
+
+def ingest_profile(df: DataFrame, lo: float = INGEST_LO, hi: float = INGEST_HI,
+                   time_col: str = "time", value_col: str = "temperature_2m") -> DataFrame:
+    """One row of counts over processed text rows: ``n_rows``, ``no_time``,
+    ``no_value``, ``not_numeric`` and ``outside`` [lo, hi] (NaN is outside)."""
+    return df.agg(*[e.alias(n) for n, e in ingest_metrics(lo, hi, time_col, value_col).items()])
 
 
 def raise_ingest(r, min_rows: int = INGEST_MIN_ROWS, lo: float = INGEST_LO,

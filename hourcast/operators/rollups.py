@@ -72,3 +72,35 @@ def distinct_keys(*frames: DataFrame, column: str) -> DataFrame:
 def filtered_max(value: str, cond: Column) -> Column:
     """``MAX(value) FILTER (WHERE cond)``."""
     return F.max(F.when(cond, col(value)))
+
+
+def subtotals(df: DataFrame, columns: Sequence[str], sets: Sequence[Sequence[str]], value: str,
+              id_name: str = "grouping_id") -> DataFrame:
+    """Count, sum, minimum and maximum of ``value`` for several sets of group columns.
+
+    The rows are aggregated once by all ``columns``; only the groups are expanded to the
+    ``sets`` and merged, so the work of the sets does not grow with the rows.  A column
+    that a set leaves out is NULL, and ``id_name`` tells it from a NULL group: its bits,
+    the first column's highest, are 1 for the columns left out.  ``n_rows`` counts rows,
+    also those without a value.
+    """
+    finest = df.groupBy(*columns).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(value).alias(f"sum_{value}"),
+        F.min(value).alias(f"min_{value}"), F.max(value).alias(f"max_{value}"))
+    return finest.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(
+        F.grouping_id().cast("bigint").alias(id_name), F.sum("n_rows").alias("n_rows"),
+        F.sum(f"sum_{value}").alias(f"sum_{value}"), F.min(f"min_{value}").alias(f"min_{value}"),
+        F.max(f"max_{value}").alias(f"max_{value}"))
+
+
+def rollup_sets(columns: Sequence[str]) -> list[list[str]]:
+    """``ROLLUP``: all columns, then one less from the right, down to none."""
+    return [list(columns[:n]) for n in range(len(columns), -1, -1)]
+
+
+def cube_sets(columns: Sequence[str]) -> list[list[str]]:
+    """``CUBE``: every subset of the columns."""
+    out: list[list[str]] = [[]]
+    for c in columns:
+        out += [[*s, c] for s in out]
+    return out

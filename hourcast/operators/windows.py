@@ -4,17 +4,18 @@
 (a gap in the series is not filled).  Rows follow each other by time, NULL times
 first; a NULL key is a series of its own, and no row is ever left out.
 
-One shape serves series of every length (``chunk="calendar"``, the default).  Rows
-get an exact row index per series -- their row number inside a calendar hour plus
-the counts of the hours and days before it -- are regrouped into fixed-size index
-blocks, and each block is given a halo copy of the rows its frame reaches into
-from the previous block.  Every block is an independent window partition, so a
-series holding a third of all rows is spread over ``rows / block_rows`` tasks, and
-no window partition holds more than a block, an hour, or a row per hour or day.
-
-A caller who knows that all series are short can ask for ``chunk=None``, one plain
-window partitioned by the series key; a Column or a list of Columns, coarse to
-fine and monotone in the order, replaces the calendar.
+By default (``chunk="calendar"``) the longest series is measured, by one pass with
+partial aggregation over keys and times.  If it has at most ``block_rows`` rows, a window
+partition is a series.  Otherwise a partition is a series within a time cell
+(:mod:`hourcast.operators.cells`): rows are shuffled once by (series, cell), and a cell
+gets copies of the last rows before it, as many as the frame reaches back.  These come
+from a table of the last k rows of every cell, which a group limit cuts before its
+shuffle; a cell with fewer than k rows passes older ones on.  So a series with a third
+of all rows is spread over its cells, and a burst makes the cells shorter.  Both shapes
+give the same rows.
+
+``chunk=None`` is one plain window partitioned by the series key; a Column or a list of
+Columns, coarse to fine and monotone in the order, gives the cells.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourcast.functions._util import col
+from hourcast.operators.cells import CELL_ROWS, cell_of, cells_needed, instant, null_safe_join
 
-_IDX, _BLK, _HALO = "__hc_idx", "__hc_block", "__hc_halo"
+_IDX, _CELL, _HALO = "__hc_idx", "__hc_cell", "__hc_halo"
 
 CALENDAR = "calendar"
 
@@ -45,15 +47,6 @@ def chunk_levels(order: str, chunk) -> list[Column]:
     return [chunk] if isinstance(chunk, Column) else list(chunk)
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on equal keys where NULL equals NULL; the key columns appear once."""
-    renamed = right.select(*[F.col(k).alias(f"__hc_r{i}") for i, k in enumerate(keys)],
-                           *[c for c in right.columns if c not in keys])
-    on = reduce(lambda a, b: a & b,
-                [F.col(k).eqNullSafe(F.col(f"__hc_r{i}")) for i, k in enumerate(keys)])
-    return left.join(renamed, on).drop(*[f"__hc_r{i}" for i in range(len(keys))])
-
-
 def row_indexed(df: DataFrame, keys, order: str, chunk=CALENDAR) -> DataFrame:
     """Add a 0-based row index per series, computed without a per-series sort.
 
@@ -86,38 +79,52 @@ def row_indexed(df: DataFrame, keys, order: str, chunk=CALENDAR) -> DataFrame:
             .drop(*parts, "__hc_rn", "__hc_off"))
 
 
+def _cell_of(df: DataFrame, keys: list[str], order: str, chunk, block_rows: int) -> Column | None:
+    """The cell of a row, or None if every series is one partition."""
+    if isinstance(chunk, str):
+        chunk_levels(order, chunk)                       # only the known name
+        length = cells_needed(df, keys, order, block_rows)
+        return None if length is None else cell_of(instant(df, order), length)
+    levels = chunk_levels(order, chunk)
+    return levels[0] if len(levels) == 1 else F.struct(*levels)
+
+
 def with_window_columns(df: DataFrame, keys, order: str, halo: int,
                         build: Callable[[Window], dict[str, Column]],
-                        chunk=CALENDAR, block_rows: int = 100_000,
+                        chunk=CALENDAR, block_rows: int = CELL_ROWS,
                         materialize: bool = False) -> DataFrame:
     """Evaluate row-frame window columns reaching at most ``halo`` rows back.
 
     ``build(w)`` returns {name: expression over window spec w}; ``w`` is ordered
     and partitioned for the chosen shape.  ``materialize``: first write the input
     once with ``DataFrame.checkpoint()`` (the session's shared checkpoint folder),
-    so an expensive input is not computed by both the count and the row branch.
+    so an expensive input is not computed again for measuring and for the copied rows.
     """
     k = _keys(keys)
-    if chunk is None:
-        w = Window.partitionBy(*k).orderBy(order)
-        return df.select("*", *[e.alias(n) for n, e in build(w).items()])
-    if materialize:
+    if chunk is not None and materialize:
         from hourcast.session import checkpoint_dir
         checkpoint_dir(df.sparkSession)          # the cluster's folder; set only if unset
         df = df.checkpoint(eager=True)
-    block = max(int(block_rows), halo + 1)
-    idx = row_indexed(df, k, order, chunk)
-    blk = F.floor(F.col(_IDX) / F.lit(block))
-    # Rows in the last `halo` positions of a block are copied into the next one.
-    tail = (F.col(_IDX) % F.lit(block)) >= F.lit(block - halo)
-    shift = F.explode(F.when(tail & F.lit(halo > 0), F.array(F.lit(0), F.lit(1)))
-                      .otherwise(F.array(F.lit(0))))
-    spread = (idx.select("*", shift.alias("__hc_shift"))
-              .withColumn(_BLK, blk + F.col("__hc_shift"))
-              .withColumn(_HALO, F.col("__hc_shift") == F.lit(1))
-              .drop("__hc_shift"))
-    w = Window.partitionBy(*k, _BLK).orderBy(_IDX)
-    exprs = build(w)
+    cell = None if chunk is None else _cell_of(df, k, order, chunk, block_rows)
+    if cell is None:
+        w = Window.partitionBy(*k).orderBy(order)
+        return df.select("*", *[e.alias(n) for n, e in build(w).items()])
+    # rows at the same time follow each other in one order everywhere
+    rest = [f.name for f in df.schema.fields if f.name not in (order, *k)
+            and "map<" not in f.dataType.simpleString()]
+    rows = df.withColumn(_CELL, cell)
+    tails = (rows.withColumn("__hc_back", F.row_number().over(
+                 Window.partitionBy(*k, _CELL).orderBy(F.desc(order), *map(F.desc, rest))))
+             .filter(F.col("__hc_back") <= F.lit(halo)))
+    # the last rows of all cells in a line: a row is wanted by every cell whose first row
+    # is one of the next ``halo`` in it
+    line = Window.partitionBy(*k).orderBy(_CELL, order, *rest)
+    begins = ~F.col(_CELL).eqNullSafe(F.lag(_CELL).over(line))
+    wanted = F.collect_list(F.when(F.col("__hc_begins"), F.col(_CELL))).over(line.rowsBetween(1, max(halo, 1)))
+    copies = (tails.withColumn("__hc_begins", begins).withColumn("__hc_to", wanted)
+              .select(*df.columns, F.explode("__hc_to").alias(_CELL), F.lit(True).alias(_HALO)))
+    spread = rows.withColumn(_HALO, F.lit(False)).unionByName(copies)
+    exprs = build(Window.partitionBy(*k, _CELL).orderBy(order, *rest))
     out = spread.select(*df.columns, _HALO, *[e.alias(n) for n, e in exprs.items()])
     return out.filter(~F.col(_HALO)).drop(_HALO)
 

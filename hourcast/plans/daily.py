@@ -10,19 +10,22 @@ Stage order (each stage reads what the previous one wrote):
 3. energy   measured load: upsert ``raw/energy_load_hourly`` on (ts, region); modelled
             load: rebuild its touched days by the demand model over raw weather
 4. staging  upsert ``staging/weather_hourly_clean`` and ``staging/energy_hourly_clean``
-            on (ts, region), touched days only, from the raw tables
-5. gates    weather range, energy duplicates, row count -- *before* anything
-            downstream is written
+            on (ts, region), touched days only, from the raw tables; the weather range
+            and the row count are gates on metrics of these writes, judged before either
+            table is switched to its new files
+5. gates    energy duplicates and the expected row count, before anything downstream
+            is written
 6. marts    insert-if-absent dimensions, foreign-key gate, then the daily fact and the
             days of the pooled weather mart and of the energy x weather mart
 7. tests    model tests on these days of the marts (fail-fast), then quality reports
 
-A run works on its days -- those of the weather batch and of the measured load --
-and on *pending* days: days that are staged but not yet in the marts, because a
-gate stopped an earlier run.  So a failed day keeps failing runs until it is
-repaired, and is then taken up.  Every table is versioned (``hourcast.sinks.tables``)
-and partitioned by its day column, dimensions apart, and which days exist is known
-from manifests: a run reads its days and the dimensions only.
+A run works on its days -- those of the weather batch and of the measured load -- and on
+*pending* days.  Its days are noted as pending before anything is loaded, and struck out
+when the marts have passed their tests; so a day that a gate or a failure stopped, be it
+new or a correction, is staged and judged again by every run, keeps failing runs until it
+is repaired, and is then taken up.  Every table is versioned (``hourcast.sinks.tables``)
+and partitioned by its day column, dimensions apart: a run reads its days and the
+dimensions only.
 """
 
 from __future__ import annotations
@@ -41,8 +44,9 @@ from hourcast.operators.upsert import DuplicateKeyError
 from hourcast.plans import marts as M
 from hourcast.plans.concurrent import run_all
 from hourcast.plans.features import energy_from_weather
-from hourcast.plans.ingest import weather_from_landing, weather_from_text
-from hourcast.sources.csv import read_processed_csv
+from hourcast.operators.observed import Watch, WriteGate, ingest_gate, range_gate
+from hourcast.plans.ingest import weather_from_landing
+from hourcast.sources.csv import parse_weather_rows, read_processed_csv, require_rows
 from hourcast.plans.staging import stage_energy, stage_weather, standard_energy, standard_weather
 from hourcast.session import configure
 from hourcast.sinks import tables as sink
@@ -74,6 +78,7 @@ class Layout:
             "fact": "mart/fact_energy_load_daily",
             "mart_weather_daily": "mart/mart_weather_daily",
             "mart_energy_weather_daily": "mart/mart_energy_weather_daily",
+            "pending": "pending_days",
             "reports": "reports",
         }
         if name not in paths:
@@ -116,11 +121,16 @@ def checked_days(batch: DataFrame, what: str, time_col: str = "time") -> list:
 
 
 def pending_days(spark: SparkSession, layout: Layout) -> list[str]:
-    """Days that are staged but not in the marts, from the tables' manifests."""
-    day = lambda values: {v[:10] for v in values}  # noqa: E731  a timestamp begins with its day
-    of = lambda name: day(sink.partition_values(spark, getattr(layout, name)))
-    return sorted((of("staging_weather") - of("mart_weather_daily"))
-                  | (of("staging_energy") - of("fact")))
+    """Days that a run took up and has not brought into the marts, because a gate or a
+    failure stopped it.  Bounded by the calendar."""
+    pending = sink.try_read(spark, layout.pending)
+    return sorted(r[0] for r in pending.distinct().collect()) if pending is not None else []
+
+
+def set_pending(spark: SparkSession, layout: Layout, days: list[str]) -> None:
+    """Note the days that must be brought into the marts before others count as done."""
+    rows = spark.range(1).select(F.explode(F.array(*map(F.lit, days)).cast("array<string>")).alias("day"))
+    sink.write_table(rows, layout.pending)
 
 
 def load_weather(spark: SparkSession, layout: Layout, weather: DataFrame,
@@ -160,42 +170,47 @@ def model_energy(spark: SparkSession, layout: Layout, jitter: bool = True,
 
 
 def stage(spark: SparkSession, layout: Layout, weather_days: list | None = None,
-          energy_days: list | None = None) -> None:
-    """Raw -> staging upserts on (ts, region) of the given days, or of everything; two
-    independent jobs, submitted together.  Days without a raw table yet are skipped."""
-    def one(raw: str, make, target: str, days, schema) -> Callable[[], None]:
+          energy_days: list | None = None, modelled: list | None = None) -> None:
+    """Raw -> staging upserts on (ts, region) of the given days, or of everything: two
+    independent writes, submitted together and gated by their own metrics.
+
+    The temperature range is a gate of the weather write; the days whose load was
+    ``modelled`` must get one energy row per weather row.  Neither table is switched to
+    its new files before both writes have passed.  Days without a raw table yet are
+    skipped.
+    """
+    mine = F.col("day").cast("string").isin([str(d) for d in modelled or []])
+    counted = WriteGate({"n_modelled": Q.count_where(mine)}, lambda m: None)
+
+    def one(raw: str, make, target: str, days, schema, *gates) -> Callable[[], sink.Draft]:
         rows = _read(spark, raw, days).drop("day", "created_at")
-        return lambda: sink.upsert(spark, make(rows), target, ["ts", "region"],
-                                   dedupe_order="unique", partitions=days, schema=schema)
+        return lambda: sink.draft_upsert(spark, make(rows), target, ["ts", "region"], dedupe_order="unique",
+                                         partitions=days, schema=schema, gates=[counted, *gates])
 
     jobs = []
     if weather_days is None or weather_days:
         jobs.append(one(layout.raw_weather, stage_weather, layout.staging_weather, weather_days,
-                        schemas.STAGING_WEATHER))
+                        schemas.STAGING_WEATHER, range_gate("temperature_2m", *WEATHER_RANGE)))
     if (energy_days is None or energy_days) and sink.table_exists(spark, layout.raw_energy):
         jobs.append(one(layout.raw_energy, stage_energy, layout.staging_energy, energy_days,
                         schemas.STAGING_ENERGY))
-    run_all(*jobs)
+    drafts = run_all(*jobs)
+    if modelled and len(drafts) == 2:
+        hours, loads = (d.metrics["n_modelled"] for d in drafts)
+        if hours != loads:
+            raise Q.GateFailed(f"row count == {hours}: failed, {loads} modelled rows")
+    for draft in drafts:
+        draft.publish(spark)
 
 
 def gate_staging(spark: SparkSession, layout: Layout, expected_rows: int | None = None,
-                 days: list | None = None, modelled: list | None = None) -> None:
-    """Fail-fast gates on staging: range and duplicates on the given days.
-
-    Row count: ``expected_rows`` is for the whole staging energy table.  Without it
-    the days whose load was ``modelled`` in this run must hold one energy row per
-    weather row.
-    """
-    sw = _read(spark, layout.staging_weather, days)
-    se = _read(spark, layout.staging_energy, days)
-    gates = [lambda: Q.gate_range(sw, "temperature_2m", *WEATHER_RANGE),
-             lambda: Q.gate_unique(se, ["ts", "region"])]
+                 days: list | None = None) -> None:
+    """Fail-fast gates that need a query of their own: duplicates on the given days, and
+    ``expected_rows`` of the whole staging energy table."""
+    gates = [lambda: Q.gate_unique(_read(spark, layout.staging_energy, days), ["ts", "region"])]
     if expected_rows is not None:
         gates.append(lambda: Q.gate_rowcount(sink.read(spark, layout.staging_energy),
                                              expected_rows))
-    elif modelled:
-        gates.append(lambda: Q.gate_rowcount(_read(spark, layout.staging_energy, modelled),
-                                             _read(spark, layout.staging_weather, modelled).count()))
     run_all(*gates)
 
 
@@ -309,22 +324,31 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
     if sum(x is not None for x in (landing, csv, weather)) != 1:
         raise ValueError("give exactly one of landing=, csv=, weather=")
     folder = f"{layout.warehouse.rstrip('/')}/batches/{uuid.uuid4().hex}"
+    watch = None
     try:
         if landing is not None:
             weather = weather_from_landing(spark, landing)
         elif csv is not None:
-            weather = weather_from_text(read_processed_csv(spark, csv))
+            # the ingest gate observes the text rows while the batch is written
+            watch = Watch(read_processed_csv(spark, csv), [ingest_gate()])
+            weather = parse_weather_rows(watch.df)
         weather = weather.select("time", "region", "temperature_2m")   # the raw table's shape
         if as_of is not None:
             weather = weather.filter(within_complete_days(utc_day("time"), as_of, n_days))
         # Batches are read several times (days and duplicates, then the upsert): they are
         # written once, so parsing or joins behind them run once.
         weather = _written(spark, weather, f"{folder}/weather")
+        if watch is not None:
+            watch.check()
+            require_rows(weather)
         weather_days = checked_days(weather, "weather")
         energy_days = weather_days
         if energy is not None:
             energy = _written(spark, energy.select("ts", "region", "load_mw"), f"{folder}/energy")
             energy_days = checked_days(energy, "energy", "ts")
+        # before anything is loaded: a run that stops leaves its days to the next one
+        todo = sorted({str(d) for d in [*weather_days, *energy_days]} | set(pending_days(spark, layout)))
+        set_pending(spark, layout, todo)
         load_weather(spark, layout, weather, weather_days)
         if energy is not None:
             load_energy(spark, layout, energy, energy_days)
@@ -332,15 +356,12 @@ def run(spark: SparkSession, warehouse: str, landing: str | None = None,
             model_energy(spark, layout, jitter, weather_days if incremental else None)
     finally:
         sink.delete_path(spark, folder)
-    stage(spark, layout, weather_days if incremental else None, energy_days if incremental else None)
-    days = None
-    if incremental:
-        days = sorted({str(d) for d in [*weather_days, *energy_days]}
-                      | set(pending_days(spark, layout)))
-    modelled = [str(d) for d in weather_days] if energy is None else None
-    gate_staging(spark, layout, expected_rows, days, modelled)
+    days = todo if incremental else None
+    stage(spark, layout, days, days, weather_days if energy is None else None)
+    gate_staging(spark, layout, expected_rows, days)
     build_marts(spark, layout, days)
     test_marts(spark, layout, days)
+    set_pending(spark, layout, [])
     if register_tables:
         from hourcast.plans.catalog import register
         register(spark, layout)

@@ -22,12 +22,15 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourcast.operators.observed import Watch, WriteGate
+from hourcast.operators.quality import GateFailed
 from hourcast.operators.upsert import (DuplicateKeyError, asserted_unique, dedupe_batch,
                                        is_duplicate_error, merge_columns, merge_replace,
                                        new_keys_only)
@@ -195,16 +198,37 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
+@dataclass(frozen=True)
+class Draft:
+    """The files of a write that nobody reads yet, and what was observed while writing."""
+    path: str
+    column: str | None
+    dirs: list[str]
+    schema: T.StructType
+    metrics: dict
+
+    def publish(self, spark: SparkSession) -> None:
+        publish(spark, self.path, self.column, self.dirs, self.schema)
+
+
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,
                 sort_within: Sequence[str] = (), only_present_partitions: bool = False,
-                schema: T.StructType | None = None) -> None:
+                schema: T.StructType | None = None, gates: Sequence[WriteGate] = ()) -> None:
     """Write a new version (TRUNCATE + INSERT, table materialisation).
 
     With ``only_present_partitions`` the new version replaces just the partitions
     present in ``df`` and keeps the others.  ``sort_within`` orders rows inside each
     file, so parquet statistics let later range predicates skip row groups.
-    ``schema`` is the declared schema (see :func:`conform`).
+    ``schema`` is the declared schema (see :func:`conform`).  ``gates`` are judged by
+    metrics of the write; a fault raises, and the table stays as it was.
     """
+    draft_table(df, path, partition_by, sort_within, only_present_partitions, schema, gates).publish(df.sparkSession)
+
+
+def draft_table(df: DataFrame, path: str, partition_by: str | None = None,
+                sort_within: Sequence[str] = (), only_present_partitions: bool = False,
+                schema: T.StructType | None = None, gates: Sequence[WriteGate] = ()) -> Draft:
+    """Write the files of a new version without switching to it (:func:`write_table`)."""
     spark = df.sparkSession
     if schema is not None:
         df = conform(df, schema)
@@ -220,14 +244,20 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None,
         df = df.hint("rebalance", partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *sort_within)
-    w = df.write
+    # last of all, in the stage that writes: a task run again does not count twice
+    watch = Watch(df, gates) if gates else None
+    w = (watch.df if watch else df).write
     (w.partitionBy(partition_by) if partition_by else w).parquet(folder)
+    try:
+        metrics = watch.check() if watch else {}
+    except GateFailed:
+        delete_path(spark, folder)
+        raise
     if not partition_by:
-        publish(spark, path, None, [version], out_schema)
-        return
+        return Draft(path, None, [version], out_schema, metrics)
     new = [n for n in _names(spark, folder) if n.startswith(f"{partition_by}=")]
     kept = [d for d in (before.dirs if before else []) if d.rpartition("/")[2] not in set(new)]
-    publish(spark, path, partition_by, [*kept, *(f"{version}/{n}" for n in new)], out_schema)
+    return Draft(path, partition_by, [*kept, *(f"{version}/{n}" for n in new)], out_schema, metrics)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
@@ -249,7 +279,8 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
            partition_col: str = "day", update: Sequence[str] | None = None,
            preserve: Sequence[str] = (), defaults: dict[str, Column] | None = None,
            dedupe_order: Sequence | None = None,
-           schema: T.StructType | None = None, partitions: list | None = None) -> None:
+           schema: T.StructType | None = None, partitions: list | None = None,
+           gates: Sequence[WriteGate] = ()) -> None:
     """Insert new keys and update existing ones in the touched partitions.
 
     ``update=None`` replaces whole rows (DO UPDATE of every column); otherwise
@@ -258,8 +289,18 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     published, unless ``dedupe_order`` is given (last-wins).  ``partition_col`` must
     be a function of the key, so an existing row always lives in the partition its
     batch row targets.  ``partitions`` may list the batch's partition values when
-    the caller knows them.
+    the caller knows them.  ``gates`` judge the rows that the touched partitions get.
     """
+    draft_upsert(spark, batch, path, keys, partition_col, update, preserve, defaults, dedupe_order, schema,
+                 partitions, gates).publish(spark)
+
+
+def draft_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
+                 partition_col: str = "day", update: Sequence[str] | None = None,
+                 preserve: Sequence[str] = (), defaults: dict[str, Column] | None = None,
+                 dedupe_order: Sequence | None = None, schema: T.StructType | None = None,
+                 partitions: list | None = None, gates: Sequence[WriteGate] = ()) -> Draft:
+    """The files of an :func:`upsert`, without switching to them."""
     batch = asserted_unique(batch, keys) if dedupe_order is None else \
         dedupe_batch(batch, keys, dedupe_order)
     m = manifest(spark, path)
@@ -280,8 +321,8 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
             merged = merge_columns(target.select(*m.schema.fieldNames()), batch, keys, update,
                                    preserve, defaults)
     try:
-        write_table(merged, path, partition_col, sort_within=keys, only_present_partitions=True,
-                    schema=schema)
+        return draft_table(merged, path, partition_col, sort_within=keys, only_present_partitions=True,
+                           schema=schema, gates=gates)
     except Exception as e:
         if is_duplicate_error(e):
             raise DuplicateKeyError(f"duplicate key in batch for {path}") from e

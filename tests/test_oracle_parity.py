@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from hourcast.plans.registry import QUERIES
+from hourcast.plans.queries import QUERIES
 from tests.conftest import SF
 
 TABLES = ["events"]
