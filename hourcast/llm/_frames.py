@@ -37,6 +37,19 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def aside(docs: DataFrame, *also: str, but: Sequence[str | None] = ()):
+    """``docs`` with the columns renamed that an operator's helper columns could meet, and
+    a function that gives them their names back.  Helper names begin with ``__`` or are
+    given in ``also``; the columns ``but`` keep their names."""
+    names = {n.lower() for n in also}
+    clash = [c for c in docs.columns if (c.startswith("__") or c.lower() in names) and c not in but]
+    renamed = dict(zip(clash, fresh(docs, *[f"kept_{i}" for i in range(len(clash))])))
+
+    def back(out: DataFrame) -> DataFrame:
+        return out.withColumnsRenamed({new: old for old, new in renamed.items()}) if renamed else out
+    return (docs.withColumnsRenamed(renamed) if renamed else docs), back
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for an intermediate table in the folder that all executors share."""
     return f"{checkpoint_dir(spark).rstrip('/')}/hourcast-{name}-{uuid.uuid4().hex}"

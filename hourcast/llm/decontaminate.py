@@ -12,13 +12,14 @@ Method:
    Documents are partitioned by their number of shingles, and a partition of up to
    2**s shingles uses ``BINS_PER_SHINGLE * 2**s`` bins, so long documents keep as much
    of a short item as short ones do.
-3. An item is a candidate for a document if a bin value of the document is one of the
-   item's shingles.  A shared shingle is its bin's value with probability 0.88 or
-   more, and an item of more than ``EXACT_SHINGLES`` shingles shares at least eight:
-   a contained item is missed with probability below 1e-7.  For items of fewer
-   shingles every shared shingle makes a candidate, so none is missed.
-4. Candidates are verified by counting the distinct shared shingles, compared as
-   texts, not as hashes.
+3. The bin values are joined with the items' shingles.  An item is a candidate for a
+   document if they share ``SKETCH_SHARE`` of the shingles that a contained item must
+   share.  A shared shingle is its bin's value with probability 0.88 or more, and an item
+   of more than ``EXACT_SHINGLES`` shingles must share 27 or more: one that is contained
+   is missed with probability below 1e-7.  For an item of fewer shingles, where the
+   estimate is too coarse, every shared shingle makes a candidate, so none is missed.
+4. Candidates are verified: the distinct shingles that a candidate pair shares, compared
+   as texts and not as hashes, are counted for these pairs only.
 
 An item of one to four words is a single shingle of all its words, looked for as such
 a run of words; an item without words is in no document.
@@ -35,6 +36,8 @@ give an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +45,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm import _words as W
+from hourcast.llm._frames import aside, written
 from hourcast.llm.simhash import LOWER
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 FILTER_BITS = 25
 BINS_PER_SHINGLE = 4
-EXACT_SHINGLES = 9
+EXACT_SHINGLES = 32
+SKETCH_SHARE = 0.5
 
 
 def _runs(words: W.Words, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -186,12 +191,25 @@ def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame, text
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     ).mapInArrow(_hits(lengths, shared), "doc_id long, text_hash long, k int, h long, shingle string, "
                  "in_sketch boolean")
-    met = hits.join(shingles, ["k", "h", "shingle"])
-    return (met.groupBy("doc_id", "text_hash", "item_id", "item_hash", "n_shingles")
-            .agg(F.countDistinct("h").alias("n_shared"), F.max("in_sketch").alias("candidate"))
-            .filter(F.col("candidate") | (F.col("n_shingles") <= EXACT_SHINGLES))
-            .filter(F.col("n_shared") >= F.col("n_shingles") * threshold)
-            .drop("candidate"))
+    # written: the search and the verification both read them
+    hits = written(hits.distinct(), "item-hits")
+    shingle = ["k", "h", "shingle"]
+    item = ["item_id", "item_hash", "n_shingles"]
+    long_items = F.col("n_shingles") > EXACT_SHINGLES
+    searched = (hits.filter("in_sketch").join(shingles.filter(long_items), shingle)
+                .groupBy("doc_id", "text_hash", *item).agg(F.count(F.lit(1)).alias("n"))
+                .filter(F.col("n") >= F.col("n_shingles") * (threshold * SKETCH_SHARE)))
+    exact = hits.join(shingles.filter(~long_items), shingle).select("doc_id", "text_hash", *item).distinct()
+    candidates = searched.select(*exact.columns).unionByName(exact)
+    # only the shingles of candidate pairs are counted
+    c, h, s = candidates.alias("c"), hits.alias("h"), shingles.alias("s")
+    same = lambda x, y, *names: reduce(
+        and_, [F.col(f"{x}.{n}").eqNullSafe(F.col(f"{y}.{n}")) for n in names])
+    shared_shingles = (c.join(h, same("c", "h", "doc_id", "text_hash"))
+                       .join(s, same("c", "s", "item_id", "item_hash") & same("h", "s", *shingle)))
+    return (shared_shingles.groupBy(*[F.col(f"c.{n}") for n in ("doc_id", "text_hash", *item)])
+            .agg(F.count(F.lit(1)).alias("n_shared"))
+            .filter(F.col("n_shared") >= F.col("n_shingles") * threshold))
 
 
 def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, **names) -> DataFrame:
@@ -206,7 +224,8 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, **name
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, text: str = "text",
                       key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose text contains no item."""
+    docs, back = aside(docs, but=(text, key))
     bad = (contained_items(spark, docs, items, text, key).select(
         F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h")).distinct())
     same = docs[key].cast("long").eqNullSafe(bad["__d"]) & (_text_hash(docs[text]) == bad["__h"])
-    return docs.join(bad, same, "left_anti")
+    return back(docs.join(bad, same, "left_anti"))

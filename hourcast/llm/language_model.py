@@ -9,7 +9,8 @@ others are dealt by their last two bytes.  The model factors
 The first factor is log-bilinear: the context vector is a linear map of the two
 context classes' vectors, a class scores its dot product with it plus a bias.  It is
 trained in numpy by noise-contrastive estimation over the counts of class triples of
-*all* training texts, gathered by Spark.  One batched matrix product over all contexts
+*all* training texts, gathered by Spark: ``PASSES`` weighted passes over all of them, whose
+table is bounded by the number of classes, without drawing examples.  One batched matrix product over all contexts
 and a softmax then give normalised log-probabilities, a table of fixed size.  The
 second factor is (c + 0.5) / (class total), with one unknown word per open class.
 
@@ -41,7 +42,7 @@ SUFFIX_CLASSES = 64
 COMMON = CLASSES - SUFFIX_CLASSES - 1
 END_CLASS = CLASSES - 1
 HEAD_WORDS = 1 << 17
-DIM, NOISE, STEPS, BATCH, RATE, SEED = 24, 8, 800, 4096, 0.02, 7
+DIM, NOISE, PASSES, RATE, SEED = 24, 8, 200, 0.05, 7
 #: The end of a text as a word hash.
 END_HASH = W.U64(0x0123456789ABCDEF)
 
@@ -132,47 +133,45 @@ def _triples(shared):
 
 def train(code: np.ndarray, n: np.ndarray) -> np.ndarray:
     """log10 P(class | context) as an array (two before, one before, class), learned by
-    noise-contrastive estimation from triple counts."""
+    noise-contrastive estimation from triple counts.
+
+    Every pass goes over all contexts that occur, each class weighted by its count; the
+    noise classes are not drawn either, as there are few enough of them to take the
+    expectation over ``NOISE`` of them per token exactly.
+    """
     rng = np.random.default_rng(SEED)
-    a, b, w = code // CLASSES ** 2, code // CLASSES % CLASSES, code % CLASSES
+    context, w = code // CLASSES, code % CLASSES
     unigram = np.bincount(w, weights=n, minlength=CLASSES) + 0.5
     noise = unigram / unigram.sum()
-    log_kn = np.log(NOISE * noise)
-    upto = np.cumsum(n / max(1, n.sum()))
-    noise_upto = np.cumsum(noise)
-    par = {"R": rng.normal(0, 0.1, (CLASSES, DIM)), "A": np.eye(DIM) * 0.5, "B": np.eye(DIM),
-           "Q": rng.normal(0, 0.1, (CLASSES, DIM)), "bias": np.log(noise)}
+    log_kn = np.log(NOISE * noise).astype(np.float32)
+    seen, row = np.unique(context, return_inverse=True)
+    a, b = seen // CLASSES, seen % CLASSES
+    share = np.zeros((len(seen), CLASSES), np.float32)       # of all tokens, per context and class
+    share[row, w] = n / max(1.0, n.sum())
+    expected = NOISE * share.sum(1)[:, None] * noise.astype(np.float32)[None, :]
+    normal = lambda: rng.normal(0, 0.1, (CLASSES, DIM)).astype(np.float32)
+    eye = np.eye(DIM, dtype=np.float32)
+    par = {"R": normal(), "A": eye * 0.5, "B": eye.copy(), "Q": normal(), "bias": np.log(noise).astype(np.float32)}
     first = {k: np.zeros_like(v) for k, v in par.items()}
     second = {k: np.zeros_like(v) for k, v in par.items()}
+    one_hot = np.arange(CLASSES)[:, None]
+    from_a, from_b = ((one_hot == x[None, :]).astype(np.float32) for x in (a, b))
 
-    def scatter(rows, values):
-        one_hot = np.zeros((CLASSES, len(rows)), np.float32)
-        one_hot[rows, np.arange(len(rows))] = 1
-        return one_hot @ values
-
-    for step in range(STEPS if len(code) else 0):
-        pick = np.minimum(np.searchsorted(upto, rng.random(BATCH)), len(code) - 1)
-        ia, ib, iw = a[pick], b[pick], w[pick]
-        # one set of noise classes for the whole batch, weighted to NOISE per example
-        bad = np.minimum(np.searchsorted(noise_upto, rng.random(64)), CLASSES - 1)
-        ra, rb = par["R"][ia], par["R"][ib]
+    for step in range(PASSES if len(code) else 0):
+        ra, rb = par["R"][a], par["R"][b]
         v = ra @ par["A"] + rb @ par["B"]
-        q = par["Q"]
-        good_d = 1 / (1 + np.exp(-((v * q[iw]).sum(1) + par["bias"][iw] - log_kn[iw]))) - 1
-        bad_d = 1 / (1 + np.exp(-(v @ q[bad].T + par["bias"][bad] - log_kn[bad]))) * (NOISE / 64)
-        dv = good_d[:, None] * q[iw] + bad_d @ q[bad]
-        grad = {"Q": scatter(iw, good_d[:, None] * v), "bias": np.bincount(iw, good_d, CLASSES),
-                "A": ra.T @ dv, "B": rb.T @ dv,
-                "R": scatter(ia, dv @ par["A"].T) + scatter(ib, dv @ par["B"].T)}
-        np.add.at(grad["Q"], bad, bad_d.T @ v)
-        np.add.at(grad["bias"], bad, bad_d.sum(0))
-        rate = RATE * (1 - step / STEPS) + 1e-4
-        for k, g in grad.items():
-            g = g / BATCH
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.99 * second[k] + 0.01 * g * g
-            par[k] -= rate * (first[k] / (1 - 0.9 ** (step + 1))) / (
-                np.sqrt(second[k] / (1 - 0.99 ** (step + 1))) + 1e-8)
+        odds = v @ par["Q"].T + (par["bias"] - log_kn)
+        chance = 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
+        g = (share + expected) * chance - share
+        dv = g @ par["Q"]
+        grad = {"Q": g.T @ v, "bias": g.sum(0), "A": ra.T @ dv, "B": rb.T @ dv,
+                "R": from_a @ (dv @ par["A"].T) + from_b @ (dv @ par["B"].T)}
+        rate = RATE * (1 - step / PASSES) + 1e-4
+        for k, d in grad.items():
+            first[k] = 0.9 * first[k] + 0.1 * d
+            second[k] = 0.99 * second[k] + 0.01 * d * d
+            par[k] = par[k] - (rate * (first[k] / (1 - 0.9 ** (step + 1))) / (
+                np.sqrt(second[k] / (1 - 0.99 ** (step + 1))) + 1e-8)).astype(np.float32)
     # every context at once: one matrix product and a softmax
     v = ((par["R"] @ par["A"])[:, None, :] + (par["R"] @ par["B"])[None, :, :]).reshape(-1, DIM)
     s = v @ par["Q"].T + par["bias"]
@@ -227,6 +226,19 @@ def _score(names: list[str], shared):
     return run
 
 
+def commonest(counts: DataFrame, rows: int) -> DataFrame:
+    """The words of the greatest counts, ``rows`` at most: those above a bound that a
+    histogram of the counts' lengths and first two digits gives (some 1,800 cells)."""
+    digits = F.col("c").cast("string")
+    cell = F.char_length(digits) * 100 + F.rpad(F.substring(digits, 1, 2), 2, "0").cast("int")
+    total, least = 0, 10_000
+    for i, n in sorted(map(tuple, counts.groupBy(cell.alias("cell")).count().collect()), reverse=True):
+        if total + n > rows:
+            break
+        total, least = total + n, i
+    return counts.filter(cell >= least)
+
+
 def lm_scores(spark: SparkSession, docs: DataFrame, learn_from: Column, text: str = "text",
               keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` of every row with n_tokens, n_known, train_tokens, base_score
@@ -245,7 +257,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, learn_from: Column, text: st
     by_class = counts.groupBy("suffix").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toArrow()
     total = int(np.sum(by_class["c"].to_numpy())) if by_class.num_rows else 0
     distinct = int(np.sum(by_class["v"].to_numpy())) if by_class.num_rows else 0
-    top = counts.orderBy(F.desc("c"), "h").limit(HEAD_WORDS).toArrow()
+    top = commonest(counts, HEAD_WORDS).orderBy(F.desc("c"), "h").toArrow()
     head, head_c = top["h"].to_numpy().view(np.uint64), top["c"].to_numpy().astype(float)
     head_suffix = top["suffix"].to_numpy()
     # classes of their own: the commonest words but the end

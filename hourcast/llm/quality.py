@@ -2,7 +2,7 @@
 
 Statistics of every whole text (:func:`statistics`) are computed on the executors in
 vectorised passes over the text bytes.  The trees are fitted in numpy on a sample of
-labelled rows of at most ``SAMPLE_ROWS`` (those of smallest id hash), by histograms
+labelled rows of at most ``SAMPLE_ROWS`` (by id hash), by histograms
 of binned statistics with logistic loss.  They are kept as flat arrays (feature,
 threshold, left child, value per node), and scoring walks all rows of a batch down
 one tree level at a time.
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm import _words as W
+from hourcast.llm._frames import fresh, quoted, without
 
 SAMPLE_ROWS = 40_000
 TREES, DEPTH, BINS, RATE, MIN_ROWS, L2 = 80, 4, 64, 0.15, 20, 1.0
@@ -117,12 +118,12 @@ def statistics(column: pa.Array) -> np.ndarray:
     return np.hstack(out).astype(np.float32)
 
 
-def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in W.slices(batch):
-            x = statistics(part.column(1))
+            x = statistics(part.column(2))
             values = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), values], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), values], ["doc_id", "y", "x"])
 
 
 # --- trees -------------------------------------------------------------------------
@@ -206,30 +207,48 @@ def id_remainder(key: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % modulus, F.lit(-1)).cast("int")
 
 
+def bounded_sample(known: DataFrame, rows: int, key: str = "doc_id", bins: int = 10_000) -> DataFrame:
+    """All of ``known``, one row per key, or of more than ``rows`` those in the first bins
+    of a hash of the key that together hold ``rows`` at most."""
+    cell = F.pmod(F.xxhash64(key), F.lit(bins))
+    counts = sorted(map(tuple, known.groupBy(cell.alias("cell")).count().collect()))
+    total, last = 0, -1
+    for i, n in counts:
+        if total + n > rows:
+            break
+        total, last = total + n, i
+    return known.filter(cell <= last)
+
+
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn_from: Column, text: str = "text",
         key: str = "doc_id", label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Trees | None:
     """Trees learned from labelled rows that meet ``learn_from``, a condition on the
-    column ``doc_id``; at most ``sample_rows`` of them.  None without any."""
+    column ``doc_id``; at most ``sample_rows`` of them.  Of documents with one id the
+    smallest text stands for it.  None without any."""
     W.bounded_batches(spark)
     known = (labels.select(F.col(key).cast("long").alias("doc_id"), F.col(label).cast("double").alias("y"))
              .filter(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & learn_from)
              .groupBy("doc_id").agg(F.min("y").alias("y")))
-    stats = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-                        ).mapInArrow(_statistics, "doc_id long, x array<float>")
-    sample = (stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-              .select("x", "y").toArrow())
+    # the labels are chosen first, so that only their documents are measured; they are
+    # sample_rows at most, so their table may be broadcast
+    chosen = F.broadcast(bounded_sample(known, sample_rows))
+    texts = (docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+             .join(chosen, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")))
+    sample = texts.select("doc_id", "y", "text").mapInArrow(_measured, "doc_id long, y double, x array<float>").toArrow()
     if not sample.num_rows:
         return None
+    # trees must not depend on the order in which tasks end
+    order = np.argsort(sample["doc_id"].to_numpy())
     x = sample["x"].combine_chunks().flatten().to_numpy().reshape(sample.num_rows, -1)
-    return fit_trees(x, sample["y"].to_numpy())
+    return fit_trees(x[order], sample["y"].to_numpy()[order])
 
 
-def _score(names: list[str], shared):
+def _score(names: list[str], text: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
         for batch in batches:
-            for part in W.slices(batch, "__text"):
-                x = statistics(part.column(part.schema.get_field_index("__text")))
+            for part in W.slices(batch, text):
+                x = statistics(part.column(part.schema.get_field_index(text)))
                 score = trees.scores(x) if trees is not None else np.ones(len(x))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(part.schema.get_field_index(c)) for c in names), pa.array(score)],
@@ -240,8 +259,9 @@ def _score(names: list[str], shared):
 def score(spark: SparkSession, docs: DataFrame, trees: Trees | None, text: str = "text") -> DataFrame:
     """``docs`` with its columns and ``score``, 0 to 1, higher for better texts."""
     W.bounded_batches(spark)
-    base = docs.drop("score")
+    base = without(docs, "score")
+    (source,) = fresh(docs, "source_text")
     shared = spark.sparkContext.broadcast(trees)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in base.schema.fields)
-    return base.withColumn("__text", F.coalesce(F.col(text), F.lit(""))).mapInArrow(
-        _score(base.columns, shared), f"{schema}score double")
+    return docs.select(*[quoted(c) for c in base.columns], F.coalesce(F.col(text), F.lit("")).alias(source)).mapInArrow(
+        _score(base.columns, source, shared), f"{schema}score double")

@@ -100,7 +100,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every whole text and the bytes they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe_digests(bpe.decode(spark, bpe.encode(spark, docs, path).drop("text"), path))
+    return bpe_digests(bpe.roundtrip(spark, docs, path))
 
 
 def bpe_digests(decoded: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from hourcast.llm._frames import aside, without
 from hourcast.session import checkpoint_dir
 
 SUB_BLOCKS = 32
@@ -208,7 +209,8 @@ def reshard(spark: SparkSession, docs: DataFrame, old_shard: Column, old_shards:
     """Plan, write the affected shards and read them back: the rows of ``docs`` with
     ``shard`` and ``slot``."""
     folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/reshard-{uuid.uuid4().hex}"
-    base = docs.drop("shard", "slot")
+    docs, back = aside(docs, "offset", but=(text, key))
+    base = without(docs, "shard", "slot")
     sized = measured(base, old_shard, text, key)
     blocks = plan(spark, sized, old_shards, new_shards)
     kept = rewrite(spark, sized, blocks, folder, key)
@@ -220,4 +222,4 @@ def reshard(spark: SparkSession, docs: DataFrame, old_shard: Column, old_shards:
         still = still.withColumn("slot", (F.col("offset") + F.row_number().over(place) - 1).cast("long"))
         out = out.select(*base.columns, "slot", "shard").unionByName(
             still.select(*base.columns, "slot", "shard"))
-    return out
+    return back(out)

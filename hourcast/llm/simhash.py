@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm import _words as W
+from hourcast.llm._frames import aside
 from hourcast.session import checkpoint_dir
 
 SHINGLE_WORDS = 4
@@ -361,10 +362,11 @@ def keep_one(spark: SparkSession, docs: DataFrame, text: str = "text", key: str
     the one whose text has the smallest hash, and one of rows with equal id and text.
     Equal rows are reduced per task before the texts are shuffled, once.
     """
+    docs, back = aside(docs, but=(text, key))
     id_ = F.coalesce(F.col(key).cast("long"), F.lit(0))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("__id"),
                      F.col("row_hash").alias("__hash"))
     _, by_fp = _grouped(spark, docs, first, text, key, shingle_words, max_bits)
     stay = by_fp.select("first.__id", "first.__hash").distinct()
     return (docs.withColumns({"__id": id_, "__hash": _row_hash(text, key)}).dropDuplicates(["__id", "__hash"])
-            .join(stay, ["__id", "__hash"], "left_semi").select(*docs.columns))
+            .join(stay, ["__id", "__hash"], "left_semi").select(*docs.columns).transform(back))

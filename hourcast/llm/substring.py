@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourcast.llm import _words as W
+from hourcast.llm._frames import aside, without
 
 WINDOW_WORDS = 35
 ANCHOR_WORDS = 16
@@ -281,8 +282,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", key
     """All rows and columns of ``docs`` with ``n_words``, ``n_removed`` and ``kept_text``
     (the words outside repeated windows, joined by one space)."""
     W.bounded_batches(spark)
-    added = {"n_words", "n_removed", "kept_text"}
-    base = docs.drop(*added)
+    docs, back = aside(docs, "spans", but=(text, key))
+    base = without(docs, "n_words", "n_removed", "kept_text")
     # a row's key, never null: its id and its text's crc32; without an id 0 and a 62-bit
     # hash of the text, which no crc32 equals
     id_, whole = F.col(key).cast("long"), F.coalesce(F.col(text), F.lit(""))
@@ -298,4 +299,4 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", key
     ready = joined.select(*names, F.coalesce("spans", F.array().cast("array<long>")).alias("__spans"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     return ready.mapInArrow(_cut(names, text, window),
-                            f"{schema}, n_words long, n_removed long, kept_text string")
+                            f"{schema}, n_words long, n_removed long, kept_text string").transform(back)

@@ -85,3 +85,27 @@ def test_repeated_items_and_items_that_share_an_id(spark):
         df = spark.createDataFrame(docs, "doc_id long, text string")
         kept = D.drop_contaminated(spark, df, spark.createDataFrame(items, "item_id long, text string"))
         assert [r["doc_id"] for r in kept.orderBy("doc_id").collect()] == ([2, 4] if items == repeated else [4])
+
+
+def test_recall_of_partial_copies_of_every_length(spark):
+    """Items of 10 to 200 shingles of which documents hold a share around the threshold: all
+    that hold enough are found, none that does not."""
+    rnd = random.Random(12)
+    word = lambda: f"w{rnd.randrange(4000)}"
+    items, docs = [], []
+    for i in range(220):
+        words = [word() for _ in range(rnd.randrange(14, 205))]
+        items.append((i, " ".join(words)))
+        broken = list(words)
+        for _ in range(rnd.choice([0, 0, 1, 2, len(words) // 30])):
+            broken[rnd.randrange(len(words))] = "changed"
+        filler = lambda: [word() for _ in range(rnd.choice([0, 20, 3000]))]
+        docs.append((i, " ".join([*filler(), *broken, *filler()])))
+    got = D.contamination(spark, spark.createDataFrame(docs, "doc_id long, text string"),
+                        spark.createDataFrame(items, "item_id long, text string"))
+    grams = lambda t: {tuple(t.split()[j:j + 5]) for j in range(len(t.split()) - 4)}
+    shingles = {i: grams(t) for i, t in items}
+    texts = {d: grams(t) for d, t in docs}
+    want = {(d, i): len(s & g) for d, g in texts.items() for i, s in shingles.items() if len(s & g) >= 0.8 * len(s)}
+    assert len(want) > 100 and any(len(shingles[i]) > 100 for _, i in want)
+    assert {(r.doc_id, r.item_id): r.n_shared for r in got.collect()} == want

@@ -57,7 +57,7 @@ def test_class_distributions_are_normalised_and_follow_the_counts():
 
 def test_words_of_all_classes_make_a_distribution(spark, monkeypatch):
     """Over every known word, the end and the unknown words the probabilities add up to one."""
-    monkeypatch.setattr(L, "STEPS", 30)
+    monkeypatch.setattr(L, "PASSES", 30)
     train = " ".join(f"w{i % 90}{'abc'[i % 3]}" for i in range(4000))
     vocabulary = sorted(set(train.split()))
     # texts of one word differ in that word and in the end behind it only
@@ -98,7 +98,7 @@ def test_words_of_all_classes_make_a_distribution(spark, monkeypatch):
 
 
 def test_nulls_repeats_long_texts_and_empty_tables(spark, monkeypatch):
-    monkeypatch.setattr(L, "STEPS", 10)
+    monkeypatch.setattr(L, "PASSES", 10)
     rows = [(1, "a b a"), (1, "a b a"), (None, None), (2, ""), (3, "Q " * 50_000), (4, "never seen words")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))
     got = L.lm_scores(spark, df, F.coalesce(F.col("doc_id"), F.lit(0)) != 4).collect()

@@ -57,3 +57,25 @@ def test_nulls_repeats_no_labels_and_empty_tables(spark):
     assert Q.fit(spark, docs, none, F.lit(True)) is None
     assert {r["score"] for r in Q.score(spark, docs, None).collect()} == {1.0}
     assert Q.score(spark, docs.filter("false"), trees).count() == 0
+
+
+def test_the_sample_is_bounded_and_does_not_depend_on_partitions(spark):
+    from hourcast.llm.quality import bounded_sample
+    known = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("double").alias("y"))
+    some = bounded_sample(known, 700)
+    ids = sorted(r.doc_id for r in some.collect())
+    assert 500 < len(ids) <= 700
+    assert sorted(r.doc_id for r in bounded_sample(known.repartition(7), 700).collect()) == ids
+    assert bounded_sample(known, 5000).count() == 5000 and bounded_sample(known.filter("false"), 5).count() == 0
+
+
+def test_scores_equal_a_walk_node_by_node(spark):
+    """Fitted on documents with a repeated id; the vectorised walk equals a plain one."""
+    rows = [(i % 90, ("good sober text here. " if i % 2 else "BUY!!! $$$ 1111 ") * (1 + i % 5)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id long, quality int")
+    trees = Q.fit(spark, docs, labels, F.lit(True))
+    again = Q.fit(spark, docs.repartition(5), labels, F.lit(True))
+    got = {(r.doc_id, r.text): r.score for r in Q.score(spark, docs, trees).collect()}
+    assert got == {(r.doc_id, r.text): r.score for r in Q.score(spark, docs, again).collect()}
+    assert len(got) == len(set(rows)) and min(got.values()) < 0.5 < max(got.values())

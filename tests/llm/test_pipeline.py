@@ -3,9 +3,10 @@ import hashlib
 import public_tokenizers
 import tiktoken
 
-import corpus_pipeline as P
+import corpus_pipeline
 from conftest import SF
 from hourcast.llm import bpe
+from hourcast.llm import pipeline as P
 from test_decontaminate import brute as brute_leaks
 from test_simhash import brute_components, slow_fingerprint
 from test_substring import brute as brute_windows
@@ -16,6 +17,7 @@ def rows(df):
 
 
 def test_stages_in_order_and_columns(spark):
+    assert corpus_pipeline.STAGES is P.STAGES and corpus_pipeline.run is P.run
     assert [n for n, _ in P.STAGES] == ["quality", "near_duplicates", "substrings", "decontamination", "bpe"]
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in P.STAGES[:-1]:
