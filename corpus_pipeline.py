@@ -1,72 +1,9 @@
 """Corpus pipeline: quality, near duplicates, repeated passages, benchmark leaks, token ids.
 
-Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that the stage before
-it kept; :func:`run` writes each result to the shared folder and reads it again, so a
-lost executor costs one stage at most.  All stages but the last return the columns of
-``documents``.
+The stages stand in ``hourcast.llm.pipeline``.
 """
 
-from __future__ import annotations
-
-import uuid
-
-import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from hourcast.llm import bpe, decontaminate, quality, simhash, substring
-from hourcast.llm.queries import bpe_digests
-from hourcast.session import checkpoint_dir
-
-
-def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject (score of 0.7 or more)."""
-    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    trees = quality.fit(spark, docs, labels, quality.id_remainder("doc_id", 4) != 2)
-    scored = quality.score(spark, docs, trees)
-    return scored.filter(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
-
-
-def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, that of the smallest id; documents
-    without an id come last."""
-    return simhash.keep_one(spark, docs)
-
-
-def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words of repeated windows; texts that repeat nothing are unchanged."""
-    cut = substring.remove_repeats(spark, docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    n_chars = F.when(F.col("n_removed") > 0, F.char_length("kept_text")).otherwise(F.col("n_chars"))
-    return (cut.withColumns({"text": text, "n_chars": n_chars.cast(docs.schema["n_chars"].dataType)})
-            .select(*docs.columns))
-
-
-def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return decontaminate.drop_contaminated(spark, docs, items)
-
-
-def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text and what they decode to, as digests."""
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(spark, docs.select("doc_id", "text"), path).drop("text")
-    return bpe_digests(bpe.decode(spark, encoded, path))
-
-
-STAGES = [("quality", quality_stage), ("near_duplicates", near_duplicate_stage),
-          ("substrings", substring_stage), ("decontamination", decontamination_stage), ("bpe", bpe_stage)]
+from hourcast.llm.pipeline import STAGES, run  # noqa: F401
 
 #: The stages of the classifier, the fingerprints and the token ids have no SQL form.
 ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, from all ``documents`` of ``sf_dir``."""
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
-    return docs

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from hourcast.plans import oracle, registry, table_queries, time_queries
+from hourcast.plans import oracle, registry, store_queries, table_queries, time_queries
 
-QUERIES = {**registry.QUERIES, **time_queries.QUERIES, **table_queries.QUERIES}
-ORACLE_SQL = {**oracle.ORACLE_SQL, **time_queries.ORACLE_SQL, **table_queries.ORACLE_SQL}
+_MODULES = (registry, time_queries, table_queries, store_queries)
+
+QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
+ORACLE_SQL = {name: sql for m in (oracle, *_MODULES[1:]) for name, sql in m.ORACLE_SQL.items()}
