@@ -3,21 +3,30 @@
 Method: texts become arrays of codepoint classes; piece boundaries come from class
 changes and from a four-state machine whose transition functions are combined by
 an associative scan, without a regular expression.  The pieces are byte slices;
-each distinct piece is merged once per worker by pair ranks and then looked up.
+each distinct piece is merged once per worker by pair ranks and then looked up.  The
+byte offset of every token is kept beside its id, counted from the start of its piece;
+decoding puts the bytes of a token at its offset and raises unless the tokens of a text
+follow each other without a gap.
 
 The pieces are those of the public pattern ``PATTERN`` of the vocabulary file:
 a contraction (``'s 't 're 've 'm 'll 'd``), a run of letters, of numbers or of
 other characters with at most one space before it, or white space (all of it but
 the last character if something follows).
 
+:func:`roundtrip` encodes and decodes a text in one pass, so that a task keeps one
+Python worker with one vocabulary.  A worker holds the ranks (about 10 MB for 50,000
+tokens), a cache of at most ``CACHE_PIECES`` pieces and the arrays of a slice of 1 MB.
+
 Defined results: a null or empty text has no ids and decodes to empty bytes;
-decoding the ids gives the text's UTF-8 bytes back.  Input columns are kept; the
-added columns replace input columns of the same name.
+decoding the ids gives the text's UTF-8 bytes back; an empty table gives an empty
+table; rows are independent, so repeated rows give equal results.  Input columns are
+kept; the added columns replace input columns of the same name, whatever its case.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import itertools
 import unicodedata
@@ -29,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm import _words as W
+from hourcast.llm._frames import fresh, quoted, without
 
 LETTER, NUMBER, BLANK, OTHER = 1, 2, 3, 0
 #: The code points of Unicode's White_Space property.
@@ -337,74 +347,135 @@ def gather(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(begin - (ends - n), n)
 
 
-_CACHES: dict[int, PieceCache] = {}
+class Vocabulary:
+    """A vocabulary as a worker needs it: ranks, the bytes of all ids, and piece cache."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, i in ranks.items():
+            tokens[i] = token
+        self.raw = np.frombuffer(b"".join(tokens), np.uint8)
+        self.length = np.array([len(t) for t in tokens], np.int64)
+        self.begin = np.cumsum(self.length) - self.length
+        self.cache = PieceCache(lambda pieces: (merge(p, ranks) for p in pieces))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray):
+        """(ids, byte offset of each in its text, bounds of the texts' ids) of flat texts."""
+        starts = piece_starts(data, offsets)
+        ids, n = self.cache.lookup(data.tobytes(), starts, np.append(starts[1:], len(data)))
+        upto = np.concatenate([[0], np.cumsum(n)])
+        bounds = upto[np.searchsorted(starts, offsets)]
+        before = np.cumsum(self.length[ids]) - self.length[ids]
+        first = np.append(before, 0)[upto[:-1]]              # of the piece's first token
+        at = np.repeat(starts - first, n) + before
+        return ids, (at - np.repeat(offsets[:-1], np.diff(bounds))).astype(np.int32), bounds
+
+    def decode(self, ids: np.ndarray, at: np.ndarray | None, bounds: np.ndarray):
+        """(bytes, offsets) of the texts; ``at``, if given, must place the tokens gaplessly."""
+        size = self.length[ids]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        offsets = upto[bounds]
+        where = upto[:-1]
+        if at is not None:
+            where = at + np.repeat(offsets[:-1], np.diff(bounds))
+            if not np.array_equal(where, upto[:-1]):
+                raise ValueError("token offsets leave gaps or overlap")
+        out = np.empty(upto[-1], np.uint8)
+        out[gather(where, size)] = self.raw[gather(self.begin[ids], size)]
+        return out, offsets
+
+
+_LOADED: dict[str, Vocabulary] = {}
+
+
+def _vocabulary(shared) -> Vocabulary:
+    """The worker's vocabulary, kept over its tasks; known by the digest of its file."""
+    digest, ranks = shared.value
+    if digest not in _LOADED:
+        _LOADED.clear()
+        _LOADED[digest] = Vocabulary(ranks)
+    return _LOADED[digest]
+
+
+def _shared(spark: SparkSession, path: str):
+    with open(path, "rb") as f:
+        digest = hashlib.sha256(f.read()).hexdigest()
+    return spark.sparkContext.broadcast((digest, read_ranks(path)))
+
+
+def _lists(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values, pa.int32()))
 
 
-def _cache(shared) -> PieceCache:
-    """The worker's cache for a vocabulary, kept over the tasks of a worker."""
-    ranks = shared.value
-    key = hash(tuple(sorted(ranks.items())[:64])) ^ len(ranks)
-    if key not in _CACHES:
-        _CACHES.clear()
-        _CACHES[key] = PieceCache(lambda pieces: (merge(p, ranks) for p in pieces))
-    return _CACHES[key]
+def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(offsets) - 1,
+        [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
 
 
-def _encode(names: list[str], shared):
+def _encode(names: list[str], text: str, shared, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _cache(shared)
+        vocabulary = _vocabulary(shared)
         for batch in batches:
-            for part in W.slices(batch, "__text"):
-                data, offsets = W.flat(part.column(part.schema.get_field_index("__text")))
-                starts = piece_starts(data, offsets)
-                ids, n = cache.lookup(data.tobytes(), starts, np.append(starts[1:], len(data)))
-                upto = np.concatenate([[0], np.cumsum(n)])
-                cut = upto[np.searchsorted(starts, offsets)]
-                out = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids, pa.int32()))
+            for part in W.slices(batch, text):
+                ids, at, bounds = vocabulary.encode(*W.flat(part.column(part.schema.get_field_index(text))))
+                added = [_lists(bounds, ids), _lists(bounds, at)]
+                if decoded:
+                    added.append(_binary(*vocabulary.decode(ids, at, bounds)))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(part.schema.get_field_index(x)) for x in names), out], [*names, "ids"])
+                    [*(part.column(part.schema.get_field_index(x)) for x in names), *added],
+                    [*names, *_added(decoded)])
     return run
 
 
+def _added(decoded: bool) -> list[str]:
+    return ["ids", "offsets", *(["decoded"] if decoded else [])]
+
+
+def _schema(df: DataFrame) -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields)
+
+
+def _encoded(spark: SparkSession, docs: DataFrame, ranks_path: str, text: str, decoded: bool) -> DataFrame:
+    W.bounded_batches(spark)
+    base = without(docs, *_added(decoded))
+    (source,) = fresh(docs, "source_text")
+    return (docs.select(*[quoted(c) for c in base.columns], F.coalesce(docs[text], F.lit("")).alias(source))
+            .mapInArrow(_encode(base.columns, source, _shared(spark, ranks_path), decoded),
+                        _schema(base) + "ids array<int>, offsets array<int>" + (", decoded binary" if decoded else "")))
+
+
 def encode(spark: SparkSession, docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
-    """``docs`` with its columns and ``ids``, the token ids of every whole text.
+    """``docs`` with ``ids``, the token ids of every whole text, and ``offsets``, the byte
+    offset of each token in its text.
 
     The vocabulary file is read where this is called and sent to the tasks.
     """
-    W.bounded_batches(spark)
-    base = docs.drop("ids")
-    shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in base.schema.fields)
-    return base.withColumn("__text", F.coalesce(F.col(text), F.lit(""))).mapInArrow(
-        _encode(base.columns, shared), f"{schema}ids array<int>")
+    return _encoded(spark, docs, ranks_path, text, False)
 
 
-def _decode(names: list[str], shared):
+def roundtrip(spark: SparkSession, docs: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
+    """:func:`encode`, and ``decoded``, the bytes that ids and offsets give back, in one pass."""
+    return _encoded(spark, docs, ranks_path, text, True)
+
+
+def _decode(names: list[str], shared, placed: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = shared.value
-        size = max(ranks.values()) + 1
-        tokens = [b""] * size
-        for token, i in ranks.items():
-            tokens[i] = token
-        raw = np.frombuffer(b"".join(tokens), np.uint8)
-        length = np.array([len(t) for t in tokens])
-        begin = np.concatenate([[0], np.cumsum(length)[:-1]])
+        vocabulary = _vocabulary(shared)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("ids"))
             lists = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             ids = column.flatten().to_numpy(zero_copy_only=False)
+            at = batch.column(batch.schema.get_field_index("offsets")).flatten().to_numpy(zero_copy_only=False) \
+                if placed else None
             bounds = np.concatenate([[0], np.cumsum(lists)])
             begin_doc, step = 0, 1 << 18
             while begin_doc < len(lists):
                 stop = int(np.searchsorted(bounds, bounds[begin_doc] + step, side="right")) - 1
                 stop = min(len(lists), max(stop, begin_doc + 1))
-                mine = ids[bounds[begin_doc]:bounds[stop]]
-                upto = np.concatenate([[0], np.cumsum(length[mine])])
-                out = raw[gather(begin[mine], length[mine])]
-                off = upto[bounds[begin_doc:stop + 1] - bounds[begin_doc]]
-                blob = pa.Array.from_buffers(
-                    pa.large_binary(), stop - begin_doc,
-                    [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(out)]).cast(pa.binary())
+                mine = slice(bounds[begin_doc], bounds[stop])
+                blob = _binary(*vocabulary.decode(ids[mine], at[mine] if placed else None,
+                                                  bounds[begin_doc:stop + 1] - bounds[begin_doc]))
                 part = batch.slice(begin_doc, stop - begin_doc)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(part.schema.get_field_index(x)) for x in names), blob],
@@ -414,9 +485,9 @@ def _decode(names: list[str], shared):
 
 
 def decode(spark: SparkSession, encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """``encoded`` with its columns and ``decoded``, the bytes that ``ids`` stand for."""
+    """``encoded`` with its columns and ``decoded``, the bytes that ``ids`` stand for; where
+    it has ``offsets`` too, every token goes to its offset."""
     W.bounded_batches(spark)
-    base = encoded.drop("decoded")
-    shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in base.schema.fields)
-    return base.mapInArrow(_decode(base.columns, shared), f"{schema}decoded binary")
+    base = without(encoded, "decoded")
+    return base.mapInArrow(_decode(base.columns, _shared(spark, ranks_path), "offsets" in base.columns),
+                           _schema(base) + "decoded binary")

@@ -30,6 +30,12 @@ def test_ids_equal_the_library_on_hard_texts(spark, library):
     texts = hard_texts()
     df = spark.createDataFrame(list(enumerate(texts)) + [(-1, None)], "doc_id long, text string")
     got = {r["doc_id"]: r for r in bpe.decode(spark, bpe.encode(spark, df, PATH), PATH).collect()}
+    once = {r["doc_id"]: r for r in bpe.roundtrip(spark, df, PATH).collect()}
+    assert once == got
+    sizes = {i: len(t) for t, i in library._mergeable_ranks.items()}
+    for r in got.values():                              # offsets stand where the bytes of the ids begin
+        at = np.cumsum([0, *(sizes[i] for i in r["ids"])])[:-1]
+        assert r["offsets"] == at.tolist()
     for i, text in enumerate(texts):
         assert got[i]["ids"] == library.encode_ordinary(text), text
         assert bytes(got[i]["decoded"]) == text.encode()
@@ -85,7 +91,31 @@ def test_empty_and_clashing_columns(spark):
     assert bpe.decode(spark, bpe.encode(spark, df, PATH), PATH).count() == 0
     df = spark.createDataFrame([(1, "a b", "x", b"y")], "doc_id long, text string, ids string, decoded binary")
     out = bpe.decode(spark, bpe.encode(spark, df, PATH), PATH)
-    assert out.columns == ["doc_id", "text", "ids", "decoded"] and bytes(out.first()["decoded"]) == b"a b"
+    assert out.columns == ["doc_id", "text", "ids", "offsets", "decoded"] and bytes(out.first()["decoded"]) == b"a b"
+    df = spark.createDataFrame([(1, "a b", "kept", 7)], "doc_id long, text string, __text string, source_text int")
+    row = bpe.roundtrip(spark, df, PATH).first()
+    assert (row["__text"], row["source_text"], bytes(row["decoded"])) == ("kept", 7, b"a b")
+
+
+def test_offsets_with_a_gap_are_refused(library):
+    vocabulary = bpe.Vocabulary(bpe.read_ranks(PATH))
+    data = np.frombuffer(b"one two", np.uint8)
+    ids, at, bounds = vocabulary.encode(data, np.array([0, 7]))
+    assert vocabulary.decode(ids, at, bounds)[0].tobytes() == b"one two"
+    with pytest.raises(ValueError):
+        vocabulary.decode(ids, at + 1, bounds)
+
+
+def test_two_vocabularies_in_one_session(spark, tmp_path):
+    """Vocabularies that differ in a late token only do not share a cache."""
+    lines = open(PATH, "rb").read().splitlines()
+    cut = tmp_path / "cut.tiktoken"
+    cut.write_bytes(b"\n".join(lines[:20000]))
+    df = spark.createDataFrame([(1, "ascertained photographers")], "doc_id long, text string").coalesce(1)
+    whole = bpe.encode(spark, df, PATH).first()["ids"]
+    small = bpe.encode(spark, df, str(cut)).first()["ids"]
+    ranks = bpe.read_ranks(str(cut))
+    assert whole != small and small == [*bpe.merge(b"ascertained", ranks), *bpe.merge(b" photographers", ranks)]
 
 
 def test_query_against_the_library(spark, library):
