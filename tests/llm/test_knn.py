@@ -58,3 +58,23 @@ def test_every_row_of_a_repeated_query_id_has_its_own_result(spark, monkeypatch)
         got = knn.top_k(spark, df, F.col("id") % 5 == 0, 4, component=lambda x: F.floor(x * 64)).collect()
         want = [r for row in pair for r in brute(others + [row], 4, lambda i: i == 5)]
         assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_many_pivots_bundles_and_parts(spark, monkeypatch):
+    """Every size at its smallest: each block meets each chunk that is sent once."""
+    for name, value in (("CHUNK", 4), ("BLOCK", 2), ("BUNDLE", 1), ("PART_CHUNKS", 2)):
+        monkeypatch.setattr(knn, name, value)
+    monkeypatch.setattr(knn, "n_pivots", lambda rows: 40)
+    rnd = random.Random(6)
+    rows = [(i, [rnd.gauss(0, 1) + 4 * (i % 3) for _ in range(4)]) for i in range(160)]
+    assert run(spark, [(i, v, "x") for i, v in rows]) == brute(rows, 4, lambda i: i % 5 == 0)
+
+
+def test_pruning_is_reported_and_pivots_grow(spark):
+    assert [knn.n_pivots(n) for n in (0, 50_000, 5_000_000, 10 ** 12)] == [16, 16, 158, 512]
+    rnd = random.Random(7)
+    rows = [(i, [(20.0 if i < 400 else 0.1) * rnd.random() for _ in range(2)]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    stats = {}
+    knn.top_k(spark, df, F.col("id") % 5 == 0, 4, stats=stats).collect()
+    assert 0 < stats["sent"] < stats["pairs"] and stats["pivots"] == 16
