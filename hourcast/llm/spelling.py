@@ -53,8 +53,9 @@ BITS_PER_WORD = 20
 ROUND_BYTES = 32 << 20
 #: Bits of one gathered bitmap; a whole number of blocks.
 SEGMENT_BITS = 32768
-#: Edits probed at a time.
+#: Edits probed at a time, and words of a probing task.
 PROBES = 1 << 19
+TASK_WORDS = 20_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PLACE = W.Powers(0x9E3779B97F4A7C15)
@@ -274,6 +275,8 @@ def near_pairs(spark: SparkSession, words: DataFrame, round_bytes: int = ROUND_B
     sized = words.select("word", "n", F.char_length("word").alias("length"))
     counts = {r[0]: r[1] for r in sized.groupBy("length").count().collect() if r[0]}
     letters = alphabet(words)
+    # probing costs time by words, not by bytes, so the tasks are cut by words
+    sized = sized.repartition(max(1, -(-sum(counts.values()) // TASK_WORDS)), "word")
     out = None
     for shards in shard_plan(counts, round_bytes):
         lengths = sorted({s[0] for s in shards})
