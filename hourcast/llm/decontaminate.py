@@ -16,7 +16,7 @@ Method:
    document if they share ``SKETCH_SHARE`` of the shingles that a contained item must
    share.  A shared shingle is its bin's value with probability 0.88 or more, and an item
    of more than ``EXACT_SHINGLES`` shingles must share 27 or more: one that is contained
-   is missed with probability below 1e-7.  For an item of fewer shingles, where the
+   is missed with probability below 1e-6.  For an item of fewer shingles, where the
    estimate is too coarse, every shared shingle makes a candidate, so none is missed.
 4. Candidates are verified: the distinct shingles that a candidate pair shares, compared
    as texts and not as hashes, are counted for these pairs only.
