@@ -12,8 +12,8 @@ Method:
    the pivot p.  For a query group with pivot c no score in the chunk is above
    <c, p> + R |p| + (|c| + R) r.  A chunk is sent to a group only if this reaches
    the group's bound, so a chunk that could hold a result is always sent.
-4. A group's query blocks are bundled ``BUNDLE`` at a time, and the chunks sent to it are
-   dealt over parts of about ``PART_CHUNKS``; every bundle meets every part in a cogrouped
+4. A group's query blocks are bundled, about ``BUNDLE`` * ``BLOCK`` queries at a time, and the
+   chunks sent to it are dealt over parts of about ``PART_CHUNKS``; every bundle meets every part in a cogrouped
    task, which holds each block and each chunk once, whatever their order, and solves
    them by matrix products.  It keeps k candidates per query, and the k best of these over
    all tasks are the result.
@@ -211,11 +211,11 @@ def top_k(spark: SparkSession, table: DataFrame, is_query: Column, k: int, key:
     chunks = spark.read.parquet(f"{folder}/chunks")
 
     blocks = chunks.filter("is_query").select(
-        "cell", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), "radius", "bound",
+        "cell", "n", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), "radius", "bound",
         "row_numbers", F.concat_ws("-", "cell", F.sha2("row_numbers", 256)).alias("block"))
     # at most MOST_PIVOTS rows: the summary of every query group
     groups = {r["cell"]: r for r in blocks.groupBy("cell").agg(
-        F.max("radius").alias("radius"), F.min("bound").alias("bound"), F.count(F.lit(1)).alias("n")).collect()}
+        F.max("radius").alias("radius"), F.min("bound").alias("bound"), F.sum("n").alias("n")).collect()}
     norm = np.sqrt((pivots * pivots).sum(1))
     dots = pivots @ pivots.T
     # per cell of data and group: the constant part and the factor of the chunk's radius
@@ -236,7 +236,7 @@ def top_k(spark: SparkSession, table: DataFrame, is_query: Column, k: int, key:
         stats |= {"pivots": len(pivots), "chunks": n_chunks, "pairs": n_chunks * len(groups),
                   "sent": sum(received.values())}
     sizes = spark.createDataFrame(
-        [(int(g), -(-r["n"] // BUNDLE), -(-received.get(g, 0) // PART_CHUNKS)) for g, r in groups.items()],
+        [(int(g), -(-r["n"] // (BUNDLE * BLOCK)), -(-received.get(g, 0) // PART_CHUNKS)) for g, r in groups.items()],
         "g int, bundles int, parts int")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     deal = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
